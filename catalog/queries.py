@@ -41,6 +41,11 @@ def volume_features(spark: SparkSession, folder: str) -> DataFrame:
     return features.features_by_source(views.volume_flows(spark, folder), VOLUME_KEYS)
 
 
+def stored_volume(spark: SparkSession, folder: str) -> DataFrame:
+    """The volume features as a written table, for work that reads them more than once."""
+    return materialize(volume_features(spark, folder), "features")
+
+
 def spread(df: DataFrame, array: str, columns=MODEL_FEATURES) -> list:
     return [F.col(array)[i].alias(f"{array}_{c}") for i, c in enumerate(columns)]
 
@@ -147,7 +152,7 @@ def column_stats(spark, folder):
 
 @query
 def describe(spark, folder):
-    return rounded(profile.describe(volume_features(spark, folder), FEATURES),
+    return rounded(profile.describe(stored_volume(spark, folder), FEATURES),
                    3, "mean", "stddev", "q25", "q50", "q75")
 
 
@@ -228,7 +233,7 @@ def scale_only(spark, folder):
 @query
 def interactions(spark, folder):
     """Products of features, without the all-zero column and the products of the id."""
-    rows = volume_features(spark, folder).select(
+    rows = stored_volume(spark, folder).select(
         F.col("srcAddr").cast("bigint").alias("id"), *MODEL_FEATURES,
         (F.col("sumOfFlows") - F.col("numRecords")).alias("extraFlows"))
     return prep.add_interactions(rows)
@@ -244,7 +249,7 @@ def feature_scores(spark, folder):
 @query
 def feature_select(spark, folder):
     """The three best of six columns."""
-    rows = labelled_features(spark, folder)
+    rows = materialize(labelled_features(spark, folder), "labelled")
     best = prep.select_k_best(rows, LABELLED, "label", k=3)
     return rows.select("win", "srcAddr", *best)
 
@@ -300,7 +305,8 @@ def sigma_detector_join(spark, folder):
 
 def assigned_days(spark: SparkSession, folder: str, scale: bool = True):
     """Daily features, scaled or raw, assigned to centres on the mean and one deviation off."""
-    raw = prep.as_double(views.event_features(spark, folder), MODEL_FEATURES)
+    raw = materialize(
+        prep.as_double(views.event_features(spark, folder), MODEL_FEATURES), "days")
     prepared = prep.standardize(raw, MODEL_FEATURES, center=False) if scale else raw
     moments = prepared.agg(*thresholds.moments_of(MODEL_FEATURES)).first()
     centers = [[m + z * s for m, s in zip(moments["mean"], moments["stddev"])] for z in OFFSETS]
@@ -428,13 +434,13 @@ def anomaly_rules(spark, folder):
 @query
 def kmeans_fit(spark, folder):
     """Scale, fit and derive thresholds: the model table of monthly volume."""
-    model = fit_detector(materialize(volume_features(spark, folder), "features"))
+    model = fit_detector(stored_volume(spark, folder))
     return model.select("cluster", *spread(model, "center"), *spread(model, "feature_max"),
                         *spread(model, "mean"), *spread(model, "stddev"), "threshold")
 
 
 def scaled_volume(spark: SparkSession, folder: str) -> DataFrame:
-    rows = prep.as_double(volume_features(spark, folder), MODEL_FEATURES)
+    rows = prep.as_double(stored_volume(spark, folder), MODEL_FEATURES)
     scaled = prep.standardize(rows, MODEL_FEATURES, center=False)
     return materialize(scaled.select(*MODEL_FEATURES), "scaled")
 

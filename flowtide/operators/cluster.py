@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,9 +18,13 @@ Centers = list[list[float]]
 
 def fit_kmeans(vectors: DataFrame, k: int = 3, seed: int = 1, vector: str = "features",
                max_iter: int = 20, init: str = "k-means||") -> KMeansModel:
-    """Fit K-Means on a vector column."""
+    """Fit K-Means on a vector column.
+
+    The row solver suits the few features here, and unlike the block solver it copes with
+    fewer distinct points than clusters: the model then has fewer centres.
+    """
     return KMeans(k=k, seed=seed, featuresCol=vector, predictionCol="cluster",
-                  maxIter=max_iter, initMode=init).fit(vectors)
+                  maxIter=max_iter, initMode=init, solver="row").fit(vectors)
 
 
 def centers_of(model: KMeansModel) -> Centers:
@@ -86,9 +92,27 @@ def mean_center(df: DataFrame, columns: Sequence[str]) -> Centers:
     return [[float(row[c]) for c in columns]]
 
 
+def _fit_each(train: DataFrame, columns: Sequence[str], settings: dict[object, dict],
+              parallel: int) -> dict[object, Centers]:
+    """Centres for each setting, several fits running at once over one cached table."""
+    def fit(name: object) -> tuple[object, Centers]:
+        how = settings[name]
+        if how["k"] == 1:
+            return name, mean_center(train, columns)
+        return name, centers_of(fit_kmeans(train, **how))
+
+    train.persist()
+    try:
+        with ThreadPool(min(parallel, len(settings))) as pool:
+            run = inheritable_thread_target(train.sparkSession)(fit)
+            return dict(pool.map(run, settings, chunksize=1))
+    finally:
+        train.unpersist()
+
+
 def elbow(df: DataFrame, columns: Sequence[str], ks: Iterable[int] = range(2, 20),
           fraction: float | None = 0.1, seed: int = 1, sample_seed: int = 42,
-          max_iter: int = 20, init: str = "k-means||") -> DataFrame:
+          max_iter: int = 20, init: str = "k-means||", parallel: int = 8) -> DataFrame:
     """Cost of K-Means for each k: (k, wssse, distortion).
 
     With ``fraction`` the fits use a sample, ``None`` fits on everything; the costs always
@@ -97,32 +121,20 @@ def elbow(df: DataFrame, columns: Sequence[str], ks: Iterable[int] = range(2, 20
     train = assemble(df, columns)
     if fraction is not None:
         train = bernoulli_sample(train, fraction, sample_seed)
-    train = train.select("features").persist()
-    try:
-        models = {
-            k: (mean_center(df, columns) if k == 1 else
-                centers_of(fit_kmeans(train, k, seed, max_iter=max_iter, init=init)))
-            for k in ks
-        }
-    finally:
-        train.unpersist()
+    settings = {k: dict(k=k, seed=seed, max_iter=max_iter, init=init) for k in ks}
+    models = _fit_each(train, columns, settings, parallel)
     return costs(df, columns, models).withColumnRenamed("model", "k")
 
 
 def iteration_grid(df: DataFrame, columns: Sequence[str],
-                   ks: Iterable[int] = range(2, 50),
+                   ks: Iterable[int] = range(1, 50),
                    max_iters: Iterable[int] = range(300, 1000, 100),
-                   seed: int = 1) -> DataFrame:
-    """WSSSE for each (max_iter, k) with random starting centres."""
-    train = assemble(df, columns).select("features").persist()
-    try:
-        models = {
-            f"{n}/{k}": (mean_center(df, columns) if k == 1 else
-                         centers_of(fit_kmeans(train, k, seed, max_iter=n, init="random")))
-            for n in max_iters for k in ks
-        }
-    finally:
-        train.unpersist()
+                   seed: int = 1, parallel: int = 8) -> DataFrame:
+    """WSSSE and distortion for each (max_iter, k) with random starting centres."""
+    ks = list(ks)
+    settings = {f"{n}/{k}": dict(k=k, seed=seed, max_iter=n, init="random")
+                for n in max_iters for k in ks}
+    models = _fit_each(assemble(df, columns), columns, settings, parallel)
     parts = F.split("model", "/")
     return costs(df, columns, models).select(
         parts[0].cast("int").alias("max_iter"), parts[1].cast("int").alias("k"),

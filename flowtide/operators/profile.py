@@ -58,7 +58,9 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
         F.struct(F.lit(c).alias("feature"), F.col(f"{c}_piece").cast("int").alias("piece"),
                  F.col(c).alias("value"))
         for c in columns
-    ])).alias("row")).select("row.*").filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    ])).alias("row")).select("row.*").filter(
+        # A present value always has a piece; saying so lets both readers share one shuffle.
+        F.col("value").isNotNull() & ~F.isnan("value") & F.col("piece").isNotNull())
     counts = values.groupBy("feature", "piece", "value").agg(F.count(F.lit(1)).alias("rows"))
 
     # At most `pieces` + 2 rows per column from here to `wanted`.

@@ -17,11 +17,14 @@ def model_rows(model: DataFrame) -> list[Row]:
     return sorted(model.collect(), key=lambda r: r["cluster"])
 
 
+def _number(values: Sequence[float | None] | None, i: int) -> float:
+    return float(values[i] or 0.0) if values else 0.0
+
+
 def _scaled(column: Column, moments: Row, i: int, center: bool) -> Column:
     """Feature ``i`` in units of its deviation; a deviation of zero or none counts as 1."""
-    mean = float((moments["mean"] or {i: 0.0})[i]) if center else 0.0
-    deviation = float((moments["stddev"] or {i: 0.0})[i]) or 1.0
-    return (column - F.lit(mean)) / F.lit(deviation)
+    mean = _number(moments["mean"], i) if center else 0.0
+    return (column - F.lit(mean)) / F.lit(_number(moments["stddev"], i) or 1.0)
 
 
 def _decide(live: DataFrame, best: Column) -> DataFrame:

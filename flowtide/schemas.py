@@ -33,6 +33,9 @@ FLOW_COLUMNS = {
     "numFlows": "count",
 }
 
+# The record keys the pipeline reads: those above and the export time.
+READ_KEYS = (*FLOW_COLUMNS.values(), "timestamp")
+
 # The per-source features, and the subset the models are trained on.
 FEATURES = ("sumOfFlows", "sumOfBytes", "uniqDstIPs", "uniqDstPorts")
 MODEL_FEATURES = ("sumOfBytes", "uniqDstIPs", "uniqDstPorts")

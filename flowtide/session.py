@@ -16,6 +16,7 @@ RUNTIME_CONF = {
     # Distinct destinations per source can outgrow the heap, so keyed state lives in RocksDB.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

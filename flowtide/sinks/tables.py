@@ -13,6 +13,7 @@ def append_features(features: DataFrame, batch: int, path: str,
 
     A batch owns its folder, so writing it again after a failure replaces it instead of
     doubling rows. ``day`` defaults to the day of the window start, else the current day.
+    Rows are rebalanced by day: few files per day, and a large day still has many writers.
     """
     if day is None:
         day = F.to_date("win") if "win" in features.columns else F.current_date()
@@ -22,6 +23,7 @@ def append_features(features: DataFrame, batch: int, path: str,
         F.col("uniqDstIPs").cast("int").alias("uniqDstIPs"),
         F.col("uniqDstPorts").cast("int").alias("uniqDstPorts"),
         day.alias("day"))
+     .hint("rebalance", "day")
      .write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={batch}"))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
 
-from flowtide.schemas import RAW_FLOW
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from flowtide.schemas import RAW_FLOW, READ_KEYS
 
 # Fixed value: the topic flow exporters publish to.
 TOPIC = "NETFLOW"
@@ -43,11 +45,14 @@ def read_kafka(spark: SparkSession, servers: str, topic: str = TOPIC, stream: bo
     return reader.options(**options).load().select(F.col("value").cast("string").alias("value"))
 
 
-def decode(messages: DataFrame, keep: tuple[str, ...] = ("value",)) -> DataFrame:
-    """Parse the ``value`` of each message into the 40 record fields.
+def decode(messages: DataFrame, keys: Sequence[str] = READ_KEYS,
+           keep: Sequence[str] = ("value",)) -> DataFrame:
+    """Parse the ``value`` of each message into record fields, by default those read later.
 
     A field that is absent or of the wrong type is null, an unreadable message is null in
-    every field; nothing fails the batch. Only the fields read later are parsed.
+    every field; nothing fails the batch. Unpacking the record as a one-element array parses
+    each message once: conditions on its fields are then checked after parsing, where on a
+    plain struct every one of them would parse the message again.
     """
-    record = F.from_json("value", RAW_FLOW)
-    return messages.select(*keep, record.alias("record")).select(*keep, "record.*")
+    wanted = T.StructType([RAW_FLOW[key] for key in keys])
+    return messages.select(*keep, F.inline(F.array(F.from_json("value", wanted))))
