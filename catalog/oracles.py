@@ -90,6 +90,7 @@ CTES["weeks"] = grouped(WEEK)
 CTES["volume"] = grouped("win", "volume_flows")
 CTES["stream_minutes"] = grouped(MINUTE, "valid")
 CTES["stream_days"] = grouped(DAY, "valid")
+CTES["stream_weeks"] = grouped(WEEK, "valid")
 # The newest event time less the allowed delay, in milliseconds as messages carry it.
 CTES["closed"] = "SELECT max(date_trunc('milliseconds', ts)) - INTERVAL '2 minutes' AS upto FROM valid"
 
@@ -192,6 +193,7 @@ CTES["scored_uncentred"] = scored(live(False), "d")
 CTES["scored_unscaled"] = scored(
     'SELECT win, "srcAddr", ' + each('CAST("$c" AS DOUBLE) AS "p_$c"', MODEL) + " FROM weeks", "r")
 CTES["scored_stream"] = scored(live(False, "stream_days"), "d")
+CTES["scored_stream_weeks"] = scored(live(False, "stream_weeks"), "d")
 CTES["scored_v1"] = """
     SELECT win, "srcAddr", cluster, distance, coalesce(distance > threshold, false) AS anomaly
     FROM (SELECT *, row_number() OVER (PARTITION BY win, "srcAddr"
@@ -247,6 +249,8 @@ CTES["f_values"] = union("""
     FROM (SELECT label, count(*) AS n, avg("$c") AS m, var_pop("$c") AS v,
                  (SELECT avg("$c") FROM labelled) AS g
           FROM labelled GROUP BY label)""", LABELLED)
+CTES["numbered"] = "SELECT row_number() OVER () AS i, * FROM d_assigned"
+CTES["d_middle"] = "SELECT " + each('avg("$c") AS "c_$c"', MODEL) + " FROM scaled"
 CTES["axis"] = """
     SELECT CAST(i AS INTEGER) AS bin, lo + i * (hi - lo) / 10 AS low, lo + (i + 1) * (hi - lo) / 10 AS high,
            lo, hi
@@ -344,6 +348,27 @@ BODIES = {
                CAST("uniqDstIPs" AS DOUBLE) * "uniqDstPorts" AS "uniqDstIPs_uniqDstPorts"
         FROM volume""",
     "feature_scores": "SELECT feature, round(f_value, 4) AS f_value FROM f_values",
+    "feature_select": "SELECT * FROM (" + union(
+        """SELECT '$c' AS feature, count("$c") AS "count", round(avg("$c"), 2) AS mean
+           FROM labelled""", LABELLED)
+        + ") WHERE feature IN (SELECT feature FROM f_values ORDER BY f_value DESC LIMIT 3)",
+    "labelled_rows": 'SELECT win, "srcAddr", CAST(a.cluster AS INTEGER) AS cluster, '
+        + each('d."$c"', MODEL) + ' FROM d_assigned a JOIN unscaled d USING (win, "srcAddr")',
+    "silhouette_days": """
+        SELECT count(DISTINCT cluster) AS clusters, count(*) AS "rows",
+               round(avg(CASE WHEN own = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+        FROM (SELECT i, cluster, max(n) FILTER (WHERE mine) AS own,
+                     max(s / (n - 1)) FILTER (WHERE mine AND n > 1) AS a,
+                     min(s / n) FILTER (WHERE NOT mine) AS b
+              FROM (SELECT p.i, p.cluster, q.cluster = p.cluster AS mine, count(*) AS n,
+                           sum(""" + each('pow(p."$c" - q."$c", 2)', MODEL, " + ") + """) AS s
+                    FROM numbered p, numbered q GROUP BY p.i, p.cluster, q.cluster)
+              GROUP BY i, cluster)""",
+    "model_costs": " UNION ALL ".join(f"""
+        SELECT {k} AS k, round(sum(d), 6) AS wssse, round(avg(sqrt(d)), 6) AS distortion
+        FROM (SELECT min({each('pow(p."$c" - c."c_$c", 2)', MODEL, " + ")}) AS d
+              FROM scaled p, {centers} c GROUP BY p.win, p."srcAddr")"""
+        for k, centers in ((1, "d_middle"), (3, "d_centers"))),
     "sigma_thresholds": """
         SELECT feature, round(mean, 3) AS mean, round(stddev, 3) AS stddev, max, n,
                round(upper, 3) AS upper
@@ -387,6 +412,7 @@ BODIES = {
     "stream_features": closed("stream_minutes", "60 seconds", f'win, "srcAddr", {ALL}'),
     "stream_anomalies": closed("scored_stream", "1 day", """
         win, "srcAddr", cluster, round(distance, 6) AS distance, anomaly"""),
+    "stream_rules": rule(closed("scored_stream_weeks", "7 days") + " AND anomaly"),
     "stream_arrival": f"""
         SELECT CAST(0 AS BIGINT) AS batch, {STORED} FROM ({WHOLE.replace("FROM flows", "FROM valid")})""",
 }

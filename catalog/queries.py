@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog import views
 from flowtide.operators import cluster, features, flows, prep, profile, rules, score, thresholds
-from flowtide.plans import block_exceedances, fit_detector
+from flowtide.plans import block_anomalies, block_exceedances, fit_detector
 from flowtide.schemas import FEATURES, MODEL_FEATURES
 from flowtide.session import materialize, new_folder
 from flowtide.sinks import append_features, export_csv
@@ -248,10 +248,11 @@ def feature_scores(spark, folder):
 
 @query
 def feature_select(spark, folder):
-    """The three best of six columns."""
+    """Mean of the three best of six columns."""
     rows = materialize(labelled_features(spark, folder), "labelled")
     best = prep.select_k_best(rows, LABELLED, "label", k=3)
-    return rows.select("win", "srcAddr", *best)
+    stats = profile.column_stats(rows, best).select("feature", "count", "mean")
+    return rounded(stats, 2, "mean")
 
 
 LABELLED = (*MODEL_FEATURES, "sumOfBytes_uniqDstIPs", "sumOfBytes_uniqDstPorts",
@@ -328,6 +329,33 @@ def nearest_center(spark, folder):
     return rounded(assigned, 6, "distance").select(*DAY, "cluster", "distance")
 
 
+@query
+def labelled_rows(spark, folder):
+    """Assignments joined back to the raw features they came from."""
+    assigned, _, raw = assigned_days(spark, folder)
+    return (assigned.select(*DAY, "cluster").join(raw, list(DAY))
+            .select(*DAY, "cluster", *MODEL_FEATURES))
+
+
+@query
+def silhouette_days(spark, folder):
+    """Silhouette of the checkable assignment."""
+    assigned, _, _ = assigned_days(spark, folder)
+    value = cluster.silhouette(prep.assemble(assigned, MODEL_FEATURES))
+    sizes = cluster.cluster_sizes(assigned)
+    return sizes.agg(F.count(F.lit(1)).alias("clusters"), F.sum("rows").alias("rows")).withColumn(
+        "silhouette", F.round(F.lit(float(value)), 6))
+
+
+@query
+def model_costs(spark, folder):
+    """WSSSE and distortion of one and of three given centres, in one pass."""
+    assigned, centers, _ = assigned_days(spark, folder)
+    models = {1: cluster.mean_center(assigned, MODEL_FEATURES), 3: centers}
+    costs = cluster.costs(assigned, MODEL_FEATURES, models).withColumnRenamed("model", "k")
+    return rounded(costs, 6, "wssse", "distortion")
+
+
 @query
 def cluster_sizes(spark, folder):
     return cluster.cluster_sizes(assigned_days(spark, folder)[0])
@@ -424,8 +452,8 @@ def drop_rules(spark, folder):
 def anomaly_rules(spark, folder):
     """Rules for the weeks beyond the threshold of their cluster."""
     live = views.event_features(spark, folder, "7 days")
-    scored = score.score(live, day_model(spark, folder), center=False)
-    return rules.drop_rules(scored.filter("anomaly"), views.hosts(spark, folder), ("win",))
+    return block_anomalies(live, day_model(spark, folder), views.hosts(spark, folder),
+                           keys=("win",), center=False)
 
 
 # --- models ----------------------------------------------------------------------------
@@ -517,6 +545,15 @@ def stream_anomalies(spark, folder):
     return rounded(result, 6, "distance").select(*DAY, "cluster", "distance", "anomaly")
 
 
+@query
+def stream_rules(spark, folder):
+    """Rules for the closed weeks of the stream that the model of days finds anomalous."""
+    live = windowed_features(valid_stream(views.message_stream(spark, folder)), "7 days")
+    found = block_anomalies(live, day_model(spark, folder), views.hosts(spark, folder),
+                            keys=("win",), center=False)
+    return views.plain_window(stream_result(spark, found))
+
+
 @query
 def stream_arrival(spark, folder):
     """The events of one arrival batch, appended to the feature store."""

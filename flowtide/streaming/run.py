@@ -9,7 +9,6 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from flowtide.operators.features import SOURCE, features_by_source
 from flowtide.operators.score import score
-from flowtide.plans.detection import block_anomalies
 from flowtide.schemas import MODEL_FEATURES
 from flowtide.sinks.tables import append_features, append_rules
 
@@ -46,18 +45,13 @@ def store_features(path: str) -> BatchWork:
     return lambda features, number: append_features(features, number, path)
 
 
-def store_rules(path: str, model: Callable[[], DataFrame], hosts: Callable[[], DataFrame],
-                scale: bool = True, center: bool = True) -> BatchWork:
-    """Work for :func:`each_arrival`: score each batch and write rules for its anomalies.
+def store_rules(path: str, judge: Callable[[DataFrame], DataFrame]) -> BatchWork:
+    """Work for :func:`each_arrival`: write the rules ``judge`` draws from each batch.
 
-    ``model`` and ``hosts`` are called for every batch, so newly written tables take effect
-    without a restart.
+    ``judge`` is one of the blocking plans with its model or limits and hosts filled in. It
+    is called for every batch, so tables it reads anew take effect without a restart.
     """
-    def work(features: DataFrame, number: int) -> None:
-        rules = block_anomalies(features, model(), hosts(), scale=scale, center=center)
-        append_rules(rules, number, path)
-
-    return work
+    return lambda features, number: append_rules(judge(features), number, path)
 
 
 def score_stream(features: DataFrame, model: DataFrame | list[Row],

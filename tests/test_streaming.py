@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowtide.operators.features import features_by_source, flat_window, with_window
-from flowtide.plans import save_model
+from flowtide.plans import block_anomalies, load_model, save_model
 from flowtide.operators import score
 from flowtide.schemas import FEATURES, MODEL
 from flowtide.sinks import append_features, append_rules, export_csv
@@ -102,7 +102,8 @@ def test_arrival_batches_store_and_block(spark, tmp_path):
         flows = valid_stream(read_lines(spark, str(folder), stream=True, files_per_batch=1))
         run_available(each_arrival(flows, [
             store_features(paths["store"]),
-            store_rules(paths["rules"], lambda: spark.read.parquet(str(tmp_path / "model")), lambda: hosts),
+            store_rules(paths["rules"], lambda features: block_anomalies(
+                features, load_model(spark, str(tmp_path / "model")), hosts)),
         ], paths["cp"], every=None))
 
     run()
