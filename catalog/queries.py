@@ -525,7 +525,8 @@ def feature_store_append(spark, folder):
 
 def stream_result(spark: SparkSession, stream: DataFrame) -> DataFrame:
     base = new_folder(spark, "stream")
-    run_available(write_table(stream, f"{base}/table", f"{base}/checkpoint"))
+    run_available(write_table(stream, f"{base}/table", f"{base}/checkpoint",
+                              state_partitions=spark.sparkContext.defaultParallelism))
     return spark.read.schema(stream.schema).parquet(f"{base}/table")
 
 

@@ -61,12 +61,22 @@ def score_stream(features: DataFrame, model: DataFrame | list[Row],
     return score(features, model, columns, scale, center)
 
 
-def write_table(stream: DataFrame, path: str, checkpoint: str,
-                every: str | None = None) -> StreamingQuery:
-    """Append closed rows to a Parquet table, each exactly once."""
+def write_table(stream: DataFrame, path: str, checkpoint: str, every: str | None = None,
+                state_partitions: int | None = None) -> StreamingQuery:
+    """Append closed rows to a Parquet table, each exactly once.
+
+    ``state_partitions`` sets over how many partitions the state is spread; by default as
+    many as the session's shuffles have. The first start of a checkpoint fixes the number.
+    """
     writer = (stream.writeStream.outputMode("append").format("parquet")
               .option("path", path).option("checkpointLocation", checkpoint))
-    return _triggered(writer, every).start()
+    conf = stream.sparkSession.conf
+    usual = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions or usual))
+    try:
+        return _triggered(writer, every).start()  # takes its own copy of the settings
+    finally:
+        conf.set("spark.sql.shuffle.partitions", usual)
 
 
 def print_batches(stream: DataFrame, checkpoint: str, rows: int = 10,
