@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from flowtide.functions.stats import zero_guard
 
@@ -52,9 +52,13 @@ def standardize(df: DataFrame, columns: Sequence[str], center: bool = True,
             .drop("_moments"))
 
 
+def _numeric(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+
+
 def interactions(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Add the product of every pair of columns, named ``a_b``."""
-    columns = list(columns or df.columns)
+    """Add the product of every pair of columns, by default the numeric ones, named ``a_b``."""
+    columns = list(columns or _numeric(df))
     return df.select("*", *[
         (F.col(a).cast("double") * F.col(b).cast("double")).alias(f"{a}_{b}")
         for a, b in combinations(columns, 2)
@@ -63,10 +67,11 @@ def interactions(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 def drop_zero_columns(df: DataFrame) -> DataFrame:
     """Drop the columns that are 0 in every row. One pass, one row of flags to the driver."""
+    columns = _numeric(df)
     flags = df.agg(*[
-        F.max(F.coalesce(F.col(c) != 0, F.lit(True))).alias(c) for c in df.columns
+        F.max(F.coalesce(F.col(c) != 0, F.lit(True))).alias(c) for c in columns
     ]).first()
-    return df.drop(*[c for c in df.columns if flags[c] is False])
+    return df.drop(*[c for c in columns if flags[c] is False])
 
 
 def drop_prefixed(df: DataFrame, prefix: str = "id_") -> DataFrame:
@@ -82,6 +87,8 @@ def add_interactions(df: DataFrame) -> DataFrame:
 def anova_f(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     """One-way ANOVA F value of each column against a categorical label.
 
+    Infinite where the label explains a column entirely, null where nothing can be said.
+
     Per label only count, mean and squared deviation are kept, merged before the shuffle;
     so a label holding most rows costs no more than a rare one.
     """
@@ -100,9 +107,10 @@ def anova_f(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     n, classes = F.sum("n"), F.count(F.lit(1))
     between = F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand"), F.lit(2)))
     within = F.sum(F.col("n") * F.col("var"))
+    ratio = F.try_divide(between, classes - 1) / F.try_divide(within, n - classes)
     return parts.withColumn("grand", grand).groupBy("feature").agg(
-        (F.try_divide(between, classes - 1)
-         / F.nullif(F.try_divide(within, n - classes), F.lit(0.0))).alias("f_value"))
+        F.when(within > 0, ratio)
+        .when((between > 0) & (n > classes), F.lit(float("inf"))).alias("f_value"))
 
 
 def select_k_best(df: DataFrame, columns: Sequence[str], label: str, k: int = 60) -> list[str]:

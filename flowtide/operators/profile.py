@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import isfinite
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -19,13 +20,24 @@ def _rows(one_row: DataFrame, columns: Sequence[str], names: Sequence[str],
     return one_row.select(entry.alias("row")).select("row.*")
 
 
+def _missing(column: str) -> Column:
+    value = F.col(column)
+    return value.isNull() | F.isnan(value.cast("double"))
+
+
+def _present(column: str) -> Column:
+    """The column as double, null where it is NaN."""
+    return F.when(~_missing(column), F.col(column).cast("double"))
+
+
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, min, max, sample variance and deviation, one row per column."""
+    """Count, mean, min, max, sample variance and deviation of the values present, one row
+    per column."""
     names = ("count", "mean", "min", "max", "variance", "stddev")
-    row = df.agg(*[
+    row = df.select(*[_present(c).alias(c) for c in columns]).agg(*[
         F.struct(
             F.count(c).alias("count"), F.avg(c).alias("mean"),
-            F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
+            F.min(c).alias("min"), F.max(c).alias("max"),
             F.var_samp(c).alias("variance"), F.stddev_samp(c).alias("stddev"),
         ).alias(c) for c in columns
     ])
@@ -43,12 +55,13 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
     """
     probabilities = [float(p) for p in probabilities]
     grid = [i / pieces for i in range(1, pieces)]
-    cuts = df.agg(*[F.percentile_approx(c, grid, 100 * pieces).alias(c) for c in columns]).first()
+    named = df.select(*[_present(c).alias(c) for c in columns])
+    cuts = named.agg(
+        *[F.percentile_approx(c, grid, 100 * pieces).alias(c) for c in columns]).first()
     edges = [
-        [float("-inf"), *(sorted({float(v) for v in cuts[c] or []}) or [0.0]), float("inf")]
+        [float("-inf"), *(sorted({v for v in cuts[c] or [] if isfinite(v)}) or [0.0]), float("inf")]
         for c in columns
     ]
-    named = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     pieced = Bucketizer(
         splitsArray=edges, inputCols=list(columns),
         outputCols=[f"{c}_piece" for c in columns], handleInvalid="keep",
@@ -60,7 +73,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
         for c in columns
     ])).alias("row")).select("row.*").filter(
         # A present value always has a piece; saying so lets both readers share one shuffle.
-        F.col("value").isNotNull() & ~F.isnan("value") & F.col("piece").isNotNull())
+        F.col("value").isNotNull() & F.col("piece").isNotNull())
     counts = values.groupBy("feature", "piece", "value").agg(F.count(F.lit(1)).alias("rows"))
 
     # At most `pieces` + 2 rows per column from here to `wanted`.
@@ -115,7 +128,7 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
 
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """Equal-width bins from min to max, the last one closed; empty bins are listed with 0."""
-    value = F.col(column).cast("double")
+    value = _present(column)
     ends = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))
                   .alias("ends")).scalar()
     # A constant column gets bins half a unit to either side.
@@ -125,7 +138,7 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     width = (high - low) / bins
 
     filled = (
-        df.filter(value.isNotNull() & ~F.isnan(value))
+        df.filter(value.isNotNull())
         .select(value.alias("value"), ends.alias("ends"))
         .select(F.least(F.floor((F.col("value") - low) / width), F.lit(bins - 1))
                 .cast("int").alias("bin"))
@@ -163,11 +176,6 @@ def quality_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _rows(row, columns, ("rows", "null_rows", "zero_rows"))
 
 
-def _missing(column: str) -> Column:
-    value = F.col(column)
-    return value.isNull() | F.isnan(value.cast("double"))
-
-
 def null_rows(df: DataFrame, column: str) -> DataFrame:
     """Rows in which the column is null or NaN."""
     return df.filter(_missing(column))

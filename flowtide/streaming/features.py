@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from flowtide.operators.features import WINDOWED, features_by_source, flat_window, with_window
-from flowtide.operators.flows import EVENT_TIME, project_flows, valid_flows
+from flowtide.operators.flows import EVENT_TIME, project_flows, rejected_flows, valid_flows
+from flowtide.schemas import FLOW_COLUMNS
 from flowtide.sources.flows import decode
 
 
+def _decoded(messages: DataFrame, event_time: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    keys = list(dict.fromkeys((*FLOW_COLUMNS.values(), event_time)))
+    return project_flows(decode(messages, keys, keep), event_time, keep)
+
+
 def valid_stream(messages: DataFrame, event_time: str = "timestamp") -> DataFrame:
     """Messages with a ``value`` column -> valid flows with their event time."""
-    return valid_flows(project_flows(decode(messages), event_time)).drop("value")
+    return valid_flows(_decoded(messages, event_time))
+
+
+def rejected_stream(messages: DataFrame, event_time: str = "timestamp") -> DataFrame:
+    """The messages left out of :func:`valid_stream`, with the reason."""
+    return rejected_flows(_decoded(messages, event_time, ("value",))).select("value", "reason")
 
 
 def windowed_features(flows: DataFrame, duration: str = "60 seconds",

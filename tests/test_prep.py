@@ -109,3 +109,16 @@ def test_vector_roundtrip(frame):
 def test_as_double_keeps_large_integers(spark):
     df = spark.createDataFrame([(2 ** 40 + 1,)], "v bigint")
     assert prep.as_double(df, ["v"]).first()[0] == 2.0 ** 40 + 1
+
+
+def test_anova_extremes(spark):
+    df = spark.createDataFrame([(0, 1.0, 2.0), (0, 1.0, 2.0), (1, 5.0, 2.0), (1, 5.0, 2.0)],
+                               "label int, split double, flat double")
+    scores = {r["feature"]: r["f_value"] for r in prep.anova_f(df, ["split", "flat"], "label").collect()}
+    assert scores == {"split": float("inf"), "flat": None}
+    assert prep.select_k_best(df, ["flat", "split"], "label", 1) == ["split"]
+
+
+def test_text_columns_are_left_alone(spark):
+    df = spark.createDataFrame([("a", 2.0, 3.0), ("b", 0.0, 1.0)], "srcAddr string, x double, y double")
+    assert prep.add_interactions(df).columns == ["srcAddr", "x", "y", "x_y"]

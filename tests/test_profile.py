@@ -91,3 +91,14 @@ def test_quantiles_never_sort_a_column_in_one_task(spark):
     df = spark.range(5000).select((F.col("id") * 1.0).alias("x"))
     plan = profile.quantiles(df, ["x"], (0.5,))._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_missing_values_and_infinities(spark):
+    df = one_column(spark, [1, 2, 4, None, float("nan")])
+    assert profile.describe(df, ["x"]).first()[1:] == pytest.approx(
+        tuple(pd.Series([1.0, 2, 4]).describe()))
+    assert sum(r["count"] for r in profile.histogram(df, "x").collect()) == 3
+    wild = one_column(spark, [float("-inf"), 1, 2, 3, float("inf")])
+    assert profile.quantiles(wild, ["x"], (0.25, 0.5, 0.75)).first()["values"] == [1.0, 2.0, 3.0]
+    empty = profile.describe(one_column(spark, [None, float("nan")]), ["x"]).first()
+    assert empty["count"] == 0 and empty["q50"] is None

@@ -13,7 +13,7 @@ from flowtide.schemas import FEATURES, MODEL
 from flowtide.sinks import append_features, append_rules, export_csv
 from flowtide.sources import read_feature_csv, read_kafka, read_lines, read_store
 from flowtide.streaming import (
-    each_arrival, print_batches, run_available, score_stream, store_features, store_rules,
+    each_arrival, print_batches, rejected_stream, run_available, score_stream, store_features, store_rules,
     valid_stream, windowed_features, write_table,
 )
 from tests.records import WHOLE, as_dicts, as_lines
@@ -76,6 +76,14 @@ def test_restart_continues_and_late_rows_are_dropped(spark, inbox, tmp_path):
     assert run() == 12  # the windows of 7200 and 7300; the one of 10 was closed long ago
 
 
+def test_rejects_of_a_stream(spark, inbox, tmp_path):
+    rejects = rejected_stream(read_lines(spark, str(inbox), stream=True), event_time="first")
+    run_available(write_table(rejects, str(tmp_path / "out"), str(tmp_path / "cp")))
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {(r["value"], r["reason"]) for r in got} == {
+        ("junk", "unreadable"), (as_lines()[3][:-4], "unreadable")}
+
+
 def test_stream_scoring(spark, inbox, tmp_path):
     model = spark.createDataFrame(
         [(0, [0.0, 0.0, 0.0], None, [0.0, 0.0, 0.0], [1.0, 1.0, 1.0], 100000.0)], MODEL)
