@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from math import ceil
 from multiprocessing.pool import ThreadPool
+from operator import add
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from flowtide.functions.distance import euclidean, nearest
+from flowtide.functions.distance import euclidean, nearest, squared_distance
 from flowtide.operators.prep import assemble, bernoulli_sample
 
 Centers = list[list[float]]
@@ -54,28 +57,35 @@ def silhouette(assigned: DataFrame, vector: str = "features") -> float:
     return ClusteringEvaluator(featuresCol=vector, predictionCol="cluster").evaluate(assigned)
 
 
-def _nearest_square(columns: Sequence[str], centers: Centers) -> Column:
-    """Squared distance to the nearest centre, as a loop over one literal array.
-
-    Used where many models are measured in one pass and written-out sums would be too long.
-    """
-    grid = F.lit([[float(x) for x in c] for c in centers])
-    return F.array_min(F.transform(grid, lambda center: sum(
-        [(F.col(c) - center[i]) * (F.col(c) - center[i]) for i, c in enumerate(columns)],
-        F.lit(0.0))))
+def _with_nearest(vectors: DataFrame, columns: Sequence[str], model: KMeansModel | Centers,
+                  name: str) -> DataFrame:
+    """Add the index of the nearest centre. A fitted model finds it in compiled code however
+    many centres it has; a list of centres is written out and should be short."""
+    if isinstance(model, KMeansModel):
+        return model.copy().setPredictionCol(name).transform(vectors)
+    point = [F.col(c) for c in columns]
+    best = nearest([squared_distance(point, c) for c in model], range(len(model)),
+                   [None] * len(model))
+    return vectors.withColumn(name, best["cluster"])
 
 
-def costs(df: DataFrame, columns: Sequence[str], models: dict[object, Centers]) -> DataFrame:
+def costs(df: DataFrame, columns: Sequence[str],
+          models: dict[object, KMeansModel | Centers]) -> DataFrame:
     """WSSSE and mean distortion of several models over the same rows, in one pass.
 
     Columns: model, wssse (sum of squared distances to the nearest centre) and distortion
     (mean distance to it).
     """
-    squares = df.select(*[
-        _nearest_square(columns, centers).alias(f"m{i}")
-        for i, centers in enumerate(models.values())
-    ])
-    row = squares.agg(*[
+    rows = assemble(df.select(*columns), columns)
+    squares = []
+    for i, model in enumerate(models.values()):
+        rows = _with_nearest(rows, columns, model, f"c{i}")
+        centers = centers_of(model) if isinstance(model, KMeansModel) else model
+        center = F.lit([[float(x) for x in c] for c in centers])[F.col(f"c{i}")]
+        squares.append(reduce(add, [
+            (F.col(c) - center[d]) * (F.col(c) - center[d]) for d, c in enumerate(columns)
+        ]).alias(f"m{i}"))
+    row = rows.select(*squares).agg(*[
         F.struct(F.sum(f"m{i}").alias("wssse"), F.avg(F.sqrt(f"m{i}")).alias("distortion"))
         .alias(f"m{i}") for i in range(len(models))
     ])
@@ -93,13 +103,13 @@ def mean_center(df: DataFrame, columns: Sequence[str]) -> Centers:
 
 
 def _fit_each(train: DataFrame, columns: Sequence[str], settings: dict[object, dict],
-              parallel: int) -> dict[object, Centers]:
-    """Centres for each setting, several fits running at once over one cached table."""
-    def fit(name: object) -> tuple[object, Centers]:
+              parallel: int) -> dict[object, KMeansModel | Centers]:
+    """A model for each setting, several fits running at once over one cached table."""
+    def fit(name: object) -> tuple[object, KMeansModel | Centers]:
         how = settings[name]
         if how["k"] == 1:
             return name, mean_center(train, columns)
-        return name, centers_of(fit_kmeans(train, **how))
+        return name, fit_kmeans(train, **how)
 
     train.persist()
     try:
@@ -116,11 +126,14 @@ def elbow(df: DataFrame, columns: Sequence[str], ks: Iterable[int] = range(2, 20
     """Cost of K-Means for each k: (k, wssse, distortion).
 
     With ``fraction`` the fits use a sample, ``None`` fits on everything; the costs always
-    cover all rows. ``df`` is read several times and should be a written table.
+    cover all rows. ``df`` is read several times and should be a written table. The sample is
+    gathered in proportionally fewer partitions, as every iteration of every fit is a job
+    over all of them.
     """
     train = assemble(df, columns)
     if fraction is not None:
-        train = bernoulli_sample(train, fraction, sample_seed)
+        partitions = ceil(train.rdd.getNumPartitions() * fraction)
+        train = bernoulli_sample(train, fraction, sample_seed).coalesce(max(1, partitions))
     settings = {k: dict(k=k, seed=seed, max_iter=max_iter, init=init) for k in ks}
     models = _fit_each(train, columns, settings, parallel)
     return costs(df, columns, models).withColumnRenamed("model", "k")

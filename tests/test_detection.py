@@ -242,6 +242,16 @@ def test_silhouette_and_elbow(spark, store):
     assert {(r["max_iter"], r["k"]) for r in grid} == {(300, 1), (300, 2), (400, 1), (400, 2)}
 
 
+def test_costs_of_a_model_and_of_its_centers_agree(store):
+    columns = list(MODEL_FEATURES)
+    model = cluster.fit_kmeans(assemble(store, columns), 4)
+    by_model, by_centers = cluster.costs(
+        store, columns, {"model": model, "centers": cluster.centers_of(model)}).collect()
+    assert by_model["wssse"] == pytest.approx(by_centers["wssse"])
+    assert by_model["wssse"] == pytest.approx(model.summary.trainingCost)
+    assert by_model["distortion"] == pytest.approx(by_centers["distortion"])
+
+
 def test_predictions_join_back_to_their_rows(store):
     columns = list(MODEL_FEATURES)
     keyed = store.withColumn("id", F.monotonically_increasing_id()).cache()
