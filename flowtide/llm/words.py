@@ -22,6 +22,8 @@ _WINDOW_INVERSE = pow(_WINDOW, -1, 1 << 64)
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Everything in ASCII but letters and digits.
+NOT_PLAIN = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -120,7 +122,7 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def _cuts(data: np.ndarray, offsets: np.ndarray) -> list[int]:
+def _cuts(data: np.ndarray, offsets: np.ndarray, space: np.ndarray) -> list[int]:
     """Ends of slices of about SLICE bytes that split no word."""
     ends, at, size = [], 0, len(data)
     while at < size:
@@ -128,12 +130,12 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> list[int]:
         if end < size:
             border = int(offsets[np.searchsorted(offsets, end, "right") - 1])
             if border <= at:  # inside one long text: after its last white space
-                spaces = np.flatnonzero(SPACE[data[at:end]])
+                spaces = np.flatnonzero(space[data[at:end]])
                 if len(spaces):
                     border = at + int(spaces[-1]) + 1
                 else:
                     stop = int(offsets[np.searchsorted(offsets, end, "left")])
-                    spaces = np.flatnonzero(SPACE[data[end:stop]])
+                    spaces = np.flatnonzero(space[data[end:stop]])
                     border = end + int(spaces[0]) if len(spaces) else stop
             end = border
         ends.append(end)
@@ -141,15 +143,18 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> list[int]:
     return ends
 
 
-def split_words(texts: pa.Array, lower: bool = False) -> Words:
-    """Words of every text; ``lower`` hashes A-Z as a-z (positions stay those of the text)."""
+def split_words(texts: pa.Array, lower: bool = False, space: np.ndarray = SPACE) -> Words:
+    """Words of every text; ``lower`` hashes A-Z as a-z (positions stay those of the text).
+
+    ``space`` is the 256-entry mask of the bytes that part words.
+    """
     data, offsets = text_bytes(texts)
     values = _BYTE_LOWER if lower else _BYTE
     starts, ends, hashes = [], [], []
     at = 0
-    for end in _cuts(data, offsets):
+    for end in _cuts(data, offsets, space):
         part = data[at:end]
-        word = ~SPACE[part]
+        word = ~space[part]
         borders = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, end)] - at
         before = np.empty_like(word)
         before[0], before[1:] = False, word[:-1]
