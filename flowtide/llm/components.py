@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .filter("u != v").distinct())
+                 .filter("u != v"))
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_least, "u")
         links = written(

@@ -10,14 +10,15 @@ least ``PERCENT`` per cent of the union, that is when it holds at least 4/9 of b
 * The product is cut into blocks of shingles (ranges of hashes). A block adds one to the overlap count of
   each pair in a column, unless sizes and places show the pair cannot link; counts of all blocks are
   summed, and a pair whose count plus everything behind its prefixes stays below the bound is discarded.
-* A column with more than ``LONG`` classes is not multiplied out. Its classes are tried against one pivot
-  per size band first; linked ones fall into one component, and only pairs between different components that can
-  still link by the bounds are tried after that, in tiles when a column is very long. No link is lost.
-* Every remaining pair is verified on whole sets, and components are found by star contraction.
+* A column with more than ``LONG`` classes is not multiplied out pair by pair. Its classes hang on one pivot
+  per size band, and all classes that hang together this way meet in tiles of ``PART`` by ``PART`` classes, where
+  the product of their whole rows is taken at once (frequent shingles by a dense matrix product, others entry by
+  entry). A tile sends on a spanning forest of its links, never pairs. No link is lost.
+* Pairs of short columns are verified on whole sets, and components are found by star contraction.
 
 A document of fewer words than a shingle is its whole word sequence; without words (null or empty text) it has
 size 0 and links with nothing. Words are lowered in A-Z. Repeated rows are copies and link; rows of one doc_id
-are one node; a null doc_id links but names no component. Empty tables give empty results; only key and text are read.
+are one node; a null doc_id counts as the largest, and a group of nothing else has a null component. Empty tables give empty results; only key and text are read.
 """
 
 from __future__ import annotations
@@ -30,17 +31,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtide.llm.blocks import edges as bucket_edges
-from flowtide.llm.blocks import sizes
+from flowtide.llm.blocks import BLOCK_BYTES, fresh_name, sizes
 from flowtide.llm.components import components
 from flowtide.llm.tables import slices, texts_of, written
 from flowtide.llm.words import U64, mix, split_words
 
 SHINGLE, PERCENT = 5, 80
-COUNTERS, SEGMENTS = 1 << 20, 64
-LONG, TILE, SENT = 24, 4096, 1_000_000
+SEGMENTS, BAND = 64, 1.08
+DENSE, COLUMNS = 256, 2048
+LEAST_COUNTERS, MOST_COUNTERS = 1 << 18, 1 << 24
+LONG, PART, TILE_PAIRS, SENT = 24, 512, 2048, 1_000_000
 ENTRY = np.dtype([("node", "<i8"), ("size", "<i4"), ("place", "<i4")])
 PAIRS = "a long, b long, size_a int, size_b int, overlap int, star boolean"
-LISTED = "shingle long, node long, size int, place int"
+
+
+NO_KEY = (1 << 63) - 1
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Key and text of every row; a null key counts as the largest, so it names no group with others."""
+    return texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_KEY)))
 
 
 def least_overlap(sum_of_sizes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -82,12 +92,13 @@ def _survey(docs: DataFrame, n: int, counters: int) -> tuple[DataFrame, np.ndarr
     segment = counters // SEGMENTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(counters, np.uint32)
+        seen = np.zeros(counters, np.uint16)
         shift = U64(64 - counters.bit_length() + 1)
         nothing = lambda k, kind: pa.nulls(k, kind)
         for batch in slices(batches):
             sets, offsets = shingle_sets(batch.column("text"), n)
-            seen += np.bincount((sets >> shift).astype(np.int64), minlength=counters).astype(np.uint32)
+            new = np.bincount((sets >> shift).astype(np.int64), minlength=counters)
+            seen = np.minimum(seen + new, 255).astype(np.uint16)
             f1, f2 = fingerprints(sets, offsets)
             k = batch.num_rows
             yield pa.RecordBatch.from_pydict({
@@ -98,17 +109,17 @@ def _survey(docs: DataFrame, n: int, counters: int) -> tuple[DataFrame, np.ndarr
                 "doc_id": nothing(SEGMENTS, pa.int64()), "size": nothing(SEGMENTS, pa.int32()),
                 "f1": nothing(SEGMENTS, pa.int64()), "f2": nothing(SEGMENTS, pa.int64()),
                 "segment": pa.array(range(SEGMENTS), pa.int32()),
-                "counts": pa.array([seen[i * segment:(i + 1) * segment].tobytes() for i in range(SEGMENTS)], pa.binary())})
+                "counts": pa.array([seen[i * segment:(i + 1) * segment].astype("u1").tobytes() for i in range(SEGMENTS)], pa.binary())})
 
-    survey = written(texts_of(docs).mapInArrow(
+    survey = written(_keyed(docs).mapInArrow(
         run, "doc_id long, size int, f1 long, f2 long, segment int, counts binary"), "shingle-survey")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for s, c in zip(batch.column("segment").to_pylist(), batch.column("counts")):
-                part = np.frombuffer(c.as_buffer(), np.uint32)
-                sums[s] = sums[s] + part if s in sums else part.copy()
+                part = np.frombuffer(c.as_buffer(), "u1" if c.as_buffer().size == segment else "<u4").astype("<u4")
+                sums[s] = sums[s] + part if s in sums else part
         yield pa.RecordBatch.from_pydict({
             "segment": pa.array(sums, pa.int32()), "counts": pa.array([c.tobytes() for c in sums.values()], pa.binary())})
 
@@ -119,7 +130,8 @@ def _survey(docs: DataFrame, n: int, counters: int) -> tuple[DataFrame, np.ndarr
     total = np.zeros(counters, np.float64)  # `counters` numbers, whatever the corpus
     for r in rows:
         total[r["segment"] * segment:(r["segment"] + 1) * segment] = np.frombuffer(r["counts"], np.uint32)
-    level = np.floor(4 * np.log2((total + 1) / (2 * total.mean() + 32))).clip(0, 255).astype(np.uint8)
+    usual = total.mean() + 4 * np.sqrt(total.mean()) + 4  # what rare shingles that share a counter come to
+    level = np.ceil(4 * np.log2(1 + np.maximum(0, total - usual))).clip(0, 255).astype(np.uint8)
     return survey.filter("segment is null").select("doc_id", "size", "f1", "f2"), level
 
 
@@ -175,7 +187,9 @@ def _column_pairs(key: np.ndarray, entry: np.ndarray, percent: int) -> tuple[np.
 
 
 def _multiply(packets: DataFrame, percent: int, long: int) -> DataFrame:
-    """Overlap counts of pairs in short columns, pivots of long ones, and the entries of long ones."""
+    """Overlap counts of pairs in short columns, and the pivots that classes of long ones hang on."""
+    bands = int(np.ceil(np.log(100 / percent) / np.log(BAND))) + 1  # sizes further apart cannot link
+
     def run(table: pa.Table) -> pa.Table:
         key = np.concatenate([np.frombuffer(x.as_buffer(), U64) for x in table["keys"]])
         entry = np.concatenate([np.frombuffer(x.as_buffer(), ENTRY) for x in table["entries"]])
@@ -201,7 +215,7 @@ def _multiply(packets: DataFrame, percent: int, long: int) -> DataFrame:
         key_h, entry_h = key[hot], entry[hot]
         star = np.zeros((0, 4), np.int64)
         if len(key_h):
-            band = np.floor(np.log(entry_h["size"]) / np.log(1.08)).astype(np.int64)
+            band = np.floor(np.log(entry_h["size"]) / np.log(BAND)).astype(np.int64)
             rank = mix(entry_h["node"].view(U64))
             order = np.lexsort([rank, band, key_h])
             lead = np.ones(len(order), bool)
@@ -209,7 +223,7 @@ def _multiply(packets: DataFrame, percent: int, long: int) -> DataFrame:
             lead[1:] = (k[1:] != k[:-1]) | (g[1:] != g[:-1])
             pivot = order[lead][np.cumsum(lead) - 1]
             heads = order[lead]
-            near = np.flatnonzero(key_h[heads][1:] == key_h[heads][:-1])
+            near = np.flatnonzero((key_h[heads][1:] == key_h[heads][:-1]) & (np.diff(band[heads]) <= bands))
             left, right = np.concatenate([order, heads[near]]), np.concatenate([pivot, heads[near + 1]])
             x, y = entry_h[left], entry_h[right]
             ok = x["node"] != y["node"]
@@ -217,139 +231,201 @@ def _multiply(packets: DataFrame, percent: int, long: int) -> DataFrame:
             flip = star[:, 0] > star[:, 1]
             star[flip] = star[flip][:, [1, 0, 3, 2]]
             star = np.unique(star, axis=0)
-        n, m, h = len(unique), len(star), len(key_h)
+        n, m = len(unique), len(star)
         ints = lambda *parts: pa.array(np.concatenate(parts).astype(np.int32))
         longs = lambda *parts: pa.array(np.concatenate(parts).astype(np.int64))
-        none = np.zeros(h, np.int64)
         return pa.table({
-            "a": longs(a, star[:, 0], key_h.view(np.int64)), "b": longs(b, star[:, 1], entry_h["node"]),
-            "size_a": ints(size_a, star[:, 2], entry_h["size"]), "size_b": ints(size_b, star[:, 3], entry_h["place"]),
-            "overlap": ints(overlap, np.zeros(m), none), "star": pa.array(
-                [False] * n + [True] * m + [None] * h, pa.bool_())})
+            "a": longs(a, star[:, 0]), "b": longs(b, star[:, 1]), "size_a": ints(size_a, star[:, 2]),
+            "size_b": ints(size_b, star[:, 3]), "overlap": ints(overlap, np.zeros(m)),
+            "star": pa.array([False] * n + [True] * m, pa.bool_())})
 
     return packets.groupBy("bucket").applyInArrow(run, PAIRS)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, shingles) of the documents whose doc_id is in ``wanted``.
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that do link, by their whole sets.
 
-    The ids are sent along while they are few (``SENT``), else the texts are shuffled to them.
+    Candidates with the same smallest neighbour meet in one group, so a text travels about once; a large such
+    group is cut into tiles of about ``TILE_PAIRS`` pairs. What travels is the text, which is smaller than its set.
     """
-    texts = texts_of(docs)
+    ends = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    heads = ends.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("head"))
+    headed = written(pairs.join(heads, "a"), "headed")
+    shape = headed.groupBy("head").agg(F.ceil(F.sqrt(F.count("*") / TILE_PAIRS)).cast("int").alias("parts"))
+    large = shape.filter("parts > 1")
+    lots = max(16, headed.count() // TILE_PAIRS)
+    part = lambda c: F.pmod(F.xxhash64(c), F.col("parts"))
+    tiled = written(headed.join(large, "head", "left").select(
+        "a", "b", F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("head"), F.lit(lots)))
+        .otherwise(lots + F.pmod(F.xxhash64("head", part("a"), part("b")), F.lit(1 << 40))).alias("tile")), "tiles")
+    asked = tiled.select("tile", F.col("a").alias("node")).union(tiled.select("tile", "b")).distinct()
+    wanted = written(asked.join(classes.select("node", F.col("component").alias("doc_id")), "node")
+                     .select("doc_id", "tile").distinct(), "wanted")
+    # Ids and tiles are sent along while they are few, else the texts are shuffled to them.
     few = wanted.count() <= SENT
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets, offsets = shingle_sets(batch.column("text"), n)
-            f1, _ = fingerprints(sets, offsets)
-            yield pa.RecordBatch.from_arrays([pa.array(f1), pa.ListArray.from_arrays(
-                pa.array(offsets.astype(np.int32)), pa.array(sets.view(np.int64)))], ["node", "shingles"])
-
-    chosen = texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-    return chosen.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
-
-
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that do link, by their whole sets."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b"))).distinct()
-    wanted = written(classes.join(nodes, "node", "left_semi").select(F.col("component").alias("doc_id")).distinct(), "wanted")
-    sets = _sets(docs, wanted, n)
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    return (pairs.join(left, "a").join(right, "b")
-            .filter((100 + percent) * shared >= percent * (F.size("set_a") + F.size("set_b"))).select("a", "b"))
-
-
-def _between(entries: DataFrame, labels: DataFrame, percent: int, tile: int) -> DataFrame:
-    """Pairs of long columns whose classes are still in different components."""
-    named = (entries.join(labels, "node", "left")
-             .select("shingle", "node", "size", "place", F.coalesce("component", F.col("node")).alias("component")))
-    mixed = (named.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-             .filter("low != high").select("shingle", F.ceil(F.col("n") / tile).cast("int").alias("parts")))
-    cut = named.join(mixed, "shingle").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    texts = _keyed(docs).join(F.broadcast(wanted) if few else wanted, "doc_id").select("tile", "text")
+
+    def run(key: tuple, texts: pa.Table, pairs: pa.Table) -> pa.Table:
+        sets, offsets = shingle_sets(texts["text"], n)
+        f1, _ = fingerprints(sets, offsets)
+        order = np.argsort(f1, kind="stable")
+        ends = pairs.select(["a", "b"])
+        a, b = (ends[c].to_numpy() for c in ("a", "b"))
+        at_a, at_b = (order[np.searchsorted(f1, x, sorter=order)] for x in (a, b))  # every class has its text here
+        good = np.zeros(len(a), bool)
+        for k, (i, j) in enumerate(zip(at_a.tolist(), at_b.tolist())):
+            x, y = sets[offsets[i]:offsets[i + 1]], sets[offsets[j]:offsets[j + 1]]
+            if len(x) > len(y):
+                x, y = y, x
+            shared = int((y[np.searchsorted(y, x).clip(max=len(y) - 1)] == x).sum())
+            good[k] = (100 + percent) * shared >= percent * (len(x) + len(y))
+        return ends.filter(pa.array(good))
+
+    return texts.groupBy("tile").cogroup(tiled.groupBy("tile")).applyInArrow(run, "a long, b long")
+
+
+def overlaps(flat_a: np.ndarray, first_a: np.ndarray, flat_b: np.ndarray, first_b: np.ndarray) -> np.ndarray:
+    """Sizes of all intersections of sets a with sets b (each end to end, with offsets)."""
+    rows_a, rows_b = (np.repeat(np.arange(len(f) - 1), np.diff(f)) for f in (first_a, first_b))
+    shared = np.intersect1d(flat_a, flat_b)
+    held = lambda flat: (shared[(at := np.searchsorted(shared, flat).clip(max=max(0, len(shared) - 1)))] == flat, at)
+    out = np.zeros((len(first_a) - 1, len(first_b) - 1), np.float32)
+    if not len(shared):
+        return out
+    (in_a, at_a), (in_b, at_b) = held(flat_a), held(flat_b)
+    rows_a, at_a, rows_b, at_b = rows_a[in_a], at_a[in_a], rows_b[in_b], at_b[in_b]
+    n_b = np.bincount(at_b, minlength=len(shared))
+    work = np.bincount(at_a, minlength=len(shared)) * n_b
+    dense = work >= DENSE
+    column = np.cumsum(dense) - 1
+    for low in range(0, int(dense.sum()), COLUMNS):
+        sides = []
+        for rows, at, height in ((rows_a, at_a, out.shape[0]), (rows_b, at_b, out.shape[1])):
+            own = dense[at] & (column[at] >= low) & (column[at] < low + COLUMNS)
+            side = np.zeros((height, COLUMNS), np.float32)
+            side[rows[own], column[at[own]] - low] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    order = np.argsort(at_b, kind="stable")
+    rows_b, start = rows_b[order], np.cumsum(n_b) - n_b
+    thin = np.flatnonzero(~dense[at_a])
+    for low in range(0, len(thin), COLUMNS * 16):
+        own = thin[low:low + COLUMNS * 16]
+        times = n_b[at_a[own]]
+        place = np.repeat(start[at_a[own]] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        out += np.bincount(np.repeat(rows_a[own], times) * out.shape[1] + rows_b[place],
+                           minlength=out.size).reshape(out.shape).astype(np.float32)
+    return out
+
+
+def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For a matrix of links between rows and columns, the first row each row, and each column, hangs on."""
+    rows, columns = np.arange(len(linked)), np.full(linked.shape[1], len(linked))
+    while True:
+        new_columns = np.minimum(columns, np.where(linked, rows[:, None], len(rows)).min(0, initial=len(rows)))
+        new_rows = np.minimum(rows, np.where(linked, new_columns[None, :], len(rows)).min(1, initial=len(rows)))
+        if (new_rows == rows).all() and (new_columns == columns).all():
+            return rows, columns
+        rows, columns = new_rows, new_columns
+
+
+def _hanging(groups: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, part: int) -> DataFrame:
+    """Spanning links (a, b) among classes that hang together (node, component), tile by tile."""
+    shape = groups.groupBy("component").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    tiles = (cut.withColumn("other", other)
-             .withColumn("t1", F.least("part", "other")).withColumn("t2", F.greatest("part", "other")))
+    tiles = (groups.join(shape, "component").withColumn("own", own).withColumn("other", other)
+             .select("node", F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other")).alias("tile"),
+                     (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high")))
+    wanted = written(tiles.join(classes.select("node", F.col("component").alias("doc_id")), "node"), "wanted")
+    few = wanted.count() <= SENT
+    texts = _keyed(docs).join(F.broadcast(wanted) if few else wanted, "doc_id").select("tile", "node", "low", "high", "text")
 
     def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table["size"].to_numpy(), kind="stable")
-        node, size, place, label = (table[c].to_numpy()[order] for c in ("node", "size", "place", "component"))
-        found = []
-        for i in range(len(node)):
-            end = np.searchsorted(size, 100 * int(size[i]) // percent, "right")
-            j = np.arange(i + 1, end)
-            rest = np.minimum(size[i] - place[i], size[j] - place[j])
-            ok = (label[j] != label[i]) & (rest >= least_overlap(size[i].astype(np.int64) + size[j], percent))
-            if ok.any():
-                found.append(np.stack([np.minimum(node[i], node[j[ok]]), np.maximum(node[i], node[j[ok]])], 1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return tiles.groupBy("shingle", "t1", "t2").applyInArrow(run, "a long, b long").distinct()
-
-
-def classes_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, counters: int = COUNTERS,
-               long: int = LONG, tile: int = TILE) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links (linked other classes) of every row."""
+        flat, first = shingle_sets(table["text"], n)
+        f1, _ = fingerprints(flat, first)
+        node = table["node"].to_numpy()
+        good = np.zeros(len(node), bool)
+        good[np.unique(node, return_index=True)[1]] = True
+        if not (f1 == node)[good].all():  # rows of one doc_id with other texts
+            match = np.flatnonzero(f1 == node)
+            good[:] = False
+            good[match[np.unique(node[match], return_index=True)[1]]] = True
+        size = np.diff(first)
+
+        def side(name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            chosen = np.flatnonzero(good & table[name].to_numpy(zero_copy_only=False))
+            cuts = np.concatenate([[0], np.cumsum(size[chosen])])
+            return chosen, np.concatenate([flat[first[i]:first[i + 1]] for i in chosen] or [NO_SHINGLE]), cuts
+
+        (rows, flat_a, first_a), (columns, flat_b, first_b) = side("low"), side("high")
+        shared = overlaps(flat_a, first_a, flat_b, first_b)
+        linked = (100 + percent) * shared >= percent * (size[rows][:, None] + size[columns][None, :])
+        top, under = forest(linked)
+        a = np.concatenate([node[rows], node[columns[under < len(rows)]]])
+        b = np.concatenate([node[rows[top]], node[rows[under[under < len(rows)]]]])
+        return pa.table({"a": a[a != b], "b": b[a != b]})
+
+    return texts.groupBy("tile").applyInArrow(run, "a long, b long")
+
+
+def classes_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, counters: int | None = None,
+               long: int = LONG, part: int = PART) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row.
+
+    ``counters`` (default: one per 200 bytes of text, within fixed bounds) only serve the order of shingles.
+    """
+    blocks, buckets = sizes(docs)
+    if counters is None:
+        counters = min(MOST_COUNTERS, max(LEAST_COUNTERS, 1 << (blocks * BLOCK_BYTES // 200).bit_length()))
     survey, level = _survey(docs, n, counters)
-    _, buckets = sizes(docs)
-    some = survey.filter("size > 0")
-    classes = written(some.groupBy(F.col("f1").alias("node"), "f2").agg(
-        F.min("doc_id").alias("component"), F.first("size").alias("size")), "classes")
+    classes = written(survey.filter("size > 0").groupBy(F.col("f1").alias("node"), "f2").agg(
+        F.min("doc_id").alias("component")), "classes")
     product = written(_multiply(_prefixes(docs, level, n, percent, buckets), percent, long), "overlaps")
+
+    stars = product.filter("star").select("a", "b").distinct()
+    groups = written(components(stars), "hanging")
+    links = _hanging(groups, classes, docs, n, percent, part)
+
     prefix = lambda c: F.col(c) - F.ceil(percent * F.col(c) / 100) + 1
-    counted = (product.filter("star = false").groupBy("a", "b")
-               .agg(F.sum("overlap").alias("overlap"), F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b")))
-    entries = product.filter("star is null").select(
-        F.col("a").alias("shingle"), F.col("b").alias("node"), F.col("size_a").alias("size"), F.col("size_b").alias("place"))
-    stars = product.filter("star").select("a", "b", "size_a", "size_b").distinct()
-    # Overlaps in long columns are not counted; there can be as many as both rows have entries there.
-    hidden = entries.groupBy("node").agg(F.count("*").alias("hidden"))
     behind = lambda s: F.col(s) - prefix(s)
     bound = F.ceil(percent * (F.col("size_a") + F.col("size_b")) / (100 + percent))
-    fit_sizes = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
-    kept = (counted.join(hidden.select(F.col("node").alias("a"), F.col("hidden").alias("h_a")), "a", "left")
-            .join(hidden.select(F.col("node").alias("b"), F.col("hidden").alias("h_b")), "b", "left")
-            .filter(F.col("overlap") + F.least(F.coalesce("h_a", F.lit(0)), F.coalesce("h_b", F.lit(0)))
-                    + F.greatest(behind("size_a"), behind("size_b")) >= bound))
-    first = written(kept.select("a", "b").unionByName(stars.filter(fit_sizes).select("a", "b")).distinct(), "candidates")
-    links = written(_verified(first, classes, docs, n, percent), "verified")
-    if entries.limit(1).count():
-        labels = written(components(links), "labels")
-        rest = written(_between(entries, labels, percent, tile).join(first, ["a", "b"], "left_anti"), "candidates")
-        links = links.unionByName(_verified(rest, classes, docs, n, percent)) if rest.limit(1).count() else links
-    links = written(links, "links")
-
-    name = classes.select("node", "component")
-    roots = (links.join(name.select(F.col("node").alias("a"), F.col("component").alias("root_a")), "a")
-             .join(name.select(F.col("node").alias("b"), F.col("component").alias("root_b")), "b")
-             .select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-    joined = components(roots)
-    degree = (roots.select("a").unionAll(roots.select("b")).groupBy(F.col("a").alias("component")).agg(F.count("*").alias("n_links")))
-    named = (classes.join(degree, "component", "left")
-             .join(joined.select(F.col("node").alias("component"), F.col("component").alias("smallest")), "component", "left")
-             .select("node", "f2", F.coalesce("smallest", "component").alias("component_id"),
-                     F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    # A pair that shares a long column hangs together; for any other pair the count is complete.
+    side = lambda c: groups.select(F.col("node").alias(c), F.col("component").alias(f"group_{c}"))
+    pairs = (product.filter("not star").groupBy("a", "b")
+             .agg(F.sum("overlap").alias("overlap"), F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))
+             .filter(F.col("overlap") + F.greatest(behind("size_a"), behind("size_b")) >= bound)
+             .join(side("a"), "a", "left").join(side("b"), "b", "left")
+             .filter(~F.coalesce(F.col("group_a") == F.col("group_b"), F.lit(False))).select("a", "b"))
+    links = links.unionByName(_verified(written(pairs, "candidates"), classes, docs, n, percent))
+    labels = written(components(links), "labels")
+
+    named = classes.join(labels.withColumnRenamed("component", "label"), "node", "left")
+    smallest = named.filter("label is not null").groupBy("label").agg(F.min("component").alias("smallest"))
+    named = (named.join(smallest, "label", "left")
+             .select("node", "f2", F.coalesce("smallest", "component").alias("component_id")))
     out = survey.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.col("f1").alias("node"), "f2")
     # Copies of one text meet in one class row, which is small: Spark can split the many rows.
     return (out.join(named, ["node", "f2"], "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+            .select(F.nullif("doc_id", F.lit(NO_KEY)).alias("doc_id"), "n_shingles",
+                    F.nullif(F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")),
+                             F.lit(NO_KEY)).alias("component_id")))
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """One document of each group: the one with the smallest doc_id. All columns stay.
 
-    Rows of one doc_id count as one document, of which one row stays; a null doc_id stays only
-    if nothing else is in its group.
+    Rows of one doc_id count as one document, of which one row stays. Rows without doc_id all stay,
+    as nothing tells them apart.
     """
-    found = classes_of(docs, **options).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    named = docs.join(stay.withColumnRenamed("doc_id", "kept_doc_id"), docs["doc_id"].eqNullSafe(F.col("kept_doc_id")), "left_semi")
+    found = (classes_of(docs, **options).filter("doc_id is not null")
+             .groupBy("doc_id").agg(F.min("component_id").alias("component_id")))
+    kept, number = fresh_name(docs, "kept_doc_id"), fresh_name(docs, "row_of_document")
+    stay = found.filter("doc_id = component_id").select(F.col("doc_id").alias(kept))
+    named = docs.join(stay, docs["doc_id"] == F.col(kept), "left_semi")
     row = Window.partitionBy("doc_id").orderBy("text")
-    return named.withColumn("row_of_document", F.row_number().over(row)).filter("row_of_document = 1").drop("row_of_document")
+    one = named.withColumn(number, F.row_number().over(row)).filter(F.col(number) == 1).drop(number)
+    return one.unionByName(docs.filter("doc_id is null"))
 
 
 JACCARD_SQL = r"""
@@ -368,15 +444,9 @@ shared AS (
 linked AS (
   SELECT a, b FROM shared JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
 both_ways AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
-equal_sets AS (SELECT doc_id, md5(string_agg(s, '' ORDER BY s)) AS c FROM shingles GROUP BY doc_id),
-degree AS (
-  SELECT a, count(DISTINCT y.c) AS n FROM both_ways JOIN equal_sets x ON x.doc_id = a JOIN equal_sets y ON y.doc_id = b
-  WHERE x.c != y.c GROUP BY a),
 reach AS (
   SELECT doc_id AS node, doc_id AS root FROM documents
   UNION SELECT e.b AS node, r.root FROM reach r JOIN both_ways e ON e.a = r.node WHERE r.root < e.b)
-SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, min(r.root)::BIGINT AS component_id,
-       coalesce(min(l.n), 0)::BIGINT AS n_links
-FROM documents d LEFT JOIN sized s USING (doc_id) JOIN reach r ON r.node = d.doc_id LEFT JOIN degree l ON l.a = d.doc_id
-GROUP BY d.doc_id, s.n
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, min(r.root)::BIGINT AS component_id
+FROM documents d LEFT JOIN sized s USING (doc_id) JOIN reach r ON r.node = d.doc_id GROUP BY d.doc_id, s.n
 """

@@ -148,6 +148,22 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, block_bytes: int | None =
     return whole.groupBy(mark).cogroup(both.groupBy(mark)).applyInArrow(cut, schema)
 
 
+def cut(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents with repeated passages removed; the columns stay as they are.
+
+    A text that loses nothing keeps its white space, one that loses words has one space between the words
+    left, one that loses all its words goes. A column ``n_chars`` is brought up to date.
+    """
+    own = {c: f"own_{i}_{c}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    found = (deduplicate(docs.withColumnsRenamed(own), window)
+             .filter((F.col("n_words") == 0) | (F.col("n_removed") < F.col("n_words"))))
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text")).alias("text")
+    out = found.select(*(text if c == "text" else F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
+
+
 def digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, words, removed words and the sha256 of the kept text."""
     rows = deduplicate(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), window)
