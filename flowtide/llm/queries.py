@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from flowtide.llm import (chat, decontaminate, html_main, language, ngram_join, packing, pitman_yor, quality,
                           substring, token_files)
 from flowtide.llm.quality_sql import QUALITY_SQL
@@ -57,7 +58,7 @@ def op10_difference_cover(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_html_main_text, op3_ngram_jaccard, op4_language_id, op5_token_files, op6_quality_rules,
-    op7_pitman_yor, op8_bin_slack, op9_preference_chat, op10_difference_cover)}
+    op7_pitman_yor, op8_bin_slack, op9_preference_chat, op10_difference_cover)} | {"pipeline": corpus_pipeline.run}
 
 LLM_ORACLES = {
     "op3_ngram_jaccard": ngram_join.JACCARD_SQL, "op6_quality_rules": QUALITY_SQL,

@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtide.session import materialize
+from flowtide.session import discard, materialize
 
 TEXT_BYTES = 4 << 20
 
@@ -42,3 +42,6 @@ def remainder(key: str = "doc_id", base: int = 5) -> Column:
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """Write once to the shared folder and read back; later passes do not repeat the work."""
     return materialize(df, purpose)
+
+
+__all__ = ["discard", "remainder", "slices", "texts_of", "written"]

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowtide.llm.tables import slices, texts_of, written
+from flowtide.llm.tables import TEXT_BYTES, slices, texts_of, written
 from flowtide.llm.tokens import encoder
 from flowtide.session import new_folder
 
@@ -143,7 +143,7 @@ def write(docs: DataFrame, folder: str, end_id: int = 2, vocabulary: str | None
             keys, lengths, ids, held, number = [], [], [], 0, number + 1
             return row
 
-        for batch in slices(batches):
+        for batch in slices(batches, most=min(TEXT_BYTES, 2 * file_ids)):
             flat, offsets = codes.encode(batch.column("text"))
             n = np.diff(offsets)
             out = np.full(len(flat) + len(n), end_id, np.int32)
