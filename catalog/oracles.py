@@ -118,6 +118,15 @@ CTES["limits"] = union("""
           FROM (SELECT avg("$c") AS m, coalesce(stddev_samp("$c"), 0) AS s,
                        CAST(max("$c") AS DOUBLE) AS x FROM $t))""")
 CTES["day_limits"] = CTES["limits"].replace("$t", "days")
+CTES["drawn"] = """
+    SELECT l_orderkey, l_linenumber,
+           CAST('0x' || substr(md5('42|' || l_orderkey || '|' || l_linenumber), 1, 8) AS BIGINT) / 4294967296.0 AS draw
+    FROM lineitem"""
+CTES["volume_moments"] = f"""
+    SELECT {each('avg("$c") AS "m_$c"', MODEL)}, {each('stddev_samp("$c") AS "s_$c"', MODEL)} FROM volume"""
+CTES["one_center"] = f"""
+    SELECT count(*) AS rows, round(sum(d), 4) AS wssse, round(avg(sqrt(d)), 4) AS distortion FROM (
+      SELECT {each('pow(("$c" - "m_$c") / "s_$c", 2)', MODEL, " + ")} AS d FROM volume, volume_moments)"""
 CTES["volume_limits"] = CTES.pop("limits").replace("$t", "volume")
 CTES["exceeding"] = ('SELECT win, "srcAddr", ' + each("""
     CASE WHEN "$c" > (SELECT upper FROM day_limits WHERE feature = '$c') THEN "$c" END AS "$c\"""", MODEL)
@@ -273,6 +282,17 @@ def array_columns(prefix: str, name: str, digits: int) -> str:
     return each(f'round("{prefix}_$c", {digits}) AS "{name}_$c"', MODEL)
 
 
+CTES["found_rules"] = rule("SELECT * FROM flagged")
+
+
+def store_rows() -> str:
+    """The rows of the filled feature store."""
+    return " UNION ALL ".join(
+        f"""SELECT '{writer}' AS writer, CAST({batch} AS BIGINT) AS batch, strftime(win, '%Y-%m-%d') AS day, {STORED}
+            FROM {source}""" for writer, batch, source in (
+            ("a", 0, "minutes"), ("b", 0, "days"), ("a", 1, "days"), ("c", 0, "days WHERE win < TIMESTAMP '2024-01-10'")))
+
+
 BODIES = {
     "flow_projection": f"SELECT {FLOW} FROM flows",
     "flow_decode": f"SELECT {FLOW} FROM valid",
@@ -406,9 +426,36 @@ BODIES = {
     "drop_rules": rule("SELECT * FROM flagged"),
     "anomaly_rules": rule("SELECT * FROM scored_uncentred WHERE anomaly"),
     "csv_roundtrip": "SELECT " + each('CAST("$c" AS DOUBLE) AS "$c"', MODEL) + " FROM volume",
-    "feature_store_append": " UNION ALL ".join(
-        f"""SELECT CAST({batch} AS BIGINT) AS batch, strftime(win, '%Y-%m-%d') AS day, {STORED}
-            FROM {source}""" for batch, source in ((0, "minutes"), (1, "days"))),
+    "sample_split": " UNION ALL ".join(f"""
+        SELECT '{part}' AS part, count(*) AS rows, CAST(sum(l_orderkey * 10 + l_linenumber) AS BIGINT) AS keys
+        FROM drawn WHERE {condition}""" for part, condition in (
+            ("sample", "draw < 0.1"), ("train", "draw < 0.8"), ("test", "draw >= 0.8"))),
+    "row_ids": "SELECT count(*) AS rows, count(*) AS ids FROM flows",
+    "kmeans_fit": " UNION ALL ".join(f"""
+        SELECT '{training}' AS training, 3 AS clusters, count(*) AS rows, 0 AS empty, 0 AS centers_off,
+               0 AS thresholds_off, {each('round(avg("$c"), 3) AS "mean_$c"', MODEL)},
+               {each('round(stddev_samp("$c"), 3) AS "stddev_$c"', MODEL)}
+        FROM volume""" for training in ("scaled", "raw", "by_spread")),
+    "silhouette": "SELECT 3 AS k, count(*) AS rows, true AS agrees FROM volume",
+    "elbow_wssse": f"""
+        SELECT CAST(k AS INTEGER) AS k, rows, wssse AS one_center, true AS below FROM one_center, range(2, 20) r(k)""",
+    "elbow_distortion": f"""
+        SELECT CAST(k AS INTEGER) AS k, rows, distortion AS one_center, true AS below,
+               CASE k WHEN 1 THEN distortion END AS first FROM one_center, range(1, 10) r(k)""",
+    "elbow_iterations": f"""
+        SELECT CAST(n AS INTEGER) AS max_iter, CAST(k AS INTEGER) AS k, rows, wssse AS one_center, true AS below,
+               CASE k WHEN 1 THEN wssse END AS first
+        FROM one_center, range(1, 50) r(k), range(300, 1000, 100) s(n)""",
+    "feature_store_append": f"""
+        SELECT * FROM ({store_rows()}) WHERE day >= '2024-01-05' AND day < '2024-01-20'""",
+    "feature_store_compacted": store_rows(),
+    "rule_store_append": """
+        SELECT w.writer, CAST(0 AS BIGINT) AS batch, f.* FROM found_rules f, (VALUES ('a'), ('b')) w(writer)
+        WHERE f.win < TIMESTAMP '2024-01-14'
+        UNION ALL
+        SELECT 'new' AS writer, CAST(-1 AS BIGINT) AS batch, f.* FROM found_rules f
+        WHERE path IS NULL OR path NOT IN (
+          SELECT path FROM found_rules WHERE win < TIMESTAMP '2024-01-14' AND path IS NOT NULL)""",
     "stream_features": closed("stream_minutes", "60 seconds", f'win, "srcAddr", {ALL}'),
     "stream_anomalies": closed("scored_stream", "1 day", """
         win, "srcAddr", cluster, round(distance, 6) AS distance, anomaly"""),

@@ -11,8 +11,8 @@ from flowtide.operators import cluster, features, flows, prep, profile, rules, s
 from flowtide.plans import block_anomalies, block_exceedances, fit_detector
 from flowtide.schemas import FEATURES, MODEL_FEATURES
 from flowtide.session import materialize, new_folder
-from flowtide.sinks import append_features, export_csv
-from flowtide.sources import decode, read_feature_csv, read_flow_json, read_lines, read_store
+from flowtide.sinks import append_features, append_rules, compact_day, export_csv
+from flowtide.sources import decode, read_feature_csv, read_flow_json, read_lines, read_rules, read_store
 from flowtide.streaming import (
     each_arrival, run_available, score_stream, store_features, valid_stream, windowed_features,
     write_table,
@@ -269,13 +269,21 @@ def labelled_features(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def sample_split(spark, folder):
-    """Sizes of a 10 % sample and of an 80/20 split."""
-    rows = materialize(prep.add_row_id(views.event_flows(spark, folder)), "split")
-    train, test = prep.train_test_split(rows)
-    parts = {"sample": prep.bernoulli_sample(rows), "train": train, "test": test}
-    counted = [part.select(F.lit(name).alias("part"), "id") for name, part in parts.items()]
-    both = counted[0].unionByName(counted[1]).unionByName(counted[2])
-    return both.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+    """Which line items a 10 % sample and an 80/20 split hold, as counts and sums of their keys."""
+    keys = ("l_orderkey", "l_linenumber")
+    rows = views.table(spark, folder, "lineitem").select(*[F.col(k).cast("bigint").alias(k) for k in keys])
+    train, test = prep.train_test_split(rows, keys=keys)
+    parts = {"sample": prep.bernoulli_sample(rows, keys=keys), "train": train, "test": test}
+    named = [part.select(F.lit(name).alias("part"), *keys) for name, part in parts.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2]).groupBy("part").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("keys"))
+
+
+@query
+def row_ids(spark, folder):
+    """Every row has an id of its own."""
+    rows = prep.add_row_id(views.event_flows(spark, folder))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"))
 
 
 # --- thresholds and detectors ----------------------------------------------------------
@@ -461,10 +469,35 @@ def anomaly_rules(spark, folder):
 
 @query
 def kmeans_fit(spark, folder):
-    """Scale, fit and derive thresholds: the model table of monthly volume."""
-    model = fit_detector(stored_volume(spark, folder))
-    return model.select("cluster", *spread(model, "center"), *spread(model, "feature_max"),
-                        *spread(model, "mean"), *spread(model, "stddev"), "threshold")
+    """Scale, fit and derive thresholds on monthly volume: raw moments, and what a fit must satisfy."""
+    return fit_facts(spark, folder, "scaled").unionByName(fit_facts(spark, folder, "raw", scale=False)).unionByName(
+        fit_facts(spark, folder, "by_spread", by_spread=True))
+
+
+def fit_facts(spark: SparkSession, folder: str, name: str, **how) -> DataFrame:
+    """Rows, moments, and counts of violations of one training: centres away from the mean of their rows by over
+    a tenth of a deviation, thresholds or maxima other than those of the assignment, clusters without rows."""
+    source = stored_volume(spark, folder)
+    model = fit_detector(source, **how)
+    rows = prep.as_double(source.select(*MODEL_FEATURES), MODEL_FEATURES)
+    moments = rows.agg(*thresholds.moments_of(MODEL_FEATURES))
+    if how.get("scale", True):
+        rows = prep.standardize(rows, MODEL_FEATURES, center=False)
+    fitted = sorted(model.collect(), key=lambda r: r["cluster"])
+    assigned = cluster.assign(rows, MODEL_FEATURES, [r["center"] for r in fitted])
+    by = thresholds.cluster_thresholds_by_spread if how.get("by_spread") else thresholds.cluster_thresholds
+    limits = {r["cluster"]: r for r in by(assigned).collect()}
+    stats = {r["cluster"]: r for r in thresholds.cluster_stats(assigned).collect()}
+    scale = rows.agg(*thresholds.moments_of(MODEL_FEATURES)).first()["stddev"]
+    near = lambda a, b: abs(a - b) <= 1e-6 * max(1.0, abs(a), abs(b))
+    off = sum(abs(c - m) > 0.1 * s for r in fitted if r["cluster"] in stats
+              for c, m, s in zip(r["center"], stats[r["cluster"]]["mean"], scale))
+    wrong = sum(not near(r["threshold"], limits[r["cluster"]]["threshold"]) for r in fitted if r["cluster"] in limits)
+    facts = spark.createDataFrame(
+        [(name, len(fitted), sum(r["rows"] for r in stats.values()), len(fitted) - len(stats), off, wrong)],
+        "training string, clusters int, rows long, empty int, centers_off int, thresholds_off int")
+    flat = moments.select(*spread(moments, "mean"), *spread(moments, "stddev"))
+    return facts.crossJoin(rounded(flat, 3, *flat.columns))  # one row each
 
 
 def scaled_volume(spark: SparkSession, folder: str) -> DataFrame:
@@ -477,28 +510,41 @@ def scaled_volume(spark: SparkSession, folder: str) -> DataFrame:
 def silhouette(spark, folder):
     vectors = prep.assemble(scaled_volume(spark, folder), MODEL_FEATURES)
     model = cluster.fit_kmeans(vectors, 3, 1)
-    value = cluster.silhouette(model.transform(vectors))
-    return spark.createDataFrame([(3, float(value))], "k int, silhouette double")
+    assigned = model.transform(vectors)
+    value = cluster.silhouette(assigned)
+    return cluster.silhouette_by_sums(assigned, MODEL_FEATURES).select(
+        F.lit(3).alias("k"), "rows", (F.abs(F.col("silhouette") - F.lit(value)) < 1e-6).alias("agrees"))
 
 
 @query
 def elbow_wssse(spark, folder):
-    """k = 2..19, fitted on a 10 % sample, cost over all rows."""
-    return cluster.elbow(scaled_volume(spark, folder), MODEL_FEATURES).select("k", "wssse")
+    """k = 2..19, fitted on a 10 % sample, cost over all rows, none above that of one centre."""
+    rows = scaled_volume(spark, folder)
+    return below_one_center(rows, cluster.elbow(rows, MODEL_FEATURES), "wssse").select("k", "rows", "one_center", "below")
+
+
+def below_one_center(rows: DataFrame, curve: DataFrame, measure: str) -> DataFrame:
+    """Rows covered, the cost of one centre, and whether each cost is at most that."""
+    one = cluster.costs(rows, MODEL_FEATURES, {1: cluster.mean_center(rows, MODEL_FEATURES)}).first()[measure]
+    total = rows.agg(F.count(F.lit(1)).alias("rows")).scalar()
+    return curve.withColumns({"rows": total, "one_center": F.round(F.lit(one), 4),
+                              "below": F.col(measure) <= F.lit(one * (1 + 1e-9))})
 
 
 @query
 def elbow_distortion(spark, folder):
-    """k = 1..9, fitted on all rows."""
-    curve = cluster.elbow(scaled_volume(spark, folder), MODEL_FEATURES, range(1, 10), None)
-    return curve.select("k", "distortion")
+    """k = 1..9, fitted on all rows; k = 1 exactly."""
+    rows = scaled_volume(spark, folder)
+    curve = below_one_center(rows, cluster.elbow(rows, MODEL_FEATURES, range(1, 10), None), "distortion")
+    return curve.select("k", "rows", "one_center", "below", F.when(F.col("k") == 1, F.round("distortion", 4)).alias("first"))
 
 
 @query
 def elbow_iterations(spark, folder):
-    """Random starts over a grid of iteration limits and k."""
-    return cluster.iteration_grid(scaled_volume(spark, folder), MODEL_FEATURES,
-                                  ks=(1, 3, 5), max_iters=(300, 600, 900))
+    """Random starts over the whole grid of iteration limits and k."""
+    rows = scaled_volume(spark, folder)
+    grid = below_one_center(rows, cluster.iteration_grid(rows, MODEL_FEATURES), "wssse")
+    return grid.select("max_iter", "k", "rows", "one_center", "below", F.when(F.col("k") == 1, F.round("wssse", 4)).alias("first"))
 
 
 # --- stores and streams ----------------------------------------------------------------
@@ -513,14 +559,46 @@ def csv_roundtrip(spark, folder):
 
 @query
 def feature_store_append(spark, folder):
-    """Two batches, one of them written twice, read back by day range."""
+    """Two writers with the same batch number, one replayed, one replayed on fewer days; a range of days."""
+    return stored(read_store(spark, filled_store(spark, folder), since="2024-01-05", until="2024-01-20"))
+
+
+@query
+def feature_store_compacted(spark, folder):
+    """The whole store after two of its days were compacted, one of them twice."""
+    path = filled_store(spark, folder)
+    for day, keep in (("2024-01-07", 0), ("2024-01-08", 1), ("2024-01-07", 0)):
+        compact_day(spark, path, day, keep)
+    return stored(read_store(spark, path))
+
+
+def stored(store: DataFrame) -> DataFrame:
+    return store.select("writer", "batch", F.col("day").cast("string").alias("day"), *FEATURES)
+
+
+def filled_store(spark: SparkSession, folder: str) -> str:
     path = new_folder(spark, "store")
-    minutes = views.event_features(spark, folder, "60 seconds")
-    days = views.event_features(spark, folder)
-    for batch, rows in ((0, minutes), (1, days), (1, days)):
-        append_features(rows, batch, path)
-    store = read_store(spark, path, since="2024-01-01", until="2025-01-01")
-    return store.select("batch", F.col("day").cast("string").alias("day"), *FEATURES)
+    minutes = materialize(views.event_features(spark, folder, "60 seconds"), "minutes")
+    days = materialize(views.event_features(spark, folder), "days")
+    early = days.filter("win < timestamp_ntz'2024-01-10'")
+    for writer, batch, rows in (("a", 0, minutes), ("b", 0, days), ("a", 1, days), ("a", 1, days),
+                                ("c", 0, days), ("c", 0, early)):
+        append_features(rows, batch, path, writer)
+    return path
+
+
+@query
+def rule_store_append(spark, folder):
+    """Rules of two writers, one batch replayed; then those of all weeks that are not yet written."""
+    path = new_folder(spark, "rules")
+    found = drop_rules(spark, folder)
+    first = found.filter("win < timestamp_ntz'2024-01-14'")
+    for writer, batch in (("a", 0), ("b", 0), ("a", 0)):
+        append_rules(first, batch, path, writer)
+    columns = ["writer", "batch", *found.columns]
+    kept = read_rules(spark, path).select(*columns)
+    fresh = rules.not_written(found, kept).withColumns({"writer": F.lit("new"), "batch": F.lit(-1)})
+    return kept.unionByName(fresh.select(*columns)).withColumn("batch", F.col("batch").cast("bigint"))
 
 
 def stream_result(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -560,6 +638,6 @@ def stream_arrival(spark, folder):
     """The events of one arrival batch, appended to the feature store."""
     base = new_folder(spark, "arrival")
     flow_stream = valid_stream(views.message_stream(spark, folder))
-    run_available(each_arrival(flow_stream, [store_features(f"{base}/store")],
+    run_available(each_arrival(flow_stream, [store_features(f"{base}/store", "arrivals")],
                                f"{base}/checkpoint", every=None))
     return read_store(spark, f"{base}/store").select("batch", *FEATURES)

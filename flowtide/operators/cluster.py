@@ -18,6 +18,9 @@ from flowtide.operators.prep import assemble, bernoulli_sample
 
 Centers = list[list[float]]
 
+# Models measured in one pass; more would leave generated code.
+TOGETHER = 10
+
 
 def fit_kmeans(vectors: DataFrame, k: int = 3, seed: int = 1, vector: str = "features",
                max_iter: int = 20, init: str = "k-means||") -> KMeansModel:
@@ -57,6 +60,28 @@ def silhouette(assigned: DataFrame, vector: str = "features") -> float:
     return ClusteringEvaluator(featuresCol=vector, predictionCol="cluster").evaluate(assigned)
 
 
+def silhouette_by_sums(assigned: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows and mean silhouette with squared Euclidean distance, written out in columns.
+
+    A row's mean squared distance to a cluster follows from the cluster's size, mean and sum of squared
+    lengths, k rows in all. A row alone in its cluster counts as 0.
+    """
+    columns = list(columns)
+    square = reduce(add, [F.col(c) * F.col(c) for c in columns])
+    sums = assigned.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(square).alias("squares"), *[F.avg(c).alias(c) for c in columns]).collect()
+    away = {r["cluster"]: square + F.lit(r["squares"] / r["n"]) - 2 * reduce(
+        add, [F.col(c) * F.lit(float(r[c])) for c in columns]) for r in sums}
+    own, other = F.lit(0.0), F.lit(float("inf"))
+    for r in sums:
+        inside = F.col("cluster") == r["cluster"]
+        own = F.when(inside, away[r["cluster"]] * F.lit(r["n"] / max(1, r["n"] - 1))).otherwise(own)
+        other = F.when(inside, other).otherwise(F.least(other, away[r["cluster"]]))
+    alone = F.col("cluster").isin([r["cluster"] for r in sums if r["n"] == 1])
+    value = F.when(alone, F.lit(0.0)).otherwise((other - own) / F.greatest(own, other))
+    return assigned.select(value.alias("s")).agg(F.count(F.lit(1)).alias("rows"), F.avg("s").alias("silhouette"))
+
+
 def _with_nearest(vectors: DataFrame, columns: Sequence[str], model: KMeansModel | Centers,
                   name: str) -> DataFrame:
     """Add the index of the nearest centre. A fitted model finds it in compiled code however
@@ -71,12 +96,17 @@ def _with_nearest(vectors: DataFrame, columns: Sequence[str], model: KMeansModel
 
 def costs(df: DataFrame, columns: Sequence[str],
           models: dict[object, KMeansModel | Centers]) -> DataFrame:
-    """WSSSE and mean distortion of several models over the same rows, in one pass.
+    """WSSSE and mean distortion of several models over the same rows, ``TOGETHER`` in a pass.
 
     Columns: model, wssse (sum of squared distances to the nearest centre) and distortion
     (mean distance to it).
     """
     rows = assemble(df.select(*columns), columns)
+    if len(models) > TOGETHER:
+        names = list(models)
+        return reduce(DataFrame.unionByName, [
+            costs(df, columns, {n: models[n] for n in names[i:i + TOGETHER]})
+            for i in range(0, len(names), TOGETHER)])
     squares = []
     for i, model in enumerate(models.values()):
         rows = _with_nearest(rows, columns, model, f"c{i}")
@@ -132,8 +162,9 @@ def elbow(df: DataFrame, columns: Sequence[str], ks: Iterable[int] = range(2, 20
     """
     train = assemble(df, columns)
     if fraction is not None:
-        partitions = ceil(train.rdd.getNumPartitions() * fraction)
-        train = bernoulli_sample(train, fraction, sample_seed).coalesce(max(1, partitions))
+        # Sampled by as many tasks as there are partitions, then gathered.
+        partitions = max(1, ceil(train.rdd.getNumPartitions() * fraction))
+        train = assemble(bernoulli_sample(df, fraction, sample_seed).repartition(partitions), columns)
     settings = {k: dict(k=k, seed=seed, max_iter=max_iter, init=init) for k in ks}
     models = _fit_each(train, columns, settings, parallel)
     return costs(df, columns, models).withColumnRenamed("model", "k")
@@ -143,12 +174,21 @@ def iteration_grid(df: DataFrame, columns: Sequence[str],
                    ks: Iterable[int] = range(1, 50),
                    max_iters: Iterable[int] = range(300, 1000, 100),
                    seed: int = 1, parallel: int = 8) -> DataFrame:
-    """WSSSE and distortion for each (max_iter, k) with random starting centres."""
-    ks = list(ks)
-    settings = {f"{n}/{k}": dict(k=k, seed=seed, max_iter=n, init="random")
-                for n in max_iters for k in ks}
-    models = _fit_each(assemble(df, columns), columns, settings, parallel)
-    parts = F.split("model", "/")
-    return costs(df, columns, models).select(
-        parts[0].cast("int").alias("max_iter"), parts[1].cast("int").alias("k"),
-        "wssse", "distortion")
+    """WSSSE and distortion for each (max_iter, k) with random starting centres.
+
+    With one seed and start, a fit that came to rest after n iterations is the same for every limit of
+    at least n. So each k is fitted once with the largest limit, again only for limits below its n, and
+    each different model is measured once.
+    """
+    ks, limits = list(ks), sorted(max_iters)
+    how = lambda k, n: dict(k=k, seed=seed, max_iter=n, init="random")
+    vectors = assemble(df, columns)
+    models = _fit_each(vectors, columns, {f"{limits[-1]}/{k}": how(k, limits[-1]) for k in ks}, parallel)
+    needed = {k: m.summary.numIter if isinstance(m, KMeansModel) else 0
+              for k, m in zip(ks, (models[f"{limits[-1]}/{k}"] for k in ks))}
+    short = {f"{n}/{k}": how(k, n) for k in ks for n in limits[:-1] if n < needed[k]}
+    if short:
+        models |= _fit_each(vectors, columns, short, parallel)
+    grid = [(n, k, f"{n}/{k}" if f"{n}/{k}" in models else f"{limits[-1]}/{k}") for n in limits for k in ks]
+    settings = df.sparkSession.createDataFrame(grid, "max_iter int, k int, model string")
+    return settings.join(costs(df, columns, models), "model").select("max_iter", "k", "wssse", "distortion")

@@ -6,12 +6,15 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from flowtide.functions.flow import l4_port
 from flowtide.schemas import FLOW_COLUMNS
 
 EVENT_TIME = "eventTime"
+# When a message came in, by the clock of the receiving side.
+ARRIVAL_TIME = "arrivalTime"
+AHEAD = "10 minutes"
 
 
 def project_flows(raw: DataFrame, event_time: str | None = None,
@@ -31,23 +34,36 @@ def _required(flows: DataFrame) -> list[str]:
     return [*FLOW_COLUMNS, *([EVENT_TIME] if EVENT_TIME in flows.columns else [])]
 
 
-def valid_flows(flows: DataFrame) -> DataFrame:
-    """Flows with every required column present."""
-    return flows.filter(reduce(and_, [F.col(c).isNotNull() for c in _required(flows)]))
+def _ahead(flows: DataFrame, ahead: str) -> Column:
+    """Whether a flow claims a time later than its arrival allows."""
+    if EVENT_TIME not in flows.columns or ARRIVAL_TIME not in flows.columns:
+        return F.lit(False)
+    return F.coalesce(F.col(EVENT_TIME) > F.col(ARRIVAL_TIME) + F.expr(f"INTERVAL {ahead}"), F.lit(False))
 
 
-def rejected_flows(flows: DataFrame) -> DataFrame:
+def valid_flows(flows: DataFrame, ahead: str = AHEAD) -> DataFrame:
+    """Flows with every required column present.
+
+    Where the arrival time is known, flows dated more than ``ahead`` after it are left out: one
+    such record would move the watermark of a stream past all traffic still to come.
+    """
+    return flows.filter(reduce(and_, [F.col(c).isNotNull() for c in _required(flows)]) & ~_ahead(flows, ahead))
+
+
+def rejected_flows(flows: DataFrame, ahead: str = AHEAD) -> DataFrame:
     """The complement of :func:`valid_flows`, with the reason.
 
-    ``unreadable`` if nothing could be read, else ``missing`` and the column names.
+    ``unreadable`` if nothing could be read, else ``missing`` and the column names, or
+    ``ahead of arrival``.
     """
     required = _required(flows)
     absent = [F.col(c).isNull() for c in required]
     names = F.concat_ws(",", *[F.when(a, F.lit(c)) for c, a in zip(required, absent)])
-    return flows.filter(reduce(or_, absent)).withColumn(
+    return flows.filter(reduce(or_, absent) | _ahead(flows, ahead)).withColumn(
         "reason",
         F.when(reduce(and_, absent), F.lit("unreadable"))
-        .otherwise(F.concat(F.lit("missing "), names)))
+        .when(reduce(or_, absent), F.concat(F.lit("missing "), names))
+        .otherwise(F.lit("ahead of arrival")))
 
 
 def with_l4_ports(flows: DataFrame) -> DataFrame:

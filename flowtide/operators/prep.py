@@ -6,9 +6,9 @@ from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from flowtide.functions.stats import zero_guard
+from flowtide.functions.stats import presented, zero_guard
 
 
 def add_row_id(df: DataFrame, name: str = "id") -> DataFrame:
@@ -34,9 +34,11 @@ def standardize(df: DataFrame, columns: Sequence[str], center: bool = True,
     """Scale columns in place by their deviation, after subtracting the mean if ``center``.
 
     ``sigma`` is ``sample`` or ``population``. A column without spread becomes 0. The
-    moments are one aggregated row that Spark computes once and hands to every task.
+    moments are one aggregated row that Spark computes once and hands to every task; they
+    leave out nulls and NaN, which stay null.
     """
     deviation = {"sample": F.stddev_samp, "population": F.stddev_pop}[sigma]
+    df = presented(df, columns)
     moments = df.agg(F.struct(*[
         F.struct(F.avg(c).alias("mean"), deviation(c).alias("sigma")).alias(c) for c in columns
     ]).alias("moments")).scalar()
@@ -92,7 +94,7 @@ def anova_f(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     Per label only count, mean and squared deviation are kept, merged before the shuffle;
     so a label holding most rows costs no more than a rare one.
     """
-    groups = df.filter(F.col(label).isNotNull()).groupBy(label).agg(*[
+    groups = presented(df, columns).filter(F.col(label).isNotNull()).groupBy(label).agg(*[
         F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.var_pop(c).alias("var"))
         .alias(c) for c in columns
     ])
@@ -102,13 +104,16 @@ def anova_f(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
                  F.col(f"`{c}`.mean").alias("mean"), F.col(f"`{c}`.var").alias("var"))
         for c in columns
     ])).alias("part")).select("part.*").filter(F.col("n") > 0)
-    everything = Window.partitionBy("feature")
-    grand = F.sum(F.col("n") * F.col("mean")).over(everything) / F.sum("n").over(everything)
+    # The squares between labels are the spread of their means, one row standing for n: two
+    # sums per column, merged before the shuffle, whatever the number of labels.
+    grand = parts.groupBy("feature").agg(
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"))
     n, classes = F.sum("n"), F.count(F.lit(1))
     between = F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand"), F.lit(2)))
     within = F.sum(F.col("n") * F.col("var"))
     ratio = F.try_divide(between, classes - 1) / F.try_divide(within, n - classes)
-    return parts.withColumn("grand", grand).groupBy("feature").agg(
+    # One row per column is sent along.
+    return parts.join(F.broadcast(grand), "feature").groupBy("feature").agg(
         F.when(within > 0, ratio)
         .when((between > 0) & (n > classes), F.lit(float("inf"))).alias("f_value"))
 
@@ -122,11 +127,24 @@ def select_k_best(df: DataFrame, columns: Sequence[str], label: str, k: int = 60
     return [c for c in columns if c in best]
 
 
-def bernoulli_sample(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    """Each row with the given probability, without replacement."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def _draw(df: DataFrame, seed: int, keys: Sequence[str] | None) -> Column:
+    """A number in [0, 1) per row, from its key and the seed alone."""
+    key = F.concat_ws("|", F.lit(str(seed)), *[
+        F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in keys or df.columns])
+    return F.conv(F.substr(F.md5(key.cast("binary")), F.lit(1), F.lit(8)), 16, 10).cast("bigint") / float(1 << 32)
 
 
-def train_test_split(df: DataFrame, train: float = 0.8, seed: int = 42) -> list[DataFrame]:
-    """Two disjoint parts that together are the input."""
-    return df.randomSplit([train, 1.0 - train], seed)
+def bernoulli_sample(df: DataFrame, fraction: float = 0.1, seed: int = 42,
+                     keys: Sequence[str] | None = None) -> DataFrame:
+    """Each row with the given probability, without replacement.
+
+    ``keys`` (default: all columns) decide, so a repeated or moved task draws the same rows.
+    """
+    return df.filter(_draw(df, seed, keys) < fraction)
+
+
+def train_test_split(df: DataFrame, train: float = 0.8, seed: int = 42,
+                     keys: Sequence[str] | None = None) -> list[DataFrame]:
+    """Two disjoint parts that together are the input, drawn like :func:`bernoulli_sample`."""
+    draw = _draw(df, seed, keys)
+    return [df.filter(draw < train), df.filter(draw >= train)]

@@ -7,7 +7,9 @@ from functools import reduce
 from math import isfinite
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from flowtide.functions.stats import missing, present, presented
 
 
 def _rows(one_row: DataFrame, columns: Sequence[str], names: Sequence[str],
@@ -20,21 +22,11 @@ def _rows(one_row: DataFrame, columns: Sequence[str], names: Sequence[str],
     return one_row.select(entry.alias("row")).select("row.*")
 
 
-def _missing(column: str) -> Column:
-    value = F.col(column)
-    return value.isNull() | F.isnan(value.cast("double"))
-
-
-def _present(column: str) -> Column:
-    """The column as double, null where it is NaN."""
-    return F.when(~_missing(column), F.col(column).cast("double"))
-
-
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, min, max, sample variance and deviation of the values present, one row
     per column."""
     names = ("count", "mean", "min", "max", "variance", "stddev")
-    row = df.select(*[_present(c).alias(c) for c in columns]).agg(*[
+    row = df.select(*[present(df, c).alias(c) for c in columns]).agg(*[
         F.struct(
             F.count(c).alias("count"), F.avg(c).alias("mean"),
             F.min(c).alias("min"), F.max(c).alias("max"),
@@ -55,7 +47,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
     """
     probabilities = [float(p) for p in probabilities]
     grid = [i / pieces for i in range(1, pieces)]
-    named = df.select(*[_present(c).alias(c) for c in columns])
+    named = df.select(*[present(df, c).alias(c) for c in columns])
     cuts = named.agg(
         *[F.percentile_approx(c, grid, 100 * pieces).alias(c) for c in columns]).first()
     edges = [
@@ -119,8 +111,11 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
-    """Distinct values by frequency, most frequent first; ``top`` keeps the first N."""
-    counts = (df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
+    """Distinct values by frequency, most frequent first; ``top`` keeps the first N.
+
+    Nulls and NaN are no values.
+    """
+    counts = (df.filter(~missing(df, column)).groupBy(F.col(column).alias("value"))
               .agg(F.count(F.lit(1)).alias("count"))
               .orderBy(F.desc("count"), "value"))
     return counts.limit(top) if top is not None else counts
@@ -128,7 +123,7 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
 
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """Equal-width bins from min to max, the last one closed; empty bins are listed with 0."""
-    value = _present(column)
+    value = present(df, column)
     ends = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))
                   .alias("ends")).scalar()
     # A constant column gets bins half a unit to either side.
@@ -153,9 +148,9 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, in one pass."""
+    """Pearson correlation of every pair of columns, in one pass, over the rows that hold both."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    row = presented(df, columns).agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     both_ways = [(a, b, i) for i, (a, b) in enumerate(pairs)]
     both_ways += [(b, a, i) for a, b, i in both_ways if a != b]
     return row.select(F.explode(F.array(*[
@@ -165,12 +160,17 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ])).alias("row")).select("row.*")
 
 
+def _zero(df: DataFrame, column: str) -> Column:
+    numeric = isinstance(df.schema[column].dataType, T.NumericType)
+    return F.col(column) == 0 if numeric else F.lit(False)
+
+
 def quality_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows, missing (null or NaN) rows and zero rows, one row per column."""
+    """Rows, missing (null or NaN) rows and zero rows, one row per column. Text is never zero."""
     row = df.agg(*[
         F.struct(F.count(F.lit(1)).alias("rows"),
-                 F.count_if(_missing(c)).alias("null_rows"),
-                 F.count_if(F.col(c) == 0).alias("zero_rows")).alias(c)
+                 F.count_if(missing(df, c)).alias("null_rows"),
+                 F.count_if(_zero(df, c)).alias("zero_rows")).alias(c)
         for c in columns
     ])
     return _rows(row, columns, ("rows", "null_rows", "zero_rows"))
@@ -178,12 +178,12 @@ def quality_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def null_rows(df: DataFrame, column: str) -> DataFrame:
     """Rows in which the column is null or NaN."""
-    return df.filter(_missing(column))
+    return df.filter(missing(df, column))
 
 
 def zero_rows(df: DataFrame, column: str) -> DataFrame:
     """Rows in which the column is 0."""
-    return df.filter(F.col(column) == 0)
+    return df.filter(_zero(df, column))
 
 
 def exclude_values(df: DataFrame, column: str, values: Sequence[float]) -> DataFrame:

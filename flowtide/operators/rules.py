@@ -42,6 +42,14 @@ def rule_body(device: Column, ip: Column) -> Column:
     ))
 
 
+def not_written(rules: DataFrame, written: DataFrame) -> DataFrame:
+    """The rules whose path is not among those written before; unmapped rows have none and stay.
+
+    Written rules grow with time, so Spark sends the smaller side along or shuffles both.
+    """
+    return rules.join(written.select("path").filter("path is not null").distinct(), "path", "left_anti").select(*rules.columns)
+
+
 def drop_rules(flagged: DataFrame, hosts: DataFrame, keys: tuple[str, ...] = (),
                ip: str = "srcAddr", app: str = RULE_APP) -> DataFrame:
     """One rule per flagged row: keys, source, device, status, path and body.

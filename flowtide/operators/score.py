@@ -9,6 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from flowtide.functions.distance import nearest, one_sided, one_sided_by_sign
+from flowtide.functions.stats import present
 from flowtide.schemas import MODEL_FEATURES
 
 
@@ -29,13 +30,14 @@ def _scaled(column: Column, moments: Row, i: int, center: bool) -> Column:
 
 def _decide(live: DataFrame, best: Column) -> DataFrame:
     """Add distance, cluster, threshold and the decision. Strictly beyond is anomalous; a
-    cluster without a threshold never is."""
-    over = F.col("_best.distance") > F.col("_best.threshold")
+    cluster without a threshold never is, nor a row without a distance (a feature missing)."""
+    distance = F.nanvl(F.col("_best.distance"), F.lit(None).cast("double"))
+    over = distance > F.col("_best.threshold")
     return (live.withColumn("_best", best)
             .withColumns({
-                "distance": F.col("_best.distance"),
-                "cluster": F.col("_best.cluster"),
-                "threshold": F.col("_best.threshold"),
+                "distance": distance,
+                "cluster": F.when(distance.isNotNull(), F.col("_best.cluster")),
+                "threshold": F.when(distance.isNotNull(), F.col("_best.threshold")),
                 "anomaly": F.coalesce(over, F.lit(False)),
             }).drop("_best"))
 
@@ -82,24 +84,34 @@ def score_by_sign(live: DataFrame, model: DataFrame | list[Row],
                                  [r["threshold"] for r in rows]))
 
 
-def upper_limits(thresholds: DataFrame) -> dict[str, float]:
-    """Feature -> upper limit, from the few rows of a sigma threshold table."""
+def upper_limits(thresholds: DataFrame) -> dict[str, float | None]:
+    """Feature -> upper limit, from the few rows of a sigma threshold table.
+
+    A feature without training values has no limit (None) and flags nothing.
+    """
     return {r["feature"]: r["upper"] for r in thresholds.collect()}
 
 
-def exceedances(live: DataFrame, limits: dict[str, float],
+def _beyond(live: DataFrame, limits: dict[str, float | None], column: str) -> Column:
+    limit = limits.get(column)
+    if limit is None:
+        return F.lit(False)
+    return present(live, column) > F.lit(float(limit))
+
+
+def exceedances(live: DataFrame, limits: dict[str, float | None],
                 columns: Sequence[str] = MODEL_FEATURES,
                 keys: Sequence[str] = ("srcAddr",)) -> DataFrame:
     """Rows beyond a limit in at least one feature; features within their limit are null."""
-    beyond = [F.when(F.col(c) > F.lit(float(limits[c])), F.col(c)).alias(c) for c in columns]
+    beyond = [F.when(_beyond(live, limits, c), F.col(c)).alias(c) for c in columns]
     return live.select(*keys, *beyond).filter(
         reduce(or_, [F.col(c).isNotNull() for c in columns]))
 
 
-def exceedances_by_join(live: DataFrame, limits: dict[str, float],
+def exceedances_by_join(live: DataFrame, limits: dict[str, float | None],
                         columns: Sequence[str] = MODEL_FEATURES,
                         keys: Sequence[str] = ("srcAddr",)) -> DataFrame:
     """The same rows as a full outer join of one filtered table per feature."""
-    tables = [live.filter(F.col(c) > F.lit(float(limits[c]))).select(*keys, c) for c in columns]
+    tables = [live.filter(_beyond(live, limits, c)).select(*keys, c) for c in columns]
     return reduce(lambda left, right: left.join(right, list(keys), "full_outer"), tables)
 

@@ -8,7 +8,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowtide.functions.stats import sigma_steps
+from flowtide.functions.stats import presented, sigma_steps
 from flowtide.schemas import FEATURES, MODEL_FEATURES
 
 
@@ -16,9 +16,9 @@ def sigma_thresholds(features: DataFrame, columns: Sequence[str] = FEATURES,
                      start: int = 2) -> DataFrame:
     """Per feature the smallest mean + n * deviation that covers the training maximum.
 
-    One row per feature: mean, stddev, max, n and upper.
+    One row per feature: mean, stddev, max, n and upper, over the values present.
     """
-    row = features.agg(*[
+    row = presented(features, columns).agg(*[
         F.struct(F.avg(c).alias("mean"),
                  F.coalesce(F.stddev_samp(c), F.lit(0.0)).alias("stddev"),
                  F.max(c).cast("double").alias("max")).alias(c)
@@ -44,7 +44,7 @@ def moments_of(columns: Sequence[str]) -> list[Column]:
 
 def cluster_stats(assigned: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """Rows per cluster, with max, mean and deviation of each column as arrays."""
-    return assigned.groupBy("cluster").agg(
+    return presented(assigned, columns).groupBy("cluster").agg(
         F.count(F.lit(1)).alias("rows"),
         F.array(*[F.max(c).cast("double") for c in columns]).alias("feature_max"),
         *moments_of(columns))
@@ -52,7 +52,7 @@ def cluster_stats(assigned: DataFrame, columns: Sequence[str] = MODEL_FEATURES)
 
 def overall_stats(df: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> Column:
     """Mean and deviation of each column over all rows, as one struct of arrays."""
-    return df.agg(F.struct(*moments_of(columns)).alias("stats")).scalar()
+    return presented(df, columns).agg(F.struct(*moments_of(columns)).alias("stats")).scalar()
 
 
 def _length(parts: Sequence[Column]) -> Column:

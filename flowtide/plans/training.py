@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from flowtide.operators.cluster import centers_of, fit_kmeans
+from flowtide.functions.stats import presented
 from flowtide.operators.prep import as_double, assemble, standardize
 from flowtide.operators.thresholds import (
     cluster_thresholds, cluster_thresholds_by_spread, moments_of,
@@ -24,7 +25,7 @@ def fit_detector(features: DataFrame, columns: Sequence[str] = MODEL_FEATURES, k
     thresholds and scaling use the spread within each cluster.
     """
     columns = list(columns)
-    raw = as_double(features.select(*columns), columns)
+    raw = presented(as_double(features.select(*columns), columns), columns).dropna()
     prepared = standardize(raw, columns, center=False) if scale else raw
     vectors = assemble(prepared, columns).persist()
     try:

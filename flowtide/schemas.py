@@ -47,6 +47,8 @@ STORE = T.StructType([
     T.StructField("uniqDstPorts", T.IntegerType()),
     T.StructField("batch", T.LongType()),
     T.StructField("day", T.DateType()),
+    T.StructField("writer", T.StringType()),
+    T.StructField("part", T.StringType()),
 ])
 
 FEATURE_CSV = T.StructType([T.StructField(name, T.DoubleType()) for name in MODEL_FEATURES])

@@ -48,4 +48,17 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table of :func:`materialize` once nothing will read it again."""
+    remove_folder(table.sparkSession, table.written_to)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of :func:`new_folder` with all it holds."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

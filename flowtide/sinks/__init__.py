@@ -1,3 +1,4 @@
-from flowtide.sinks.tables import append_features, append_rules, export_csv
+from flowtide.sinks.folders import Folders
+from flowtide.sinks.tables import append_features, append_rules, compact_day, export_csv
 
-__all__ = ["append_features", "append_rules", "export_csv"]
+__all__ = ["Folders", "append_features", "append_rules", "compact_day", "export_csv"]

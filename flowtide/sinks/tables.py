@@ -1,35 +1,94 @@
-"""Writers for feature rows and rules. Each is safe to repeat for the same batch."""
+"""Writers for feature rows and rules. Each is safe to repeat for the same writer and batch.
+
+The feature store lies in ``day=/writer=/part=`` folders. A part is the batch number, or
+``merged`` after a compaction; the batch stays a column of the rows. ``writer`` names one ingest
+job for as long as its checkpoint lives: batch numbers start at 0 with every checkpoint, so a new
+checkpoint needs a new writer, or it would replace the old job's batches. Rules lie in
+``writer=/batch=`` folders.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from flowtide.schemas import MODEL_FEATURES, STORE
+from flowtide.sinks.folders import Folders
+
+_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
+
 
-from flowtide.schemas import MODEL_FEATURES
+def _checked(writer: str) -> str:
+    if not _NAME.fullmatch(writer):
+        raise ValueError("a writer is a name of letters, digits, '_', '.' and '-'")
+    return writer
 
 
-def append_features(features: DataFrame, batch: int, path: str,
+def append_features(features: DataFrame, batch: int, path: str, writer: str,
                     day: Column | None = None) -> None:
-    """Append one batch of feature rows to the store, without the source address.
+    """Append one batch of a writer to the store, without the source address.
 
-    A batch owns its folder, so writing it again after a failure replaces it instead of
-    doubling rows. ``day`` defaults to the day of the window start, else the current day.
-    Rows are rebalanced by day: few files per day, and a large day still has many writers.
+    Writing a batch again replaces exactly its rows, on every day it has touched; other writers and
+    batches stay, also those with the same number. ``day`` defaults to the day of the window start,
+    else to the day of writing. Rows are rebalanced by day: few files per day, and a large day still
+    has many writers.
     """
+    spark, writer = features.sparkSession, _checked(writer)
     if day is None:
         day = F.to_date("win") if "win" in features.columns else F.current_date()
-    (features.select(
+    rows = features.select(
         F.col("sumOfFlows").cast("bigint").alias("sumOfFlows"),
         F.col("sumOfBytes").cast("bigint").alias("sumOfBytes"),
         F.col("uniqDstIPs").cast("int").alias("uniqDstIPs"),
         F.col("uniqDstPorts").cast("int").alias("uniqDstPorts"),
-        day.alias("day"))
-     .hint("rebalance", "day")
-     .write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={batch}"))
+        F.lit(batch).cast("bigint").alias("batch"),
+        day.alias("day"), F.lit(writer).alias("writer"), F.lit(str(batch)).alias("part"))
+    folders = Folders(spark, path)
+    before = folders.matching(f"day=*/writer={writer}/part={batch}")
+    (rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day", "writer", "part").parquet(path))
+    if before:  # a batch written earlier on days it no longer touches
+        now = {f"day={'__HIVE_DEFAULT_PARTITION__' if r['day'] is None else r['day']}/writer={writer}/part={batch}"
+               for r in rows.select("day").distinct().collect()}  # one row per day of a batch
+        for leaf in before:
+            if leaf not in now:
+                folders.remove(leaf)
+
+
+def compact_day(spark: SparkSession, path: str, day: str, keep: int = 1) -> None:
+    """Merge the small parts of one day, writer by writer, except each writer's last ``keep`` batches.
+
+    Those may still be written again by a restarted stream. The merged part is written aside, then takes
+    the place of the parts it holds; after an interruption at any point, calling again finishes the work.
+    """
+    folders = Folders(spark, path)
+    for own in folders.matching(f"day={day}/writer=*"):
+        writer = own.rpartition("=")[2]
+        aside = f"_merging/{day}/{writer}"
+        if not folders.matching(f"{aside}/_SUCCESS"):
+            folders.remove(aside)
+            parts = [p.rpartition("=")[2] for p in folders.matching(f"{own}/part=*")]
+            numbers = sorted(int(p) for p in parts if p != "merged")
+            old = [str(n) for n in numbers[:-keep or None]]
+            if not old:
+                continue
+            held = [f"{folders.base}/{own}/part={p}" for p in (*old, *(["merged"] if "merged" in parts else []))]
+            data = [f for f in STORE if f.name not in ("day", "writer", "part")]
+            (spark.read.schema(type(STORE)(data)).parquet(*held).hint("rebalance")
+             .write.mode("overwrite").parquet(f"{folders.base}/{aside}"))
+        # The merged rows name the parts that they replace.
+        done = spark.read.parquet(f"{folders.base}/{aside}").select("batch").distinct().collect()
+        for r in done:  # one row per batch of a day
+            folders.remove(f"{own}/part={r['batch']}")
+        folders.remove(f"{own}/part=merged")
+        folders.rename(aside, f"{own}/part=merged")
+    folders.remove(f"_merging/{day}")
 
 
-def append_rules(rules: DataFrame, batch: int, path: str) -> None:
-    """Write the rules of one batch; repeating the batch replaces its rules."""
-    rules.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+def append_rules(rules: DataFrame, batch: int, path: str, writer: str) -> None:
+    """Write the rules of one batch of a writer; repeating the batch replaces its rules."""
+    rules.write.mode("overwrite").parquet(f"{path}/writer={_checked(writer)}/batch={batch}")
 
 
 def export_csv(features: DataFrame, path: str) -> None:

@@ -1,25 +1,40 @@
-"""Feature rows: the Parquet store and headerless CSV."""
+"""Feature rows: the Parquet store, its rules and headerless CSV."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
 
-from flowtide.functions.time import day_of
 from flowtide.schemas import FEATURE_CSV, STORE
+from flowtide.sinks.folders import Folders
+
+
+def _iso(day: str) -> str:
+    return date.fromisoformat(day[:10]).isoformat()
 
 
 def read_store(spark: SparkSession, path: str, since: str | None = None,
                until: str | None = None) -> DataFrame:
     """The feature store, optionally limited to days in ``[since, until)``.
 
-    ``day`` is a partition column, so a date range lists only its own folders.
+    The store's day folders are listed once by name; only those in the range are handed to the
+    reader, so the parts of other days are never listed. Without a range, rows without a day are included.
     """
-    store = spark.read.schema(STORE).parquet(path)
-    if since:
-        store = store.filter(F.col("day") >= day_of(F.lit(since)))
-    if until:
-        store = store.filter(F.col("day") < day_of(F.lit(until)))
-    return store
+    days = Folders(spark, path).matching("day=*")
+    if since or until:
+        low, high = _iso(since) if since else "", _iso(until) if until else "~"
+        named = {d: d.partition("=")[2] for d in days if "__HIVE" not in d}
+        days = [d for d, name in named.items() if low <= name < high]
+    if not days:
+        return spark.createDataFrame([], STORE)
+    return (spark.read.schema(STORE).option("basePath", path)
+            .parquet(*[f"{path.rstrip('/')}/{d}" for d in days]))
+
+
+def read_rules(spark: SparkSession, path: str) -> DataFrame:
+    """All rules written so far, with their ``writer`` and ``batch``."""
+    return spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/writer=*")
 
 
 def read_feature_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -18,20 +18,27 @@ def read_flow_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False,
-               files_per_batch: int | None = None) -> DataFrame:
-    """Non-blank text lines as a ``value`` column, like the value of a message."""
+               files_per_batch: int | None = None, arrival: bool = False) -> DataFrame:
+    """Non-blank text lines as a ``value`` column, like the value of a message.
+
+    ``arrival`` adds the file's time as ``arrivalTime``.
+    """
     if stream:
         reader = spark.readStream
         if files_per_batch:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
     else:
         reader = spark.read
-    return reader.text(path).filter(F.trim("value") != "")
+    lines = reader.text(path)
+    if arrival:
+        lines = lines.select("value", F.col("_metadata.file_modification_time").alias("arrivalTime"))
+    return lines.filter(F.trim("value") != "")
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str = TOPIC, stream: bool = True,
                starting: str | None = None, **options: str) -> DataFrame:
-    """Messages of a Kafka topic as a string ``value`` column; keys are ignored.
+    """Messages of a Kafka topic as a string ``value`` column and their ``arrivalTime``, the time the
+    broker put on them; keys are ignored.
 
     Every partition of the topic becomes a task, so reading scales with the topic. Each
     query keeps its own offsets in its checkpoint: two jobs never split one topic.
@@ -42,7 +49,8 @@ def read_kafka(spark: SparkSession, servers: str, topic: str = TOPIC, stream: bo
               .option("kafka.bootstrap.servers", servers)
               .option("subscribe", topic)
               .option("startingOffsets", starting or ("latest" if stream else "earliest")))
-    return reader.options(**options).load().select(F.col("value").cast("string").alias("value"))
+    return reader.options(**options).load().select(
+        F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrivalTime"))
 
 
 def decode(messages: DataFrame, keys: Sequence[str] = READ_KEYS,

@@ -1,10 +1,10 @@
 from flowtide.streaming.features import rejected_stream, valid_stream, windowed_features
 from flowtide.streaming.run import (
-    each_arrival, print_batches, run_available, score_stream, store_features, store_rules,
+    dropped_as_late, each_arrival, print_batches, run_available, score_stream, store_features, store_rules,
     write_table,
 )
 
 __all__ = [
-    "each_arrival", "print_batches", "rejected_stream", "run_available", "score_stream", "store_features",
+    "dropped_as_late", "each_arrival", "print_batches", "rejected_stream", "run_available", "score_stream", "store_features",
     "store_rules", "valid_stream", "windowed_features", "write_table",
 ]

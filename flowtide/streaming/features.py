@@ -5,24 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from flowtide.operators.features import WINDOWED, features_by_source, flat_window, with_window
-from flowtide.operators.flows import EVENT_TIME, project_flows, rejected_flows, valid_flows
+from flowtide.operators.flows import (
+    AHEAD, ARRIVAL_TIME, EVENT_TIME, project_flows, rejected_flows, valid_flows,
+)
 from flowtide.schemas import FLOW_COLUMNS
 from flowtide.sources.flows import decode
 
 
 def _decoded(messages: DataFrame, event_time: str, keep: tuple[str, ...] = ()) -> DataFrame:
     keys = list(dict.fromkeys((*FLOW_COLUMNS.values(), event_time)))
+    keep = (*keep, *([ARRIVAL_TIME] if ARRIVAL_TIME in messages.columns else []))
     return project_flows(decode(messages, keys, keep), event_time, keep)
 
 
-def valid_stream(messages: DataFrame, event_time: str = "timestamp") -> DataFrame:
-    """Messages with a ``value`` column -> valid flows with their event time."""
-    return valid_flows(_decoded(messages, event_time))
+def valid_stream(messages: DataFrame, event_time: str = "timestamp", ahead: str = AHEAD) -> DataFrame:
+    """Messages with a ``value`` column -> valid flows with their event time.
+
+    With an ``arrivalTime`` column, records dated more than ``ahead`` after their arrival are rejected.
+    """
+    return valid_flows(_decoded(messages, event_time), ahead).drop(ARRIVAL_TIME)
 
 
-def rejected_stream(messages: DataFrame, event_time: str = "timestamp") -> DataFrame:
+def rejected_stream(messages: DataFrame, event_time: str = "timestamp", ahead: str = AHEAD) -> DataFrame:
     """The messages left out of :func:`valid_stream`, with the reason."""
-    return rejected_flows(_decoded(messages, event_time, ("value",))).select("value", "reason")
+    return rejected_flows(_decoded(messages, event_time, ("value",)), ahead).select("value", "reason")
 
 
 def windowed_features(flows: DataFrame, duration: str = "60 seconds",

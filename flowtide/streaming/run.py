@@ -40,18 +40,21 @@ def each_arrival(flows: DataFrame, work: Sequence[BatchWork], checkpoint: str,
     return _triggered(writer, every).start()
 
 
-def store_features(path: str) -> BatchWork:
-    """Work for :func:`each_arrival`: append each batch to the feature store."""
-    return lambda features, number: append_features(features, number, path)
+def store_features(path: str, writer: str) -> BatchWork:
+    """Work for :func:`each_arrival`: append each batch to the feature store.
+
+    ``writer`` is made once for a checkpoint and kept with it (see :mod:`flowtide.sinks.tables`).
+    """
+    return lambda features, number: append_features(features, number, path, writer)
 
 
-def store_rules(path: str, judge: Callable[[DataFrame], DataFrame]) -> BatchWork:
+def store_rules(path: str, judge: Callable[[DataFrame], DataFrame], writer: str) -> BatchWork:
     """Work for :func:`each_arrival`: write the rules ``judge`` draws from each batch.
 
     ``judge`` is one of the blocking plans with its model or limits and hosts filled in. It
     is called for every batch, so tables it reads anew take effect without a restart.
     """
-    return lambda features, number: append_rules(judge(features), number, path)
+    return lambda features, number: append_rules(judge(features), number, path, writer)
 
 
 def score_stream(features: DataFrame, model: DataFrame | list[Row],
@@ -88,6 +91,15 @@ def print_batches(stream: DataFrame, checkpoint: str, rows: int = 10,
     return _triggered(writer, every).start()
 
 
+def dropped_as_late(query: StreamingQuery) -> int:
+    """Rows a stream has left out as late, as far as its recent progress tells.
+
+    Counted after flows of one window, source and destination were combined in a task.
+    """
+    return sum(int(state.numRowsDroppedByWatermark)
+               for step in query.recentProgress for state in step.stateOperators)
+
+
 def run_available(query: StreamingQuery, timeout: float | None = None) -> None:
     """Block until the query stops; a query still running after ``timeout`` seconds is stopped."""
     finished = query.awaitTermination(timeout) if timeout else query.awaitTermination()

@@ -31,22 +31,3 @@ def test_entry(spark):
     assert frame.columns == ["win", "srcAddr", "sumOfFlows", "sumOfBytes", "uniqDstIPs",
                              "uniqDstPorts", "numRecords"]
     assert frame.count() > 0
-
-
-def rows(spark, name):
-    return queries()[name](spark, FOLDER).collect()
-
-
-def test_models_without_sql(spark):
-    fit = rows(spark, "kmeans_fit")
-    assert [r["cluster"] for r in fit] == [0, 1, 2] and all(r["threshold"] > 0 for r in fit)
-    assert -1 <= rows(spark, "silhouette")[0]["silhouette"] <= 1
-    parts = {r["part"]: r["rows"] for r in rows(spark, "sample_split")}
-    assert parts["train"] + parts["test"] == 1000 and 50 < parts["sample"] < 150
-
-
-def test_elbows_without_sql(spark):
-    assert [r["k"] for r in sorted(rows(spark, "elbow_wssse"))] == list(range(2, 20))
-    curve = {r["k"]: r["distortion"] for r in rows(spark, "elbow_distortion")}
-    assert sorted(curve) == list(range(1, 10)) and min(curve, key=curve.get) != 1
-    assert len(rows(spark, "elbow_iterations")) == 9

@@ -10,10 +10,10 @@ from flowtide.operators.features import features_by_source, flat_window, with_wi
 from flowtide.plans import block_anomalies, load_model, save_model
 from flowtide.operators import score
 from flowtide.schemas import FEATURES, MODEL
-from flowtide.sinks import append_features, append_rules, export_csv
-from flowtide.sources import read_feature_csv, read_kafka, read_lines, read_store
+from flowtide.sinks import Folders, append_features, append_rules, compact_day, export_csv
+from flowtide.sources import read_feature_csv, read_kafka, read_lines, read_rules, read_store
 from flowtide.streaming import (
-    each_arrival, print_batches, rejected_stream, run_available, score_stream, store_features, store_rules,
+    dropped_as_late, each_arrival, print_batches, rejected_stream, run_available, score_stream, store_features, store_rules,
     valid_stream, windowed_features, write_table,
 )
 from tests.records import WHOLE, as_dicts, as_lines
@@ -76,6 +76,32 @@ def test_restart_continues_and_late_rows_are_dropped(spark, inbox, tmp_path):
     assert run() == 12  # the windows of 7200 and 7300; the one of 10 was closed long ago
 
 
+def test_a_date_far_ahead_does_not_close_windows(spark, inbox, tmp_path):
+    far = shifted(0, timestamp=int(time.time() * 1000) + 86_400_000)
+    inbox.joinpath("1.txt").write_text(far + "\n" + inbox.joinpath("1.txt").read_text())
+    time.sleep(0.02)
+    for name in ("2.txt", "3.txt"):
+        inbox.joinpath(name).write_text(inbox.joinpath(name).read_text())
+        time.sleep(0.02)
+    messages = read_lines(spark, str(inbox), stream=True, files_per_batch=1, arrival=True)
+    run_available(write_table(windowed_features(valid_stream(messages)), str(tmp_path / "out"), str(tmp_path / "cp")))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 10
+    rejects = rejected_stream(read_lines(spark, str(inbox), arrival=True))
+    assert (far, "ahead of arrival") in {(r["value"], r["reason"]) for r in rejects.collect()}
+
+
+def test_late_rows_are_counted(spark, inbox, tmp_path):
+    drop_file(inbox, "4.txt", [shifted(14400)])
+    time.sleep(0.02)
+    drop_file(inbox, "5.txt", [shifted(10), shifted(20)])
+    time.sleep(0.02)
+    drop_file(inbox, "6.txt", [shifted(10), shifted(21600)])
+    query = write_table(windowed_features(valid_stream(read_lines(spark, str(inbox), stream=True, files_per_batch=1))),
+                        str(tmp_path / "out"), str(tmp_path / "cp"))
+    run_available(query)
+    assert dropped_as_late(query) > 0
+
+
 def test_rejects_of_a_stream(spark, inbox, tmp_path):
     rejects = rejected_stream(read_lines(spark, str(inbox), stream=True), event_time="first")
     run_available(write_table(rejects, str(tmp_path / "out"), str(tmp_path / "cp")))
@@ -109,9 +135,9 @@ def test_arrival_batches_store_and_block(spark, tmp_path):
     def run():
         flows = valid_stream(read_lines(spark, str(folder), stream=True, files_per_batch=1))
         run_available(each_arrival(flows, [
-            store_features(paths["store"]),
+            store_features(paths["store"], "w1"),
             store_rules(paths["rules"], lambda features: block_anomalies(
-                features, load_model(spark, str(tmp_path / "model")), hosts)),
+                features, load_model(spark, str(tmp_path / "model")), hosts), "w1"),
         ], paths["cp"], every=None))
 
     run()
@@ -130,14 +156,75 @@ def test_store_append_is_repeatable(spark, tmp_path):
     rows = batch_like(spark)
     path = str(tmp_path / "store")
     for batch in (0, 1, 1, 0):
-        append_features(rows, batch, path)
+        append_features(rows, batch, path, "w1")
     store = read_store(spark, path)
     assert store.count() == 6 and {r[0] for r in store.select("batch").distinct().collect()} == {0, 1}
     assert store.dtypes[:4] == [("sumOfFlows", "bigint"), ("sumOfBytes", "bigint"),
                                 ("uniqDstIPs", "int"), ("uniqDstPorts", "int")]
-    assert read_store(spark, path, since="2018-04-11", until="2018-04-12").count() == 4
-    plan = read_store(spark, path, since="2018-04-11")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan
+    one_day = read_store(spark, path, since="2018-04-11", until="2018-04-12")
+    assert one_day.count() == 4
+    assert all("day=2018-04-11" in f for f in one_day.inputFiles())
+    assert read_store(spark, path, since="2020-01-01").count() == 0
+
+
+def test_a_lost_checkpoint_loses_no_rows(spark, tmp_path):
+    folder = tmp_path / "inbox"
+    store = str(tmp_path / "store")
+
+    def run(name):
+        flows = valid_stream(read_lines(spark, str(folder), stream=True))
+        run_available(each_arrival(flows, [store_features(store, name)], str(tmp_path / name), every=None))
+
+    drop_file(folder, "1.txt", as_lines())
+    run("w1")
+    run("w2")  # a new checkpoint counts its batches from 0 again
+    found = read_store(spark, store).groupBy("writer", "batch").count().collect()
+    assert {tuple(r) for r in found} == {("w1", 0, 2), ("w2", 0, 2)}
+
+
+def test_a_replay_replaces_the_days_it_touched(spark, tmp_path):
+    path, rows = str(tmp_path / "store"), batch_like(spark)
+    append_features(rows, 0, path, "w1")
+    append_features(rows, 0, path, "w2")
+    append_features(rows.filter("srcAddr = 'a' and t < '2018-04-12'"), 0, path, "w1")
+    found = {(r["writer"], str(r["day"])) for r in read_store(spark, path).collect()}
+    assert found == {("w1", "2018-04-11"), ("w2", "2018-04-11"), ("w2", "2018-04-12")}
+    append_features(rows.limit(0), 0, path, "w2")
+    assert read_store(spark, path).count() == 1
+    with pytest.raises(ValueError):
+        append_features(rows, 0, path, "a/b")
+
+
+def test_compaction_keeps_rows_and_can_be_interrupted(spark, tmp_path, monkeypatch):
+    path, rows = str(tmp_path / "store"), batch_like(spark)
+    for batch in range(5):
+        append_features(rows, batch, path, "w1")
+    append_features(rows, 0, path, "w2")
+    key = lambda: sorted(map(str, read_store(spark, path).drop("part").collect()))
+    before = key()
+    compact_day(spark, path, "2018-04-11")
+    assert key() == before
+    assert Folders(spark, path).matching("day=2018-04-11/writer=*/part=*") == [
+        f"day=2018-04-11/writer={w}" for w in ("w1/part=4", "w1/part=merged", "w2/part=0")]
+    append_features(rows, 4, path, "w1")  # the last batch may still come again
+    assert key() == before
+    append_features(rows, 5, path, "w1")
+    before = key()
+    calls = []
+
+    def stop(self, name):
+        calls.append(name)
+        if len(calls) == 4:
+            raise OSError("interrupted")
+        remove(self, name)
+
+    remove = Folders.remove
+    monkeypatch.setattr(Folders, "remove", stop)
+    with pytest.raises(OSError):
+        compact_day(spark, path, "2018-04-11")
+    monkeypatch.setattr(Folders, "remove", remove)
+    compact_day(spark, path, "2018-04-11")
+    assert key() == before
 
 
 def batch_like(spark):
@@ -151,8 +238,9 @@ def batch_like(spark):
 def test_rules_are_repeatable(spark, tmp_path):
     rules = spark.createDataFrame([("10.0.0.1", "of:1")], "srcAddr string, device string")
     for _ in range(2):
-        append_rules(rules, 5, str(tmp_path / "rules"))
-    assert spark.read.parquet(str(tmp_path / "rules")).count() == 1
+        append_rules(rules, 5, str(tmp_path / "rules"), "w1")
+    append_rules(rules, 5, str(tmp_path / "rules"), "w2")
+    assert read_rules(spark, str(tmp_path / "rules")).count() == 2
 
 
 def test_csv_has_three_bare_columns(spark, tmp_path):
@@ -164,9 +252,13 @@ def test_csv_has_three_bare_columns(spark, tmp_path):
     assert back.count() == 3
 
 
-def test_console_print(spark, inbox, tmp_path, capfd):
-    stream = read_lines(spark, str(inbox), stream=True)
-    run_available(print_batches(stream, str(tmp_path / "cp"), rows=12, every=None))
+def test_console_print(spark, inbox, tmp_path):
+    """The JVM prints past the capture of tests; the query's progress tells what it has read."""
+    query = print_batches(read_lines(spark, str(inbox), stream=True), str(tmp_path / "cp"), rows=12, every=None)
+    run_available(query)
+    lines = sum(len([x for x in p.read_text().split("\n") if x.strip()]) for p in inbox.iterdir())
+    read = [step.numInputRows for step in query.recentProgress]
+    assert sum(read) >= lines and query.recentProgress[0].sink.description.lower().find("console") >= 0
 
 
 def test_running_query_is_stopped_after_timeout(spark, inbox, tmp_path):
@@ -176,7 +268,7 @@ def test_running_query_is_stopped_after_timeout(spark, inbox, tmp_path):
 
 
 def test_empty_arrival_batch(spark, tmp_path):
-    append_features(batch_like(spark).limit(0), 0, str(tmp_path / "store"))
+    append_features(batch_like(spark).limit(0), 0, str(tmp_path / "store"), "w1")
     assert read_store(spark, str(tmp_path / "store")).count() == 0
 
 
