@@ -3,8 +3,8 @@
 A page becomes a sequence of tags and stretches of text. Words score positive and tags negative by
 default; the weights are log-odds learned from labelled pages: a word's weight depends on its innermost
 container (tag and class, backing off to the tag), a tag's on its name. Labelled pages are those that
-mark their content themselves with one article or main element, at most ``LABELLED`` of them (smallest
-key hashes); the labels are never read when a page is scored. One scan of running sums finds the best
+mark their content themselves with one article or main element, out of a sample of about ``LABELLED`` pages
+(those with the smallest key hashes); the labels are never read when a page is scored. One scan of running sums finds the best
 contiguous region. Elements inside it that are no content (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, comments) are left out. Character references are decoded, white space
 in a block becomes one space, blocks are joined by one space.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from flowtide.llm.tables import slices
 
 LABELLED = 4000
-WORD, TAG, DROPPED = 1.0, -1.0, -8.0
+WORD, TAG, DROPPED = 1.0, -1.0, -2.0
 LIMIT = 6.0
 
 CONTENT = ("article", "main")
@@ -54,6 +54,7 @@ _PIECE = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+_CUT_OFF = re.compile(r"</?[a-zA-Z][^<>]*\Z")
 _END = {name: re.compile(rf"</{name}[\s/>]", re.IGNORECASE) for name in RAW}
 
 
@@ -118,7 +119,7 @@ def tokens(page: str) -> list[Token]:
                 at = close.end()
                 continue
             stack.append((name, f"{name}.{marks}" if marks else name, gone, content or name in CONTENT))
-    text(page[at:])
+    text(_CUT_OFF.sub("", page[at:]))
     return out
 
 
@@ -177,22 +178,30 @@ def main_text(page: str | None, weights: Weights) -> str:
     return " ".join("".join(text).split())
 
 
-def labelled(pages: DataFrame, most: int = LABELLED) -> DataFrame:
-    """At most ``most`` pages with exactly one article (or else main) element."""
-    page = F.col("html").cast("string")
-    marks = [F.size(F.split(F.lower(page), f"<{name}[\\s>]")) - 1 for name in CONTENT]
-    return (pages.filter(page.isNotNull() & ((marks[0] == 1) | ((marks[0] == 0) & (marks[1] == 1))))
-            .select(page.alias("html"), F.xxhash64("page_id", F.lit(5)).alias("hash"))
-            .orderBy("hash", "html").limit(most).select("html"))
+def is_labelled(parts: list[Token]) -> bool:
+    """Whether a page marks its content itself, with one article or else one main element."""
+    names = Counter(t.name for t in parts if t.name in CONTENT)
+    return names["article"] == 1 or not names["article"] and names["main"] == 1
 
 
-def fit(pages: DataFrame, most: int = LABELLED) -> Weights:
+def sampled(pages: DataFrame, about: int = LABELLED) -> DataFrame:
+    """The html of about ``about`` pages, those with the smallest key hashes.
+
+    The share of hashes follows from the number of pages, so no page travels and the sample keeps its size.
+    """
+    share = min(1.0, about / max(1, pages.count()))
+    return (pages.filter(F.pmod(F.xxhash64(F.col("page_id").cast("long"), F.lit(5)), F.lit(1 << 40)) < share * (1 << 40))
+            .filter("html is not null").select(F.col("html").cast("string").alias("html")))
+
+
+def fit(pages: DataFrame, about: int = LABELLED) -> Weights:
     """Log-odds of words and tags inside against outside the labelled content."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, outside = Counter(), Counter()
         for batch in batches:
             for page in batch.column("html").to_pylist():
-                for t in tokens(page):
+                parts = tokens(page)
+                for t in parts if is_labelled(parts) else ():
                     if not t.dropped:
                         n = 1 if t.text is None else len(t.text.split())
                         for name in set(features(t)):
@@ -202,9 +211,9 @@ def fit(pages: DataFrame, most: int = LABELLED) -> Weights:
             "name": pa.array(names, pa.string()), "inside": pa.array([inside[x] for x in names], pa.int64()),
             "outside": pa.array([outside[x] for x in names], pa.int64())})
 
-    rows = (labelled(pages, most).mapInArrow(run, "name string, inside long, outside long")
+    rows = (sampled(pages, about).mapInArrow(run, "name string, inside long, outside long")
             .groupBy("name").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-            .filter("inside + outside > 0").collect())  # features of at most `most` pages
+            .filter("inside + outside > 0").collect())  # features of about `about` pages
     learned = {}
     for r in rows:
         odds = math.log((r["inside"] + 0.5) / (r["outside"] + 0.5))
