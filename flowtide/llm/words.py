@@ -143,15 +143,17 @@ def _cuts(data: np.ndarray, offsets: np.ndarray, space: np.ndarray) -> list[int]
     return ends
 
 
-def split_words(texts: pa.Array, lower: bool = False, space: np.ndarray = SPACE) -> Words:
+def split_words(texts: pa.Array, lower: bool = False, space: np.ndarray = SPACE, places: bool = True) -> Words:
     """Words of every text; ``lower`` hashes A-Z as a-z (positions stay those of the text).
 
-    ``space`` is the 256-entry mask of the bytes that part words.
+    ``space`` is the 256-entry mask of the bytes that part words. Without ``places`` the byte ranges of the
+    words are not kept.
     """
     data, offsets = text_bytes(texts)
     values = _BYTE_LOWER if lower else _BYTE
     starts, ends, hashes = [], [], []
-    at = 0
+    first = np.zeros(len(offsets), np.int64)
+    at = known = 0
     for end in _cuts(data, offsets, space):
         part = data[at:end]
         word = ~space[part]
@@ -167,13 +169,16 @@ def split_words(texts: pa.Array, lower: bool = False, space: np.ndarray = SPACE)
         total = np.zeros(len(part) + 1, U64)
         np.cumsum(values[part] * up, out=total[1:])
         hashes.append(mix((total[stop] - total[begin]) * down[begin] + (stop - begin).astype(U64)))
-        starts.append(begin + at)
-        ends.append(stop + at)
+        here = slice(*np.searchsorted(offsets, [at, end]))
+        first[here] = known + np.searchsorted(begin, offsets[here] - at)
+        known += len(begin)
+        if places:
+            starts.append(begin + at)
+            ends.append(stop + at)
         at = end
+    first[np.searchsorted(offsets, at):] = known
     join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-    starts = join(starts, np.int64)
-    return Words(data, offsets, starts, join(ends, np.int64), join(hashes, U64),
-                 np.searchsorted(starts, offsets).astype(np.int64))
+    return Words(data, offsets, join(starts, np.int64), join(ends, np.int64), join(hashes, U64), first)
 
 
 def per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
