@@ -22,6 +22,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -58,6 +59,14 @@ _CUT_OFF = re.compile(r"</?[a-zA-Z][^<>]*\Z")
 _END = {name: re.compile(rf"</{name}[\s/>]", re.IGNORECASE) for name in RAW}
 
 
+_BLOCK_START = re.compile(rf"</?(?:p|li|h[1-6]|dt|dd|tr|{'|'.join(sorted(CONTAINERS))})[\s/>]", re.IGNORECASE)
+
+
+@lru_cache(maxsize=256)
+def _close(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}[\s/>]", re.IGNORECASE)
+
+
 class Token:
     """A tag (``text`` is None) or a stretch of text."""
 
@@ -91,7 +100,7 @@ def tokens(page: str) -> list[Token]:
         if found["close"]:
             if name in CONTAINERS and any(s[0] == name for s in stack):
                 while stack.pop()[0] != name:
-                    pass
+                    pass  # what was not closed ends here
             out.append(Token(None, "/" + name, stack[-1][1], stack[-1][2], stack[-1][3]))
             continue
         rest = found["rest"]
@@ -107,18 +116,17 @@ def tokens(page: str) -> list[Token]:
         out.append(Token(None, name, key, gone, content))
         if name in VOID:
             continue
-        if name in CONTAINERS or gone and not dropped and name not in ("p", "li"):
-            if name not in CONTAINERS:
-                key = f"{name}.{marks}"
-                close = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
-                if not close:
-                    continue
-                part = page[at:close.start()]
-                if part:
-                    out.append(Token(re.sub(r"<[^>]*>", " ", part), "", key, True, content))
-                at = close.end()
-                continue
+        if name in CONTAINERS:
             stack.append((name, f"{name}.{marks}" if marks else name, gone, content or name in CONTENT))
+        elif gone and not dropped:  # a paragraph, item or inline element that is no content: up to its end
+            end = _close(name).search(page, at)
+            stop = _BLOCK_START.search(page, at) if name not in INLINE else None
+            ends = [m.start() for m in (end, stop) if m]
+            if ends:
+                part = page[at:min(ends)]
+                if part:
+                    out.append(Token(re.sub(r"<[^>]*>", " ", part), "", f"{name}.{marks}", True, content))
+                at = min(ends)
     text(_CUT_OFF.sub("", page[at:]))
     return out
 

@@ -95,6 +95,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 <div class="layout"><aside>Side words here</aside><article><header>By someone</header><h1>Head &amp; shoulders</h1>
 <p>First <b>bold</b>word&nbsp;and <a href=x>link</a>.<p>Second
  line<br>third<div class="ad">Buy now</div><form>Mail <input></form><table><tr><td>cell one<td>cell two</table>
+<p class="notice">Mind the <b>gap</b><p><span class="share-links">Tweet</span>Last <a class=more>words</a></p>
 <div class="comments"><p>Nice post, really nice</p></div></article></div><footer>&copy; all</footer></body></html>"""
 
 
@@ -104,7 +105,7 @@ def test_main_text(spark):
          (92, "u", "<p>only words here", "x"), (None, "u", "<nav>menu</nav><b", "x")],
         "page_id long, url string, html string, text string")
     found = {r["page_id"]: r for r in html_main.extract(pages, html_main.fit(pages)).collect()}
-    assert found[3]["text"] == "Head3 & shoulders First boldword and link. Second line third cell one cell two"
+    assert found[3]["text"] == "Head3 & shoulders First boldword and link. Second line third cell one cell two Last words"
     assert found[3]["n_chars"] == len(found[3]["text"])
     assert (found[90]["text"], found[91]["text"], found[92]["text"], found[None]["text"]) == ("", "", "only words here", "")
     assert html_main.extract(pages.limit(0), html_main.Weights()).count() == 0
