@@ -4,6 +4,14 @@ from __future__ import annotations
 
 FEATURES = ("sumOfFlows", "sumOfBytes", "uniqDstIPs", "uniqDstPorts")
 MODEL = ("sumOfBytes", "uniqDstIPs", "uniqDstPorts")
+# The keys of a record, and those the event view fills.
+LONG_KEYS = tuple(
+    "srcaddr dstaddr nexthop srcport dstport proto tcp_flags tos dPkts dOctets count flowseq first last raw_first "
+    "raw_last timestamp seconds nanos uptime length version engineid enginetype snmpinput snmponput srcas dstas "
+    "src_mask dst_mask samplingint samplingmode raw_sampling".split())
+STRING_KEYS = ("srcaddr_s", "dstaddr_s", "nexthop_s", "id", "packetid", "readerId", "sender")
+EVENT_KEYS = ("srcaddr_s", "srcport", "dstaddr_s", "dstport", "proto", "tcp_flags", "dOctets", "count", "first", "last",
+              "timestamp")
 
 # Common table expressions, used by name.
 CTES = {
@@ -127,6 +135,9 @@ CTES["volume_moments"] = f"""
 CTES["one_center"] = f"""
     SELECT count(*) AS rows, round(sum(d), 4) AS wssse, round(avg(sqrt(d)), 4) AS distortion FROM (
       SELECT {each('pow(("$c" - "m_$c") / "s_$c", 2)', MODEL, " + ")} AS d FROM volume, volume_moments)"""
+CTES["gapped"] = 'SELECT win, "srcAddr", ' + each(
+    'CASE WHEN "$c" % 5 = 0 THEN NULL ELSE CAST("$c" AS DOUBLE) END AS "$c"') + " FROM volume"
+CTES["gapped_limits"] = CTES["limits"].replace("$t", "gapped")
 CTES["volume_limits"] = CTES.pop("limits").replace("$t", "volume")
 CTES["exceeding"] = ('SELECT win, "srcAddr", ' + each("""
     CASE WHEN "$c" > (SELECT upper FROM day_limits WHERE feature = '$c') THEN "$c" END AS "$c\"""", MODEL)
@@ -456,6 +467,28 @@ BODIES = {
         SELECT 'new' AS writer, CAST(-1 AS BIGINT) AS batch, f.* FROM found_rules f
         WHERE path IS NULL OR path NOT IN (
           SELECT path FROM found_rules WHERE win < TIMESTAMP '2024-01-14' AND path IS NOT NULL)""",
+    "value_counts_gaps": """
+        SELECT "uniqDstPorts" AS value, count(*) AS "count" FROM gapped WHERE "uniqDstPorts" IS NOT NULL GROUP BY 1""",
+    "correlation_gaps": " UNION ALL ".join(
+        f"""SELECT '{a}' AS feature_a, '{b}' AS feature_b,
+            round(corr("{a}", "{b}"), 6) AS correlation FROM gapped""" for a in FEATURES for b in FEATURES),
+    "quality_report_text": union("""
+        SELECT '$c' AS feature, count(*) AS "rows", count(*) FILTER (WHERE "$c" IS NULL) AS null_rows, 0 AS zero_rows
+        FROM decoded""", ("srcAddr", "dstAddr")) + " UNION ALL " + union("""
+        SELECT '$c' AS feature, count(*) AS "rows", count(*) FILTER (WHERE "$c" IS NULL) AS null_rows,
+               count(*) FILTER (WHERE "$c" = 0) AS zero_rows FROM gapped"""),
+    "sigma_thresholds_gaps": """
+        SELECT feature, round(mean, 3) AS mean, round(stddev, 3) AS stddev, max, n, round(upper, 3) AS upper
+        FROM gapped_limits""",
+    "standardize_gaps": 'SELECT win, "srcAddr", ' + each("""
+        round(("$c" - avg("$c") OVER ()) / stddev_samp("$c") OVER (), 6) AS "$c\"""") + " FROM gapped",
+    "flow_decode_all": "SELECT " + ", ".join(
+        f'"{k}"' if k in EVENT_KEYS else f"'{k}' || srcport AS \"{k}\"" if k in STRING_KEYS
+        else f'srcport * 100 + {i} AS "{k}"' for i, k in enumerate((*LONG_KEYS, *STRING_KEYS))) + " FROM raw",
+    "event_stamp": """
+        SELECT "srcAddr", "srcPort", "timestampStart", strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp FROM flows""",
+    "host_files": "SELECT ip, device FROM hosts",
+    "vector_columns": "SELECT win, \"srcAddr\", " + each('CAST("$c" AS DOUBLE) AS "$c"', MODEL) + " FROM days",
     "stream_features": closed("stream_minutes", "60 seconds", f'win, "srcAddr", {ALL}'),
     "stream_anomalies": closed("scored_stream", "1 day", """
         win, "srcAddr", cluster, round(distance, 6) AS distance, anomaly"""),
@@ -464,6 +497,9 @@ BODIES = {
         SELECT CAST(0 AS BIGINT) AS batch, {STORED} FROM ({WHOLE.replace("FROM flows", "FROM valid")})""",
 }
 
+BODIES["rows_of_cluster"] = f'SELECT win, "srcAddr", cluster FROM ({BODIES["nearest_center"]}) n WHERE cluster = 1'
+BODIES["stream_arrival_seconds"] = BODIES["stream_arrival"]
+
 
 def with_tables(body: str) -> str:
     """Put the common table expressions the body needs in front of it, in order."""

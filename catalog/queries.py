@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from catalog import views
+from flowtide.functions import stamp, stats
 from flowtide.operators import cluster, features, flows, prep, profile, rules, score, thresholds
 from flowtide.plans import block_anomalies, block_exceedances, fit_detector
-from flowtide.schemas import FEATURES, MODEL_FEATURES
+from flowtide.schemas import FEATURES, MODEL_FEATURES, RAW_FLOW
 from flowtide.session import materialize, new_folder
 from flowtide.sinks import append_features, append_rules, compact_day, export_csv
-from flowtide.sources import decode, read_feature_csv, read_flow_json, read_lines, read_rules, read_store
+from flowtide.sources import (
+    decode, read_feature_csv, read_flow_json, read_hosts, read_lines, read_rules, read_store,
+)
 from flowtide.streaming import (
     each_arrival, run_available, score_stream, store_features, valid_stream, windowed_features,
     write_table,
@@ -64,6 +67,24 @@ def flow_decode(spark, folder):
     return flows.valid_flows(decoded)
 
 
+@query
+def flow_decode_all(spark, folder):
+    """Every one of the 40 keys of a record, decoded from messages that hold them all."""
+    keys = RAW_FLOW.fieldNames()
+    full = views.raw_events(spark, folder).select(*[
+        F.col(k) if k in views.EVENT_KEYS
+        else (F.concat(F.lit(k), F.col("srcport").cast("string")) if isinstance(RAW_FLOW[k].dataType, T.StringType)
+              else F.col("srcport") * 100 + F.lit(keys.index(k))).alias(k) for k in keys])
+    text = full.select(F.to_json(F.struct(*keys)).alias("value"))
+    return decode(text, keys, ())
+
+
+@query
+def event_stamp(spark, folder):
+    """The event time of each flow as text."""
+    return views.event_flows(spark, folder).select("srcAddr", "srcPort", "timestampStart", stamp(F.col("eventTime")).alias("stamp"))
+
+
 @query
 def flow_rejects(spark, folder):
     decoded = flows.project_flows(decode(views.messages(spark, folder)), keep=("value",))
@@ -209,6 +230,45 @@ def shape(spark, folder):
     return profile.shape(volume_features(spark, folder))
 
 
+def gapped(spark: SparkSession, folder: str) -> DataFrame:
+    """Volume features as doubles, a fifth of the values missing, as NaN or null."""
+    def value(c: str):
+        missing = F.when(F.col(c) % 2 == 0, F.lit(float("nan")))
+        return F.when(F.col(c) % 5 == 0, missing).otherwise(F.col(c).cast("double")).alias(c)
+
+    return volume_features(spark, folder).select(*VOLUME_KEYS, *[value(c) for c in FEATURES])
+
+
+@query
+def value_counts_gaps(spark, folder):
+    return profile.value_counts(gapped(spark, folder), "uniqDstPorts")
+
+
+@query
+def correlation_gaps(spark, folder):
+    return rounded(profile.correlation_matrix(gapped(spark, folder), FEATURES), 6, "correlation")
+
+
+@query
+def quality_report_text(spark, folder):
+    """Missing values of text columns and of columns with NaN."""
+    decoded = flows.project_flows(decode(views.messages(spark, folder)))
+    texts = profile.quality_report(decoded, ("srcAddr", "dstAddr"))
+    return texts.unionByName(profile.quality_report(gapped(spark, folder), FEATURES))
+
+
+@query
+def sigma_thresholds_gaps(spark, folder):
+    limits = thresholds.sigma_thresholds(gapped(spark, folder))
+    return rounded(limits, 3, "mean", "stddev", "upper")
+
+
+@query
+def standardize_gaps(spark, folder):
+    scaled = prep.standardize(gapped(spark, folder), FEATURES)
+    return rounded(scaled, 6, *FEATURES).select(*VOLUME_KEYS, *FEATURES)
+
+
 # --- preparation -----------------------------------------------------------------------
 
 
@@ -337,6 +397,20 @@ def nearest_center(spark, folder):
     return rounded(assigned, 6, "distance").select(*DAY, "cluster", "distance")
 
 
+@query
+def rows_of_cluster(spark, folder):
+    """The days nearest to the middle centre."""
+    assigned, _, _ = assigned_days(spark, folder)
+    return cluster.rows_of_cluster(assigned, 1).select(*DAY, "cluster")
+
+
+@query
+def vector_columns(spark, folder):
+    """Features put into a vector and taken out again."""
+    vectors = prep.assemble(views.event_features(spark, folder), MODEL_FEATURES)
+    return vectors.select(*DAY, *stats.vector_columns("features", MODEL_FEATURES))
+
+
 @query
 def labelled_rows(spark, folder):
     """Assignments joined back to the raw features they came from."""
@@ -448,6 +522,14 @@ def host_lookup(spark, folder):
     return rules.host_lookup(days, views.hosts(spark, folder)).select(*DAY, "device", "status")
 
 
+@query
+def host_files(spark, folder):
+    """Host documents written as lines of text, read back as an inventory."""
+    path = new_folder(spark, "hosts")
+    views.host_documents(spark, folder).write.text(path)
+    return read_hosts(spark, path, multi_line=False)
+
+
 @query
 def drop_rules(spark, folder):
     """Rules for the weeks beyond a daily limit."""
@@ -501,9 +583,9 @@ def fit_facts(spark: SparkSession, folder: str, name: str, **how) -> DataFrame:
 
 
 def scaled_volume(spark: SparkSession, folder: str) -> DataFrame:
-    rows = prep.as_double(stored_volume(spark, folder), MODEL_FEATURES)
-    scaled = prep.standardize(rows, MODEL_FEATURES, center=False)
-    return materialize(scaled.select(*MODEL_FEATURES), "scaled")
+    """Scaled as it is read: the moments come from the written table, which is not written again."""
+    rows = prep.as_double(stored_volume(spark, folder).select(*MODEL_FEATURES), MODEL_FEATURES)
+    return prep.standardize(rows, MODEL_FEATURES, center=False)
 
 
 @query
@@ -641,3 +723,16 @@ def stream_arrival(spark, folder):
     run_available(each_arrival(flow_stream, [store_features(f"{base}/store", "arrivals")],
                                f"{base}/checkpoint", every=None))
     return read_store(spark, f"{base}/store").select("batch", *FEATURES)
+
+
+@query
+def stream_arrival_seconds(spark, folder):
+    """The same with a trigger every second, stopped when all has been read."""
+    base = new_folder(spark, "arrival")
+    running = each_arrival(valid_stream(views.message_stream(spark, folder)), [store_features(f"{base}/store", "seconds")],
+                           f"{base}/checkpoint", every="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return read_store(spark, f"{base}/store").select("batch", *FEATURES)

@@ -30,6 +30,8 @@ EVENT_FIELDS = (
     "unix_millis(CAST(ts AS TIMESTAMP)) AS timestamp",
 )
 
+EVENT_KEYS = tuple(field.rpartition(" ")[2] for field in EVENT_FIELDS)
+
 # The four shapes of a message, chosen by the destination port.
 CUT_PORT = 13
 NO_COUNT_PORT = 14
@@ -98,13 +100,18 @@ def volume_flows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def hosts(spark: SparkSession, folder: str) -> DataFrame:
-    """Host table from one document per supplier; every other source address has a host."""
-    documents = table(spark, folder, "supplier").select(F.to_json(F.struct(
+def host_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """One host document per supplier as text; every other source address has a host."""
+    return table(spark, folder, "supplier").select(F.to_json(F.struct(
         F.array(F.struct(
             F.array(F.concat(F.lit("10.0.0."), (F.col("s_suppkey") * 2 + 1).cast("string")))
             .alias("ipAddresses"),
             F.array(F.struct(F.format_string("of:%016x", F.col("s_nationkey").cast("bigint"))
                              .alias("elementId"))).alias("locations"),
         )).alias("hosts"))).alias("value"))
+
+
+def hosts(spark: SparkSession, folder: str) -> DataFrame:
+    """Host table of those documents."""
+    documents = host_documents(spark, folder)
     return host_table(documents.select(F.from_json("value", HOSTS).alias("d")).select("d.hosts"))

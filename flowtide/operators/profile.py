@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import isfinite
+from math import ceil, isfinite
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from flowtide.functions.stats import missing, present, presented
+from flowtide.session import materialize
 
 
 def _rows(one_row: DataFrame, columns: Sequence[str], names: Sequence[str],
@@ -22,38 +23,62 @@ def _rows(one_row: DataFrame, columns: Sequence[str], names: Sequence[str],
     return one_row.select(entry.alias("row")).select("row.*")
 
 
+STATS = ("count", "mean", "min", "max", "variance", "stddev")
+
+
+def _stats(column: str) -> list[Column]:
+    return [F.count(column).alias("count"), F.avg(column).alias("mean"),
+            F.min(column).alias("min"), F.max(column).alias("max"),
+            F.var_samp(column).alias("variance"), F.stddev_samp(column).alias("stddev")]
+
+
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, min, max, sample variance and deviation of the values present, one row
     per column."""
-    names = ("count", "mean", "min", "max", "variance", "stddev")
     row = df.select(*[present(df, c).alias(c) for c in columns]).agg(*[
-        F.struct(
-            F.count(c).alias("count"), F.avg(c).alias("mean"),
-            F.min(c).alias("min"), F.max(c).alias("max"),
-            F.var_samp(c).alias("variance"), F.stddev_samp(c).alias("stddev"),
-        ).alias(c) for c in columns
-    ])
-    return _rows(row, columns, names)
+        F.struct(*_stats(c)).alias(c) for c in columns])
+    return _rows(row, columns, STATS)
+
+
+# Values that one task should sort at most, and the finest cut a sketch makes.
+PIECE_ROWS, FINEST = 1_000_000, 8192
+
+
+def _written(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles in a written table, for input that is read more than once."""
+    named = df.select(*[present(df, c).alias(c) for c in columns])
+    return named if hasattr(df, "written_to") else materialize(named, "columns")
+
+
+def _stats_and_cuts(named: DataFrame, columns: Sequence[str]) -> Row:
+    """Statistics and a sketch of each column, in one aggregation: one row."""
+    grid = [i / FINEST for i in range(1, FINEST)]
+    return named.agg(*[F.struct(*_stats(c)).alias(c) for c in columns], *[
+        F.percentile_approx(c, grid, 5 * FINEST).alias(f"{c}_cuts") for c in columns]).first()
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-              pieces: int = 256) -> DataFrame:
+def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Exact interpolated quantiles, (feature, n, values), without sorting in one task.
 
-    A sketch cuts each column into about equal ``pieces``. Rows are reduced to distinct
-    values with counts, the totals of the pieces tell which piece holds each wanted rank,
-    and only those pieces are sorted, each on its own. A task never sees more than one
-    piece of the distinct values of one column.
+    A sketch cuts each column into pieces of about ``PIECE_ROWS`` values, so their number grows with
+    the rows. Rows are reduced to distinct values with counts, the totals of the pieces tell which
+    piece holds each wanted rank, and only those pieces are sorted, each on its own. A computed input
+    is written once and read twice.
     """
+    named = _written(df, columns)
+    return _quantiles(named, columns, probabilities, _stats_and_cuts(named, columns))
+
+
+def _quantiles(named: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
+               sketch: Row) -> DataFrame:
     probabilities = [float(p) for p in probabilities]
-    grid = [i / pieces for i in range(1, pieces)]
-    named = df.select(*[present(df, c).alias(c) for c in columns])
-    cuts = named.agg(
-        *[F.percentile_approx(c, grid, 100 * pieces).alias(c) for c in columns]).first()
-    edges = [
-        [float("-inf"), *(sorted({v for v in cuts[c] or [] if isfinite(v)}) or [0.0]), float("inf")]
-        for c in columns
-    ]
+
+    def inner(c: str) -> list[float]:
+        wanted = min(FINEST, max(16, ceil(sketch[c]["count"] / PIECE_ROWS)))
+        cuts = (sketch[f"{c}_cuts"] or [])[FINEST // wanted - 1::FINEST // wanted]
+        return sorted({v for v in cuts if isfinite(v)}) or [0.0]
+
+    edges = [[float("-inf"), *inner(c), float("inf")] for c in columns]
     pieced = Bucketizer(
         splitsArray=edges, inputCols=list(columns),
         outputCols=[f"{c}_piece" for c in columns], handleInvalid="keep",
@@ -68,7 +93,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
         F.col("value").isNotNull() & F.col("piece").isNotNull())
     counts = values.groupBy("feature", "piece", "value").agg(F.count(F.lit(1)).alias("rows"))
 
-    # At most `pieces` + 2 rows per column from here to `wanted`.
+    # At most `FINEST` + 2 rows per column from here to `wanted`.
     totals = counts.groupBy("feature", "piece").agg(F.sum("rows").alias("total"))
     by_feature = Window.partitionBy("feature")
     placed = totals.withColumns({
@@ -102,11 +127,15 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, min, quartiles and max, one row per column."""
-    quartiles = quantiles(df, columns, (0.25, 0.5, 0.75)).select(
+    """Count, mean, deviation, min, quartiles and max, one row per column: two scans of a written table."""
+    named = _written(df, columns)
+    sketch = _stats_and_cuts(named, columns)
+    quartiles = _quantiles(named, columns, (0.25, 0.5, 0.75), sketch).select(
         "feature", *[F.col("values")[i].alias(q) for i, q in enumerate(("q25", "q50", "q75"))])
-    return (column_stats(df, columns)
-            .join(quartiles, "feature", "left")
+    stats = df.sparkSession.createDataFrame(
+        [(c, *sketch[c]) for c in columns],
+        "feature string, count long, mean double, min double, max double, variance double, stddev double")
+    return (stats.join(quartiles, "feature", "left")
             .select("feature", "count", "mean", "stddev", "min", "q25", "q50", "q75", "max"))
 
 

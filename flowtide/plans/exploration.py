@@ -21,8 +21,9 @@ def explore(features: DataFrame, columns: Sequence[str] = MODEL_FEATURES,
             ks: Iterable[int] = range(1, 10), k: int = 3, seed: int = 0) -> dict[str, DataFrame]:
     """The tables of an exploration session, by name."""
     columns = list(columns)
+    features = features if hasattr(features, "written_to") else materialize(features, "explored")
     cleaned = profile.exclude_values(features.select(*columns), outlier_column, outliers)
-    scaled = materialize(standardize(cleaned, columns, sigma="population"), "scaled")
+    scaled = standardize(cleaned, columns, sigma="population")
     centers = centers_of(fit_kmeans(assemble(scaled, columns), k, seed))
     labelled = assign(scaled, columns, centers)
     return {

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,12 +30,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_job: ContextVar[str | None] = ContextVar("job", default=None)
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's ``spark.checkpoint.dir``.
+    """A fresh folder below the current job's, or else below the cluster's ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = _job.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
@@ -40,6 +46,21 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def job_tables(spark: SparkSession) -> Iterator[str]:
+    """Everything written on the way inside lies in one folder, which is removed at the end.
+
+    Results are read from those tables, so they have to be written or collected inside.
+    """
+    folder = new_folder(spark, "job")
+    token = _job.set(folder)
+    try:
+        yield folder
+    finally:
+        _job.reset(token)
+        remove_folder(spark, folder)
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 

@@ -11,6 +11,8 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from flowtide.session import job_tables  # noqa: E402
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -37,8 +39,9 @@ def rows_of(columns, rows):
 
 def compare(spark, connection, folder, build, sql) -> tuple[bool, str]:
     """Whether both sides agree in columns, row count and every value."""
-    frame = build(spark, folder)
-    ours = rows_of(frame.columns, [tuple(r) for r in frame.collect()])
+    with job_tables(spark):
+        frame = build(spark, folder)
+        ours = rows_of(frame.columns, [tuple(r) for r in frame.collect()])
     result = connection.execute(sql)
     theirs = rows_of([d[0] for d in result.description], result.fetchall())
     if ours[0] != theirs[0]:
@@ -65,7 +68,8 @@ def main() -> None:
             if name in oracles:
                 good, note = compare(spark, connection, folder, build, oracles[name])
             else:
-                good, note = True, f"{build(spark, folder).count()} rows, no SQL"
+                with job_tables(spark):
+                    good, note = True, f"{build(spark, folder).count()} rows, no SQL"
         except Exception as error:  # noqa: BLE001
             good, note = False, f"{type(error).__name__}: {str(error)[:400]}"
         print(f"{'ok  ' if good else 'FAIL'} {name:24s} {time.time() - start:6.2f}s  {note}", flush=True)

@@ -319,3 +319,22 @@ def test_rules_from_both_detectors(spark, hosts, store):
 def test_euclidean(spark):
     df = points(spark, [(3, 4, 0)])
     assert df.select(euclidean([F.col(c) for c in XYZ], [0.0, 0.0, 0.0])).first()[0] == 5.0
+
+
+def test_nothing_learnt_flags_nothing(spark):
+    columns = "srcAddr string, sumOfBytes double, uniqDstIPs double, uniqDstPorts double"
+    live = spark.createDataFrame([("a", 1e9, 1.0, 2.0), ("b", float("nan"), None, 1.0)], columns)
+    empty = score.upper_limits(thresholds.sigma_thresholds(live.limit(0), MODEL_FEATURES))
+    assert set(empty.values()) == {None}
+    assert score.exceedances(live, empty).count() == score.exceedances_by_join(live, empty).count() == 0
+    limits = score.upper_limits(thresholds.sigma_thresholds(live, MODEL_FEATURES))
+    assert limits["sumOfBytes"] == 1e9 and limits["uniqDstIPs"] == 1.0
+    assert score.exceedances(live.filter("srcAddr = 'b'"), {**limits, "sumOfBytes": 5.0}).count() == 0
+
+
+def test_rows_without_a_distance_are_not_scored(spark):
+    model = [{"cluster": 0, "center": [0.0] * 3, "mean": [0.0] * 3, "stddev": [1.0] * 3, "threshold": 1.0}]
+    live = spark.createDataFrame([("nan", float("nan"), 5.0, 5.0), ("null", None, 5.0, 5.0), ("far", 5.0, 5.0, 5.0)],
+                                 "srcAddr string, sumOfBytes double, uniqDstIPs double, uniqDstPorts double")
+    found = {r["srcAddr"]: (r["anomaly"], r["distance"] is None) for r in score.score(live, model).collect()}
+    assert found == {"nan": (False, True), "null": (False, True), "far": (True, False)}

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowtide.operators import profile
+from flowtide.session import job_tables, materialize
 
 
 def one_column(spark, values):
@@ -18,7 +19,7 @@ def one_column(spark, values):
 ])
 def test_quantiles_match_numpy(spark, values):
     probabilities = (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0)
-    row = profile.quantiles(one_column(spark, values), ["x"], probabilities, pieces=16).first()
+    row = profile.quantiles(one_column(spark, values), ["x"], probabilities).first()
     present = [v for v in values if v is not None]
     assert row["n"] == len(present)
     assert row["values"] == pytest.approx(np.quantile(present, probabilities).tolist())
@@ -102,3 +103,32 @@ def test_missing_values_and_infinities(spark):
     assert profile.quantiles(wild, ["x"], (0.25, 0.5, 0.75)).first()["values"] == [1.0, 2.0, 3.0]
     empty = profile.describe(one_column(spark, [None, float("nan")]), ["x"]).first()
     assert empty["count"] == 0 and empty["q50"] is None
+
+
+def test_text_and_nan_are_handled(spark):
+    rows = spark.createDataFrame([("a", 1.0, 2), (None, float("nan"), 0), ("", None, None)], "t string, x double, n int")
+    report = {r["feature"]: (r["rows"], r["null_rows"], r["zero_rows"]) for r in profile.quality_report(rows, ("t", "x", "n")).collect()}
+    assert report == {"t": (3, 1, 0), "x": (3, 2, 0), "n": (3, 1, 1)}
+    assert profile.null_rows(rows, "t").count() == 1 and profile.zero_rows(rows, "t").count() == 0
+    assert [tuple(r) for r in profile.value_counts(rows, "x").collect()] == [(1.0, 1)]
+
+
+def test_describe_reads_a_written_table_twice(spark):
+    with job_tables(spark):
+        table = materialize(spark.range(1000).selectExpr("cast(id as double) as x", "cast(id % 7 as double) as y"), "t")
+        found = profile.describe(table, ["x", "y"])
+        row = {r["feature"]: r for r in found.collect()}
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("FileScan") == 1  # the second pass; the first one was statistics and sketch
+    assert row["x"]["q50"] == 499.5 and row["y"]["max"] == 6
+
+
+def test_job_tables_leave_nothing(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        with job_tables(spark):
+            assert materialize(spark.range(5), "t").count() == 5
+            assert any(tmp_path.iterdir())
+        assert not any(tmp_path.iterdir())
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
