@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from flowtide.operators import profile
-from flowtide.session import job_tables, materialize
+from flowtide.session import discard, job_tables, materialize
 
 
 def one_column(spark, values):
@@ -123,12 +125,11 @@ def test_describe_reads_a_written_table_twice(spark):
     assert row["x"]["q50"] == 499.5 and row["y"]["max"] == 6
 
 
-def test_job_tables_leave_nothing(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        with job_tables(spark):
-            assert materialize(spark.range(5), "t").count() == 5
-            assert any(tmp_path.iterdir())
-        assert not any(tmp_path.iterdir())
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_job_tables_leave_nothing(spark):
+    with job_tables(spark) as folder:
+        table = materialize(spark.range(5), "t")
+        assert table.count() == 5 and table.written_to.startswith(folder) and Path(table.written_to).exists()
+    assert not Path(folder).exists()
+    alone = materialize(spark.range(5), "t")
+    discard(alone)
+    assert not Path(alone.written_to).exists()
