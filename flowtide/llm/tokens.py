@@ -53,13 +53,14 @@ class Encoder:
         added = self.model.get_added_tokens_decoder()
         self.special = [t.content for t in added.values()]
         mark = max(added, default=None)
+        self.kind = np.uint16 if self.size <= 1 << 16 else np.int32
         self.mark, self.between = mark, added[mark].content if added else None
         self._clear()
 
     def _clear(self) -> None:
         self.known = np.zeros(0, U64)
-        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.start, self.length = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.flat, self.used = np.zeros(1 << 16, self.kind), 0
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of different words, end to end, and how many each has."""
@@ -88,18 +89,18 @@ class Encoder:
             flat, length = self._encode_words([text[i] for i in part])
             own = hashes[list(part)] if odd else hashes
             if self.used + len(flat) > len(self.flat):
-                self.flat = np.concatenate([self.flat[:self.used], np.zeros(self.used + len(flat), np.int32)])
+                self.flat = np.concatenate([self.flat[:self.used], np.zeros(self.used + len(flat), self.kind)])
             self.flat[self.used:self.used + len(flat)] = flat
-            start = self.used + np.cumsum(length) - length
+            start = (self.used + np.cumsum(length) - length).astype(np.int32)
             self.used += len(flat)
             known = np.concatenate([self.known, own])
             order = np.argsort(known, kind="stable")
             self.known = known[order]
             self.start = np.concatenate([self.start, start])[order]
-            self.length = np.concatenate([self.length, length])[order]
+            self.length = np.concatenate([self.length, length.astype(np.int32)])[order]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end (int32), and the offsets of each text in them."""
+        """Ids of all texts end to end, and the offsets of each text in them."""
         words = split_words(texts)
         if len(self.known) > KEPT:
             self._clear()
