@@ -118,18 +118,24 @@ def _survey(docs: DataFrame, n: int, counters: int) -> tuple[DataFrame, np.ndarr
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for s, c in zip(batch.column("segment").to_pylist(), batch.column("counts")):
-                part = np.frombuffer(c.as_buffer(), "u1" if c.as_buffer().size == segment else "<u4").astype("<u4")
-                sums[s] = sums[s] + part if s in sums else part
+                part = np.frombuffer(c.as_buffer(), "u1" if c.as_buffer().size == segment else "<u2").astype("<u4")
+                sums[s] = np.minimum(sums[s] + part, 65_535) if s in sums else part  # enough for an order
         yield pa.RecordBatch.from_pydict({
-            "segment": pa.array(sums, pa.int32()), "counts": pa.array([c.tobytes() for c in sums.values()], pa.binary())})
+            "segment": pa.array(sums, pa.int32()), "counts": pa.array([c.astype("<u2").tobytes() for c in sums.values()], pa.binary())})
+
+    def merge(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(add(iter(table.select(["segment", "counts"]).combine_chunks().to_batches()))))
 
     kept = survey.filter("segment is not null").select("segment", "counts")
     partial = kept.mapInArrow(add, "segment int, counts binary")  # combined where it was counted
-    rows = partial.groupBy("segment").applyInArrow(
-        lambda t: pa.Table.from_batches(list(add(iter(t.combine_chunks().to_batches())))), "segment int, counts binary").collect()
+    lots = max(1, round(partial.rdd.getNumPartitions() ** 0.5))  # then in two steps, so no task meets all of a segment
+    for key in ([F.pmod(F.spark_partition_id(), F.lit(lots)).alias("lot")], []):
+        partial = (partial.select("segment", "counts", *key).groupBy("segment", *(["lot"] if key else []))
+                   .applyInArrow(merge, "segment int, counts binary"))
+    rows = partial.collect()
     total = np.zeros(counters, np.float64)  # `counters` numbers, whatever the corpus
     for r in rows:
-        total[r["segment"] * segment:(r["segment"] + 1) * segment] = np.frombuffer(r["counts"], np.uint32)
+        total[r["segment"] * segment:(r["segment"] + 1) * segment] = np.frombuffer(r["counts"], "<u2")
     usual = total.mean() + 4 * np.sqrt(total.mean()) + 4  # what rare shingles that share a counter come to
     level = np.ceil(4 * np.log2(1 + np.maximum(0, total - usual))).clip(0, 255).astype(np.uint8)
     return survey.filter("segment is null").select("doc_id", "size", "f1", "f2"), level
@@ -377,7 +383,7 @@ def classes_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, counte
     """
     blocks, buckets = sizes(docs)
     if counters is None:
-        counters = min(MOST_COUNTERS, max(LEAST_COUNTERS, 1 << (blocks * BLOCK_BYTES // 200).bit_length()))
+        counters = min(MOST_COUNTERS, max(LEAST_COUNTERS, 1 << round(np.log2(blocks * BLOCK_BYTES / 200))))
     survey, level = _survey(docs, n, counters)
     classes = written(survey.filter("size > 0").groupBy(F.col("f1").alias("node"), "f2").agg(
         F.min("doc_id").alias("component")), "classes")
