@@ -7,6 +7,10 @@ A line without a word is neutral. A line with words fails when one of the rules
 * ``symbols``: more than three characters of ``[#*$%&|<>]`` per ten words,
 * ``boilerplate``: it holds a stock phrase of notices, menus or licences.
 
+``judge`` reports these rules as QUALITY_SQL states them. ``clean``, which drops text, spares what they take with it:
+a line of ten words or more that holds a finished sentence does not fail ``punctuation``, and end marks of other
+scripts count.
+
 A document is rejected when its base measures fail (fewer than 10 words, or more than a fifth of
 its words in repeated 5-word windows) or when more than half of its words were in failing lines.
 
@@ -17,6 +21,7 @@ not read by ``judge`` and pass through ``clean`` unchanged. Long texts are read
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +45,11 @@ MIN_WORDS, MAX_REPEAT, MAX_LOST, REPEAT_WINDOW = 10, 20, 50, 5
 FIELDS = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
           "n_repeat_words long, n_failed_lines long, n_lost_words long, base_failed boolean, kept boolean")
 
+#: End marks of any script, for ``clean``: Latin ones finish a sentence before white space, the others anywhere.
+OTHER_ENDERS = "。！？｡．؟۔।॥።፧፨։။។᠃‽⁇⁈⁉⸮"
+_FINISHED = re.compile(rf"[^\W_][.!?…]+[\"'”’)\]»]*[ \t\r\x0b\x0c]|[{OTHER_ENDERS}]")
+_ALL_CLOSERS, _ALL_ENDERS = "\"'”’)]»」』）】》〉〕", (".", "!", "?", "…", *OTHER_ENDERS)
+
 _SPACES, _CLOSERS, _ENDERS = " \t\r\x0b\x0c", "\"'”’)]»", (".", "!", "?", "…")
 _PHRASE_BYTES = [p.encode() for p in PHRASES]
 _LETTERS = ~SPACE & ((np.arange(256) & 0xC0) != 0x80)
@@ -52,6 +62,13 @@ def unended(line: str) -> bool:
     return not line.rstrip(_SPACES).rstrip(_CLOSERS).endswith(_ENDERS)
 
 
+def unfinished(line: str, n: int) -> bool:
+    """Whether a line of ``n`` words lacks terminal punctuation and is short or holds no finished sentence."""
+    if line.rstrip(_SPACES).rstrip(_ALL_CLOSERS).endswith(_ALL_ENDERS):
+        return False
+    return n < MIN_WORDS or not _FINISHED.search(line)
+
+
 def has_phrase(line: bytes) -> bool:
     """Whether a line of bytes, A-Z lowered, holds a stock phrase."""
     return any(p in line for p in _PHRASE_BYTES)
@@ -114,7 +131,8 @@ def _measure(texts: pa.Array, keep_text: bool) -> tuple[dict[str, np.ndarray], l
             if n:
                 again += line in seen
                 seen.add(line)
-                fails = line_bad[place + k] or unended(line) or (phrases is not None and phrases[k])
+                open_end = unfinished(line, n) if keep_text else unended(line)
+                fails = line_bad[place + k] or open_end or (phrases is not None and phrases[k])
             if fails:
                 bad += 1
                 gone += n

@@ -90,6 +90,15 @@ def test_clean_keeps_columns_and_good_lines(spark):
     assert len(out) == 3 and quality.clean(docs.limit(0)).count() == 0
 
 
+def test_clean_keeps_paragraphs_without_a_last_mark(spark):
+    prose = "The first sentence has ended. The second one of this paragraph has ended too. A third one follows"
+    hindi = "यह एक लंबा वाक्य है जो कई शब्दों में लिखा गया है।"
+    rows = [(1, prose), (2, hindi), (3, "No sentence of this long line of words has come to its end yet"),
+            (4, prose + "\nHome. About"), (5, hindi + " दूसरा वाक्य अभी चल रहा")]
+    found = {r["doc_id"]: r["text"] for r in quality.clean(table(spark, rows)).collect()}
+    assert found == {1: prose, 2: hindi, 4: prose, 5: rows[4][1]}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><article>";</script></head>
 <body><header>Site</header><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice">We care</div>
 <div class="layout"><aside>Side words here</aside><article><header>By someone</header><h1>Head &amp; shoulders</h1>
