@@ -9,7 +9,7 @@ A line without a word is neutral. A line with words fails when one of the rules
 
 ``judge`` reports these rules as QUALITY_SQL states them. ``clean``, which drops text, spares what they take with it:
 a line of ten words or more that holds a finished sentence does not fail ``punctuation``, and end marks of other
-scripts count.
+scripts count; a stock phrase fails a line only at word borders and with at most ``PHRASE_WORDS`` words a phrase.
 
 A document is rejected when its base measures fail (fewer than 10 words, or more than a fifth of
 its words in repeated 5-word windows) or when more than half of its words were in failing lines.
@@ -50,6 +50,9 @@ OTHER_ENDERS = "。！？｡．؟۔।॥።፧፨։။។᠃‽⁇⁈⁉⸮"
 _FINISHED = re.compile(rf"[^\W_][.!?…]+[\"'”’)\]»]*[ \t\r\x0b\x0c]|[{OTHER_ENDERS}]")
 _ALL_CLOSERS, _ALL_ENDERS = "\"'”’)]»」』）】》〉〕", (".", "!", "?", "…", *OTHER_ENDERS)
 
+PHRASE_WORDS = 15
+_PHRASE = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, PHRASES))})s?(?!\w)")
+
 _SPACES, _CLOSERS, _ENDERS = " \t\r\x0b\x0c", "\"'”’)]»", (".", "!", "?", "…")
 _PHRASE_BYTES = [p.encode() for p in PHRASES]
 _LETTERS = ~SPACE & ((np.arange(256) & 0xC0) != 0x80)
@@ -74,6 +77,11 @@ def has_phrase(line: bytes) -> bool:
     return any(p in line for p in _PHRASE_BYTES)
 
 
+def phrases_rule(line: bytes, n: int) -> bool:
+    """Whether whole stock phrases dominate a line of ``n`` words, given in bytes with A-Z lowered."""
+    return n <= PHRASE_WORDS * len(_PHRASE.findall(line.decode()))
+
+
 def count_bytes(data: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> np.ndarray:
     """How many bytes of each range are among ``values`` (a 256-entry mask)."""
     out = np.zeros(len(offsets), np.int64)
@@ -121,7 +129,7 @@ def _measure(texts: pa.Array, keep_text: bool) -> tuple[dict[str, np.ndarray], l
     for d, text in enumerate(texts.to_pylist()):
         lines = (text or "").split("\n")
         low = words.data[words.offsets[d]:words.offsets[d + 1]].tobytes().lower()
-        phrases = [has_phrase(x) for x in low.split(b"\n")] if has_phrase(low) else None
+        low_lines = low.split(b"\n") if has_phrase(low) else None
         seen: set[str] = set()
         again = bad = gone = 0
         good = []
@@ -132,7 +140,8 @@ def _measure(texts: pa.Array, keep_text: bool) -> tuple[dict[str, np.ndarray], l
                 again += line in seen
                 seen.add(line)
                 open_end = unfinished(line, n) if keep_text else unended(line)
-                fails = line_bad[place + k] or open_end or (phrases is not None and phrases[k])
+                fails = line_bad[place + k] or open_end or (low_lines is not None and has_phrase(low_lines[k]) and (
+                    not keep_text or phrases_rule(low_lines[k], n)))
             if fails:
                 bad += 1
                 gone += n

@@ -99,6 +99,15 @@ def test_clean_keeps_paragraphs_without_a_last_mark(spark):
     assert found == {1: prose, 2: hindi, 4: prose, 5: rows[4][1]}
 
 
+def test_clean_keeps_lines_that_a_phrase_does_not_dominate(spark):
+    recipe = "Stir the dough and bake each cookie for ten minutes. " + " ".join(f"w{i}" for i in range(30)) + "."
+    border = "Every entry of the catalog in this library has a dialog in three languages for visitors."
+    menu = recipe + "\nWe use Cookies here. Click here or read more about them."
+    found = {r["doc_id"]: r["text"] for r in quality.clean(table(spark, [(1, recipe), (2, border), (3, menu), (
+        4, "We use cookies on all pages of this site, so please accept them.")])).collect()}
+    assert found == {1: recipe, 2: border, 3: recipe}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><article>";</script></head>
 <body><header>Site</header><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice">We care</div>
 <div class="layout"><aside>Side words here</aside><article><header>By someone</header><h1>Head &amp; shoulders</h1>
