@@ -6,7 +6,9 @@ container (tag and class, backing off to the tag), a tag's on its name. Labelled
 mark their content themselves with one article or main element, out of a sample of about ``LABELLED`` pages
 (those with the smallest key hashes); the labels are never read when a page is scored. One scan of running sums finds the best
 contiguous region. Elements inside it that are no content (menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles, comments) are left out. Character references are decoded, white space
+adverts, forms, scripts, styles, comments) are left out. A notice, sidebar or form by its class or name that holds
+an article or main element, or most words of a page without one, is none: the weights decide. An open head ends where
+other elements or text begin. Character references are decoded, white space
 in a block becomes one space, blocks are joined by one space.
 
 A null or empty page, or one without any positive run, has the empty text. Unclosed and stray tags are
@@ -20,9 +22,11 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,11 +48,16 @@ CONTAINERS = NO_CONTENT | {"html", "body", "article", "main", "section", "div",
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby "
                    "s samp small span strike strong sub sup time tt u var wbr".split())
-NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|notice\w*|popup|modal|"
-    r"nav\w*|menu\w*|breadcrumb\w*|header|masthead|footer|sidebar\w*|side|widget\w*|related|share\w*|sharing|social|"
-    r"comment\w*|disqus|respond|repl(?:y|ies)|newsletter|subscribe\w*|signup|login|search|pagination|pager|toolbar|"
-    r"copyright|legal)(?:$|[\s_-])", re.IGNORECASE)
+_NOISE = (
+    r"(?:ads?|advert~|sponsor~|promo~|banner~|cookie~|consent|notice~|popup|modal|nav~|menu~|breadcrumb~|header|masthead|"
+    r"footer|sidebar~|side|widget~|related|share~|sharing|social|comment~|disqus|respond|repl(?:y|ies)|newsletter|"
+    r"subscribe~|signup|login|search|pagination|pager|toolbar|copyright|legal)").replace("~", r"[^\W_]*")
+_PLACE = (r"(?:site|page|main|top|bottom|left|right|global|primary|secondary|mobile|desktop|post|entry|article|box|bar|lists?|"
+          r"links?|items?|blocks?|area|wrap|wrapper|container|section|inner|buttons?|icons?|text|title|content|panel|slot|"
+          r"unit|\d[^\W_]*)")
+#: A whole token of class, id or role that names a notice, menu or the like; states (no-sidebar, comment-open) do not.
+NOISE = re.compile(rf"(?:^|(?<=\s))(?:{_PLACE}[_-]+)*{_NOISE}(?:[_-]+(?:{_NOISE}|{_PLACE}))*(?=\s|$)", re.IGNORECASE)
+IN_HEAD = frozenset("head title base basefont bgsound link meta script style noscript noframes template".split())
 
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -70,22 +79,47 @@ def _close(name: str) -> re.Pattern:
 class Token:
     """A tag (``text`` is None) or a stretch of text."""
 
-    __slots__ = ("text", "name", "container", "dropped", "content")
+    __slots__ = ("text", "name", "container", "dropped", "content", "hard")
 
-    def __init__(self, text: str | None, name: str, container: str, dropped: bool, content: bool) -> None:
+    def __init__(self, text: str | None, name: str, container: str, dropped: bool, content: bool, hard: bool = False) -> None:
         self.text, self.name, self.container, self.dropped, self.content = text, name, container, dropped, content
+        self.hard = hard  # dropped by the kind of element, not by its class
 
 
 def tokens(page: str) -> list[Token]:
-    """The page as tags and texts, each with its innermost container and whether it is dropped or labelled."""
+    """The page as tags and texts, each with its innermost container and whether it is dropped or labelled.
+
+    An element whose class speaks of noise, or a form, stays if it holds an article or main element, or most words of
+    a page without one.
+    """
+    out, noisy, articles = _parsed(page, frozenset())
+    if not noisy:
+        return out
+    words = list(accumulate((0 if t.text is None or t.hard else len(t.text.split()) for t in out), initial=0))
+    spared = frozenset(at for at, low, high in noisy if bisect_left(articles, low) < bisect_left(articles, high)
+                       or not articles and 2 * (words[high] - words[low]) > words[-1])
+    return _parsed(page, spared)[0] if spared else out
+
+
+def _parsed(page: str, spared: frozenset[int]) -> tuple[list[Token], list[list[int]], list[int]]:
+    """The tokens; place in the page, first and end token of each element dropped as noise; the articles' tokens."""
     out: list[Token] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # name, key, dropped, content
+    noisy: list[list[int]] = []
+    articles: list[int] = []
+    # name, key, dropped, content, hard, its number among the noisy
+    stack: list[tuple[str, str, bool, bool, bool, int]] = [("", "", False, False, False, -1)]
     at, size = 0, len(page)
 
     def text(part: str) -> None:
         if part:
-            _, key, dropped, content = stack[-1]
-            out.append(Token(part, "", key, dropped, content))
+            if stack[-1][0] == "head" and part.strip():
+                stack.pop()
+            _, key, dropped, content, hard, _ = stack[-1]
+            out.append(Token(part, "", key, dropped, content, hard))
+
+    def noise(start: int) -> int:
+        noisy.append([start, len(out), size])
+        return len(noisy) - 1
 
     while at < size:
         found = _PIECE.search(page, at)
@@ -96,28 +130,40 @@ def tokens(page: str) -> list[Token]:
         name = (found["name"] or "").lower()
         if not name:
             continue
-        _, key, dropped, content = stack[-1]
+        if stack[-1][0] == "head" and name not in IN_HEAD and not found["close"]:
+            stack.pop()  # </head> may be left out
+        _, key, dropped, content, hard, _ = stack[-1]
         if found["close"]:
             if name in CONTAINERS and any(s[0] == name for s in stack):
-                while stack.pop()[0] != name:
-                    pass  # what was not closed ends here
+                while True:
+                    ended = stack.pop()
+                    if ended[5] >= 0:
+                        noisy[ended[5]][2] = len(out)
+                    if ended[0] == name:
+                        break  # what was not closed ends here
             out.append(Token(None, "/" + name, stack[-1][1], stack[-1][2], stack[-1][3]))
             continue
         rest = found["rest"]
         marks = " ".join(a or b or c for a, b, c in _ATTRIBUTE.findall(rest))
-        gone = dropped or name in NO_CONTENT or bool(_HIDDEN.search(rest)) or (
-            name not in ("html", "body", *CONTENT) and bool(NOISE.search(marks)))
+        hard = hard or name in NO_CONTENT and name != "form" or bool(_HIDDEN.search(rest))
+        named = bool(NOISE.search(marks))
+        soft = not hard and found.start() not in spared and (
+            name == "form" or named and name not in ("html", "body", *CONTENT))
+        gone = dropped or hard or soft
+        if name in CONTENT and not hard and not named:
+            articles.append(len(out))
         if name in RAW:
             end = _END[name].search(page, at)
             if not rest.endswith("/"):
                 at = end.start() if end else size
-            out.append(Token(None, name, key, True, content))
+            out.append(Token(None, name, key, True, content, True))
             continue
-        out.append(Token(None, name, key, gone, content))
+        number = noise(found.start()) if soft and name not in VOID else -1
+        out.append(Token(None, name, key, gone, content, hard))
         if name in VOID:
             continue
         if name in CONTAINERS:
-            stack.append((name, f"{name}.{marks}" if marks else name, gone, content or name in CONTENT))
+            stack.append((name, f"{name}.{marks}" if marks else name, gone, content or name in CONTENT, hard, number))
         elif gone and not dropped:  # a paragraph, item or inline element that is no content: up to its end
             end = _close(name).search(page, at)
             stop = _BLOCK_START.search(page, at) if name not in INLINE else None
@@ -125,10 +171,16 @@ def tokens(page: str) -> list[Token]:
             if ends:
                 part = page[at:min(ends)]
                 if part:
-                    out.append(Token(re.sub(r"<[^>]*>", " ", part), "", f"{name}.{marks}", True, content))
+                    out.append(Token(re.sub(r"<[^>]*>", " ", part), "", f"{name}.{marks}", True, content, hard))
                 at = min(ends)
+            if number >= 0:
+                noisy[number][2] = len(out)
+        elif number >= 0:
+            noisy[number][2] = len(out)
     text(_CUT_OFF.sub("", page[at:]))
-    return out
+    for element in noisy:
+        element[2] = min(element[2], len(out))
+    return out, noisy, articles
 
 
 def features(token: Token) -> tuple[str, str]:

@@ -129,6 +129,31 @@ def test_main_text(spark):
     assert html_main.extract(pages.limit(0), html_main.Weights()).count() == 0
 
 
+STORY = "<article><h1>News of the long day</h1><p>Ten plain words make up the text of this story.</p></article>"
+TOLD = "News of the long day Ten plain words make up the text of this story."
+
+
+@pytest.mark.parametrize("marks", ["layout no-sidebar", "content has-sidebar", "side-by-side", "post comment-open", "sidebar",
+                                   "widget-area", "social"])
+def test_wrappers_of_the_article_stay(marks):
+    for story, told in ((STORY, TOLD), (STORY.replace("article", "section"), TOLD)):
+        page = f'<html><head><title>T</title></head><body><div class="{marks}">{story}<div class="ad">Buy now</div></div></body>'
+        assert html_main.main_text(page, html_main.Weights()) == told
+    assert html_main.main_text(f'<form id="f">{STORY}</form>', html_main.Weights()) == TOLD
+
+
+def test_notices_beside_the_article_go():
+    others = ('<div class="cookie-notice">We care</div><div class="related">Other news</div><div id="comments-list">'
+              '<article class="comment">Nice</article></div><div class="sidebar-primary widget-2">More</div><form>Mail</form>')
+    assert html_main.main_text(STORY + others, html_main.Weights()) == TOLD
+
+
+@pytest.mark.parametrize("start", ["<body>", "<div>", "", "<noscript>x</noscript><main>", "Words stand bare before it. "])
+def test_a_head_without_an_end(start):
+    page = f"<html><head><meta charset=utf-8><title>Title of it</title><script>var a</script>{start}{STORY}"
+    assert html_main.main_text(page, html_main.Weights()) == ("" if "<" in start else start) + TOLD
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(-5, 5).map(float), max_size=12))
 def test_best_run_is_the_best(scores):
