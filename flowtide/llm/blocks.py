@@ -34,9 +34,10 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def dealt(docs: DataFrame, blocks: int, column: str = "block", key: str = "doc_id") -> DataFrame:
-    """The rows with the number of their block."""
-    number = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(blocks)).cast("int")
+def dealt(docs: DataFrame, blocks: int, column: str = "block", key: str = "doc_id", text: str | None = None) -> DataFrame:
+    """The rows with the number of their block, by key, or by key and text where rows are answered one by one."""
+    parts = [F.col(key).cast("long"), *([F.col(text).cast("string")] if text else [])]
+    number = F.pmod(F.xxhash64(*parts), F.lit(blocks)).cast("int")
     return docs.withColumn(column, number)
 
 
