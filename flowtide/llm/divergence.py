@@ -3,15 +3,15 @@
 Kept are the terms found in at least three documents of their language. They are found by iceberg refinement of
 byte prefixes: a prefix found in fewer documents has no kept extension, so only extensions of surviving prefixes
 are counted at the next level, 6, 12, 24, ... bytes, until only whole terms are left. One pass over the texts
-counts the distinct documents of every prefix within a lot of documents; as a document lies in one lot, the
-numbers add up. A second pass counts whole terms by language and source, and only those whose longest level
-prefix survived are summed.
+counts the distinct documents of every prefix within a task; as a document lies in one task, the numbers add up. A
+second pass counts whole terms by language and source; they meet the surviving prefixes of their language in
+buckets, and only terms whose longest level prefix survived are summed.
 
-Terms are compared by their bytes. Each term of a lot is one row with its counts, so a word in every document costs
-one row per lot and source. Kept terms are rows with a list of (source, count), at most one entry per source.
-Pairs of sources are never joined: kept terms lie in groups of some thousand, each group fills a matrix of terms by
-sources and sums the distances of all pairs, and the sums of groups are added. That is as many numbers as the
-result has rows, per group.
+Terms are compared by their bytes. A task adds up its counts before it sends them, so a word in every document costs
+one row per task and source. Kept terms are rows with a list of (source, count), at most one entry per source.
+Pairs of sources are never joined: kept terms lie in groups of some ten thousand, each group fills a matrix of terms
+by sources and sums the distances of all pairs, and the sums of groups are added. That is as many numbers as the
+result has rows, per group. Each group also names every source's best terms.
 
 All arithmetic is on integers. ``per_billion`` is exact up to counts of 2.8e14.
 
@@ -28,22 +28,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowtide.llm.blocks import sizes
 from flowtide.llm.tables import slices, written
-from flowtide.llm.terms import counted, lots, prefixes, totals
+from flowtide.llm.terms import counted, out_batches, pooled, prefixes, totals
 
 MIN_DOCS = 3
 FIRST_LEVEL = 6
 TOP_TERMS = 200
 BILLION = 1_000_000_000
 #: Kept terms of a group of the pairwise sums, and numbers in a matrix at a time.
-GROUP_TERMS, CELLS = 5000, 1 << 21
-_OUT_ROWS = 1 << 16
+GROUP_TERMS, CELLS = 20_000, 1 << 18
 
 PREFIX = "lang string, prefix binary, docs long"
-TERMS = "lang string, source string, term binary, parent binary, docs long, n long"
+TERMS = "key binary, source string, term binary, docs long, n long"
 
 
 def _read(docs: DataFrame) -> DataFrame:
@@ -74,52 +74,56 @@ def parent_prefixes(terms: pa.Array, size: np.ndarray) -> pa.Array:
     return pa.concat_arrays([*cut, terms.slice(0, 0)]).take(pa.array(back))
 
 
-def _coded(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+def _coded(column: pa.Array) -> tuple[np.ndarray, list[str]]:
     coded = column.cast(pa.string()).dictionary_encode()
-    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
 
 
-def _batches(columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
-    batch = pa.RecordBatch.from_pydict(columns)
-    for at in range(0, batch.num_rows, _OUT_ROWS):
-        yield batch.slice(at, _OUT_ROWS)
+def _key(prefix: pa.Array, langs: pa.Array) -> pa.Array:
+    """Prefix and language as one key; a term holds no NUL, so they can be parted again."""
+    return pc.binary_join_element_wise(prefix.cast(pa.binary()), langs.cast(pa.binary()), pa.scalar(b"\0", pa.binary()))
 
 
 def prefix_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each level prefix of longer terms, by language, lot by lot."""
-    for lot in lots(slices(batches)):
-        langs, names = _coded(lot["lang"])
-        found = counted(lot["text"])
-        lengths = pc.binary_length(found.terms).to_numpy()
-        for size in _levels(int(lengths.max(initial=0)))[:-1]:
-            longer = np.flatnonzero(lengths > size)
-            coded = prefixes(found.terms.take(pa.array(longer)), size).dictionary_encode()
-            of = np.full(len(lengths), -1, np.int64)
-            of[longer] = coded.indices.to_numpy()
-            own = of[found.term]
-            text, prefix, _, _ = totals(found.text[own >= 0], len(coded.dictionary), own[own >= 0])
-            lang, prefix, docs, _ = totals(langs[text], len(coded.dictionary), prefix)
-            yield from _batches({
-                "lang": names.take(pa.array(lang)), "prefix": coded.dictionary.take(pa.array(prefix)).cast(pa.binary()),
-                "docs": pa.array(docs, pa.int64())})
+    """Documents of each level prefix of longer terms, by language."""
+    def parts() -> Iterator[tuple]:
+        for batch in slices(batches):
+            langs, names = _coded(batch["lang"])
+            found = counted(batch["text"])
+            lengths = pc.binary_length(found.terms).to_numpy()
+            for size in _levels(int(lengths.max(initial=0)))[:-1]:
+                longer = np.flatnonzero(lengths > size)
+                coded = prefixes(found.terms.take(pa.array(longer)), size).dictionary_encode()
+                of = np.full(len(lengths), -1, np.int64)
+                of[longer] = coded.indices.to_numpy()
+                own = of[found.term]
+                text, prefix, _ = totals(found.text[own >= 0], len(coded.dictionary), own[own >= 0])
+                lang, prefix, docs = totals(langs[text], len(coded.dictionary), prefix)
+                yield names, lang, coded.dictionary.take(pa.array(prefix)), docs
+
+    for names, lang, items, prefix, docs in pooled(parts()):
+        yield from out_batches({
+            "lang": pa.array(names, pa.string()).take(pa.array(lang)),
+            "prefix": items.take(pa.array(prefix)).cast(pa.binary()), "docs": pa.array(docs, pa.int64())})
 
 
 def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents and occurrences of each whole term by language and source, lot by lot."""
-    for lot in lots(slices(batches)):
-        langs, lang_names = _coded(lot["lang"])
-        sources, source_names = _coded(lot["source"])
-        found = counted(lot["text"])
-        lengths = pc.binary_length(found.terms).to_numpy()
-        size = parent_size(lengths)
-        parents = parent_prefixes(found.terms, size)
-        group = langs * max(1, len(source_names)) + sources
-        own, term, docs, n = totals(group[found.text], len(found.terms), found.term, found.times)
-        yield from _batches({
-            "lang": lang_names.take(pa.array(own // max(1, len(source_names)))),
-            "source": source_names.take(pa.array(own % max(1, len(source_names)))),
-            "term": found.terms.take(pa.array(term)).cast(pa.binary()),
-            "parent": parents.take(pa.array(term)).cast(pa.binary()),
+    """Documents and occurrences of each whole term by language and source, with the prefix it depends on."""
+    def parts() -> Iterator[tuple]:
+        for batch in slices(batches):
+            langs, lang_names = _coded(batch["lang"])
+            sources, source_names = _coded(batch["source"])
+            found = counted(batch["text"])
+            group = langs * max(1, len(source_names)) + sources
+            own, term, docs, n = totals(group[found.text], len(found.terms), found.term, np.ones_like(found.times), found.times)
+            yield ([(a, b) for a in lang_names for b in source_names], own, found.terms.take(pa.array(term)), docs, n)
+
+    for names, own, items, term, docs, n in pooled(parts()):
+        lang, source = (pa.array([name[k] for name in names], pa.string()).take(pa.array(own)) for k in (0, 1))
+        parents = parent_prefixes(items, parent_size(pc.binary_length(items).to_numpy()))
+        yield from out_batches({
+            "key": _key(parents.take(pa.array(term)), lang), "source": source,
+            "term": items.take(pa.array(term)).cast(pa.binary()),
             "docs": pa.array(docs, pa.int64()), "n": pa.array(n, pa.int64())})
 
 
@@ -142,17 +146,41 @@ def surviving_prefixes(docs: DataFrame) -> DataFrame:
     return kept
 
 
+def _whole_terms(rows: pa.Table, held: pa.Table) -> pa.Table:
+    """The kept terms among those of a bucket, whose surviving prefixes are in the same bucket."""
+    rows = rows.combine_chunks()
+    short = pc.less_equal(pc.binary_length(rows["term"]), FIRST_LEVEL)
+    rows = rows.filter(pc.or_(short, pc.is_in(rows["key"], value_set=held["key"].combine_chunks())))
+    code = lambda c: rows[c].combine_chunks().dictionary_encode()
+    keys, terms, sources = code("key"), code("term"), code("source")
+    index = lambda c: c.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    docs, n = rows["docs"].to_numpy(), rows["n"].to_numpy()
+    key, term, docs_of, n_of = totals(index(keys), len(terms.dictionary), index(terms), docs, n)
+    number = np.searchsorted(key * max(1, len(terms.dictionary)) + term,
+                             index(keys) * max(1, len(terms.dictionary)) + index(terms))
+    own, source, n_by = totals(number, len(sources.dictionary), index(sources), n)
+    kept = docs_of >= MIN_DOCS
+    listed = kept[own]
+    sizes = np.bincount(own[listed], minlength=len(kept))[kept]
+    langs = pa.array([k.partition(b"\0")[2].decode() for k in keys.dictionary.to_pylist()], pa.string())
+    by = pa.StructArray.from_arrays(
+        [sources.dictionary.take(pa.array(source[listed])), pa.array(n_by[listed], pa.int64())], names=["source", "n"])
+    return pa.table({
+        "lang": langs.take(pa.array(key[kept])), "term": terms.dictionary.take(pa.array(term[kept])).cast(pa.string()),
+        "n": pa.array(n_of[kept], pa.int64()),
+        "by": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), by)})
+
+
 def kept_terms(docs: DataFrame) -> DataFrame:
     """(lang, term, n, by): kept terms with their occurrences, whole and by source."""
-    held = surviving_prefixes(docs).select("lang", F.col("prefix").alias("parent"), F.lit(True).alias("held"))
-    rows = docs.mapInArrow(term_counts, TERMS).join(held, ["lang", "parent"], "left").filter(
-        F.col("held") | (F.octet_length("term") <= FIRST_LEVEL))
-    # The join has dealt the rows by language and prefix, which serves both groupings.
-    by_source = rows.groupBy("lang", "parent", "term", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-    return by_source.groupBy("lang", "parent", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("n"),
-        F.collect_list(F.struct("source", "n")).alias("by"),  # one entry per source
-    ).filter(F.col("docs") >= MIN_DOCS).select("lang", F.col("term").cast("string").alias("term"), "n", "by")
+    _, buckets = sizes(docs)
+    dealt = lambda rows: rows.withColumn(
+        "bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")).groupBy("bucket")
+    rows = docs.mapInArrow(term_counts, TERMS)
+    held = surviving_prefixes(docs).select(
+        F.concat("prefix", F.lit(b"\0"), F.col("lang").cast("binary")).alias("key"))
+    return dealt(rows).cogroup(dealt(held)).applyInArrow(
+        _whole_terms, "lang string, term string, n long, by array<struct<source:string,n:long>>")
 
 
 def groups_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -165,31 +193,24 @@ def groups_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
         "lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("held", "lang_held", "size")])
 
 
-def share(count: Column, total: Column) -> Column:
-    """1 + floor(1e9 * (count + 1) / total), exactly."""
-    return F.lit(1) + F.call_function("div", F.lit(BILLION).cast("decimal(12,0)") * (count + 1).cast("decimal(20,0)"),
-                                      total.cast("decimal(20,0)"))
-
-
 def per_billion(count: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """The same in 64 bits: the factor is taken in two parts, so that no product passes 2^63."""
+    """1 + floor(1e9 * (count + 1) / total) in 64 bits: the factor is taken in two parts, so that no product passes 2^63."""
     whole, rest = np.divmod((count + 1) * 31250, total)
     return 1 + whole * 32000 + rest * 32000 // total
 
 
-def _pair_sums(kept: pa.Table, groups: pa.Table) -> pa.Table:
-    """Distances between all sources of a language over one group of its kept terms."""
-    names = groups["source"].to_pylist()
-    order = sorted(range(len(names)), key=lambda i: names[i])
-    names = [names[i] for i in order]
-    held = groups["held"].to_numpy()[order]
-    total = held + groups["size"].to_numpy()[order]
-    s, sums = len(names), np.zeros((len(names), len(names)), np.int64)
+def _measured(kept: pa.Table, groups: pa.Table) -> pa.Table:
+    """Over one group of a language's kept terms: the distances between all its sources, and each source's best terms."""
+    groups = groups.sort_by("source")
+    names = groups["source"].combine_chunks()
+    total = (groups["held"].to_numpy() + groups["size"].to_numpy())
+    s, sums, best = len(names), np.zeros((len(names), len(names)), np.int64), []
     if kept.num_rows:
+        kept = kept.sort_by("term")
         lists = kept["by"].combine_chunks()
         flat = lists.flatten()
         row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
-        column = pc.index_in(flat.field("source"), pa.array(names, flat.field("source").type)).to_numpy()
+        column = pc.index_in(flat.field("source"), names).to_numpy()
         p = per_billion(flat.field("n").to_numpy(), total[column])
         absent = per_billion(np.zeros(s, np.int64), total)
         step = max(1, CELLS // s)
@@ -200,11 +221,22 @@ def _pair_sums(kept: pa.Table, groups: pa.Table) -> pa.Table:
             for a in range(s):
                 away = share_of[:, a:a + 1] - share_of
                 sums[a] += (away * away // share_of).sum(axis=0)
+        q = per_billion(kept["n"].to_numpy(), (groups["lang_held"].to_numpy() + groups["size"].to_numpy())[:1])[row]
+        value = (p - q) * (p - q) // q
+        above = np.flatnonzero(p > q)
+        order = above[np.lexsort((row[above], -value[above], column[above]))]
+        place = np.arange(len(order)) - np.searchsorted(column[order], column[order])
+        best = order[place < TOP_TERMS]  # the first of all are among the first of each group
     a, b = np.nonzero(~np.eye(s, dtype=bool))
-    texts = pa.array(names, pa.string())
-    return pa.table({
-        "lang": pa.array([groups["lang"][0].as_py()] * len(a), pa.string()), "source": texts.take(pa.array(a)),
-        "item": texts.take(pa.array(b)), "value": pa.array(sums[a, b], pa.int64())})
+    text = lambda x, at: x.take(pa.array(at)).cast(pa.string())
+    rows = [pa.table({"source": text(names, a), "part": pa.array(["pair"] * len(a), pa.string()), "item": text(names, b),
+                      "value": pa.array(sums[a, b], pa.int64())})]
+    if len(best):
+        rows.append(pa.table({
+            "source": text(names, column[best]), "part": pa.array(["term"] * len(best), pa.string()),
+            "item": text(kept["term"].combine_chunks(), row[best]), "value": pa.array(value[best], pa.int64())}))
+    out = pa.concat_tables(rows)
+    return out.add_column(0, "lang", pa.array([groups["lang"][0].as_py()] * out.num_rows, pa.string()))
 
 
 def divergence(docs: DataFrame) -> DataFrame:
@@ -212,28 +244,16 @@ def divergence(docs: DataFrame) -> DataFrame:
     docs = _read(docs)
     kept = written(kept_terms(docs), "kept")
     groups = written(groups_of(docs, kept), "groups")
-    by_group = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-
-    shares = kept.select("lang", F.col("term").alias("item"), F.col("n").alias("lang_n"), F.inline("by")).join(
-        groups, ["lang", "source"]).select(
-        "lang", "source", "item", share(F.col("n"), F.col("held") + F.col("size")).alias("p"),
-        share(F.col("lang_n"), F.col("lang_held") + F.col("size")).alias("q"))
-    away = F.col("p") - F.col("q")
-    terms = (shares.filter(F.col("p") > F.col("q"))
-             .select("lang", "source", "item", F.call_function("div", away * away, F.col("q")).alias("value"))
-             .withColumn("rank", F.row_number().over(by_group)).filter(F.col("rank") <= TOP_TERMS))
-
     buckets = max(1, -(-kept.count() // GROUP_TERMS))
-    dealt = kept.select("lang", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket"), "by")
+    dealt = kept.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
     # Every group of terms needs the sources of its language: as many rows as the group's result has columns.
     asked = groups.select("*", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"))
-    pairs = (dealt.groupBy("lang", "bucket").cogroup(asked.groupBy("lang", "bucket"))
-             .applyInArrow(_pair_sums, "lang string, source string, item string, value long")
-             .groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
-             .withColumn("rank", F.row_number().over(by_group)))
-    named = lambda rows, part: rows.select(
-        "lang", "source", F.lit(part).alias("part"), "item", "value", "rank")
-    return named(pairs, "pair").unionByName(named(terms, "term"))
+    values = dealt.groupBy("lang", "bucket").cogroup(asked.groupBy("lang", "bucket")).applyInArrow(
+        _measured, "lang string, source string, part string, item string, value long")
+    by_group = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
+    return (values.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
+            .withColumn("rank", F.row_number().over(by_group))
+            .filter((F.col("part") == "pair") | (F.col("rank") <= TOP_TERMS)))
 
 
 DIVERGENCE_SQL = rf"""

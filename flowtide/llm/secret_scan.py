@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from flowtide.llm import guess_cost
 from flowtide.llm.guess_cost import MAX_WORD, MIN_WORD
 from flowtide.llm.tables import slices, texts_of, written
-from flowtide.llm.terms import lots, runs
+from flowtide.llm.terms import out_batches, pooled, runs
 
 #: Guesses, as thousandths of the decimal logarithm, from which a value counts as a secret.
 STRONG = 10_000
@@ -100,28 +100,33 @@ def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "row", "base", "found"])
 
 
+def _without_values(texts: pa.Array) -> pa.Array:
+    """The texts with spaces for their spans and values."""
+    hinted = _hinted(texts)
+    if not hinted:
+        return texts
+    whole = texts.to_pylist()
+    for i in hinted:
+        spans = base_spans(whole[i])
+        for start, stop in [*[(a, b) for a, _, b in spans], *values(whole[i], spans)]:
+            whole[i] = whole[i][:start] + " " * (stop - start) + whole[i][stop:]
+    return pa.array(whole, pa.large_string())
+
+
 def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each word occurs outside of spans and values, lot by lot."""
-    for lot in lots(slices(batches)):
-        texts = lot.column("text")
-        hinted = _hinted(texts)
-        if hinted:
-            whole = texts.to_pylist()
-            for i in hinted:
-                spans = base_spans(whole[i])
-                for start, stop in [*[(a, b) for a, _, b in spans], *values(whole[i], spans)]:
-                    whole[i] = whole[i][:start] + " " * (stop - start) + whole[i][stop:]
-            texts = pa.array(whole, pa.large_string())
-        found, _ = runs(texts)
-        coded = found.dictionary_encode()
-        times = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary))
-        terms = coded.dictionary.cast(pa.large_string())
-        length = pc.utf8_length(terms).to_numpy(zero_copy_only=False)
-        kept = np.flatnonzero((length >= MIN_WORD) & (length <= MAX_WORD))
-        out = pa.RecordBatch.from_pydict({"word": terms.take(pa.array(kept)).cast(pa.string()),
-                                          "n": pa.array(times[kept], pa.int64())})
-        for at in range(0, out.num_rows, 1 << 16):
-            yield out.slice(at, 1 << 16)
+    """How often each word occurs outside of spans and values, added up within a task."""
+    def parts() -> Iterator[tuple]:
+        for batch in slices(batches):
+            found, _ = runs(_without_values(batch.column("text")))
+            coded = found.dictionary_encode()
+            times = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary))
+            length = pc.utf8_length(coded.dictionary.cast(pa.large_string())).to_numpy(zero_copy_only=False)
+            kept = np.flatnonzero((length >= MIN_WORD) & (length <= MAX_WORD))
+            yield [None], np.zeros(len(kept), np.int64), coded.dictionary.take(pa.array(kept)), times[kept]
+
+    for _, _, words, word, n in pooled(parts()):
+        yield from out_batches({"word": words.take(pa.array(word)).cast(pa.large_string()).cast(pa.string()),
+                                "n": pa.array(n, pa.int64())})
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

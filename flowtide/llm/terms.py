@@ -16,8 +16,8 @@ import pyarrow.compute as pc
 
 from flowtide.llm.words import text_bytes
 
-#: Text that is counted together in a task; one longer text goes alone.
-LOT_BYTES = 32 << 20
+#: Rows of counts that a task adds up before it sends them on.
+POOL_ROWS = 1_500_000
 
 LETTER = np.zeros(256, bool)
 LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
@@ -40,29 +40,19 @@ def runs(texts: pa.Array, inside: np.ndarray = TERM) -> tuple[pa.Array, np.ndarr
     before[0], before[1:] = False, word[:-1]
     before[borders] = False
     begin = np.flatnonzero(word & ~before)
-    held = np.concatenate([np.zeros(1, np.int64), np.cumsum(word)])
+    after = np.empty_like(word)
+    after[-1], after[:-1] = False, word[1:]
+    after[borders[borders > 0] - 1] = False
+    length = np.flatnonzero(word & ~after) + 1 - begin
     flat = LOWER[data[word]]
-    cuts = np.append(held[begin], len(flat))
+    cuts = np.concatenate([np.zeros(1, np.int64), np.cumsum(length)])
     terms = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(cuts), pa.py_buffer(flat)])
     return terms, np.searchsorted(offsets, begin, "right") - 1
 
 
-def lots(batches: Iterator[pa.RecordBatch], most: int = LOT_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows again in batches of about ``most`` bytes of text."""
-    held, size = [], 0
-    for batch in batches:
-        if held and size + batch.nbytes > most:
-            yield pa.concat_batches(held)
-            held, size = [], 0
-        held.append(batch)
-        size += batch.nbytes
-    if held:
-        yield pa.concat_batches(held)
-
-
 @dataclass
 class Counted:
-    """Distinct terms of a lot, and the distinct (text, term) pairs in order of text."""
+    """Distinct terms of a batch, and the distinct (text, term) pairs in order of text."""
 
     terms: pa.Array      # large_binary, distinct
     text: np.ndarray     # of each pair
@@ -79,17 +69,47 @@ def counted(texts: pa.Array, inside: np.ndarray = TERM) -> Counted:
     return Counted(terms, pairs // size, pairs % size, times)
 
 
-def totals(group: np.ndarray, size: int, term: np.ndarray, times: np.ndarray | None = None):
-    """Distinct (group, term) pairs, how many rows each has, and the sum of ``times``."""
-    code = group.astype(np.int64) * max(1, size) + term
+def totals(group: np.ndarray, size: int, item: np.ndarray, *values: np.ndarray):
+    """Distinct (group, item) pairs and the sums of ``values``, or without any how many rows each has."""
+    code = group.astype(np.int64) * max(1, size) + item
     order = np.argsort(code, kind="stable")
     code = code[order]
     first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-    rows = np.diff(np.append(first, len(code)))
-    total = np.add.reduceat(times[order], first) if times is not None and len(first) else np.zeros(len(first), np.int64)
-    return code[first] // max(1, size), code[first] % max(1, size), rows, total
+    sums = [np.add.reduceat(v[order], first) if len(first) else np.zeros(0, np.int64) for v in values]
+    return code[first] // max(1, size), code[first] % max(1, size), *(sums or [np.diff(np.append(first, len(code)))])
+
+
+def pooled(parts: Iterator[tuple], most: int = POOL_ROWS) -> Iterator[tuple]:
+    """Counts of many slices added up: parts of (labels, group, items, *values) by label and item.
+
+    ``group`` points into the labels of its part. Yields (labels, group, distinct items, item, *sums) whenever ``most``
+    rows have come together, so that memory is bounded however long a task's input is.
+    """
+    labels: dict = {}
+    held: list[tuple] = []
+
+    def summed() -> tuple:
+        coded = pa.concat_arrays([h[1] for h in held]).dictionary_encode()
+        rest = [np.concatenate([h[k] for h in held]) for k in (0, *range(2, len(held[0])))]
+        found = totals(rest[0], len(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False), *rest[1:])
+        return list(labels), found[0], coded.dictionary, *found[1:]
+
+    for names, group, items, *values in parts:
+        own = np.array([labels.setdefault(name, len(labels)) for name in names], np.int64)
+        held.append((own[group], items, *values))
+        if sum(len(h[0]) for h in held) >= most:
+            yield summed()
+            labels, held = {}, []
+    if held:
+        yield summed()
 
 
 def prefixes(terms: pa.Array, size: int) -> pa.Array:
     """The first ``size`` bytes of each."""
     return pc.binary_slice(terms, 0, size)
+
+
+def out_batches(columns: dict[str, pa.Array], rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    batch = pa.RecordBatch.from_pydict(columns)
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
