@@ -29,6 +29,8 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowtide.llm.tables import written
+
 FILTERS = "ABCDE"
 #: Every order, as text and as an array of filter numbers: a constant of 120 x 5 that travels with the plan.
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
@@ -72,7 +74,8 @@ def cells(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.sum("n").alias("n"), F.min("doc_id").alias("first"),
         F.min_by("n", "doc_id").alias("n_first"),  # one row per doc_id here, null keys are passed over
         F.sum(F.when(keyed, 0).otherwise(F.col("n"))).alias("unkeyed"))
-    # A few rows per different text: its parts and labels.
+    # A few rows per different text: its parts and labels. Written, as they are read twice and hold all of the texts' work.
+    copies = written(copies, "copies")
     smallest = copies.groupBy("copy").agg(F.min("first").alias("smallest"))
     met = copies.join(smallest, "copy")
     original = F.col("unkeyed") + F.when(F.col("first") == F.col("smallest"), F.col("n_first")).otherwise(0)
