@@ -501,6 +501,49 @@ BODIES["rows_of_cluster"] = f'SELECT win, "srcAddr", cluster FROM ({BODIES["near
 BODIES["stream_arrival_seconds"] = BODIES["stream_arrival"]
 
 
+# Messages in the parts they arrive in: every 50th a part late, every 501st dated 400 days ahead.
+CTES["arrived"] = """
+    SELECT r.*, date_trunc('milliseconds', r.ts) + CASE WHEN event_id % 501 = 7 THEN INTERVAL 400 DAY ELSE INTERVAL 0 DAY END AS stamped,
+           date_diff('day', DATE '2024-01-01', CAST(r.ts AS DATE)) // 8 + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END AS part
+    FROM (SELECT *, '10.0.0.' || CAST(user_id % 12 + 1 AS VARCHAR) AS "srcAddr", '10.0.1.' || CAST(event_id % 251 AS VARCHAR) AS "dstAddr",
+                 CAST(json_extract_string(props, '$.k') AS BIGINT) AS "dstPort", CAST(round(value * 100) AS BIGINT) AS "numBytes",
+                 1 + event_id % 3 AS "numFlows" FROM events) r"""
+CTES["sorted_out"] = """
+    SELECT *, CAST(date_trunc('day', stamped) AS TIMESTAMP) AS win,
+           CASE "dstPort" WHEN 13 THEN 'unreadable' WHEN 14 THEN 'missing numFlows' WHEN 15 THEN 'missing srcAddr'
+           ELSE CASE WHEN stamped > TIMESTAMP '2024-01-01' + INTERVAL 8 DAY * (part + 1) + INTERVAL 10 MINUTE
+                     THEN 'ahead of arrival' END END AS reason
+    FROM arrived"""
+CTES["part_marks"] = """
+    SELECT p.part, max(s.stamped) - INTERVAL 6 HOUR AS mark
+    FROM (SELECT DISTINCT part FROM sorted_out UNION SELECT 1000000) p
+    JOIN sorted_out s ON s.part < p.part AND s.reason IS NULL GROUP BY p.part"""
+CTES["told_apart"] = """
+    SELECT s.*, CASE WHEN reason IS NOT NULL THEN 'rejected'
+                     WHEN win + INTERVAL 1 DAY <= m.mark THEN 'late' ELSE 'timely' END AS kind
+    FROM sorted_out s LEFT JOIN part_marks m USING (part)"""
+BODIES["stream_late"] = f"""
+    SELECT CASE WHEN win + INTERVAL 1 DAY <= (SELECT mark FROM part_marks WHERE part = 1000000) THEN 'window' ELSE 'open' END AS kind,
+           win, "srcAddr", {ALL}, CAST(NULL AS VARCHAR) AS reason
+    FROM ({grouped("win", "told_apart WHERE kind = 'timely'")}) w
+    UNION ALL
+    SELECT 'late', win, "srcAddr", CAST(sum("numFlows") AS BIGINT), CAST(sum("numBytes") AS BIGINT), NULL, NULL, count(*), NULL
+    FROM told_apart WHERE kind = 'late' GROUP BY win, "srcAddr"
+    UNION ALL
+    SELECT 'rejected', NULL, NULL, NULL, NULL, NULL, NULL, count(*), reason FROM told_apart WHERE kind = 'rejected' GROUP BY reason
+    UNION ALL
+    SELECT 'count', NULL, NULL, NULL, NULL, NULL, NULL, n, c
+    FROM (SELECT count(*) AS read, count(*) FILTER (kind = 'timely') AS timely, count(*) FILTER (kind = 'late') AS late,
+                 count(*) FILTER (kind = 'rejected') AS rejected FROM told_apart)
+    UNPIVOT (n FOR c IN (read, timely, late, rejected))"""
+BODIES["flow_counts"] = """
+    SELECT unnest(['batch', 'stream']) AS job, count(*) AS read, count(*) FILTER ("dstPort" NOT IN (13, 14, 15)) AS valid,
+           count(*) FILTER ("dstPort" = 13) AS unreadable, count(*) FILTER ("dstPort" IN (14, 15)) AS missing,
+           CAST(0 AS BIGINT) AS ahead
+    FROM raw_ports"""
+CTES["raw_ports"] = """SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS "dstPort" FROM events"""
+
+
 def with_tables(body: str) -> str:
     """Put the common table expressions the body needs in front of it, in order."""
     import re

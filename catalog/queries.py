@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from catalog import views
 from flowtide.functions import stamp, stats
@@ -17,8 +17,8 @@ from flowtide.sources import (
     decode, read_feature_csv, read_flow_json, read_hosts, read_lines, read_rules, read_store,
 )
 from flowtide.streaming import (
-    each_arrival, run_available, score_stream, store_features, valid_stream, windowed_features,
-    write_table,
+    FlowCounts, each_arrival, keep_every_flow, read_aside, read_mark, read_open, read_windows, run_available, score_stream,
+    store_features, valid_stream, windowed_features, write_table,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -736,3 +736,54 @@ def stream_arrival_seconds(spark, folder):
     finally:
         running.stop()
     return read_store(spark, f"{base}/store").select("batch", *FEATURES)
+
+
+@query
+def stream_late(spark, folder):
+    """Days of a stream that comes in parts, some flows after their day was closed, some dated far ahead.
+
+    The query is started anew for every part. Closed and open windows, late flows by window, rejected messages by
+    reason, and the counts of the stream.
+    """
+    base = new_folder(spark, "late")
+    arrivals = materialize(views.arrivals(spark, folder), "arrivals")
+    for part in sorted(r["part"] for r in arrivals.select("part").distinct().collect()):  # a handful of parts
+        arrivals.filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{base}/inbox")
+        stream = spark.readStream.schema(arrivals.drop("part").schema).parquet(f"{base}/inbox")
+        run_available(keep_every_flow(stream, f"{base}/flows", f"{base}/checkpoint", "1 day", "6 hours", every=None))
+    result = f"{base}/flows"
+    late = read_aside(spark, result, "late").groupBy("win", "srcAddr").agg(
+        F.sum("numFlows").alias("sumOfFlows"), F.sum("numBytes").alias("sumOfBytes"), F.count(F.lit(1)).alias("numRecords"))
+    rejected = read_aside(spark, result, "rejected").groupBy("reason").agg(F.count(F.lit(1)).alias("numRecords"))
+    mark = read_mark(spark, result)
+    counts = spark.createDataFrame([(c, mark[c]) for c in ("read", "timely", "late", "rejected")], "reason string, numRecords long")
+    columns = ["win", "srcAddr", *FEATURES, "numRecords", "reason"]
+    tables = {"window": read_windows(spark, result), "open": read_open(spark, result), "late": late,
+              "rejected": rejected, "count": counts}
+    rows = None
+    for kind, table in tables.items():
+        own = views.plain_window(table) if "win" in table.columns else table
+        own = own.select(F.lit(kind).alias("kind"), *[c for c in columns if c in own.columns])
+        rows = own if rows is None else rows.unionByName(own, allowMissingColumns=True)
+    return rows.select("kind", *columns)
+
+
+@query
+def flow_counts(spark, folder):
+    """What a batch job and a stream read, passed on and rejected, observed while they write."""
+    seen = Observation()
+    decoded = flows.project_flows(decode(views.messages(spark, folder)))
+    flows.counted_flows(decoded, seen).write.format("noop").mode("overwrite").save()
+    listener = FlowCounts("flows")
+    spark.streams.addListener(listener)
+    try:
+        stream = write_table(valid_stream(views.message_stream(spark, folder), counts="flows"),
+                             f"{new_folder(spark, 'counted')}/table", f"{new_folder(spark, 'counted')}/checkpoint")
+        run_available(stream)
+        listener.wait(stream.id)
+    finally:
+        spark.streams.removeListener(listener)
+    names = ("read", "valid", "unreadable", "missing", "ahead")
+    return spark.createDataFrame(
+        [("batch", *[seen.get[n] for n in names]), ("stream", *[listener.totals[n] for n in names])],
+        "job string, " + ", ".join(f"{n} long" for n in names))

@@ -47,17 +47,17 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").selectExpr(*EVENT_FIELDS)
 
 
-def as_messages(raw: DataFrame) -> DataFrame:
-    """Records as JSON text; some are cut short, lack their count or name no source."""
+def as_messages(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Records as JSON text; some are cut short, lack their count or name no source. ``keep`` stays beside the text."""
     port = F.col("dstport")
     spoilt = raw.withColumns({
         "count": F.when(port != NO_COUNT_PORT, F.col("count")),
         "srcaddr_s": F.when(port != NO_SOURCE_PORT, F.col("srcaddr_s")),
     })
-    text = F.to_json(F.struct(*[F.col(c) for c in raw.columns]))
+    text = F.to_json(F.struct(*[F.col(c) for c in raw.columns if c not in keep]))
     return spoilt.select(
         F.when(port == CUT_PORT, F.substr(text, F.lit(1), F.length(text) - 10))
-        .otherwise(text).alias("value"))
+        .otherwise(text).alias("value"), *keep)
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,6 +72,23 @@ def message_stream(spark: SparkSession, folder: str) -> DataFrame:
     return as_messages(events.selectExpr(*EVENT_FIELDS))
 
 
+# Days that arrive together; every so many events one comes a part later, or is dated far ahead.
+PART_DAYS, LATE_EVERY, AHEAD_EVERY, AHEAD_DAYS = 8, 50, 501, 400
+
+
+def arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """The messages with the ``part`` they arrive in and their ``arrivalTime``, the end of the part's days."""
+    events = table(spark, folder, "events")
+    day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    part = F.floor(day / PART_DAYS).cast("int") + F.when(F.col("event_id") % LATE_EVERY == 0, 1).otherwise(0)
+    ahead = F.when(F.col("event_id") % AHEAD_EVERY == 7, F.lit(AHEAD_DAYS * 86_400_000)).otherwise(0).cast("long")
+    raw = events.withColumns({"part": part, "ahead": ahead}).selectExpr(*EVENT_FIELDS, "part", "ahead")
+    raw = raw.withColumn("timestamp", F.col("timestamp") + F.col("ahead")).drop("ahead")
+    raw = raw.withColumn("arrivalTime", F.timestamp_seconds(
+        F.unix_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp")) + (F.col("part") + 1) * (PART_DAYS * 86_400)))
+    return as_messages(raw, ("part", "arrivalTime"))
+
+
 def event_flows(spark: SparkSession, folder: str) -> DataFrame:
     """Valid flows of the event view, with their event time."""
     return valid_flows(project_flows(raw_events(spark, folder), "timestamp"))

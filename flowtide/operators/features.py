@@ -37,8 +37,13 @@ def features_by_source(flows: DataFrame, keys: Sequence[str] = SOURCE) -> DataFr
     grouping. The sums ride along with the address pairs. Exact, and without a set of
     destinations held in any one row, hence also usable as streaming state.
     """
+    return count_pairs(destination_pairs(flows, keys), keys)
+
+
+def destination_pairs(flows: DataFrame, keys: Sequence[str] = SOURCE) -> DataFrame:
+    """The distinct (key, address) and (key, port) pairs with their flows, bytes and records."""
     keys = list(keys)
-    pairs = flows.groupingSets(
+    return flows.groupingSets(
         [[*keys, "dstAddr"], [*keys, "dstPort"]], *keys, "dstAddr", "dstPort",
     ).agg(
         F.sum("numFlows").alias("flows"),
@@ -46,6 +51,16 @@ def features_by_source(flows: DataFrame, keys: Sequence[str] = SOURCE) -> DataFr
         F.count(F.lit(1)).alias("records"),
         F.grouping("dstAddr").alias("by_port"),
     )
+
+
+def add_pairs(pairs: DataFrame, keys: Sequence[str] = SOURCE) -> DataFrame:
+    """Pairs of several tables of :func:`destination_pairs` as one."""
+    return pairs.groupBy(*keys, "dstAddr", "dstPort", "by_port").agg(
+        *[F.sum(c).alias(c) for c in ("flows", "bytes", "records")])
+
+
+def count_pairs(pairs: DataFrame, keys: Sequence[str] = SOURCE) -> DataFrame:
+    """The features of :func:`features_by_source` from its pairs."""
     by_address = F.col("by_port") == 0
     return pairs.groupBy(*keys).agg(
         F.sum(F.when(by_address, F.col("flows"))).alias("sumOfFlows"),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from flowtide.functions.flow import l4_port
 from flowtide.schemas import FLOW_COLUMNS
@@ -56,14 +56,34 @@ def rejected_flows(flows: DataFrame, ahead: str = AHEAD) -> DataFrame:
     ``unreadable`` if nothing could be read, else ``missing`` and the column names, or
     ``ahead of arrival``.
     """
+    absent = [F.col(c).isNull() for c in _required(flows)]
+    return with_reason(flows.filter(reduce(or_, absent) | _ahead(flows, ahead)), ahead)
+
+
+def with_reason(flows: DataFrame, ahead: str = AHEAD) -> DataFrame:
+    """Every flow with the reason to reject it, null for a valid one."""
     required = _required(flows)
     absent = [F.col(c).isNull() for c in required]
     names = F.concat_ws(",", *[F.when(a, F.lit(c)) for c, a in zip(required, absent)])
-    return flows.filter(reduce(or_, absent) | _ahead(flows, ahead)).withColumn(
+    return flows.withColumn(
         "reason",
         F.when(reduce(and_, absent), F.lit("unreadable"))
         .when(reduce(or_, absent), F.concat(F.lit("missing "), names))
-        .otherwise(F.lit("ahead of arrival")))
+        .when(_ahead(flows, ahead), F.lit("ahead of arrival")))
+
+
+def counted_flows(flows: DataFrame, name: str | Observation = "flows", ahead: str = AHEAD) -> DataFrame:
+    """:func:`valid_flows`, with counts of what was read, passed on and rejected observed on the way.
+
+    A batch job gets them from an ``Observation`` after its action, a stream by name in its progress events. They take
+    no pass of their own, and read = valid + unreadable + missing + ahead.
+    """
+    absent = [F.col(c).isNull() for c in _required(flows)]
+    none, some, early = reduce(and_, absent), reduce(or_, absent), _ahead(flows, ahead)
+    return valid_flows(flows.observe(
+        name, F.count(F.lit(1)).alias("read"), F.count_if(~some & ~early).alias("valid"),
+        F.count_if(none).alias("unreadable"), F.count_if(some & ~none).alias("missing"),
+        F.count_if(~some & early).alias("ahead")), ahead)
 
 
 def with_l4_ports(flows: DataFrame) -> DataFrame:

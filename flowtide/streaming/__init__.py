@@ -1,10 +1,13 @@
+from flowtide.streaming.counts import FlowCounts
 from flowtide.streaming.features import rejected_stream, valid_stream, windowed_features
+from flowtide.streaming.late import keep_every_flow, read_aside, read_mark, read_open, read_windows
 from flowtide.streaming.run import (
     dropped_as_late, each_arrival, print_batches, run_available, score_stream, store_features, store_rules,
     write_table,
 )
 
 __all__ = [
-    "dropped_as_late", "each_arrival", "print_batches", "rejected_stream", "run_available", "score_stream", "store_features",
-    "store_rules", "valid_stream", "windowed_features", "write_table",
+    "FlowCounts", "dropped_as_late", "each_arrival", "keep_every_flow", "print_batches", "read_aside", "read_mark", "read_open",
+    "read_windows", "rejected_stream", "run_available", "score_stream", "store_features", "store_rules", "valid_stream",
+    "windowed_features", "write_table",
 ]

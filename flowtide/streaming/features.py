@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from flowtide.operators.features import WINDOWED, features_by_source, flat_window, with_window
 from flowtide.operators.flows import (
-    AHEAD, ARRIVAL_TIME, EVENT_TIME, project_flows, rejected_flows, valid_flows,
+    AHEAD, ARRIVAL_TIME, EVENT_TIME, counted_flows, project_flows, rejected_flows, valid_flows,
 )
 from flowtide.schemas import FLOW_COLUMNS
 from flowtide.sources.flows import decode
@@ -18,12 +18,16 @@ def _decoded(messages: DataFrame, event_time: str, keep: tuple[str, ...] = ()) -
     return project_flows(decode(messages, keys, keep), event_time, keep)
 
 
-def valid_stream(messages: DataFrame, event_time: str = "timestamp", ahead: str = AHEAD) -> DataFrame:
+def valid_stream(messages: DataFrame, event_time: str = "timestamp", ahead: str = AHEAD,
+                 counts: str | None = None) -> DataFrame:
     """Messages with a ``value`` column -> valid flows with their event time.
 
-    With an ``arrivalTime`` column, records dated more than ``ahead`` after their arrival are rejected.
+    With an ``arrivalTime`` column, records dated more than ``ahead`` after their arrival are rejected. ``counts`` names
+    the metrics of :func:`counted_flows`, which :class:`FlowCounts` adds up.
     """
-    return valid_flows(_decoded(messages, event_time), ahead).drop(ARRIVAL_TIME)
+    decoded = _decoded(messages, event_time)
+    flows = counted_flows(decoded, counts, ahead) if counts else valid_flows(decoded, ahead)
+    return flows.drop(ARRIVAL_TIME)
 
 
 def rejected_stream(messages: DataFrame, event_time: str = "timestamp", ahead: str = AHEAD) -> DataFrame:
@@ -35,7 +39,7 @@ def windowed_features(flows: DataFrame, duration: str = "60 seconds",
                       delay: str = "2 minutes") -> DataFrame:
     """Features per window and source, one row each, once the window is closed.
 
-    Flows later than ``delay`` behind the newest event are dropped. State holds one row per
+    Flows later than ``delay`` behind the newest event are dropped (:func:`keep_every_flow` keeps them). State holds one row per
     distinct (source, destination) of the open windows, spread over all partitions, and is
     removed with the window.
     """

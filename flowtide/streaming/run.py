@@ -15,7 +15,7 @@ from flowtide.sinks.tables import append_features, append_rules
 BatchWork = Callable[[DataFrame, int], None]
 
 
-def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     """Every so often, or without ``every`` all that is there now, then stop."""
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
@@ -37,7 +37,7 @@ def each_arrival(flows: DataFrame, work: Sequence[BatchWork], checkpoint: str,
             features.unpersist()
 
     writer = flows.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    return _triggered(writer, every).start()
+    return triggered(writer, every).start()
 
 
 def store_features(path: str, writer: str) -> BatchWork:
@@ -77,7 +77,7 @@ def write_table(stream: DataFrame, path: str, checkpoint: str, every: str | None
     usual = conf.get("spark.sql.shuffle.partitions")
     conf.set("spark.sql.shuffle.partitions", str(state_partitions or usual))
     try:
-        return _triggered(writer, every).start()  # takes its own copy of the settings
+        return triggered(writer, every).start()  # takes its own copy of the settings
     finally:
         conf.set("spark.sql.shuffle.partitions", usual)
 
@@ -88,7 +88,7 @@ def print_batches(stream: DataFrame, checkpoint: str, rows: int = 10,
     writer = (stream.writeStream.outputMode(mode).format("console")
               .option("numRows", rows).option("truncate", False)
               .option("checkpointLocation", checkpoint))
-    return _triggered(writer, every).start()
+    return triggered(writer, every).start()
 
 
 def dropped_as_late(query: StreamingQuery) -> int:

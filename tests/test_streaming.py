@@ -13,8 +13,8 @@ from flowtide.schemas import FEATURES, MODEL
 from flowtide.sinks import Folders, append_features, append_rules, compact_day, export_csv
 from flowtide.sources import read_feature_csv, read_kafka, read_lines, read_rules, read_store
 from flowtide.streaming import (
-    dropped_as_late, each_arrival, print_batches, rejected_stream, run_available, score_stream, store_features, store_rules,
-    valid_stream, windowed_features, write_table,
+    FlowCounts, dropped_as_late, each_arrival, keep_every_flow, print_batches, read_aside, read_mark, read_open, read_windows,
+    rejected_stream, run_available, score_stream, store_features, store_rules, valid_stream, windowed_features, write_table,
 )
 from tests.records import WHOLE, as_dicts, as_lines
 
@@ -286,3 +286,70 @@ def test_kafka_source_needs_the_connector(spark):
 def test_model_rows_are_ordered(spark):
     df = spark.createDataFrame([(2,), (0,), (1,)], "cluster int")
     assert [r["cluster"] for r in score.model_rows(df)] == [0, 1, 2]
+
+
+def every_flow(spark, folder, tmp_path, name="kept", **how):
+    messages = read_lines(spark, str(folder), stream=True, **how)
+    run_available(keep_every_flow(messages, str(tmp_path / name), str(tmp_path / f"{name}-cp"), every=None))
+    return str(tmp_path / name)
+
+
+def test_late_flows_are_kept_and_everything_is_accounted_for(spark, inbox, tmp_path):
+    drop_file(inbox, "4.txt", [shifted(14400)])
+    time.sleep(0.02)
+    drop_file(inbox, "5.txt", [shifted(10), shifted(20), shifted(14410)])
+    time.sleep(0.02)
+    drop_file(inbox, "6.txt", [shifted(10), shifted(21600), '{"srcaddr_s": "10.0.0.1"}'])
+    path = every_flow(spark, inbox, tmp_path, files_per_batch=1)
+    late = read_aside(spark, path, "late").collect()
+    assert [r["batch"] for r in sorted(late, key=lambda r: r["batch"])] == [4, 4, 5]
+    windows = read_windows(spark, path).agg(F.sum("numRecords")).first()[0]
+    still_open = read_open(spark, path).agg(F.sum("numRecords")).first()[0]
+    rejected = {r["reason"] for r in read_aside(spark, path, "rejected").collect()}
+    mark = read_mark(spark, path)
+    assert "unreadable" in rejected and any(r.startswith("missing") for r in rejected)
+    assert mark["timely"] == windows + still_open and mark["late"] == 3
+    assert mark["read"] == mark["timely"] + mark["late"] + mark["rejected"] == read_lines(spark, str(inbox)).count()
+    # Timely windows hold what the batch features hold, less the late flows.
+    assert read_windows(spark, path).join(read_open(spark, path), ["win", "srcAddr"]).count() == 0
+
+
+def test_a_repeated_batch_replaces_what_it_wrote(spark, inbox, tmp_path, monkeypatch):
+    """The second batch fails after it has written its windows, before its mark; the restart repeats it."""
+    plain = every_flow(spark, inbox, tmp_path, "plain", files_per_batch=1)
+    from flowtide.streaming import late as module
+
+    count, calls = module.flat_window, []
+
+    def failing(rows):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("lost")
+        return count(rows)
+
+    monkeypatch.setattr(module, "flat_window", failing)
+    with pytest.raises(Exception):
+        query = keep_every_flow(read_lines(spark, str(inbox), stream=True, files_per_batch=1), str(tmp_path / "kept"),
+                                str(tmp_path / "kept-cp"), every=None)
+        query.awaitTermination()
+    monkeypatch.setattr(module, "flat_window", count)
+    kept = every_flow(spark, inbox, tmp_path, files_per_batch=1)
+    rows = lambda path: sorted(map(tuple, read_windows(spark, path).select(*KEYS).collect()))
+    assert rows(kept) == rows(plain) and len(rows(kept)) == 10
+    assert read_mark(spark, kept)[1:] == read_mark(spark, plain)[1:]
+
+
+def test_counts_of_a_stream_are_complete(spark, inbox, tmp_path):
+    listener = FlowCounts("arrivals")
+    spark.streams.addListener(listener)
+    try:
+        flows = valid_stream(read_lines(spark, str(inbox), stream=True, files_per_batch=1), counts="arrivals")
+        query = write_table(flows, str(tmp_path / "out"), str(tmp_path / "cp"))
+        run_available(query)
+        assert listener.wait(query.id)
+    finally:
+        spark.streams.removeListener(listener)
+    written = spark.read.parquet(str(tmp_path / "out")).count()
+    counts = listener.totals
+    assert counts["valid"] == written and counts["read"] == read_lines(spark, str(inbox)).count()
+    assert counts["read"] == sum(counts[c] for c in ("valid", "unreadable", "missing", "ahead"))
