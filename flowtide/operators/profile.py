@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil, isfinite
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from flowtide.functions.stats import missing, present, presented
+from flowtide.operators.quantiles import quantile_values
 from flowtide.session import materialize
 
 
@@ -40,103 +39,33 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _rows(row, columns, STATS)
 
 
-# Values that one task should sort at most, and the finest cut a sketch makes.
-PIECE_ROWS, FINEST = 1_000_000, 8192
-
-
 def _written(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The columns as doubles in a written table, for input that is read more than once."""
     named = df.select(*[present(df, c).alias(c) for c in columns])
     return named if hasattr(df, "written_to") else materialize(named, "columns")
 
 
-def _stats_and_cuts(named: DataFrame, columns: Sequence[str]) -> Row:
-    """Statistics and a sketch of each column, in one aggregation: one row."""
-    grid = [i / FINEST for i in range(1, FINEST)]
-    return named.agg(*[F.struct(*_stats(c)).alias(c) for c in columns], *[
-        F.percentile_approx(c, grid, 5 * FINEST).alias(f"{c}_cuts") for c in columns]).first()
-
-
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """Exact interpolated quantiles, (feature, n, values), without sorting in one task.
+    """Exact interpolated quantiles, (feature, n, values), by radix selection (:mod:`flowtide.operators.quantiles`).
 
-    A sketch cuts each column into pieces of about ``PIECE_ROWS`` values, so their number grows with
-    the rows. Rows are reduced to distinct values with counts, the totals of the pieces tell which
-    piece holds each wanted rank, and only those pieces are sorted, each on its own. A computed input
-    is written once and read twice.
+    A computed input is written once. Columns without values have no row.
     """
     named = _written(df, columns)
-    return _quantiles(named, columns, probabilities, _stats_and_cuts(named, columns))
-
-
-def _quantiles(named: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-               sketch: Row) -> DataFrame:
-    probabilities = [float(p) for p in probabilities]
-
-    def inner(c: str) -> list[float]:
-        wanted = min(FINEST, max(16, ceil(sketch[c]["count"] / PIECE_ROWS)))
-        cuts = (sketch[f"{c}_cuts"] or [])[FINEST // wanted - 1::FINEST // wanted]
-        return sorted({v for v in cuts if isfinite(v)}) or [0.0]
-
-    edges = [[float("-inf"), *inner(c), float("inf")] for c in columns]
-    pieced = Bucketizer(
-        splitsArray=edges, inputCols=list(columns),
-        outputCols=[f"{c}_piece" for c in columns], handleInvalid="keep",
-    ).transform(named)
-
-    values = pieced.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"{c}_piece").cast("int").alias("piece"),
-                 F.col(c).alias("value"))
-        for c in columns
-    ])).alias("row")).select("row.*").filter(
-        # A present value always has a piece; saying so lets both readers share one shuffle.
-        F.col("value").isNotNull() & F.col("piece").isNotNull())
-    counts = values.groupBy("feature", "piece", "value").agg(F.count(F.lit(1)).alias("rows"))
-
-    # At most `FINEST` + 2 rows per column from here to `wanted`.
-    totals = counts.groupBy("feature", "piece").agg(F.sum("rows").alias("total"))
-    by_feature = Window.partitionBy("feature")
-    placed = totals.withColumns({
-        "before": F.sum("total").over(by_feature.orderBy("piece")) - F.col("total"),
-        "n": F.sum("total").over(by_feature),
-    })
-    position = [F.lit(p) * (F.col("n") - 1) for p in probabilities]
-    ranks = F.array_distinct(F.array(*[
-        r.cast("bigint") for p in position for r in (F.floor(p), F.ceil(p))]))
-    wanted = placed.withColumn("ranks", F.filter(
-        ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("total")),
-    )).filter(F.size("ranks") > 0).select("feature", "piece", "before", "n", "ranks")
-
-    # `wanted` holds at most two rows per column and probability, so it is safe to send along.
-    inside = Window.partitionBy("feature", "piece").orderBy("value")
-    found = (
-        counts.join(F.broadcast(wanted), ["feature", "piece"])
-        .withColumn("upto", F.col("before") + F.sum("rows").over(inside))
-        .withColumn("rank", F.explode(F.filter(
-            "ranks", lambda r: (r >= F.col("upto") - F.col("rows")) & (r < F.col("upto")))))
-    )
-    ranked = found.groupBy("feature").agg(
-        F.first("n").alias("n"),
-        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
-
-    def interpolated(p: Column) -> Column:
-        low, high = (F.element_at("at", f(p).cast("bigint")) for f in (F.floor, F.ceil))
-        return low + (high - low) * (p - F.floor(p))
-
-    return ranked.select("feature", "n", F.array(*[interpolated(p) for p in position]).alias("values"))
+    counts = named.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+    found = quantile_values(named, counts, [float(p) for p in probabilities])
+    return df.sparkSession.createDataFrame(
+        [(c, counts[c], found[c]) for c in found], "feature string, n long, values array<double>")
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, min, quartiles and max, one row per column: two scans of a written table."""
+    """Count, mean, deviation, min, quartiles and max, one row per column, from a few scans of a written table."""
     named = _written(df, columns)
-    sketch = _stats_and_cuts(named, columns)
-    quartiles = _quantiles(named, columns, (0.25, 0.5, 0.75), sketch).select(
-        "feature", *[F.col("values")[i].alias(q) for i, q in enumerate(("q25", "q50", "q75"))])
-    stats = df.sparkSession.createDataFrame(
-        [(c, *sketch[c]) for c in columns],
-        "feature string, count long, mean double, min double, max double, variance double, stddev double")
-    return (stats.join(quartiles, "feature", "left")
-            .select("feature", "count", "mean", "stddev", "min", "q25", "q50", "q75", "max"))
+    stats = named.agg(*[F.struct(*_stats(c)).alias(c) for c in columns]).first()
+    quartiles = quantile_values(named, {c: stats[c]["count"] for c in columns}, (0.25, 0.5, 0.75))
+    rows = [(c, stats[c]["count"], stats[c]["mean"], stats[c]["stddev"], stats[c]["min"],
+             *quartiles.get(c, (None, None, None)), stats[c]["max"]) for c in columns]
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, count long, mean double, stddev double, min double, q25 double, q50 double, q75 double, max double")
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from flowtide.operators import profile
+from flowtide.operators import profile, quantiles
 from flowtide.session import discard, job_tables, materialize
 
 
@@ -115,14 +115,45 @@ def test_text_and_nan_are_handled(spark):
     assert [tuple(r) for r in profile.value_counts(rows, "x").collect()] == [(1.0, 1)]
 
 
-def test_describe_reads_a_written_table_twice(spark):
+def test_describe_reads_a_written_table_a_few_times(spark, monkeypatch):
+    """Statistics, then one pass per 12 bits of code that are still in doubt; nothing sorts values."""
+    passes, counts = [], quantiles.prefix_counts
+
+    def counted(*args):
+        passes.append(counts(*args))
+        return passes[-1]
+
+    monkeypatch.setattr(quantiles, "prefix_counts", counted)
     with job_tables(spark):
         table = materialize(spark.range(1000).selectExpr("cast(id as double) as x", "cast(id % 7 as double) as y"), "t")
-        found = profile.describe(table, ["x", "y"])
-        row = {r["feature"]: r for r in found.collect()}
-        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-        assert plan.count("FileScan") == 1  # the second pass; the first one was statistics and sketch
+        row = {r["feature"]: r for r in profile.describe(table, ["x", "y"]).collect()}
+        plans = [p._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0] for p in passes]
     assert row["x"]["q50"] == 499.5 and row["y"]["max"] == 6
+    assert 1 <= len(plans) <= 6
+    for plan in plans:
+        assert "Sort" not in plan and "SinglePartition" not in plan and plan.count("FileScan") == 1
+
+
+WILD = [0.0, -0.0, 1.0, -1.0, 2.0, 3.0, 1.5, 4.9e-324, -4.9e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1e-310, 1.7976931348623157e308,
+        -1.7976931348623157e308, float("inf"), float("-inf"), 0.1, 1 / 3, 1e16, 2.0 ** 53, 2.0 ** 53 - 1, 7.0, 8.0, 7.999999999999999]
+
+
+def test_codes_are_the_bits_of_doubles(spark):
+    rng = np.random.default_rng(11)
+    values = [*WILD, *[float(np.nextafter(2.0 ** e, d)) for e in range(-1074, 1024, 3) for d in (0, np.inf)],
+              *[2.0 ** e for e in range(-1074, 1024)], *rng.normal(size=2000), *(10.0 ** rng.uniform(-320, 308, 2000))]
+    rows = quantiles.with_codes(one_column(spark, values), ["x"]).withColumnRenamed("x_code", "code").collect()
+    for r in rows:
+        bits = int(np.float64(abs(r["x"])).view(np.int64))
+        assert r["code"] == (-bits if r["x"] < 0 else bits), r
+
+
+def test_quantiles_of_wild_columns(spark):
+    rng = np.random.default_rng(12)
+    values = [v for v in WILD if np.isfinite(v)] + (rng.normal(size=500) * 1e-3).tolist() + [5.5] * 300
+    probabilities = (0.0, 0.01, 0.3, 0.5, 0.77, 1.0)
+    found = profile.quantiles(one_column(spark, values), ["x"], probabilities).first()["values"]
+    assert found == pytest.approx(np.quantile(values, probabilities).tolist(), rel=1e-12, abs=0)
 
 
 def test_job_tables_leave_nothing(spark):
