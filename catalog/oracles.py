@@ -449,9 +449,9 @@ BODIES = {
         FROM volume""" for training in ("scaled", "raw", "by_spread")),
     "silhouette": "SELECT 3 AS k, count(*) AS rows, true AS agrees FROM volume",
     "elbow_wssse": f"""
-        SELECT CAST(k AS INTEGER) AS k, rows, wssse AS one_center, true AS below FROM one_center, range(2, 20) r(k)""",
+        SELECT CAST(k AS INTEGER) AS k, rows, wssse AS one_center, true AS below, true AS agrees FROM one_center, range(2, 20) r(k)""",
     "elbow_distortion": f"""
-        SELECT CAST(k AS INTEGER) AS k, rows, distortion AS one_center, true AS below,
+        SELECT CAST(k AS INTEGER) AS k, rows, distortion AS one_center, true AS below, true AS agrees,
                CASE k WHEN 1 THEN distortion END AS first FROM one_center, range(1, 10) r(k)""",
     "elbow_iterations": f"""
         SELECT CAST(n AS INTEGER) AS max_iter, CAST(k AS INTEGER) AS k, rows, wssse AS one_center, true AS below,
@@ -536,6 +536,23 @@ BODIES["stream_late"] = f"""
     FROM (SELECT count(*) AS read, count(*) FILTER (kind = 'timely') AS timely, count(*) FILTER (kind = 'late') AS late,
                  count(*) FILTER (kind = 'rejected') AS rejected FROM told_apart)
     UNPIVOT (n FOR c IN (read, timely, late, rejected))"""
+def given_centers(k: int, centers: list) -> str:
+    away = ", ".join(f'pow("uniqDstIPs" - {a}, 2) + pow("uniqDstPorts" - {b}, 2)' for a, b in centers)
+    return f"""
+        SELECT {k} AS k, round(sum(d), 6) AS wssse, round(avg(sqrt(d)), 6) AS distortion,
+               count(DISTINCT ("uniqDstIPs", "uniqDstPorts")) AS vectors, count(*) AS rows
+        FROM (SELECT *, least({away}) AS d FROM volume)"""
+
+
+BODIES["weighted_costs"] = given_centers(1, [(2, 3)]) + " UNION ALL " + given_centers(3, [(1, 1), (4, 4), (9, 10)])
+CTES["repeated"] = """
+    SELECT "srcAddr", protocol, count(*) AS n,
+           CAST('0x' || substr(md5('42|' || "srcAddr" || '|' || protocol), 1, 8) AS BIGINT) / 4294967296.0 AS draw
+    FROM flows GROUP BY 1, 2"""
+BODIES["sample_repeated"] = " UNION ALL ".join(f"""
+    SELECT '{part}' AS part, "srcAddr", protocol, CAST({n} AS BIGINT) AS rows FROM repeated WHERE {n} > 0""" for part, n in (
+        ("sample", "floor(n * 0.1::DOUBLE + draw)"), ("train", "floor(n * 0.8::DOUBLE + draw)"),
+        ("test", "n - floor(n * 0.8::DOUBLE + draw)")))
 BODIES["flow_counts"] = """
     SELECT unnest(['batch', 'stream']) AS job, count(*) AS read, count(*) FILTER ("dstPort" NOT IN (13, 14, 15)) AS valid,
            count(*) FILTER ("dstPort" = 13) AS unreadable, count(*) FILTER ("dstPort" IN (14, 15)) AS missing,

@@ -552,14 +552,15 @@ def anomaly_rules(spark, folder):
 @query
 def kmeans_fit(spark, folder):
     """Scale, fit and derive thresholds on monthly volume: raw moments, and what a fit must satisfy."""
-    return fit_facts(spark, folder, "scaled").unionByName(fit_facts(spark, folder, "raw", scale=False)).unionByName(
-        fit_facts(spark, folder, "by_spread", by_spread=True))
+    source = stored_volume(spark, folder)
+    return fit_facts(source, "scaled").unionByName(fit_facts(source, "raw", scale=False)).unionByName(
+        fit_facts(source, "by_spread", by_spread=True))
 
 
-def fit_facts(spark: SparkSession, folder: str, name: str, **how) -> DataFrame:
+def fit_facts(source: DataFrame, name: str, **how) -> DataFrame:
     """Rows, moments, and counts of violations of one training: centres away from the mean of their rows by over
     a tenth of a deviation, thresholds or maxima other than those of the assignment, clusters without rows."""
-    source = stored_volume(spark, folder)
+    spark = source.sparkSession
     model = fit_detector(source, **how)
     rows = prep.as_double(source.select(*MODEL_FEATURES), MODEL_FEATURES)
     moments = rows.agg(*thresholds.moments_of(MODEL_FEATURES))
@@ -598,11 +599,44 @@ def silhouette(spark, folder):
         F.lit(3).alias("k"), "rows", (F.abs(F.col("silhouette") - F.lit(value)) < 1e-6).alias("agrees"))
 
 
+@query
+def weighted_costs(spark, folder):
+    """Costs of given centres over the distinct vectors and their weights: those of all rows."""
+    pairs = ("uniqDstIPs", "uniqDstPorts")
+    rows = prep.as_double(stored_volume(spark, folder).select(*pairs), pairs)
+    vectors = cluster.weighted_vectors(rows, pairs)
+    models = {1: [[2.0, 3.0]], 3: [[1.0, 1.0], [4.0, 4.0], [9.0, 10.0]]}
+    found = cluster.costs(vectors, pairs, models, cluster.WEIGHT).withColumnRenamed("model", "k")
+    facts = vectors.agg(F.struct(F.count(F.lit(1)).alias("vectors"), F.sum(cluster.WEIGHT).alias("rows")).alias("f")).scalar()
+    return rounded(found, 6, "wssse", "distortion").withColumn("f", facts).select("k", "wssse", "distortion", "f.vectors", "f.rows")
+
+
+@query
+def sample_repeated(spark, folder):
+    """A tenth and the parts of a split of rows that repeat: sources per destination port, drawn without a key."""
+    rows = views.event_flows(spark, folder).select("srcAddr", "protocol")
+    train, test = prep.train_test_split(rows)
+    parts = {"sample": prep.bernoulli_sample(rows), "train": train, "test": test}
+    named = [p.groupBy("srcAddr", "protocol").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("part"), "*")
+             for n, p in parts.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
 @query
 def elbow_wssse(spark, folder):
-    """k = 2..19, fitted on a 10 % sample, cost over all rows, none above that of one centre."""
+    """k = 2..19, fitted on a 10 % sample, cost over all rows as worked out row by row, none above that of one centre."""
     rows = scaled_volume(spark, folder)
-    return below_one_center(rows, cluster.elbow(rows, MODEL_FEATURES), "wssse").select("k", "rows", "one_center", "below")
+    return below_one_center(rows, elbow_checked(rows, "wssse"), "wssse").select("k", "rows", "one_center", "below", "agrees")
+
+
+def elbow_checked(rows: DataFrame, measure: str, *how) -> DataFrame:
+    """An elbow curve with whether its costs are those of its centres, worked out for each row."""
+    vectors, models = cluster.elbow_models(rows, MODEL_FEATURES, *how)
+    curve = cluster.costs(vectors, MODEL_FEATURES, models, cluster.WEIGHT).withColumnRenamed("model", "k")
+    centers = {k: m if isinstance(m, list) else cluster.centers_of(m) for k, m in models.items()}
+    plain = cluster.costs_by_row(rows, MODEL_FEATURES, centers).select(F.col("model").alias("k"), F.col(measure).alias("plain"))
+    return curve.join(plain, "k").withColumn(
+        "agrees", F.abs(F.col(measure) - F.col("plain")) <= F.lit(1e-9) * F.greatest(F.lit(1.0), F.abs("plain")))
 
 
 def below_one_center(rows: DataFrame, curve: DataFrame, measure: str) -> DataFrame:
@@ -617,8 +651,8 @@ def below_one_center(rows: DataFrame, curve: DataFrame, measure: str) -> DataFra
 def elbow_distortion(spark, folder):
     """k = 1..9, fitted on all rows; k = 1 exactly."""
     rows = scaled_volume(spark, folder)
-    curve = below_one_center(rows, cluster.elbow(rows, MODEL_FEATURES, range(1, 10), None), "distortion")
-    return curve.select("k", "rows", "one_center", "below", F.when(F.col("k") == 1, F.round("distortion", 4)).alias("first"))
+    curve = below_one_center(rows, elbow_checked(rows, "distortion", range(1, 10), None), "distortion")
+    return curve.select("k", "rows", "one_center", "below", "agrees", F.when(F.col("k") == 1, F.round("distortion", 4)).alias("first"))
 
 
 @query

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from math import ceil
 from multiprocessing.pool import ThreadPool
 from operator import add
 
@@ -14,7 +13,8 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame, functions as F
 
 from flowtide.functions.distance import euclidean, nearest, squared_distance
-from flowtide.operators.prep import assemble, bernoulli_sample
+from flowtide.operators.prep import assemble, drawn_copies, row_draw
+from flowtide.session import materialize
 
 Centers = list[list[float]]
 
@@ -22,15 +22,30 @@ Centers = list[list[float]]
 TOGETHER = 10
 
 
+WEIGHT = "weight"
+# Distinct vectors that one task of a fit should hold.
+VECTORS_PER_TASK = 200_000
+
+
+def weighted_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The distinct rows of the columns with the number of their copies as ``weight``.
+
+    A cost over them is the cost over all rows, as equal rows lie equally far from every centre. Copies are counted
+    before the shuffle, so a vector that most rows share costs one row per task.
+    """
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(WEIGHT))
+
+
 def fit_kmeans(vectors: DataFrame, k: int = 3, seed: int = 1, vector: str = "features",
-               max_iter: int = 20, init: str = "k-means||") -> KMeansModel:
-    """Fit K-Means on a vector column.
+               max_iter: int = 20, init: str = "k-means||", weight: str | None = None) -> KMeansModel:
+    """Fit K-Means on a vector column, each row counting ``weight`` times if that is given.
 
     The row solver suits the few features here, and unlike the block solver it copes with
     fewer distinct points than clusters: the model then has fewer centres.
     """
-    return KMeans(k=k, seed=seed, featuresCol=vector, predictionCol="cluster",
-                  maxIter=max_iter, initMode=init, solver="row").fit(vectors)
+    fit = KMeans(k=k, seed=seed, featuresCol=vector, predictionCol="cluster",
+                 maxIter=max_iter, initMode=init, solver="row")
+    return (fit.setWeightCol(weight) if weight else fit).fit(vectors)
 
 
 def centers_of(model: KMeansModel) -> Centers:
@@ -95,17 +110,18 @@ def _with_nearest(vectors: DataFrame, columns: Sequence[str], model: KMeansModel
 
 
 def costs(df: DataFrame, columns: Sequence[str],
-          models: dict[object, KMeansModel | Centers]) -> DataFrame:
+          models: dict[object, KMeansModel | Centers], weight: str | None = None) -> DataFrame:
     """WSSSE and mean distortion of several models over the same rows, ``TOGETHER`` in a pass.
 
     Columns: model, wssse (sum of squared distances to the nearest centre) and distortion
-    (mean distance to it).
+    (mean distance to it). With ``weight`` a row counts that many times.
     """
-    rows = assemble(df.select(*columns), columns)
+    times = F.col(weight).cast("double") if weight else F.lit(1.0)
+    rows = assemble(df.select(*columns, times.alias(WEIGHT)), columns)
     if len(models) > TOGETHER:
         names = list(models)
         return reduce(DataFrame.unionByName, [
-            costs(df, columns, {n: models[n] for n in names[i:i + TOGETHER]})
+            costs(df, columns, {n: models[n] for n in names[i:i + TOGETHER]}, weight)
             for i in range(0, len(names), TOGETHER)])
     squares = []
     for i, model in enumerate(models.values()):
@@ -115,8 +131,9 @@ def costs(df: DataFrame, columns: Sequence[str],
         squares.append(reduce(add, [
             (F.col(c) - center[d]) * (F.col(c) - center[d]) for d, c in enumerate(columns)
         ]).alias(f"m{i}"))
-    row = rows.select(*squares).agg(*[
-        F.struct(F.sum(f"m{i}").alias("wssse"), F.avg(F.sqrt(f"m{i}")).alias("distortion"))
+    row = rows.select(WEIGHT, *squares).agg(*[
+        F.struct(F.sum(F.col(f"m{i}") * F.col(WEIGHT)).alias("wssse"),
+                 (F.sum(F.sqrt(f"m{i}") * F.col(WEIGHT)) / F.sum(WEIGHT)).alias("distortion"))
         .alias(f"m{i}") for i in range(len(models))
     ])
     return row.select(F.explode(F.array(*[
@@ -126,22 +143,43 @@ def costs(df: DataFrame, columns: Sequence[str],
     ])).alias("row")).select("row.*")
 
 
-def mean_center(df: DataFrame, columns: Sequence[str]) -> Centers:
+def costs_by_row(df: DataFrame, columns: Sequence[str], models: dict[object, Centers]) -> DataFrame:
+    """The same measures written out: the least distance of each row to centres that are given as numbers.
+
+    For checks of :func:`costs`; each centre is a term of the expression, so for a few short lists of centres.
+    """
+    def square(centers: Centers):
+        away = [reduce(add, [(F.col(c) - F.lit(float(x))) * (F.col(c) - F.lit(float(x))) for c, x in zip(columns, center)])
+                for center in centers]
+        return F.array_min(F.array(*away))
+
+    row = df.select(*[square(m).alias(f"m{i}") for i, m in enumerate(models.values())])
+    sums = row.agg(*[x for i in range(len(models)) for x in (
+        F.sum(f"m{i}").alias(f"w{i}"), F.avg(F.sqrt(f"m{i}")).alias(f"d{i}"))]).first()
+    return df.sparkSession.createDataFrame(
+        [(name, sums[f"w{i}"], sums[f"d{i}"]) for i, name in enumerate(models)], "model int, wssse double, distortion double")
+
+
+def mean_center(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> Centers:
     """The only centre for k = 1, which K-Means itself does not accept."""
-    row = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    mean = lambda c: F.sum(F.col(c) * F.col(weight)) / F.sum(weight) if weight else F.avg(c)
+    row = df.agg(*[mean(c).alias(c) for c in columns]).first()
     return [[float(row[c]) for c in columns]]
 
 
-def _fit_each(train: DataFrame, columns: Sequence[str], settings: dict[object, dict],
+def _fit_each(distinct: DataFrame, columns: Sequence[str], settings: dict[object, dict],
               parallel: int) -> dict[object, KMeansModel | Centers]:
-    """A model for each setting, several fits running at once over one cached table."""
+    """A model for each setting over weighted vectors, several fits running at once over one cached table.
+
+    The table is gathered in as many partitions as its rows need: every iteration of every fit is a job over all of them.
+    """
     def fit(name: object) -> tuple[object, KMeansModel | Centers]:
         how = settings[name]
         if how["k"] == 1:
-            return name, mean_center(train, columns)
-        return name, fit_kmeans(train, **how)
+            return name, mean_center(train, columns, WEIGHT)
+        return name, fit_kmeans(train, weight=WEIGHT, **how)
 
-    train.persist()
+    train = assemble(distinct, columns).repartition(max(1, -(-distinct.count() // VECTORS_PER_TASK))).persist()
     try:
         with ThreadPool(min(parallel, len(settings))) as pool:
             run = inheritable_thread_target(train.sparkSession)(fit)
@@ -150,24 +188,30 @@ def _fit_each(train: DataFrame, columns: Sequence[str], settings: dict[object, d
         train.unpersist()
 
 
-def elbow(df: DataFrame, columns: Sequence[str], ks: Iterable[int] = range(2, 20),
-          fraction: float | None = 0.1, seed: int = 1, sample_seed: int = 42,
-          max_iter: int = 20, init: str = "k-means||", parallel: int = 8) -> DataFrame:
-    """Cost of K-Means for each k: (k, wssse, distortion).
+def elbow_models(df: DataFrame, columns: Sequence[str], ks: Iterable[int] = range(2, 20),
+                 fraction: float | None = 0.1, seed: int = 1, sample_seed: int = 42, max_iter: int = 20,
+                 init: str = "k-means||", parallel: int = 8) -> tuple[DataFrame, dict[int, KMeansModel | Centers]]:
+    """The weighted distinct vectors of a table, written once, and a model for each k.
 
-    With ``fraction`` the fits use a sample, ``None`` fits on everything; the costs always
-    cover all rows. ``df`` is read several times and should be a written table. The sample is
-    gathered in proportionally fewer partitions, as every iteration of every fit is a job
-    over all of them.
+    With ``fraction`` the fits use a sample of the rows, drawn among the copies of each vector; where it would be empty,
+    as with ``None``, they use everything.
     """
-    train = assemble(df, columns)
+    distinct = materialize(weighted_vectors(df, columns), "vectors")
+    train = distinct
     if fraction is not None:
-        # Sampled by as many tasks as there are partitions, then gathered.
-        partitions = max(1, ceil(train.rdd.getNumPartitions() * fraction))
-        train = assemble(bernoulli_sample(df, fraction, sample_seed).repartition(partitions), columns)
+        taken = drawn_copies(F.col(WEIGHT), fraction, row_draw(distinct, sample_seed, columns))
+        sample = distinct.withColumn(WEIGHT, taken).filter(F.col(WEIGHT) > 0)
+        train = distinct if sample.isEmpty() else sample
     settings = {k: dict(k=k, seed=seed, max_iter=max_iter, init=init) for k in ks}
-    models = _fit_each(train, columns, settings, parallel)
-    return costs(df, columns, models).withColumnRenamed("model", "k")
+    return distinct, _fit_each(train, columns, settings, parallel)
+
+
+def elbow(df: DataFrame, columns: Sequence[str], ks: Iterable[int] = range(2, 20),
+          fraction: float | None = 0.1, seed: int = 1, sample_seed: int = 42,
+          max_iter: int = 20, init: str = "k-means||", parallel: int = 8) -> DataFrame:
+    """Cost of K-Means for each k: (k, wssse, distortion). See :func:`elbow_models`; costs always cover all rows."""
+    distinct, models = elbow_models(df, columns, ks, fraction, seed, sample_seed, max_iter, init, parallel)
+    return costs(distinct, columns, models, WEIGHT).withColumnRenamed("model", "k")
 
 
 def iteration_grid(df: DataFrame, columns: Sequence[str],
@@ -182,7 +226,7 @@ def iteration_grid(df: DataFrame, columns: Sequence[str],
     """
     ks, limits = list(ks), sorted(max_iters)
     how = lambda k, n: dict(k=k, seed=seed, max_iter=n, init="random")
-    vectors = assemble(df, columns)
+    vectors = materialize(weighted_vectors(df, columns), "vectors")
     models = _fit_each(vectors, columns, {f"{limits[-1]}/{k}": how(k, limits[-1]) for k in ks}, parallel)
     needed = {k: m.summary.numIter if isinstance(m, KMeansModel) else 0
               for k, m in zip(ks, (models[f"{limits[-1]}/{k}"] for k in ks))}
@@ -191,4 +235,4 @@ def iteration_grid(df: DataFrame, columns: Sequence[str],
         models |= _fit_each(vectors, columns, short, parallel)
     grid = [(n, k, f"{n}/{k}" if f"{n}/{k}" in models else f"{limits[-1]}/{k}") for n in limits for k in ks]
     settings = df.sparkSession.createDataFrame(grid, "max_iter int, k int, model string")
-    return settings.join(costs(df, columns, models), "model").select("max_iter", "k", "wssse", "distortion")
+    return settings.join(costs(vectors, columns, models, WEIGHT), "model").select("max_iter", "k", "wssse", "distortion")

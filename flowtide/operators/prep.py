@@ -54,6 +54,14 @@ def standardize(df: DataFrame, columns: Sequence[str], center: bool = True,
             .drop("_moments"))
 
 
+def scaled_by(df: DataFrame, columns: Sequence[str], deviations: Sequence[float]) -> DataFrame:
+    """Columns divided by known deviations; a column without spread becomes 0."""
+    def scaled(c: str, spread: float) -> Column:
+        return F.col(c) / F.lit(float(spread)) if spread else F.when(F.col(c).isNotNull(), F.lit(0.0))
+
+    return df.withColumns({c: scaled(c, s) for c, s in zip(columns, deviations)})
+
+
 def _numeric(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
@@ -127,24 +135,53 @@ def select_k_best(df: DataFrame, columns: Sequence[str], label: str, k: int = 60
     return [c for c in columns if c in best]
 
 
-def _draw(df: DataFrame, seed: int, keys: Sequence[str] | None) -> Column:
+def row_draw(df: DataFrame, seed: int, keys: Sequence[str] | None) -> Column:
     """A number in [0, 1) per row, from its key and the seed alone."""
     key = F.concat_ws("|", F.lit(str(seed)), *[
         F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in keys or df.columns])
     return F.conv(F.substr(F.md5(key.cast("binary")), F.lit(1), F.lit(8)), 16, 10).cast("bigint") / float(1 << 32)
 
 
+def _counted(df: DataFrame) -> DataFrame:
+    """Distinct rows with the number of their copies, ``_copies``."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+
+
+def _repeated(df: DataFrame, times: Column, columns: Sequence[str], step: int = 1 << 16) -> DataFrame:
+    """Each row so many times, in runs of ``step``, so that no array holds all copies of one row."""
+    runs = df.withColumn("_n", times.cast("long")).filter("_n > 0").select(
+        *columns, "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(step).cast("long"))).alias("_from"))
+    return runs.select(*columns, F.explode(F.sequence(
+        F.col("_from"), F.least(F.col("_n"), F.col("_from") + step) - 1)).alias("_copy")).drop("_copy")
+
+
+def drawn_copies(copies: Column, fraction: float, draw: Column) -> Column:
+    """How many of a row's equal copies a sample takes: the whole part of their share, and by ``draw`` one more.
+
+    Every copy is taken with probability ``fraction``. A row without copies is taken or left, a row with many copies
+    gives that share of them to within one.
+    """
+    return F.floor(copies * F.lit(float(fraction)) + draw).cast("long")
+
+
 def bernoulli_sample(df: DataFrame, fraction: float = 0.1, seed: int = 42,
                      keys: Sequence[str] | None = None) -> DataFrame:
     """Each row with the given probability, without replacement.
 
-    ``keys`` (default: all columns) decide, so a repeated or moved task draws the same rows.
+    ``keys`` decide, so a repeated or moved task draws the same rows; rows with equal keys are drawn together, so they
+    should tell rows apart. Without keys equal rows are counted, and :func:`drawn_copies` of them are taken.
     """
-    return df.filter(_draw(df, seed, keys) < fraction)
+    if keys is not None:
+        return df.filter(row_draw(df, seed, keys) < fraction)
+    return _repeated(_counted(df), drawn_copies(F.col("_copies"), fraction, row_draw(df, seed, None)), df.columns)
 
 
 def train_test_split(df: DataFrame, train: float = 0.8, seed: int = 42,
                      keys: Sequence[str] | None = None) -> list[DataFrame]:
     """Two disjoint parts that together are the input, drawn like :func:`bernoulli_sample`."""
-    draw = _draw(df, seed, keys)
-    return [df.filter(draw < train), df.filter(draw >= train)]
+    draw = row_draw(df, seed, keys)
+    if keys is not None:
+        return [df.filter(draw < train), df.filter(draw >= train)]
+    counted = _counted(df)
+    taken = drawn_copies(F.col("_copies"), train, draw)
+    return [_repeated(counted, n, df.columns) for n in (taken, F.col("_copies") - taken)]

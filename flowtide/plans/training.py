@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowtide.operators.cluster import centers_of, fit_kmeans
 from flowtide.functions.stats import presented
-from flowtide.operators.prep import as_double, assemble, standardize
+from flowtide.operators.prep import as_double, assemble, scaled_by
 from flowtide.operators.thresholds import (
     cluster_thresholds, cluster_thresholds_by_spread, moments_of,
 )
@@ -26,7 +26,9 @@ def fit_detector(features: DataFrame, columns: Sequence[str] = MODEL_FEATURES, k
     """
     columns = list(columns)
     raw = presented(as_double(features.select(*columns), columns), columns).dropna()
-    prepared = standardize(raw, columns, center=False) if scale else raw
+    # One pass for the moments, one that fills the cache; all else reads the cache.
+    overall = raw.agg(*moments_of(columns)).first().asDict()
+    prepared = scaled_by(raw, columns, overall["stddev"]) if scale else raw
     vectors = assemble(prepared, columns).persist()
     try:
         model = fit_kmeans(vectors, k, seed)
@@ -39,7 +41,6 @@ def fit_detector(features: DataFrame, columns: Sequence[str] = MODEL_FEATURES, k
     finally:
         vectors.unpersist()
 
-    overall = {} if by_spread else raw.agg(*moments_of(columns)).first().asDict()
     rows = []
     for cluster, center in enumerate(centers_of(model)):
         found = learnt.get(cluster, {})
