@@ -2,8 +2,12 @@
 
 A word is a run of bytes other than space, tab, newline, vertical tab, form feed and carriage
 return. A text's bytes are read in slices of about one megabyte cut at white space, so memory
-follows the slice and not the longest text. Word hashes are 64-bit polynomial hashes, taken from
-one running sum per slice and mixed at the end.
+follows the slice and not the longest text.
+
+Words are told apart by 64-bit hashes made of two polynomial hashes of their bytes and their length, each taken from
+one running sum per slice: one modulo 2^64, one modulo the prime 2^31 - 1. The first alone has structured collisions
+(any string built like the Thue-Morse sequence and its complement, from 1,024 bytes on, whatever the base); those are
+none for a prime. Both are joined before the bits are mixed. What remains is chance, 2^-64 for a pair of words.
 """
 
 from __future__ import annotations
@@ -63,6 +67,50 @@ class _Powers:
 
 _BYTES, _WORDS = _Powers(_BASE, _BASE_INVERSE), _Powers(_WINDOW, _WINDOW_INVERSE)
 
+_PRIME = (1 << 31) - 1
+_PRIME_BASE = 1_000_003_297
+_PRIME_INVERSE = pow(_PRIME_BASE, -1, _PRIME)
+_JOIN = U64(0xC2B2AE3D27D4EB4F)
+
+
+def _prime_powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2, ... modulo the prime, by doubling; products of two factors stay below 2^62."""
+    out = np.ones(1, U64)
+    step = base
+    while len(out) < n:
+        out = np.concatenate([out, out * U64(step) % U64(_PRIME)])
+        step = step * step % _PRIME
+    return out[:n]
+
+
+class _PrimePowers(_Powers):
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > self.n:
+            size = max(n, SLICE + 1)
+            powers = _prime_powers(self.base, size), _prime_powers(self.inverse, size)
+            if size > 2 * SLICE:
+                return powers
+            (self.up, self.down), self.n = powers, size
+        return self.up[:n], self.down[:n]
+
+
+_PRIMES = _PrimePowers(_PRIME_BASE, _PRIME_INVERSE)
+#: Bytes as small numbers, so that a sum of 2^22 of their products with powers of the prime stays below 2^63.
+_SMALL = np.arange(1, 257, dtype=U64)
+_SMALL_LOWER = _SMALL.copy()
+_SMALL_LOWER[65:91] = _SMALL[97:123]
+
+
+def _prime_hashes(small: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Polynomial hashes modulo the prime of the runs ``begin:stop``, wherever they stand."""
+    up, down = _PRIMES.upto(len(small))
+    product = small * up
+    if len(product) > 1 << 22:
+        product %= U64(_PRIME)
+    total = np.zeros(len(small) + 1, U64)
+    np.cumsum(product, out=total[1:])
+    return (total[stop] - total[begin]) % U64(_PRIME) * down[begin] % U64(_PRIME)
+
 
 @dataclass
 class Words:
@@ -150,7 +198,7 @@ def split_words(texts: pa.Array, lower: bool = False, space: np.ndarray = SPACE,
     words are not kept.
     """
     data, offsets = text_bytes(texts)
-    values = _BYTE_LOWER if lower else _BYTE
+    values, small = (_BYTE_LOWER, _SMALL_LOWER) if lower else (_BYTE, _SMALL)
     starts, ends, hashes = [], [], []
     first = np.zeros(len(offsets), np.int64)
     at = known = 0
@@ -168,7 +216,9 @@ def split_words(texts: pa.Array, lower: bool = False, space: np.ndarray = SPACE,
         up, down = _BYTES.upto(len(part))
         total = np.zeros(len(part) + 1, U64)
         np.cumsum(values[part] * up, out=total[1:])
-        hashes.append(mix((total[stop] - total[begin]) * down[begin] + (stop - begin).astype(U64)))
+        joined = (total[stop] - total[begin]) * down[begin] + (stop - begin).astype(U64)
+        joined += mix(_prime_hashes(small[part], begin, stop)) * _JOIN
+        hashes.append(mix(joined))
         here = slice(*np.searchsorted(offsets, [at, end]))
         first[here] = known + np.searchsorted(begin, offsets[here] - at)
         known += len(begin)

@@ -189,3 +189,37 @@ def test_clusters_find_separate_points(k):
     points = np.eye(3, dtype=np.float32)[[0, 0, 1, 1, 2]]
     centres, limits = language.clusters(points, k, 5, 0.0)
     assert len(centres) == k and (k < 3 or np.allclose(limits, 1))
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    """The sequence over a and b, and its complement: equal under any polynomial hash modulo 2^64 from n = 1,024 on."""
+    first = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return first, first.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [64, 1024, 4096, 1 << 15])
+@pytest.mark.parametrize("lower", [False, True])
+def test_structured_words_differ(n, lower):
+    a, b = thue_morse(n)
+    for pair in ((a, b), (a + "x" * 7, b + "x" * 7), ("é" + a, "é" + b)):
+        found = words.split_words(pa.array([f"w {pair[0]} {pair[1]} {pair[0]}", pair[0], pair[1]]), lower=lower)
+        left, right = found.hashes[1], found.hashes[2]
+        assert left != right and found.hashes[3] == left and found.hashes[4] == left and found.hashes[5] == right
+
+
+def test_equal_words_have_equal_hashes_wherever_they_stand(monkeypatch):
+    rng = random.Random(4)
+    pool = ["".join(rng.choices("abcé", k=rng.randrange(1, 40))) for _ in range(200)]
+    text = " ".join(rng.choices(pool, k=5000))
+    monkeypatch.setattr(words, "SLICE", 4096)
+    found = words.split_words(pa.array([text]))
+    seen = {}
+    for word, value in zip(text.split(" "), found.hashes.tolist()):
+        assert seen.setdefault(word, value) == value
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_a_word_longer_than_all_slices():
+    word = "ab" * (5 << 20)
+    found = words.split_words(pa.array([f"x {word} y {word}z {word}"]))
+    assert found.hashes[1] == found.hashes[4] != found.hashes[3]
