@@ -97,6 +97,7 @@ CTES["days"] = grouped(DAY)
 CTES["weeks"] = grouped(WEEK)
 CTES["volume"] = grouped("win", "volume_flows")
 CTES["stream_minutes"] = grouped(MINUTE, "valid")
+CTES["stream_hours"] = grouped("date_trunc('hour', ts)", "valid")
 CTES["stream_days"] = grouped(DAY, "valid")
 CTES["stream_weeks"] = grouped(WEEK, "valid")
 # The newest event time less the allowed delay, in milliseconds as messages carry it.
@@ -490,6 +491,7 @@ BODIES = {
     "host_files": "SELECT ip, device FROM hosts",
     "vector_columns": "SELECT win, \"srcAddr\", " + each('CAST("$c" AS DOUBLE) AS "$c"', MODEL) + " FROM days",
     "stream_features": closed("stream_minutes", "60 seconds", f'win, "srcAddr", {ALL}'),
+    "stream_joined": closed("stream_hours", "1 hour", f'win, "srcAddr", {ALL}'),
     "stream_anomalies": closed("scored_stream", "1 day", """
         win, "srcAddr", cluster, round(distance, 6) AS distance, anomaly"""),
     "stream_rules": rule(closed("scored_stream_weeks", "7 days") + " AND anomaly"),
@@ -522,6 +524,19 @@ CTES["told_apart"] = """
     SELECT s.*, CASE WHEN reason IS NOT NULL THEN 'rejected'
                      WHEN win + INTERVAL 1 DAY <= m.mark THEN 'late' ELSE 'timely' END AS kind
     FROM sorted_out s LEFT JOIN part_marks m USING (part)"""
+CTES["timely_days"] = grouped("win", "told_apart WHERE kind = 'timely'")
+CTES["many_flows"] = """
+    SELECT win, "srcAddr", row_number() OVER (PARTITION BY "srcAddr" ORDER BY win) AS i FROM timely_days
+    WHERE "sumOfFlows" > 5 AND win + INTERVAL 1 DAY <= (SELECT mark FROM part_marks WHERE part = 1000000)"""
+# Day by day per source: the last kept day, which is this one if three days have passed.
+CTES["held_off"] = """
+    SELECT * FROM (WITH RECURSIVE walk AS (
+        SELECT win, "srcAddr", i, win AS last FROM many_flows WHERE i = 1
+        UNION ALL
+        SELECT m.win, m."srcAddr", m.i, CASE WHEN m.win >= w.last + INTERVAL 3 DAY THEN m.win ELSE w.last END
+        FROM walk w JOIN many_flows m ON m."srcAddr" = w."srcAddr" AND m.i = w.i + 1)
+      SELECT win, "srcAddr" FROM walk WHERE last = win)"""
+BODIES["stream_hold_off"] = rule("SELECT * FROM held_off")
 BODIES["stream_late"] = f"""
     SELECT CASE WHEN win + INTERVAL 1 DAY <= (SELECT mark FROM part_marks WHERE part = 1000000) THEN 'window' ELSE 'open' END AS kind,
            win, "srcAddr", {ALL}, CAST(NULL AS VARCHAR) AS reason

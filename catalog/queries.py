@@ -17,8 +17,8 @@ from flowtide.sources import (
     decode, read_feature_csv, read_flow_json, read_hosts, read_lines, read_rules, read_store,
 )
 from flowtide.streaming import (
-    FlowCounts, each_arrival, keep_every_flow, read_aside, read_mark, read_open, read_windows, run_available, score_stream,
-    store_features, valid_stream, windowed_features, write_table,
+    FlowCounts, each_arrival, joined_features, keep_every_flow, read_aside, read_mark, read_open, read_windows, run_available, score_stream,
+    store_features, store_rules, valid_stream, windowed_features, write_table,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -731,6 +731,13 @@ def stream_features(spark, folder):
     return views.plain_window(stream_result(spark, windowed_features(flow_stream)))
 
 
+@query
+def stream_joined(spark, folder):
+    """Hours closed by the watermark, as a full outer join of two aggregated streams."""
+    flow_stream = valid_stream(views.message_stream(spark, folder))
+    return views.plain_window(stream_result(spark, joined_features(flow_stream, "1 hour")))
+
+
 @query
 def stream_anomalies(spark, folder):
     """Closed days of the stream, scored with a model of days."""
@@ -772,6 +779,27 @@ def stream_arrival_seconds(spark, folder):
     return read_store(spark, f"{base}/store").select("batch", *FEATURES)
 
 
+def days_in_parts(spark: SparkSession, folder: str, work=()) -> str:
+    """Days of the messages in their parts, the stream started anew for every part; the folder of the results."""
+    base = new_folder(spark, "parts")
+    arrivals = materialize(views.arrivals(spark, folder), "arrivals")
+    for part in sorted(r["part"] for r in arrivals.select("part").distinct().collect()):  # a handful of parts
+        arrivals.filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{base}/inbox")
+        stream = spark.readStream.schema(arrivals.drop("part").schema).parquet(f"{base}/inbox")
+        run_available(keep_every_flow(stream, f"{base}/flows", f"{base}/checkpoint", "1 day", "6 hours", every=None, work=work))
+    return f"{base}/flows"
+
+
+@query
+def stream_hold_off(spark, folder):
+    """Rules for closed days beyond a limit, one per source in three days, over several batches and restarts."""
+    rules_path = new_folder(spark, "held-rules")
+    hosts = views.hosts(spark, folder)
+    judge = lambda days: block_exceedances(days, {"sumOfFlows": 5.0}, hosts, ("win",), ("sumOfFlows",))
+    days_in_parts(spark, folder, [store_rules(rules_path, judge, "held", hold="3 days")])
+    return views.plain_window(read_rules(spark, rules_path).drop("writer", "batch"))
+
+
 @query
 def stream_late(spark, folder):
     """Days of a stream that comes in parts, some flows after their day was closed, some dated far ahead.
@@ -779,13 +807,7 @@ def stream_late(spark, folder):
     The query is started anew for every part. Closed and open windows, late flows by window, rejected messages by
     reason, and the counts of the stream.
     """
-    base = new_folder(spark, "late")
-    arrivals = materialize(views.arrivals(spark, folder), "arrivals")
-    for part in sorted(r["part"] for r in arrivals.select("part").distinct().collect()):  # a handful of parts
-        arrivals.filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{base}/inbox")
-        stream = spark.readStream.schema(arrivals.drop("part").schema).parquet(f"{base}/inbox")
-        run_available(keep_every_flow(stream, f"{base}/flows", f"{base}/checkpoint", "1 day", "6 hours", every=None))
-    result = f"{base}/flows"
+    result = days_in_parts(spark, folder)
     late = read_aside(spark, result, "late").groupBy("win", "srcAddr").agg(
         F.sum("numFlows").alias("sumOfFlows"), F.sum("numBytes").alias("sumOfBytes"), F.count(F.lit(1)).alias("numRecords"))
     rejected = read_aside(spark, result, "rejected").groupBy("reason").agg(F.count(F.lit(1)).alias("numRecords"))

@@ -50,6 +50,25 @@ def not_written(rules: DataFrame, written: DataFrame) -> DataFrame:
     return rules.join(written.select("path").filter("path is not null").distinct(), "path", "left_anti").select(*rules.columns)
 
 
+def hold_off(rules: DataFrame, earlier: DataFrame, hold: str, at: str = "win", ip: str = "srcAddr") -> DataFrame:
+    """Of each source's rules, in order of time, those at least ``hold`` after the last one kept.
+
+    ``earlier`` holds the rules kept before. A source's times in one batch are folded in order, starting from its last
+    earlier rule; only earlier rules that can still hold something off are read.
+    """
+    gap = F.expr(f"INTERVAL {hold}")
+    oldest = rules.agg(F.min(at).alias("oldest")).scalar()
+    last = earlier.filter(F.col(at) > oldest - gap).groupBy(ip).agg(F.max(at).alias("_last"))
+    times = rules.groupBy(ip).agg(F.array_sort(F.collect_set(at)).alias("_times")).join(last, ip, "left")
+    kind = rules.schema[at].dataType.simpleString()
+    start = F.struct(F.col("_last").alias("last"), F.array().cast(f"array<{kind}>").alias("kept"))
+    free = lambda state, t: state["last"].isNull() | (t >= state["last"] + gap)
+    kept = F.aggregate("_times", start, lambda state, t: F.when(
+        free(state, t), F.struct(t.alias("last"), F.array_append(state["kept"], t).alias("kept"))).otherwise(state),
+        lambda state: state["kept"])
+    return rules.join(times.select(ip, F.explode(kept).alias(at)), [ip, at], "left_semi").select(*rules.columns)
+
+
 def drop_rules(flagged: DataFrame, hosts: DataFrame, keys: tuple[str, ...] = (),
                ip: str = "srcAddr", app: str = RULE_APP) -> DataFrame:
     """One rule per flagged row: keys, source, device, status, path and body.

@@ -9,7 +9,7 @@ class Folders:
     """List, remove and rename below one path, through Spark's own file system classes."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self.base = path.rstrip("/")
+        self.spark, self.base = spark, path.rstrip("/")
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._files = self._path(self.base).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -30,3 +30,13 @@ class Folders:
         self._files.mkdirs(parent)
         if not self._files.rename(self._path(f"{self.base}/{old}"), self._path(f"{self.base}/{new}")):
             raise OSError(f"{self.base}/{old} was not renamed to {new}")
+
+    def write_line_file(self, name: str, lines: list[str]) -> None:
+        """A small text file that appears whole or not at all."""
+        aside = f"{name}.part"
+        out = self._files.create(self._path(f"{self.base}/{aside}"), True)
+        try:
+            out.write("".join(f"{line}\n" for line in lines).encode())
+        finally:
+            out.close()
+        self.rename(aside, name)

@@ -1,7 +1,8 @@
 """Writers for feature rows and rules. Each is safe to repeat for the same writer and batch.
 
-The feature store lies in ``day=/writer=/part=`` folders. A part is the batch number, or
-``merged`` after a compaction; the batch stays a column of the rows. ``writer`` names one ingest
+The feature store lies in ``day=/writer=/part=`` folders. A part is the batch number, or ``merged-`` and a
+number after a compaction; the batch stays a column of the rows. Which parts a merged one replaces is listed in a small
+file of the day and writer (:mod:`flowtide.sinks.parts`). ``writer`` names one ingest
 job for as long as its checkpoint lives: batch numbers start at 0 with every checkpoint, so a new
 checkpoint needs a new writer, or it would replace the old job's batches. Rules lie in
 ``writer=/batch=`` folders.
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowtide.schemas import MODEL_FEATURES, STORE
 from flowtide.sinks.folders import Folders
+from flowtide.sinks.parts import Parts
 
 _NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 
@@ -59,31 +61,25 @@ def append_features(features: DataFrame, batch: int, path: str, writer: str,
 def compact_day(spark: SparkSession, path: str, day: str, keep: int = 1) -> None:
     """Merge the small parts of one day, writer by writer, except each writer's last ``keep`` batches.
 
-    Those may still be written again by a restarted stream. The merged part is written aside, then takes
-    the place of the parts it holds; after an interruption at any point, calling again finishes the work.
+    Those may still be written again by a restarted stream. The merged part is written beside the others, where readers
+    pass it over; one small file that appears at once makes it live in place of the parts it holds. Those are removed by
+    the next compaction, so readers that have begun can finish. After an interruption at any point, calling again
+    finishes the work.
     """
     folders = Folders(spark, path)
+    data = type(STORE)([f for f in STORE if f.name not in ("day", "writer", "part")])
     for own in folders.matching(f"day={day}/writer=*"):
-        writer = own.rpartition("=")[2]
-        aside = f"_merging/{day}/{writer}"
-        if not folders.matching(f"{aside}/_SUCCESS"):
-            folders.remove(aside)
-            parts = [p.rpartition("=")[2] for p in folders.matching(f"{own}/part=*")]
-            numbers = sorted(int(p) for p in parts if p != "merged")
-            old = [str(n) for n in numbers[:-keep or None]]
-            if not old:
-                continue
-            held = [f"{folders.base}/{own}/part={p}" for p in (*old, *(["merged"] if "merged" in parts else []))]
-            data = [f for f in STORE if f.name not in ("day", "writer", "part")]
-            (spark.read.schema(type(STORE)(data)).parquet(*held).hint("rebalance")
-             .write.mode("overwrite").parquet(f"{folders.base}/{aside}"))
-        # The merged rows name the parts that they replace.
-        done = spark.read.parquet(f"{folders.base}/{aside}").select("batch").distinct().collect()
-        for r in done:  # one row per batch of a day
-            folders.remove(f"{own}/part={r['batch']}")
-        folders.remove(f"{own}/part=merged")
-        folders.rename(aside, f"{own}/part=merged")
-    folders.remove(f"_merging/{day}")
+        parts = Parts(folders, own)
+        for stale in parts.replaced:
+            folders.remove(f"{own}/part={stale}")
+        numbers = sorted(int(p) for p in parts.live if p.isdigit())
+        held = [*map(str, numbers[:-keep or None]), *[p for p in parts.live if not p.isdigit()]]
+        if not any(p.isdigit() for p in held):
+            continue
+        name = parts.next_merged()
+        (spark.read.schema(data).parquet(*[f"{folders.base}/{own}/part={p}" for p in held]).hint("rebalance")
+         .write.mode("overwrite").parquet(f"{folders.base}/{own}/part={name}"))
+        parts.commit(name, held)
 
 
 def append_rules(rules: DataFrame, batch: int, path: str, writer: str) -> None:

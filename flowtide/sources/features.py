@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowtide.schemas import FEATURE_CSV, STORE
 from flowtide.sinks.folders import Folders
+from flowtide.sinks.parts import live_folders
 
 
 def _iso(day: str) -> str:
@@ -20,16 +21,19 @@ def read_store(spark: SparkSession, path: str, since: str | None = None,
 
     The store's day folders are listed once by name; only those in the range are handed to the
     reader, so the parts of other days are never listed. Without a range, rows without a day are included.
+    Of days that were compacted only the live parts are read, so that no row is missing or doubled at any time.
     """
-    days = Folders(spark, path).matching("day=*")
+    folders = Folders(spark, path)
+    days = folders.matching("day=*")
     if since or until:
         low, high = _iso(since) if since else "", _iso(until) if until else "~"
         named = {d: d.partition("=")[2] for d in days if "__HIVE" not in d}
         days = [d for d, name in named.items() if low <= name < high]
-    if not days:
+    live = [part for day in days for part in live_folders(folders, day)]
+    if not live:
         return spark.createDataFrame([], STORE)
     return (spark.read.schema(STORE).option("basePath", path)
-            .parquet(*[f"{path.rstrip('/')}/{d}" for d in days]))
+            .parquet(*[f"{path.rstrip('/')}/{part}" for part in live]))
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from flowtide.operators.features import WINDOWED, features_by_source, flat_window, with_window
+from flowtide.operators.features import (
+    WINDOWED, count_pairs, destination_pairs, features_by_source, flat_window, with_window,
+)
 from flowtide.operators.flows import (
     AHEAD, ARRIVAL_TIME, EVENT_TIME, counted_flows, project_flows, rejected_flows, valid_flows,
 )
-from flowtide.schemas import FLOW_COLUMNS
+from flowtide.schemas import FEATURES, FLOW_COLUMNS
 from flowtide.sources.flows import decode
 
 
@@ -45,3 +47,22 @@ def windowed_features(flows: DataFrame, duration: str = "60 seconds",
     """
     timely = with_window(flows.withWatermark(EVENT_TIME, delay), duration)
     return flat_window(features_by_source(timely, WINDOWED))
+
+
+def joined_features(flows: DataFrame, duration: str = "60 seconds", delay: str = "2 minutes") -> DataFrame:
+    """The features of :func:`windowed_features` as a full outer join of two aggregated streams.
+
+    One side sums flows, bytes and records, the other counts distinct destinations; both close their windows by the same
+    watermark. The join keeps a window's row of one side until the other side's has come, and drops its state with
+    the window. For sides that come from different streams; from one stream, :func:`windowed_features` reads it once.
+    """
+    timely = with_window(flows.withWatermark(EVENT_TIME, delay), duration)
+    sums = timely.groupBy(*WINDOWED).agg(
+        F.sum("numFlows").alias("sumOfFlows"), F.sum("numBytes").alias("sumOfBytes"), F.count(F.lit(1)).alias("numRecords"))
+    peers = count_pairs(destination_pairs(timely, WINDOWED), WINDOWED).select(*WINDOWED, "uniqDstIPs", "uniqDstPorts")
+    return join_windows(sums, peers).select("win", "srcAddr", *FEATURES, "numRecords")
+
+
+def join_windows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Full outer join of two windowed streams on window and source; a side without a row is null."""
+    return flat_window(left.join(right, list(WINDOWED), "full_outer"))

@@ -16,6 +16,8 @@ removed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,7 +26,7 @@ from flowtide.operators.flows import AHEAD, ARRIVAL_TIME, EVENT_TIME, project_fl
 from flowtide.schemas import FLOW_COLUMNS
 from flowtide.sinks.folders import Folders
 from flowtide.sources.flows import decode
-from flowtide.streaming.run import triggered
+from flowtide.streaming.run import BatchWork, triggered
 
 KINDS = ("timely", "late", "rejected")
 # Totals since the start; `newest` is the newest valid event time in microseconds.
@@ -57,9 +59,10 @@ def route(messages: DataFrame, closed: Column | None, duration: str, event_time:
 
 def keep_every_flow(messages: DataFrame, path: str, checkpoint: str, duration: str = "60 seconds",
                     delay: str = "2 minutes", event_time: str = "timestamp", ahead: str = AHEAD,
-                    every: str | None = "60 seconds") -> StreamingQuery:
+                    every: str | None = "60 seconds", work: Sequence[BatchWork] = ()) -> StreamingQuery:
     """Windowed features of a message stream below ``path``, with late flows and rejected messages beside them.
 
+    Each ``work`` gets the features of the windows that a batch has closed, and its number.
     Read the results with :func:`read_windows`, :func:`read_open`, :func:`read_aside` and :func:`read_mark`.
     """
     def behind(newest: int | None) -> Column | None:
@@ -85,6 +88,8 @@ def keep_every_flow(messages: DataFrame, path: str, checkpoint: str, duration: s
         _replace(pairs.withColumn("state", F.when(closed, "closed").otherwise("open")), f"{path}/pairs/batch={batch}", "state")
         done = _part(spark, f"{path}/pairs/batch={batch}", pairs.schema, "state", "closed")
         flat_window(count_pairs(done, WINDOWED)).write.mode("overwrite").parquet(f"{path}/windows/batch={batch}")
+        for step in work:
+            step(spark.read.schema(flat_window(count_pairs(done, WINDOWED)).schema).parquet(f"{path}/windows/batch={batch}"), batch)
 
         total = lambda c: counts[c] + (before[c] if before else 0)
         mark = [(batch, newest, *[total(c) for c in ("read", *KINDS)])]

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from flowtide.operators.features import SOURCE, features_by_source
+from flowtide.operators.rules import hold_off
 from flowtide.operators.score import score
 from flowtide.schemas import MODEL_FEATURES
+from flowtide.sinks.folders import Folders
 from flowtide.sinks.tables import append_features, append_rules
 
 BatchWork = Callable[[DataFrame, int], None]
@@ -48,13 +50,24 @@ def store_features(path: str, writer: str) -> BatchWork:
     return lambda features, number: append_features(features, number, path, writer)
 
 
-def store_rules(path: str, judge: Callable[[DataFrame], DataFrame], writer: str) -> BatchWork:
-    """Work for :func:`each_arrival`: write the rules ``judge`` draws from each batch.
+def store_rules(path: str, judge: Callable[[DataFrame], DataFrame], writer: str, hold: str | None = None) -> BatchWork:
+    """Work for :func:`each_arrival` or :func:`keep_every_flow`: write the rules ``judge`` draws from each batch.
 
     ``judge`` is one of the blocking plans with its model or limits and hosts filled in. It
-    is called for every batch, so tables it reads anew take effect without a restart.
+    is called for every batch, so tables it reads anew take effect without a restart. With ``hold``, for features with
+    a window, a source gets a rule only that long after its last one. What was written before is read from the
+    writer's earlier batches, so neither a restart nor a repeated batch changes the outcome.
     """
-    return lambda features, number: append_rules(judge(features), number, path, writer)
+    def work(features: DataFrame, number: int) -> None:
+        rules = judge(features)
+        if hold:
+            spark = features.sparkSession
+            batches = [(int(p.rpartition("=")[2]), p) for p in Folders(spark, path).matching(f"writer={writer}/batch=*")]
+            before = [f"{path}/{p}" for n, p in batches if n < number]
+            rules = hold_off(rules, spark.read.schema(rules.schema).parquet(*before) if before else rules.limit(0), hold)
+        append_rules(rules, number, path, writer)
+
+    return work
 
 
 def score_stream(features: DataFrame, model: DataFrame | list[Row],

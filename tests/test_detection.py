@@ -338,3 +338,18 @@ def test_rows_without_a_distance_are_not_scored(spark):
                                  "srcAddr string, sumOfBytes double, uniqDstIPs double, uniqDstPorts double")
     found = {r["srcAddr"]: (r["anomaly"], r["distance"] is None) for r in score.score(live, model).collect()}
     assert found == {"nan": (False, True), "null": (False, True), "far": (True, False)}
+
+
+def test_rules_are_held_off(spark):
+    from flowtide.operators.rules import hold_off
+
+    day = lambda n: f"2024-01-{n:02d}"
+    make = lambda rows: spark.createDataFrame(rows, "srcAddr string, d string, path string").withColumn(
+        "win", F.to_timestamp("d")).drop("d")
+    rules = make([("a", day(n), "p") for n in (1, 2, 3, 4, 8, 9, 12)] + [("b", day(2), "q"), ("b", day(2), "q"), ("c", day(3), None)])
+    none = rules.limit(0)
+    found = lambda kept: sorted((r["srcAddr"], r["win"].day) for r in kept.collect())
+    assert found(hold_off(rules, none, "3 days")) == [("a", 1), ("a", 4), ("a", 8), ("a", 12), ("b", 2), ("b", 2), ("c", 3)]
+    earlier = make([("a", "2023-12-30", "p"), ("b", "2023-12-31", "q"), ("c", "2023-01-01", None)])
+    assert found(hold_off(rules, earlier, "3 days")) == [("a", 2), ("a", 8), ("a", 12), ("c", 3)]
+    assert hold_off(none, earlier, "3 days").count() == 0

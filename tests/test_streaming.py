@@ -11,6 +11,7 @@ from flowtide.plans import block_anomalies, load_model, save_model
 from flowtide.operators import score
 from flowtide.schemas import FEATURES, MODEL
 from flowtide.sinks import Folders, append_features, append_rules, compact_day, export_csv
+from flowtide.sinks.parts import live_folders
 from flowtide.sources import read_feature_csv, read_kafka, read_lines, read_rules, read_store
 from flowtide.streaming import (
     FlowCounts, dropped_as_late, each_arrival, keep_every_flow, print_batches, read_aside, read_mark, read_open, read_windows,
@@ -204,27 +205,55 @@ def test_compaction_keeps_rows_and_can_be_interrupted(spark, tmp_path, monkeypat
     before = key()
     compact_day(spark, path, "2018-04-11")
     assert key() == before
-    assert Folders(spark, path).matching("day=2018-04-11/writer=*/part=*") == [
-        f"day=2018-04-11/writer={w}" for w in ("w1/part=4", "w1/part=merged", "w2/part=0")]
+    assert live_folders(Folders(spark, path), "day=2018-04-11") == [
+        f"day=2018-04-11/writer={w}" for w in ("w1/part=4", "w1/part=merged-1", "w2/part=0")]
     append_features(rows, 4, path, "w1")  # the last batch may still come again
     assert key() == before
     append_features(rows, 5, path, "w1")
     before = key()
-    calls = []
+    remove = Folders.remove
 
     def stop(self, name):
-        calls.append(name)
-        if len(calls) == 4:
-            raise OSError("interrupted")
-        remove(self, name)
+        raise OSError("interrupted")
 
-    remove = Folders.remove
     monkeypatch.setattr(Folders, "remove", stop)
     with pytest.raises(OSError):
         compact_day(spark, path, "2018-04-11")
+    assert key() == before
     monkeypatch.setattr(Folders, "remove", remove)
     compact_day(spark, path, "2018-04-11")
     assert key() == before
+    compact_day(spark, path, "2018-04-11")
+    assert key() == before
+    assert Folders(spark, path).matching("day=2018-04-11/writer=w1/part=*") == [
+        f"day=2018-04-11/writer=w1/part={p}" for p in ("5", "merged-2")]
+
+
+def test_a_reader_sees_every_row_between_any_two_steps(spark, tmp_path, monkeypatch):
+    path, rows = str(tmp_path / "store"), batch_like(spark)
+    for batch in range(3):
+        append_features(rows, batch, path, "w1")
+    key = lambda: sorted(map(str, read_store(spark, path).drop("part").collect()))
+    before, seen = key(), []
+
+    def watched(name):
+        original = getattr(Folders, name)
+
+        def step(self, *args):
+            seen.append((name, key() == before))
+            result = original(self, *args)
+            seen.append((name, key() == before))
+            return result
+
+        monkeypatch.setattr(Folders, name, step)
+
+    for name in ("remove", "rename", "write_line_file"):
+        watched(name)
+    for keep in (1, 0, 0):
+        begun = read_store(spark, path).drop("part")
+        compact_day(spark, path, "2018-04-11", keep)
+        assert sorted(map(str, begun.collect())) == before  # a reader that began before the compaction
+    assert {name for name, _ in seen} == {"remove", "rename", "write_line_file"} and all(same for _, same in seen)
 
 
 def batch_like(spark):
