@@ -559,6 +559,16 @@ def given_centers(k: int, centers: list) -> str:
         FROM (SELECT *, least({away}) AS d FROM volume)"""
 
 
+BODIES["csv_rejects"] = f"""
+    SELECT {each('CAST("$c" AS DOUBLE) AS "$c"', MODEL)}, CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS reason
+    FROM volume WHERE "sumOfBytes" % 7 > 3
+    UNION ALL
+    SELECT NULL, NULL, NULL,
+           CASE "sumOfBytes" % 7 WHEN 0 THEN 'abc,' || "uniqDstIPs" || ',' || "uniqDstPorts"
+                WHEN 1 THEN "sumOfBytes" || ',' || "uniqDstIPs" WHEN 2 THEN "sumOfBytes" || ',' || "uniqDstIPs" || ',' || "uniqDstPorts" || ',9'
+                ELSE "sumOfBytes" || ',,' || "uniqDstPorts" END,
+           CASE "sumOfBytes" % 7 WHEN 0 THEN 'not a number' WHEN 1 THEN '2 fields' WHEN 2 THEN '4 fields' ELSE 'empty field' END
+    FROM volume WHERE "sumOfBytes" % 7 <= 3"""
 BODIES["weighted_costs"] = given_centers(1, [(2, 3)]) + " UNION ALL " + given_centers(3, [(1, 1), (4, 4), (9, 10)])
 CTES["repeated"] = """
     SELECT "srcAddr", protocol, count(*) AS n,

@@ -14,7 +14,7 @@ from flowtide.schemas import FEATURES, MODEL_FEATURES, RAW_FLOW
 from flowtide.session import materialize, new_folder
 from flowtide.sinks import append_features, append_rules, compact_day, export_csv
 from flowtide.sources import (
-    decode, read_feature_csv, read_flow_json, read_hosts, read_lines, read_rules, read_store,
+    checked_feature_csv, decode, read_feature_csv, read_flow_json, read_hosts, read_lines, read_rules, read_store,
 )
 from flowtide.streaming import (
     FlowCounts, each_arrival, joined_features, keep_every_flow, read_aside, read_mark, read_open, read_windows, run_available, score_stream,
@@ -673,6 +673,20 @@ def csv_roundtrip(spark, folder):
     return read_feature_csv(spark, path)
 
 
+@query
+def csv_rejects(spark, folder):
+    """Lines of features, four of seven spoilt, read back: the rows, and the lines set aside with their reason."""
+    text = [F.col(c).cast("string") for c in MODEL_FEATURES]
+    kind = F.col("sumOfBytes") % 7
+    line = (F.when(kind == 0, F.concat_ws(",", F.lit("abc"), *text[1:])).when(kind == 1, F.concat_ws(",", *text[:2]))
+            .when(kind == 2, F.concat_ws(",", *text, F.lit("9"))).when(kind == 3, F.concat_ws(",", text[0], F.lit(""), text[2]))
+            .otherwise(F.concat_ws(",", *text)))
+    path = new_folder(spark, "spoilt")
+    volume_features(spark, folder).select(line.alias("value")).write.text(path)
+    good, rejected = checked_feature_csv(spark, path)
+    return good.unionByName(rejected, allowMissingColumns=True)
+
+
 @query
 def feature_store_append(spark, folder):
     """Two writers with the same batch number, one replayed, one replayed on fewer days; a range of days."""

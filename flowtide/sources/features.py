@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowtide.schemas import FEATURE_CSV, STORE
 from flowtide.sinks.folders import Folders
 from flowtide.sinks.parts import live_folders
+from flowtide.sources.flows import read_lines
 
 
 def _iso(day: str) -> str:
@@ -44,3 +45,22 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 def read_feature_csv(spark: SparkSession, path: str) -> DataFrame:
     """Headerless CSV with bytes, destination addresses and destination ports."""
     return spark.read.schema(FEATURE_CSV).option("header", False).csv(path)
+
+
+def checked_feature_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The lines of :func:`read_feature_csv` that hold three numbers, and the others as (line, reason).
+
+    Nothing is cut off or made null: a line with a fourth field, a missing or empty field or a text in place of a number
+    is rejected as it stands, with the number of its fields, ``empty field`` or ``not a number``. Blank lines are neither.
+    """
+    names = FEATURE_CSV.fieldNames()
+    schema = f"{', '.join(f'{n} double' for n in names)}, _unread string"
+    how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unread"}
+    lines = read_lines(spark, path).select(F.col("value").alias("line"), F.from_csv("value", schema, how).alias("row"))
+    fields = F.split("line", ",", -1)
+    reason = (F.when(F.size(fields) != len(names), F.concat(F.size(fields).cast("string"), F.lit(" fields")))
+              .when(F.exists(fields, lambda f: F.trim(f) == ""), F.lit("empty field"))
+              .when(F.col("row._unread").isNotNull(), F.lit("not a number")))
+    judged = lines.withColumn("reason", reason)
+    return (judged.filter(F.col("reason").isNull()).select(*[F.col(f"row.{n}").alias(n) for n in names]),
+            judged.filter(F.col("reason").isNotNull()).select("line", "reason"))

@@ -12,7 +12,7 @@ from flowtide.operators import score
 from flowtide.schemas import FEATURES, MODEL
 from flowtide.sinks import Folders, append_features, append_rules, compact_day, export_csv
 from flowtide.sinks.parts import live_folders
-from flowtide.sources import read_feature_csv, read_kafka, read_lines, read_rules, read_store
+from flowtide.sources import checked_feature_csv, read_feature_csv, read_kafka, read_lines, read_rules, read_store
 from flowtide.streaming import (
     FlowCounts, dropped_as_late, each_arrival, keep_every_flow, print_batches, read_aside, read_mark, read_open, read_windows,
     rejected_stream, run_available, score_stream, store_features, store_rules, valid_stream, windowed_features, write_table,
@@ -281,6 +281,16 @@ def test_csv_has_three_bare_columns(spark, tmp_path):
     assert back.count() == 3
 
 
+def test_malformed_lines_are_set_aside_whole(spark, tmp_path):
+    lines = ["1,2,3", "", "abc,2,3", "1,2", "1,2,3,4", "1,,3", " 4.5,1e3,-2", "1,2,x y", ",,", "\"7\",8,9"]
+    drop_file(tmp_path / "csv", "a.csv", lines)
+    good, rejected = checked_feature_csv(spark, str(tmp_path / "csv"))
+    assert sorted(map(tuple, good.collect())) == [(1.0, 2.0, 3.0), (4.5, 1000.0, -2.0), (7.0, 8.0, 9.0)]
+    assert dict(map(tuple, rejected.collect())) == {
+        "abc,2,3": "not a number", "1,2": "2 fields", "1,2,3,4": "4 fields", "1,,3": "empty field", "1,2,x y": "not a number",
+        ",,": "empty field"}
+
+
 def test_console_print(spark, inbox, tmp_path):
     """The JVM prints past the capture of tests; the query's progress tells what it has read."""
     query = print_batches(read_lines(spark, str(inbox), stream=True), str(tmp_path / "cp"), rows=12, every=None)
