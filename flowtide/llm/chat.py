@@ -68,13 +68,30 @@ def preference_pairs(turns: DataFrame, pair: str = "pair_id", side: str = "side"
         *(given(s, trained(rest(s))).alias(f"{s}_mask") for s in ("chosen", "rejected")))
 
 
-def adjacent_pairs(conversations: DataFrame) -> DataFrame:
-    """Pair each even conversation, as chosen, with the odd one after it, as rejected."""
-    key = F.col("conv_id").cast("long")
-    return conversations.select(
-        F.floor(key / 2).cast("long").alias("pair_id"),
-        F.when(F.pmod(key, F.lit(2)) == 0, "chosen").when(F.pmod(key, F.lit(2)) == 1, "rejected").alias("side"),
-        "turn", "role", "text")
+def answer_pairs(conversations: DataFrame) -> DataFrame:
+    """Two sides for each conversation that has an answer: as it is, and up to its last answer with another in its place.
+
+    The other answer is the last one of the partner, the conversation whose key differs in the last bit; a conversation
+    without partner or answer has only the chosen side. Chosen and rejected share all turns before the answer. Two
+    shuffles by key, of whole conversations; a group holds one conversation, then at most two.
+    """
+    row = F.struct(F.col("turn").isNull().alias("late"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    whole = (conversations.filter(F.col("conv_id").isNotNull()).groupBy(F.col("conv_id").cast("long").alias("pair_id"))
+             .agg(F.array_sort(F.collect_list(row)).alias("turns")))
+    last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i)))
+    both = whole.withColumn("last", last).groupBy(F.shiftright("pair_id", 1).alias("two")).agg(
+        F.collect_list(F.struct("pair_id", "turns", "last", F.get("turns", F.col("last"))["text"].alias("answer"))).alias("both"))
+    each = both.select("both", F.explode("both").alias("own")).select("own.*", F.get(F.filter(
+        "both", lambda x: x["pair_id"] != F.col("own.pair_id")), F.lit(0)).alias("other"))
+    answered = F.col("last").isNotNull() & F.col("other.last").isNotNull()
+    place = F.get("turns", F.col("last"))
+    put = F.struct(place["late"].alias("late"), place["turn"].alias("turn"), place["role"].alias("role"),
+                   F.col("other.answer").alias("text"))
+    sides = F.array(F.struct(F.lit("chosen").alias("side"), F.col("turns").alias("turns")), F.struct(
+        F.lit("rejected").alias("side"),
+        F.when(answered, F.concat(F.slice("turns", F.lit(1), F.col("last")), F.array(put))).alias("turns")))
+    return (each.select("pair_id", F.explode(sides).alias("s")).select("pair_id", "s.side", F.explode("s.turns").alias("t"))
+            .select("pair_id", "side", "t.turn", "t.role", "t.text"))
 
 
 def spans_text(mask: Column) -> Column:
@@ -93,13 +110,22 @@ _SIDE = """
   FROM placed GROUP BY pair_id, n_prompt"""
 
 CHAT_SQL = f"""
-WITH turns AS (
-  SELECT conv_id // 2 AS pair_id, CASE conv_id % 2 WHEN 0 THEN 'chosen' ELSE 'rejected' END AS side,
-         coalesce(role, '') AS role, coalesce(text, '') AS text,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS pos,
-         '<|' || replace(coalesce(role, ''), '<|', '< |') || '|>' || chr(10)
-           || replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) AS body
+WITH base AS (
+  SELECT conv_id AS pair_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS pos
   FROM conversations WHERE conv_id IS NOT NULL),
+answer AS (
+  SELECT pair_id, pos, text FROM base
+  QUALIFY role = 'assistant' AND pos = max(pos) FILTER (role = 'assistant') OVER (PARTITION BY pair_id)),
+both_sides AS (
+  SELECT pair_id, 'chosen' AS side, role, text, pos FROM base
+  UNION ALL
+  SELECT b.pair_id, 'rejected', b.role, CASE WHEN b.pos = own.pos THEN other.text ELSE b.text END, b.pos
+  FROM base b JOIN answer own ON own.pair_id = b.pair_id AND b.pos <= own.pos
+  JOIN answer other ON other.pair_id = xor(b.pair_id, 1)),
+turns AS (
+  SELECT *, '<|' || replace(role, '<|', '< |') || '|>' || chr(10) || replace(text, '<|', '< |') || '<|end|>' || chr(10) AS body
+  FROM both_sides),
 differ AS (
   SELECT pair_id, min(pos) AS pos FROM (
     SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.pos, b.pos) AS pos

@@ -7,8 +7,10 @@ mark their content themselves with one article or main element, out of a sample
 (those with the smallest key hashes); the labels are never read when a page is scored. One scan of running sums finds the best
 contiguous region. Elements inside it that are no content (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, comments) are left out. A notice, sidebar or form by its class or name that holds
-an article or main element, or most words of a page without one, is none: the weights decide. An open head ends where
-other elements or text begin. Character references are decoded, white space
+an article or main element, or most words of a page without one, is none: the weights decide. Within an article or main
+element a name that may as well belong to the text (header, side, legal; notice or search on a heading or a word) is no
+verdict either, and what is left out there costs the region nothing. An open head ends where other elements or text begin.
+Time is linear in the page: a tag ends at the next ``<`` outside of quotes, and end tags are looked up once. Character references are decoded, white space
 in a block becomes one space, blocks are joined by one space.
 
 A null or empty page, or one without any positive run, has the empty text. Unclosed and stray tags are
@@ -42,7 +44,7 @@ CONTENT = ("article", "main")
 RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "canvas", "math")
 NO_CONTENT = frozenset(RAW) | {
     "head", "title", "nav", "header", "footer", "aside", "form", "button", "select", "option", "input",
-    "menu", "dialog", "label", "fieldset", "audio", "video"}
+    "menu", "dialog", "fieldset", "audio", "video"}
 CONTAINERS = NO_CONTENT | {"html", "body", "article", "main", "section", "div", "ul", "ol", "dl", "table", "figure",
                            "blockquote", "td", "details"}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,18 +53,30 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 _NOISE = (
     r"(?:ads?|advert~|sponsor~|promo~|banner~|cookie~|consent|notice~|popup|modal|nav~|menu~|breadcrumb~|header|masthead|"
     r"footer|sidebar~|side|widget~|related|share~|sharing|social|comment~|disqus|respond|repl(?:y|ies)|newsletter|"
-    r"subscribe~|signup|login|search|pagination|pager|toolbar|copyright|legal)").replace("~", r"[^\W_]*")
+    r"subscribe~|signup|login|search|pagination|pager|toolbar|copyright|legal)")
 _PLACE = (r"(?:site|page|main|top|bottom|left|right|global|primary|secondary|mobile|desktop|post|entry|article|box|bar|lists?|"
           r"links?|items?|blocks?|area|wrap|wrapper|container|section|inner|buttons?|icons?|text|title|content|panel|slot|"
           r"unit|\d[^\W_]*)")
-#: A whole token of class, id or role that names a notice, menu or the like; states (no-sidebar, comment-open) do not.
-NOISE = re.compile(rf"(?:^|(?<=\s))(?:{_PLACE}[_-]+)*{_NOISE}(?:[_-]+(?:{_NOISE}|{_PLACE}))*(?=\s|$)", re.IGNORECASE)
+
+
+def _noise(*left_out: str) -> re.Pattern:
+    """A whole token of class, id or role that names a notice, menu or the like; states (no-sidebar, comment-open) do not."""
+    names = [n for n in _NOISE[3:-1].split("|") if n.rstrip("~") not in left_out]
+    noise = f"(?:{'|'.join(names)})".replace("~", r"[^\W_]*")
+    return re.compile(rf"(?:^|(?<=\s))(?:{_PLACE}[_-]+)*{noise}(?:[_-]+(?:{noise}|{_PLACE}))*(?=\s|$)", re.IGNORECASE)
+
+
+#: Within an article some names may belong to its text: of any element, and of headings and words.
+NOISE = _noise()
+NOISE_IN_TEXT = _noise("header", "side", "legal")
+NOISE_ON_WORDS = _noise("header", "side", "legal", "notice", "search", "consent")
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 IN_HEAD = frozenset("head title base basefont bgsound link meta script style noscript noframes template".split())
 
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
-_ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.DOTALL)
+_ATTRIBUTE = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 _CUT_OFF = re.compile(r"</?[a-zA-Z][^<>]*\Z")
 _END = {name: re.compile(rf"</{name}[\s/>]", re.IGNORECASE) for name in RAW}
@@ -76,6 +90,20 @@ def _close(name: str) -> re.Pattern:
     return re.compile(rf"</{re.escape(name)}[\s/>]", re.IGNORECASE)
 
 
+class Finder:
+    """Next matches of patterns in a page for places that only move on: each stretch of the page is searched once."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.next = page, {}
+
+    def start(self, pattern: re.Pattern, at: int) -> int | None:
+        known = self.next.get(pattern, -1)
+        if known is not None and known < at:
+            found = pattern.search(self.page, at)
+            known = self.next[pattern] = found.start() if found else None
+        return known
+
+
 class Token:
     """A tag (``text`` is None) or a stretch of text."""
 
@@ -108,12 +136,17 @@ def _parsed(page: str, spared: frozenset[int]) -> tuple[list[Token], list[list[i
     articles: list[int] = []
     # name, key, dropped, content, hard, its number among the noisy
     stack: list[tuple[str, str, bool, bool, bool, int]] = [("", "", False, False, False, -1)]
-    at, size = 0, len(page)
+    opened: Counter[str] = Counter()
+    at, size, finder = 0, len(page), Finder(page)
+
+    def pop() -> tuple:
+        opened[stack[-1][0]] -= 1
+        return stack.pop()
 
     def text(part: str) -> None:
         if part:
             if stack[-1][0] == "head" and part.strip():
-                stack.pop()
+                pop()
             _, key, dropped, content, hard, _ = stack[-1]
             out.append(Token(part, "", key, dropped, content, hard))
 
@@ -131,12 +164,12 @@ def _parsed(page: str, spared: frozenset[int]) -> tuple[list[Token], list[list[i
         if not name:
             continue
         if stack[-1][0] == "head" and name not in IN_HEAD and not found["close"]:
-            stack.pop()  # </head> may be left out
+            pop()  # </head> may be left out
         _, key, dropped, content, hard, _ = stack[-1]
         if found["close"]:
-            if name in CONTAINERS and any(s[0] == name for s in stack):
+            if name in CONTAINERS and opened[name] > 0:
                 while True:
-                    ended = stack.pop()
+                    ended = pop()
                     if ended[5] >= 0:
                         noisy[ended[5]][2] = len(out)
                     if ended[0] == name:
@@ -146,16 +179,17 @@ def _parsed(page: str, spared: frozenset[int]) -> tuple[list[Token], list[list[i
         rest = found["rest"]
         marks = " ".join(a or b or c for a, b, c in _ATTRIBUTE.findall(rest))
         hard = hard or name in NO_CONTENT and name != "form" or bool(_HIDDEN.search(rest))
-        named = bool(NOISE.search(marks))
+        names_noise = (NOISE if not content else NOISE_ON_WORDS if name in INLINE or name in HEADINGS else NOISE_IN_TEXT)
+        named = bool(names_noise.search(marks))
         soft = not hard and found.start() not in spared and (
             name == "form" or named and name not in ("html", "body", *CONTENT))
         gone = dropped or hard or soft
         if name in CONTENT and not hard and not named:
             articles.append(len(out))
         if name in RAW:
-            end = _END[name].search(page, at)
             if not rest.endswith("/"):
-                at = end.start() if end else size
+                end = finder.start(_END[name], at)
+                at = size if end is None else end
             out.append(Token(None, name, key, True, content, True))
             continue
         number = noise(found.start()) if soft and name not in VOID else -1
@@ -163,11 +197,11 @@ def _parsed(page: str, spared: frozenset[int]) -> tuple[list[Token], list[list[i
         if name in VOID:
             continue
         if name in CONTAINERS:
+            opened[name] += 1
             stack.append((name, f"{name}.{marks}" if marks else name, gone, content or name in CONTENT, hard, number))
         elif gone and not dropped:  # a paragraph, item or inline element that is no content: up to its end
-            end = _close(name).search(page, at)
-            stop = _BLOCK_START.search(page, at) if name not in INLINE else None
-            ends = [m.start() for m in (end, stop) if m]
+            stop = finder.start(_BLOCK_START, at) if name not in INLINE else None
+            ends = [x for x in (finder.start(_close(name), at), stop) if x is not None]
             if ends:
                 part = page[at:min(ends)]
                 if part:
@@ -198,8 +232,8 @@ class Weights:
 
     def of(self, token: Token) -> float:
         n = 1 if token.text is None else len(token.text.split())
-        if token.dropped:
-            return DROPPED if token.text is None else TAG * n
+        if token.dropped:  # inside an article it parts nothing
+            return 0.0 if token.content else DROPPED if token.text is None else TAG * n
         exact, wide = features(token)
         base = self.learned.get(exact)
         if base is None:

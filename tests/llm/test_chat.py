@@ -39,3 +39,32 @@ def test_nulls_ties_and_repeated_turns(spark):
     a = "<|user|>\na<|end|>\n"
     assert r["prompt"] == a + a and r["rejected"] == a.replace("a<", "c<")
     assert r["chosen"] == a.replace("a<", "b<") + "<||>\n<|end|>\n" + a.replace("a<", "last<")
+
+
+def conversations(spark, rows):
+    return spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, side string")
+
+
+def test_answers_are_exchanged_between_partners(spark):
+    big = 2 ** 53 + 2  # beyond what a double can tell apart
+    rows = [(big, 0, "user", "Q"), (big, 1, "assistant", "A"), (big, 2, "user", "thanks"), (big + 1, 0, "user", "P"),
+            (big + 1, 1, "assistant", "old"), (big + 1, 2, "user", "more"), (big + 1, 3, "assistant", "B"),
+            (-1, 0, "user", "q"), (-1, 1, "assistant", "minus"), (-2, 0, "assistant", "two"),
+            (8, 0, "user", "alone"), (8, 1, "assistant", "answer"), (20, 0, "user", "no answer"), (21, 0, "assistant", "z"),
+            (None, 0, "user", "lost")]
+    found = {r["pair_id"]: r for r in chat.preference_pairs(chat.answer_pairs(conversations(spark, rows))).collect()}
+    assert sorted(found) == [-2, -1, 8, 20, 21, big, big + 1]
+    turn = lambda role, text: f"<|{role}|>\n{text}<|end|>\n"
+    assert found[big]["prompt"] == turn("user", "Q") and found[big]["rejected"] == turn("assistant", "B")
+    assert found[big]["chosen"] == turn("assistant", "A") + turn("user", "thanks")
+    assert found[big + 1]["n_prompt_turns"] == 3 and found[big + 1]["rejected"] == turn("assistant", "A")
+    assert found[-1]["rejected"] == turn("assistant", "two") and found[-2]["rejected"] == turn("assistant", "minus")
+    assert found[8]["rejected"] is None and found[20]["rejected"] is None and found[21]["rejected"] is None
+    assert chat.answer_pairs(conversations(spark, [])).count() == 0
+
+
+def test_most_given_conversations_have_a_prompt(spark):
+    from flowtide.llm.queries import op9_preference_chat
+
+    rows = op9_preference_chat(spark, "/root/testdata/sf0.001").collect()
+    assert sum(r["n_prompt_turns"] > 0 for r in rows) > 0.5 * len(rows)

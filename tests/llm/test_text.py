@@ -223,3 +223,59 @@ def test_a_word_longer_than_all_slices():
     word = "ab" * (5 << 20)
     found = words.split_words(pa.array([f"x {word} y {word}z {word}"]))
     assert found.hashes[1] == found.hashes[4] != found.hashes[3]
+
+
+@pytest.mark.parametrize("piece", ['<h2 class="section-header">one two</h2>', '<p class="legal">one two</p>', '<div class="side">one two</div>',
+                                   'so <span class="notice">one two</span> so', "<label>one two</label>",
+                                   '<p data-role="social">one two</p>', '<div data-id="share">one two</div>'])
+def test_names_do_not_drop_the_text_of_an_article(piece):
+    page = f"<html><body><nav>menu</nav><article><p>{'word ' * 30}</p>{piece}<p>{'word ' * 30}</p></article></body></html>"
+    assert "one two" in html_main.main_text(page, html_main.Weights())
+
+
+@pytest.mark.parametrize("piece", ['<div class="notice">one two</div>', '<div class="ad">one two</div>', "<aside>one two</aside>",
+                                   '<span class="share">one two</span>', "<form><label>one two</label></form>"])
+def test_what_is_no_content_goes(piece):
+    page = f"<html><body><article><p>{'word ' * 30}</p>{piece}<p>{'word ' * 30}</p></article></body></html>"
+    assert html_main.main_text(page, html_main.Weights()).split() == ["word"] * 60
+
+
+def test_a_long_aside_does_not_cut_an_article():
+    page = f"<article><p>{'a ' * 40}</p><aside>{'x ' * 500}</aside><p>{'b ' * 40}</p></article>"
+    assert html_main.main_text(page, html_main.Weights()).split() == ["a"] * 40 + ["b"] * 40
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a x=\"", "<a x='\"", "<label>", "<span class=ad>", "<div>", "</nav>", "<script>", "<!--",
+                                   "<div></nav>", "<p class=ad>x"])
+def test_hostile_pages_take_linear_time(piece):
+    import time
+
+    start = time.perf_counter()
+    html_main.main_text(piece * (200_000 // len(piece)), html_main.Weights())
+    assert time.perf_counter() - start < 3
+
+
+def slow_text(page):
+    """The article's blocks by plain string work, for pages made of the parts below."""
+    inside = page.partition("<article>")[2].partition("</article>")[0]
+    inside = re.sub(r"(?s)<(aside|nav|footer|script|form)>.*?</\1>|<div class=\"(?:ad|notice|share-box)\">.*?</div>", " ", inside)
+    inside = re.sub(r"</?(?:b|i|a)>", "", inside)
+    text = re.sub(r"<[^>]*>", " ", inside)
+    for mark, char in (("&lt;", "<"), ("&eacute;", "é"), ("&#65;", "A"), ("&amp;", "&")):
+        text = text.replace(mark, char)
+    return " ".join(text.split())
+
+
+def test_generated_pages_against_a_plain_version():
+    rng = random.Random(21)
+    word = lambda: rng.choice(["alpha", "beta", "g&eacute;", "&#65;b", "a&amp;b", "<b>bold</b>", "x<i>y</i>", "1 &lt; 2"])
+    para = lambda: f"<p>{' '.join(word() for _ in range(rng.randrange(5, 40)))}</p>"
+    other = lambda: rng.choice([
+        "<aside>{}</aside>", "<nav>{}</nav>", "<script>{}</script>", "<form>{}</form>", '<div class="ad">{}</div>',
+        '<div class="notice">{}</div>', '<div class="share-box">{}</div>']).format("noise " * rng.randrange(1, 30))
+    for _ in range(200):
+        body = "".join(rng.choice([para, para, other])() for _ in range(rng.randrange(3, 12))) + para()
+        page = (f"<html><head><title>t</title></head><body><nav>{'m ' * 5}</nav>{other()}<article>{para()}{body}</article>"
+                f"{other()}<footer>{'f ' * 9}</footer></body></html>")
+        learned = {"w:article": 4.0, "w:body": -4.0} | {f"t:{c}{n}": -0.05 for n in ("p", "b", "i", "article") for c in ("", "/")}
+        assert html_main.main_text(page, html_main.Weights(learned)) == slow_text(page), page
