@@ -49,8 +49,12 @@ def preference_pairs(turns: DataFrame, pair: str = "pair_id", side: str = "side"
     """Rows of (pair, side, turn, role, text), with side ``chosen`` or ``rejected``, as one row per pair."""
     row = F.struct(F.col("turn").isNull().alias("late"), F.col("turn").cast("long").alias("turn"), "role", "text")
     lists = [F.array_sort(F.collect_list(F.when(F.col(side) == s, row))).alias(s) for s in ("chosen", "rejected")]
-    grouped = (turns.filter(F.col(pair).isNotNull() & F.col(side).isin("chosen", "rejected"))
-               .groupBy(F.col(pair).alias("pair_id")).agg(*lists))
+    return formatted(turns.filter(F.col(pair).isNotNull() & F.col(side).isin("chosen", "rejected"))
+                     .groupBy(F.col(pair).alias("pair_id")).agg(*lists))
+
+
+def formatted(pairs: DataFrame) -> DataFrame:
+    """The same from pairs whose sides are ordered lists of turns (``TURN``), empty where there is no side."""
     both = F.least(F.size("chosen"), F.size("rejected"))
     same = lambda i: (
         F.coalesce(F.get("chosen", i)["role"], F.lit("")) == F.coalesce(F.get("rejected", i)["role"], F.lit(""))) & (
@@ -58,7 +62,7 @@ def preference_pairs(turns: DataFrame, pair: str = "pair_id", side: str = "side"
     shared = F.when(both == 0, F.lit(0)).otherwise(F.aggregate(
         F.sequence(F.lit(0), F.greatest(both - 1, F.lit(0))), F.lit(0),
         lambda n, i: F.when((n == i) & same(i), n + 1).otherwise(n)))
-    split = grouped.withColumn("n_prompt_turns", shared)
+    split = pairs.withColumn("n_prompt_turns", shared)
     rest = lambda s: F.slice(s, F.col("n_prompt_turns") + 1, F.greatest(F.size(s), F.lit(1)))
     given = lambda s, c: F.when(F.size(s) > 0, c)
     return split.select(
@@ -72,26 +76,22 @@ def answer_pairs(conversations: DataFrame) -> DataFrame:
     """Two sides for each conversation that has an answer: as it is, and up to its last answer with another in its place.
 
     The other answer is the last one of the partner, the conversation whose key differs in the last bit; a conversation
-    without partner or answer has only the chosen side. Chosen and rejected share all turns before the answer. Two
-    shuffles by key, of whole conversations; a group holds one conversation, then at most two.
+    without partner or answer has only the chosen side. Chosen and rejected share all turns before the answer. One
+    shuffle of the turns by conversation, and one of the answers to their partners.
     """
     row = F.struct(F.col("turn").isNull().alias("late"), F.col("turn").cast("long").alias("turn"), "role", "text")
     whole = (conversations.filter(F.col("conv_id").isNotNull()).groupBy(F.col("conv_id").cast("long").alias("pair_id"))
              .agg(F.array_sort(F.collect_list(row)).alias("turns")))
-    last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i)))
-    both = whole.withColumn("last", last).groupBy(F.shiftright("pair_id", 1).alias("two")).agg(
-        F.collect_list(F.struct("pair_id", "turns", "last", F.get("turns", F.col("last"))["text"].alias("answer"))).alias("both"))
-    each = both.select("both", F.explode("both").alias("own")).select("own.*", F.get(F.filter(
-        "both", lambda x: x["pair_id"] != F.col("own.pair_id")), F.lit(0)).alias("other"))
-    answered = F.col("last").isNotNull() & F.col("other.last").isNotNull()
+    whole = whole.withColumn("last", F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i))))
+    answers = whole.filter("last is not null").select(
+        F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.get("turns", F.col("last"))["text"].alias("answer"),
+        F.lit(True).alias("answered"))
     place = F.get("turns", F.col("last"))
-    put = F.struct(place["late"].alias("late"), place["turn"].alias("turn"), place["role"].alias("role"),
-                   F.col("other.answer").alias("text"))
-    sides = F.array(F.struct(F.lit("chosen").alias("side"), F.col("turns").alias("turns")), F.struct(
-        F.lit("rejected").alias("side"),
-        F.when(answered, F.concat(F.slice("turns", F.lit(1), F.col("last")), F.array(put))).alias("turns")))
-    return (each.select("pair_id", F.explode(sides).alias("s")).select("pair_id", "s.side", F.explode("s.turns").alias("t"))
-            .select("pair_id", "side", "t.turn", "t.role", "t.text"))
+    put = F.struct(place["late"].alias("late"), place["turn"].alias("turn"), place["role"].alias("role"), F.col("answer").alias("text"))
+    rejected = F.concat(F.slice("turns", F.lit(1), F.col("last")), F.array(put))
+    return whole.join(answers, "pair_id", "left").select(
+        "pair_id", F.col("turns").alias("chosen"),
+        F.when(F.col("answered") & F.col("last").isNotNull(), rejected).otherwise(F.array().cast(TURN)).alias("rejected"))
 
 
 def spans_text(mask: Column) -> Column:

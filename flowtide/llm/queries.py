@@ -48,7 +48,7 @@ def op8_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_preference_chat(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = chat.preference_pairs(chat.answer_pairs(_table(spark, folder, "conversations")))
+    pairs = chat.formatted(chat.answer_pairs(_table(spark, folder, "conversations")))
     return pairs.withColumns({c: chat.spans_text(pairs[c]) for c in ("chosen_mask", "rejected_mask")})
 
 

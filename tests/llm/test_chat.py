@@ -52,7 +52,7 @@ def test_answers_are_exchanged_between_partners(spark):
             (-1, 0, "user", "q"), (-1, 1, "assistant", "minus"), (-2, 0, "assistant", "two"),
             (8, 0, "user", "alone"), (8, 1, "assistant", "answer"), (20, 0, "user", "no answer"), (21, 0, "assistant", "z"),
             (None, 0, "user", "lost")]
-    found = {r["pair_id"]: r for r in chat.preference_pairs(chat.answer_pairs(conversations(spark, rows))).collect()}
+    found = {r["pair_id"]: r for r in chat.formatted(chat.answer_pairs(conversations(spark, rows))).collect()}
     assert sorted(found) == [-2, -1, 8, 20, 21, big, big + 1]
     turn = lambda role, text: f"<|{role}|>\n{text}<|end|>\n"
     assert found[big]["prompt"] == turn("user", "Q") and found[big]["rejected"] == turn("assistant", "B")
