@@ -87,7 +87,7 @@ class _PrimePowers(_Powers):
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > self.n:
             size = max(n, SLICE + 1)
-            powers = _prime_powers(self.base, size), _prime_powers(self.inverse, size)
+            powers = tuple(_prime_powers(base, size).astype(np.uint32) for base in (self.base, self.inverse))
             if size > 2 * SLICE:
                 return powers
             (self.up, self.down), self.n = powers, size
@@ -96,7 +96,7 @@ class _PrimePowers(_Powers):
 
 _PRIMES = _PrimePowers(_PRIME_BASE, _PRIME_INVERSE)
 #: Bytes as small numbers, so that a sum of 2^22 of their products with powers of the prime stays below 2^63.
-_SMALL = np.arange(1, 257, dtype=U64)
+_SMALL = np.arange(1, 257, dtype=np.uint16)
 _SMALL_LOWER = _SMALL.copy()
 _SMALL_LOWER[65:91] = _SMALL[97:123]
 
@@ -104,12 +104,12 @@ _SMALL_LOWER[65:91] = _SMALL[97:123]
 def _prime_hashes(small: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Polynomial hashes modulo the prime of the runs ``begin:stop``, wherever they stand."""
     up, down = _PRIMES.upto(len(small))
-    product = small * up
-    if len(product) > 1 << 22:
-        product %= U64(_PRIME)
-    total = np.zeros(len(small) + 1, U64)
-    np.cumsum(product, out=total[1:])
-    return (total[stop] - total[begin]) % U64(_PRIME) * down[begin] % U64(_PRIME)
+    total = np.multiply(small, up, dtype=U64)
+    if len(total) > 1 << 22:
+        total %= U64(_PRIME)
+    np.cumsum(total, out=total)
+    before = np.where(begin > 0, total[begin - 1], U64(0))
+    return (total[stop - 1] - before) % U64(_PRIME) * down[begin] % U64(_PRIME)
 
 
 @dataclass
