@@ -2,14 +2,14 @@ r"""Line-first quality rules: judge each line, drop the failing ones, then judge
 
 A line without a word is neutral. A line with words fails when one of the rules holds:
 
-* ``punctuation``: it does not end in ``. ! ?`` or an ellipsis (closing quotes and brackets may follow),
+* ``punctuation``: it does not end in an end mark of any script (closing quotes and brackets may follow), and has
+  fewer than 10 words or holds no finished sentence,
 * ``navigation``: at least a fifth of its words are bare separators such as ``|`` or ``>``,
 * ``symbols``: more than three characters of ``[#*$%&|<>]`` per ten words,
-* ``boilerplate``: it holds a stock phrase of notices, menus or licences.
+* ``boilerplate``: it holds stock phrases of notices, menus or licences as whole words, and at most
+  ``PHRASE_WORDS`` words for each of them.
 
-``judge`` reports these rules as QUALITY_SQL states them. ``clean``, which drops text, spares what they take with it:
-a line of ten words or more that holds a finished sentence does not fail ``punctuation``, and end marks of other
-scripts count; a stock phrase fails a line only at word borders and with at most ``PHRASE_WORDS`` words a phrase.
+``judge`` reports these rules, ``clean`` applies them; both hold the same verdict on every document.
 
 A document is rejected when its base measures fail (fewer than 10 words, or more than a fifth of
 its words in repeated 5-word windows) or when more than half of its words were in failing lines.
@@ -39,45 +39,38 @@ PHRASES = (
     "all rights reserved", "lorem ipsum", "licensed under", "click here", "sign up", "log in",
     "subscribe to", "skip to content", "powered by", "read more", "share this",
 )
-ENDING = r'[.!?…]["\'”’)\]»]*[ \t\r\x0b\x0c]*$'
+PHRASE_WORDS = 15
 MIN_WORDS, MAX_REPEAT, MAX_LOST, REPEAT_WINDOW = 10, 20, 50, 5
 
 FIELDS = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
           "n_repeat_words long, n_failed_lines long, n_lost_words long, base_failed boolean, kept boolean")
 
-#: End marks of any script, for ``clean``: Latin ones finish a sentence before white space, the others anywhere.
-OTHER_ENDERS = "。！？｡．؟۔।॥።፧፨։။។᠃‽⁇⁈⁉⸮"
-_FINISHED = re.compile(rf"[^\W_][.!?…]+[\"'”’)\]»]*[ \t\r\x0b\x0c]|[{OTHER_ENDERS}]")
-_ALL_CLOSERS, _ALL_ENDERS = "\"'”’)]»」』）】》〉〕", (".", "!", "?", "…", *OTHER_ENDERS)
-
-PHRASE_WORDS = 15
+# Latin end marks finish a sentence before white space, those of other scripts anywhere.
+LATIN_ENDERS, OTHER_ENDERS = ".!?…", "。！？｡．؟۔।॥።፧፨։။។᠃‽⁇⁈⁉⸮"
+LATIN_CLOSERS, CLOSERS = "\"'”’)]»", "\"'”’)]»」』）】》〉〕"
+SPACES = " \t\r\x0b\x0c"
+_ENDERS = tuple(LATIN_ENDERS + OTHER_ENDERS)
+_FINISHED = re.compile(rf"[^\W_][{LATIN_ENDERS}]+[{re.escape(LATIN_CLOSERS)}]*[{SPACES}]|[{OTHER_ENDERS}]")
 _PHRASE = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, PHRASES))})s?(?!\w)")
-
-_SPACES, _CLOSERS, _ENDERS = " \t\r\x0b\x0c", "\"'”’)]»", (".", "!", "?", "…")
 _PHRASE_BYTES = [p.encode() for p in PHRASES]
 _LETTERS = ~SPACE & ((np.arange(256) & 0xC0) != 0x80)
 _MARKS = np.isin(np.arange(256), [ord(c) for c in SYMBOLS])
 _SEPARATOR_HASHES = np.sort(split_words(pa.array(SEPARATORS)).hashes)
 
 
-def unended(line: str) -> bool:
-    """Whether a line lacks terminal punctuation (the pattern ENDING)."""
-    return not line.rstrip(_SPACES).rstrip(_CLOSERS).endswith(_ENDERS)
-
-
 def unfinished(line: str, n: int) -> bool:
     """Whether a line of ``n`` words lacks terminal punctuation and is short or holds no finished sentence."""
-    if line.rstrip(_SPACES).rstrip(_ALL_CLOSERS).endswith(_ALL_ENDERS):
+    if line.rstrip(SPACES).rstrip(CLOSERS).endswith(_ENDERS):
         return False
     return n < MIN_WORDS or not _FINISHED.search(line)
 
 
-def has_phrase(line: bytes) -> bool:
-    """Whether a line of bytes, A-Z lowered, holds a stock phrase."""
+def may_hold_phrase(line: bytes) -> bool:
+    """Whether bytes, A-Z lowered, hold the letters of a stock phrase."""
     return any(p in line for p in _PHRASE_BYTES)
 
 
-def phrases_rule(line: bytes, n: int) -> bool:
+def stock_phrases(line: bytes, n: int) -> bool:
     """Whether whole stock phrases dominate a line of ``n`` words, given in bytes with A-Z lowered."""
     return n <= PHRASE_WORDS * len(_PHRASE.findall(line.decode()))
 
@@ -129,7 +122,7 @@ def _measure(texts: pa.Array, keep_text: bool) -> tuple[dict[str, np.ndarray], l
     for d, text in enumerate(texts.to_pylist()):
         lines = (text or "").split("\n")
         low = words.data[words.offsets[d]:words.offsets[d + 1]].tobytes().lower()
-        low_lines = low.split(b"\n") if has_phrase(low) else None
+        low_lines = low.split(b"\n") if may_hold_phrase(low) else None
         seen: set[str] = set()
         again = bad = gone = 0
         good = []
@@ -139,9 +132,8 @@ def _measure(texts: pa.Array, keep_text: bool) -> tuple[dict[str, np.ndarray], l
             if n:
                 again += line in seen
                 seen.add(line)
-                open_end = unfinished(line, n) if keep_text else unended(line)
-                fails = line_bad[place + k] or open_end or (low_lines is not None and has_phrase(low_lines[k]) and (
-                    not keep_text or phrases_rule(low_lines[k], n)))
+                fails = line_bad[place + k] or unfinished(line, n) or (
+                    low_lines is not None and may_hold_phrase(low_lines[k]) and stock_phrases(low_lines[k], n))
             if fails:
                 bad += 1
                 gone += n

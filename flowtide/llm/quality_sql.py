@@ -1,11 +1,20 @@
 """The quality rules as SQL, for the check of ``op6_quality_rules``."""
 
-from flowtide.llm.quality import ENDING, MAX_LOST, MAX_REPEAT, MIN_WORDS, PHRASES, SEPARATORS, SYMBOLS
+from flowtide.llm.quality import (CLOSERS, LATIN_CLOSERS, LATIN_ENDERS, MAX_LOST, MAX_REPEAT, MIN_WORDS, OTHER_ENDERS,
+                                  PHRASE_WORDS, PHRASES, SEPARATORS, SYMBOLS)
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _q = lambda x: "'" + x.replace("'", "''") + "'"
 
+_class = lambda x: "[" + x.replace("]", r"\]") + "]"
+_SPACES = r"[ \t\r\x0b\x0c]"
+_ENDED = f"[{LATIN_ENDERS}{OTHER_ENDERS}]{_class(CLOSERS)}*{_SPACES}*$"
+_FINISHED = rf"[\p{{L}}\p{{N}}][{LATIN_ENDERS}]+{_class(LATIN_CLOSERS)}*{_SPACES}|[{OTHER_ENDERS}]"
+# Every character that parts words is doubled, so that each phrase has a border of its own on both sides.
+_BORDER = r"[^\p{L}\p{N}_]"
+_PHRASE = f"{_BORDER}(?:{'|'.join(p.replace(' ', '  ') for p in PHRASES)})s?{_BORDER}"
+
 QUALITY_SQL = rf"""
 WITH numbered AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 words AS (SELECT r, doc_id, text, regexp_extract_all(text, '{_WORD}') AS w FROM numbered),
@@ -24,8 +33,11 @@ lines AS (
          generate_subscripts(string_split(text, chr(10)), 1) AS i FROM numbered),
 judged AS (
   SELECT r, line, i, len(regexp_extract_all(line, '{_WORD}')) AS n,
-         NOT regexp_matches(line, {_q(ENDING)})
-         OR {" OR ".join(f"contains(translate(line, '{_UPPER}', '{_LOWER}'), {_q(p)})" for p in PHRASES)}
+         (NOT regexp_matches(line, {_q(_ENDED)})
+          AND (len(regexp_extract_all(line, '{_WORD}')) < {MIN_WORDS} OR NOT regexp_matches(line, {_q(_FINISHED)})))
+         OR len(regexp_extract_all(line, '{_WORD}')) <= {PHRASE_WORDS} * len(regexp_extract_all(
+              regexp_replace(' ' || translate(line, '{_UPPER}', '{_LOWER}') || ' ', {_q(f"({_BORDER})")}, '\1\1', 'g'),
+              {_q(_PHRASE)}))
          OR 10 * len(regexp_extract_all(line, '[{SYMBOLS}]')) > 3 * len(regexp_extract_all(line, '{_WORD}'))
          OR 5 * len(list_filter(regexp_extract_all(line, '{_WORD}'),
                     lambda x: list_contains([{", ".join(map(_q, SEPARATORS))}], x)))

@@ -46,6 +46,29 @@ def test_window_hashes(texts, n):
     assert len(set(zip(hashes.tolist(), expected))) == len(set(expected)) == len(set(hashes.tolist()))
 
 
+def ends(line):
+    while line and line[-1] in quality.SPACES:
+        line = line[:-1]
+    while line and line[-1] in quality.CLOSERS:
+        line = line[:-1]
+    return line != "" and line[-1] in quality.LATIN_ENDERS + quality.OTHER_ENDERS
+
+
+def finished(line, k):
+    """Whether a sentence is over with the character at k."""
+    if line[k] in quality.OTHER_ENDERS:
+        return True
+    if line[k] not in quality.SPACES:
+        return False
+    k -= 1
+    while k >= 0 and line[k] in quality.LATIN_CLOSERS:
+        k -= 1
+    end = k
+    while k >= 0 and line[k] in quality.LATIN_ENDERS:
+        k -= 1
+    return 0 <= k < end and line[k].isalnum()
+
+
 def brute_quality(text):
     text = text or ""
     w = WORD.findall(text)
@@ -57,8 +80,10 @@ def brute_quality(text):
         if not own:
             continue
         dup += line in lines[:i]
-        bad = (not re.search(quality.ENDING.replace("$", r"\Z"), line)
-               or any(p in re.sub("[A-Z]", lambda m: m[0].lower(), line) for p in quality.PHRASES)
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), line)
+        phrases = len(re.findall("|".join(rf"\b{p}s?\b" for p in quality.PHRASES), low))
+        bad = (not ends(line) and (len(own) < 10 or not any(finished(line, k) for k in range(len(line))))
+               or len(own) <= 15 * phrases
                or 10 * sum(c in quality.SYMBOLS for c in line) > 3 * len(own)
                or 5 * sum(x in quality.SEPARATORS for x in own) >= len(own))
         failed += bad
@@ -70,6 +95,10 @@ def brute_quality(text):
 
 AWKWARD = ["", " ", "\n\n", "One line.\nOne line.\nno end\n \nOne line.", "a b c d e. " * 9, "é è ü ß ñ — “q.” x. " * 3,
            "Home | About | Contact | Imprint |\n" + "Real text stands here and it goes on. " * 2, "x" * 5000 + ".",
+           "The first sentence has ended. The second of this paragraph has ended too. A third one follows", "no. end of it " * 5,
+           "Sign up, log in. Log in sign up click here: " + "words go on and on here " * 9 + ".", "यह एक लंबा वाक्य है जो कई शब्दों में लिखा गया है।",
+           "Each catalog in the dialog in here is a page_cookie of javascripts, or a cookie.", "这里有一句话。 后面 还 有 一些 词 没有 说 完 的 话 和 字",
+           "He said “it is done.” and then went on to a place far away from there", "x_. y __. z a b c d e f g h i j k",
            "We use COOKIES here.\nThis line has ten words in it, or even some more.", "# $ % & | < > *", "\x1ca b\x1fc.\r\nd e f g h i j k l m.\x0b"]
 
 
@@ -81,6 +110,22 @@ def test_quality_equals_brute_force(spark):
         assert found[d] == brute_quality(text), text
 
 
+def test_clean_keeps_what_judge_keeps(spark):
+    rows = list(enumerate(AWKWARD + [t for _, t in near_copies()]))
+    kept = [r["doc_id"] for r in quality.judge(table(spark, rows)).filter("kept").collect()]
+    assert sorted(kept) == sorted(r["doc_id"] for r in quality.clean(table(spark, rows)).collect()) and len(kept) > 5
+
+
+def test_sql_states_the_rules(spark):
+    import duckdb
+
+    from flowtide.llm.quality_sql import QUALITY_SQL
+    rows = list(enumerate(AWKWARD))
+    documents = pa.table({"doc_id": [d for d, _ in rows], "text": [t for _, t in rows]})  # noqa: F841  read by name
+    told = {r[0]: r[1:] for r in duckdb.sql(QUALITY_SQL).fetchall()}
+    assert told == {d: brute_quality(t) for d, t in rows}
+
+
 def test_clean_keeps_columns_and_good_lines(spark):
     good = "This is a fine line with words in it.\nAnd a second one that ends well."
     rows = [(1, good + "\nMenu | Home | About |"), (2, "Menu | Home | About |"), (None, good), (4, None), (1, good)]
