@@ -4,8 +4,9 @@ Texts are lowered and cut into plain words (punctuation parts words). Of every r
 neighbouring n-grams of a test item, the one that is rarest in the corpus is a seed, so any copy that
 keeps n + SPREAD - 1 consecutive words of the item is met, however common the passage is. Every place
 where a document holds a seed is aligned with the item: +2 for an equal word, -1 for another word or
-a gap. The best local score over the perfect score of the item is the result's ``score``; pairs at or above
-``THRESHOLD`` are contaminated.
+a gap. The best local score over the perfect score of the item is the result's ``score``. A pair is contaminated
+when that share reaches ``THRESHOLD``, or when the local score itself reaches ``ENOUGH``, that of 13 equal words in
+a row: an excerpt counts however long its item is.
 
 Test items are taken in blocks of at most ``BLOCK_WORDS`` words; a block's index is what is sent to the
 tasks, so its size is bounded, and every block meets all documents. Documents are scanned twice per block
@@ -33,6 +34,7 @@ from flowtide.llm.words import NOT_PLAIN, U64, Words, split_words
 
 GRAM, SPREAD, THRESHOLD, BLOCK_WORDS = 3, 2, 0.55, 500_000
 MATCH, MISS, GAP = 2, -1, -1
+ENOUGH = 13 * MATCH
 CELLS = 1 << 20
 RESULT = "doc_id long, item_id long, score double, first_word long, last_word long"
 
@@ -146,7 +148,7 @@ def matches(texts: pa.Array, index: Index, threshold: float = THRESHOLD) -> dict
         regions = [words.hashes[a:b] for _, _, a, b in lot]
         best, row, column = align(_padded(items, 0), _padded(regions, 1))
         share = best / (MATCH * np.array([len(x) for x in items]))
-        keep = np.flatnonzero(share >= threshold)
+        keep = np.flatnonzero((share >= threshold) | (best >= ENOUGH))
         if not len(keep):
             continue
         back = align(_padded([items[k][:row[k] + 1][::-1] for k in keep], 0),

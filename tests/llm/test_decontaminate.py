@@ -40,6 +40,9 @@ def tables(spark):
                 k = rng.randrange(len(text))
                 text[k:k + 1] = rng.choice([["edit"], [], [text[k], "more"]])
             at = rng.randrange(len(own))
+            if d % 9 == 0:  # an excerpt
+                low = rng.randrange(max(1, len(text) - 12))
+                text = text[low:low + rng.randrange(10, 20)]
             own[at:at] = [w.upper() + "," for w in text]
         docs.append((d, " ".join(own)))
     docs += [(500, None), (501, ""), (None, items[0][1]), (502, items[1][1] + " " + items[1][1]), (502, items[1][1])]
@@ -57,8 +60,9 @@ def test_equals_plain_alignment(tables, monkeypatch, block):
         for i, item in dict.fromkeys(item_rows):
             a = plain(item)
             if len(a) >= decontaminate.GRAM:
-                share = local_score(a, plain(text)) / (2 * len(a))
-                if share >= decontaminate.THRESHOLD:
+                best = local_score(a, plain(text))
+                share = best / (2 * len(a))
+                if share >= decontaminate.THRESHOLD or best >= 26:
                     expected.append((str(d), i, round(share, 6)))
     assert found == sorted(expected) and len(found) > 40
 
@@ -78,6 +82,17 @@ def test_empty_tables(tables):
     assert decontaminate.drop(docs, items.limit(0)).count() == len(doc_rows)
 
 
+@pytest.mark.parametrize("taken", [12, 13, 21, 200])
+def test_excerpts_of_long_items(taken):
+    item, other = words(400, 1, 10**6), words(300, 2, 10**6)
+    index = decontaminate.Index([7], [" ".join(item)])
+    index.choose(pa.array([0] * len(index.grams)).to_numpy())
+    for low in (0, 150, 400 - taken):
+        text = " ".join(other[:100] + item[low:low + taken] + other[100:])
+        found = decontaminate.matches(pa.array([text]), index)
+        assert found == ({} if taken < 13 else {(0, 0): (taken / 400, 100, 99 + taken)})
+
+
 def test_place_of_a_match():
     index = decontaminate.Index([7], ["alpha beta gamma delta epsilon zeta eta theta"])
     index.choose(pa.array([0] * len(index.grams)).to_numpy())
