@@ -586,6 +586,46 @@ BODIES["flow_counts"] = """
 CTES["raw_ports"] = """SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS "dstPort" FROM events"""
 
 
+def scored_by_version(source: str) -> str:
+    """Days of ``source`` scored by the given versions, in SQL."""
+    # Fixed values, as in the query: since, (centre, threshold) of each cluster, mean, deviation.
+    given = (
+        ("2024-01-03", (((0.5, 0.5, 0.5), 0.5), ((2.0, 1.0, 1.0), 1.5)), (20000.0, 10.0, 3.0), (20000.0, 10.0, 1.0)),
+        ("2024-01-12", (((0.0, 1.0, 0.0), 0.25), ((1.0, 0.0, 1.0), None)), (1000.0, 2.0, 1.0), (50000.0, 5.0, 2.0)),
+        ("2024-01-19", (((0.1, 0.1, 0.1), 2.0),), (5000.0, 4.0, 2.0), (9000.0, 3.0, 2.0)),
+    )
+    parts = [f"""
+        SELECT win, "srcAddr", CAST(NULL AS TIMESTAMP) AS since, CAST(NULL AS INTEGER) AS cluster,
+               CAST(NULL AS DOUBLE) AS distance, false AS anomaly FROM ({source}) s WHERE win < TIMESTAMP '2024-01-03'"""]
+    for (since, clusters, mean, stddev), upto in zip(given, ("2024-01-12", "2024-01-19", "2999-01-01")):
+        z = [f'(("{c}" - {m}::DOUBLE) / {d}::DOUBLE)' for c, m, d in zip(MODEL, mean, stddev)]
+        below = " AND ".join(f"{x} < {max(c[i] for c, _ in clusters)}::DOUBLE" for i, x in enumerate(z))
+        for number, (middle, limit) in enumerate(clusters):
+            away = " + ".join(f"pow({x} - {v}::DOUBLE, 2)" for x, v in zip(z, middle))
+            parts.append(f"""
+                SELECT win, "srcAddr", TIMESTAMP '{since}' AS since, {number}::INTEGER AS cluster,
+                       CASE WHEN {below} THEN 0.0::DOUBLE ELSE sqrt({away}) END AS distance,
+                       {"false" if limit is None else f"CASE WHEN {below} THEN 0.0::DOUBLE ELSE sqrt({away}) END > {limit}::DOUBLE"} AS anomaly
+                FROM ({source}) s WHERE win >= TIMESTAMP '{since}' AND win < TIMESTAMP '{upto}'""")
+    return f"""
+        SELECT win, "srcAddr", since, cluster, round(distance, 6) AS distance, anomaly
+        FROM ({" UNION ALL ".join(parts)}) a
+        QUALIFY row_number() OVER (PARTITION BY win, "srcAddr" ORDER BY a.distance, cluster) = 1"""
+
+
+BODIES["anomalies_by_version"] = scored_by_version("SELECT * FROM days")
+BODIES["stream_model_change"] = scored_by_version(
+    "SELECT * FROM timely_days WHERE win + INTERVAL 1 DAY <= (SELECT mark FROM part_marks WHERE part = 1000000)")
+BODIES["features_merged"] = """
+    SELECT win, "srcAddr", "sumOfFlows", "sumOfBytes", "numRecords", "uniqDstIPs" AS "exact_uniqDstIPs",
+           "uniqDstPorts" AS "exact_uniqDstPorts", true AS "near_uniqDstIPs", true AS "near_uniqDstPorts" FROM days"""
+BODIES["stream_sketches"] = f"""
+    SELECT CAST(date_trunc('day', win) AS TIMESTAMP) AS win, "srcAddr",
+           CAST(sum("sumOfFlows") AS BIGINT) AS "sumOfFlows", CAST(sum("sumOfBytes") AS BIGINT) AS "sumOfBytes",
+           CAST(sum("numRecords") AS BIGINT) AS "numRecords"
+    FROM ({closed("stream_minutes", "60 seconds")}) m GROUP BY 1, 2"""
+
+
 def with_tables(body: str) -> str:
     """Put the common table expressions the body needs in front of it, in order."""
     import re

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from catalog import views
 from flowtide.functions import stamp, stats
-from flowtide.operators import cluster, features, flows, prep, profile, rules, score, thresholds
+from flowtide.operators import cluster, features, flows, prep, profile, rules, score, sketches, thresholds, versions
 from flowtide.plans import block_anomalies, block_exceedances, fit_detector
-from flowtide.schemas import FEATURES, MODEL_FEATURES, RAW_FLOW
+from flowtide.schemas import FEATURES, MODEL, MODEL_FEATURES, RAW_FLOW
 from flowtide.session import materialize, new_folder
 from flowtide.sinks import append_features, append_rules, compact_day, export_csv
 from flowtide.sources import (
@@ -18,7 +18,7 @@ from flowtide.sources import (
 )
 from flowtide.streaming import (
     FlowCounts, each_arrival, joined_features, keep_every_flow, read_aside, read_mark, read_open, read_windows, run_available, score_stream,
-    store_features, store_rules, valid_stream, windowed_features, write_table,
+    score_windows, store_features, store_rules, valid_stream, windowed_features, windowed_sketches, write_table,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -857,3 +857,72 @@ def flow_counts(spark, folder):
     return spark.createDataFrame(
         [("batch", *[seen.get[n] for n in names]), ("stream", *[listener.totals[n] for n in names])],
         "job string, " + ", ".join(f"{n} long" for n in names))
+
+
+# Fixed models in force one after the other: since, (centre, threshold) of each cluster, mean, deviation.
+GIVEN_VERSIONS = (
+    ("2024-01-03", (((0.5, 0.5, 0.5), 0.5), ((2.0, 1.0, 1.0), 1.5)), (20000.0, 10.0, 3.0), (20000.0, 10.0, 0.0)),
+    ("2024-01-12", (((0.0, 1.0, 0.0), 0.25), ((1.0, 0.0, 1.0), None)), (1000.0, 2.0, 1.0), (50000.0, 5.0, 2.0)),
+    ("2024-01-19", (((0.1, 0.1, 0.1), 2.0),), (5000.0, 4.0, 2.0), (9000.0, 3.0, 2.0)),
+)
+
+
+def save_given_version(spark: SparkSession, path: str, number: int) -> None:
+    since, clusters, mean, stddev = GIVEN_VERSIONS[number]
+    rows = [(i, list(c), None, list(mean), list(stddev), t) for i, (c, t) in enumerate(clusters)]
+    versions.save_version(spark.createDataFrame(rows, MODEL), path, since)
+
+
+def decisions(scored: DataFrame) -> DataFrame:
+    plain = scored.withColumn("since", F.col("since").cast("timestamp_ntz"))
+    return rounded(plain, 6, "distance").select(*DAY, "since", "cluster", "distance", "anomaly")
+
+
+@query
+def anomalies_by_version(spark, folder):
+    """All days, each scored by the one of three models that was in force."""
+    path = new_folder(spark, "versions")
+    for number in range(len(GIVEN_VERSIONS)):
+        save_given_version(spark, path, number)
+    return decisions(versions.score_in_force(
+        views.event_features(spark, folder), versions.load_versions(spark, path), "win"))
+
+
+@query
+def stream_model_change(spark, folder):
+    """Closed days of a stream in parts; models are replaced before the second and the third part."""
+    models, scored = new_folder(spark, "versions"), new_folder(spark, "scored")
+
+    def change(features: DataFrame, number: int) -> None:
+        if number < len(GIVEN_VERSIONS):
+            save_given_version(spark, models, number)
+
+    days_in_parts(spark, folder, [change, score_windows(models, scored)])
+    return decisions(views.plain_window(spark.read.parquet(scored)))
+
+
+def judged_sketches(exact: DataFrame, merged: DataFrame) -> DataFrame:
+    """Sums of merged sketches, and whether their estimates are within three standard errors of the exact counts."""
+    counts = exact.select(*DAY, *[F.col(c).alias(f"exact_{c}") for c in sketches.SKETCHES])
+    near = [(F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.ceil(sketches.error() * F.col(f"exact_{c}"))).alias(f"near_{c}")
+            for c in sketches.SKETCHES]
+    return sketches.estimated(merged).join(counts, list(DAY), "full").select(
+        *DAY, *sketches.SUMS, *[f"exact_{c}" for c in sketches.SKETCHES], *near)
+
+
+@query
+def features_merged(spark, folder):
+    """Sketches of minutes merged to hours and these to days, beside the exact counts of days."""
+    minutes = features.flat_window(sketches.sketched_features(
+        features.with_window(views.event_flows(spark, folder), "60 seconds")))
+    hours = sketches.merged_features(minutes.withColumn("win", F.date_trunc("hour", "win")), DAY)
+    days = sketches.merged_features(hours.withColumn("win", F.date_trunc("day", "win")), DAY)
+    return judged_sketches(views.event_features(spark, folder), views.plain_window(days))
+
+
+@query
+def stream_sketches(spark, folder):
+    """Sketches of the stream's closed minutes, merged to days."""
+    closed = stream_result(spark, windowed_sketches(valid_stream(views.message_stream(spark, folder))))
+    merged = sketches.merged_features(closed.withColumn("win", F.date_trunc("day", "win")), DAY)
+    return sketches.estimated(views.plain_window(merged)).select(*DAY, *sketches.SUMS)

@@ -10,6 +10,7 @@ from flowtide.operators.features import (
 from flowtide.operators.flows import (
     AHEAD, ARRIVAL_TIME, EVENT_TIME, counted_flows, project_flows, rejected_flows, valid_flows,
 )
+from flowtide.operators.sketches import PRECISION, sketched_features
 from flowtide.schemas import FEATURES, FLOW_COLUMNS
 from flowtide.sources.flows import decode
 
@@ -49,6 +50,16 @@ def windowed_features(flows: DataFrame, duration: str = "60 seconds",
     return flat_window(features_by_source(timely, WINDOWED))
 
 
+def windowed_sketches(flows: DataFrame, duration: str = "60 seconds", delay: str = "2 minutes",
+                      precision: int = PRECISION) -> DataFrame:
+    """Sums and mergeable sketches per window and source, once the window is closed.
+
+    State holds one row per (window, source), whatever the number of destinations.
+    """
+    timely = with_window(flows.withWatermark(EVENT_TIME, delay), duration)
+    return flat_window(sketched_features(timely, WINDOWED, precision))
+
+
 def joined_features(flows: DataFrame, duration: str = "60 seconds", delay: str = "2 minutes") -> DataFrame:
     """The features of :func:`windowed_features` as a full outer join of two aggregated streams.
 

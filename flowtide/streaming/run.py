@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from flowtide.operators.features import SOURCE, features_by_source
 from flowtide.operators.rules import hold_off
 from flowtide.operators.score import score
+from flowtide.operators.versions import load_versions, score_in_force, within
 from flowtide.schemas import MODEL_FEATURES
 from flowtide.sinks.folders import Folders
 from flowtide.sinks.tables import append_features, append_rules
@@ -77,6 +78,23 @@ def score_stream(features: DataFrame, model: DataFrame | list[Row],
     return score(features, model, columns, scale, center)
 
 
+def score_windows(versions: str, path: str, columns: Sequence[str] = MODEL_FEATURES, scale: bool = True,
+                  center: bool = True, at: str = "win") -> BatchWork:
+    """Work for :func:`keep_every_flow`: score closed windows, each by the version of the model in force when it began.
+
+    Versions are read anew for every batch, only those that its windows need, so a model saved while the stream runs
+    takes effect without a restart. A batch writes to a folder of its own, which a repeated batch replaces.
+    """
+    def work(windows: DataFrame, number: int) -> None:
+        time = F.unix_micros(at)
+        span = windows.agg(F.min(time).alias("first"), F.max(time).alias("last")).first()
+        models = within(load_versions(windows.sparkSession, versions), span["first"], span["last"])
+        scored = score_in_force(windows, models, at, columns, scale, center)
+        scored.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return work
+
+
 def write_table(stream: DataFrame, path: str, checkpoint: str, every: str | None = None,
                 state_partitions: int | None = None) -> StreamingQuery:
     """Append closed rows to a Parquet table, each exactly once.
