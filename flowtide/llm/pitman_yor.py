@@ -1,23 +1,24 @@
 """Word model by a hierarchical Pitman-Yor process, seated by Gibbs sampling in Spark.
 
-Tokens are words lowered in A-Z, then one end token per text. A token's context is the word before it
-(or the start), hashed to one of ``LEAVES`` context restaurants. Context restaurants share parents
-(``LEAVES / MIDDLES`` each), these share the root, and the root draws from a uniform base over the V
-training tokens and one unknown. In a restaurant, c customers eating a word sit at t tables; each table
-sends one customer to the parent. The chance of a word is
+Tokens are words lowered in A-Z, then one end token per text. Every previous word (or the start) has a restaurant of
+its own; all of them share the root, the restaurant of the shorter, empty context, and the root draws from a uniform
+base over the V training tokens and one unknown. In a restaurant, c customers eating a word sit at t tables; each
+table sends one customer to the root. The chance of a word is
 
     (c - d t + (theta + d T) * chance in the parent) / (theta + C),
 
 with C customers and T tables in the whole restaurant. A Gibbs sweep takes up the customers of each word in
 each restaurant and seats them again one after another (Chinese restaurant; beyond the first twenty in lots of
-five per cent, within which the chance of a new table is held), context restaurants first, then parents, then
-the root, given the totals of the sweep before. After ``BURN`` sweeps, ``SAMPLES`` seatings are kept and their
-predictive probabilities averaged.
+five per cent, within which the chance of a new table is held), the previous words' restaurants first, then the root,
+given the totals before. After ``BURN`` sweeps, ``SAMPLES`` seatings are kept and their predictive probabilities
+averaged.
 
-Counts cover the whole training part. They are split by ranges of word hashes (buckets), all rows of a word
-together, so a sweep is one map over buckets; only C and T of the restaurants, a fixed number, meet at the
-driver. A frequent word has at most ``LEAVES`` rows. To score, blocks of documents ask the buckets for their
-distinct pairs. Words are told apart by 56 bits of hash.
+Counts cover the whole training part and grow with it: one row per (previous word, word), one restaurant per previous
+word. They are split by ranges of the previous word's hash (buckets), so that C and T of a restaurant are known where
+it lies. For the root, each bucket sends the tables of its distinct words to the buckets of those words and gets the
+root's customers and tables back; two sums reach the driver. To score, blocks of documents ask the buckets for their
+distinct words and pairs. A restaurant is not split: its rows, one per different word after its own, lie in one group.
+Previous words are told apart by 64 bits of hash, the words in a restaurant and in the root by 40.
 
 A null text is an empty text: one end token. Rows count and are scored one by one, so repeated rows weigh twice.
 Without training rows all words share one chance. An empty table gives an empty result. Only doc_id and text
@@ -37,71 +38,71 @@ from flowtide.llm.blocks import dealt, edges, in_order, sizes
 from flowtide.llm.tables import discard, remainder, slices, texts_of, written
 from flowtide.llm.words import U64, mix, split_words
 
-LEAVES, MIDDLES, BURN, SAMPLES, SEED = 256, 16, 2, 3, 20
-DISCOUNTS, STRENGTHS = (0.75, 0.75, 0.65), (20.0, 20.0, 20.0)  # root, parents, contexts
+BURN, SAMPLES, SEED = 2, 3, 20
+DISCOUNTS, STRENGTHS = (0.75, 0.75), (20.0, 2.0)  # root, previous words
 BLOCK_BYTES = 6 << 20
 START, END = U64(0x5354415254), U64(0x454E44454E44)
+DISH = U64(24)  # bits of a word's hash that its number as a dish leaves out
 
-_ASK = "bucket int, block int, words binary, runs binary, leaves binary, counts binary"
-_STATE = "bucket int, words binary, runs binary, leaves binary, counts binary, tables array<binary>"
-
-
-def token_keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """One number per token (56 bits of word, 8 of context), and where each text's tokens begin."""
-    words = split_words(texts, lower=True, places=False)
-    first = words.first + np.arange(words.texts + 1)
-    token = np.empty(first[-1], U64)
-    end = np.zeros(len(token), bool)
-    end[first[1:] - 1] = True
-    token[end] = mix(np.array([END]))[0]
-    token[~end] = words.hashes
-    del words
-    leaf = np.empty(len(token), np.uint8)
-    for low in range(0, len(token), 1 << 17):
-        own = slice(low, low + (1 << 17))
-        before = np.empty_like(token[own])
-        before[1:] = token[own][:-1]
-        before[:1] = token[low - 1] if low else START
-        before[1:][end[own][:-1]] = START
-        if low and end[low - 1]:
-            before[0] = START
-        leaf[own] = mix(before) >> U64(56)
-    token &= ~U64(255)
-    token |= leaf
-    return token, first
-
-
-def _buckets(buckets: int) -> np.ndarray:
-    return edges(buckets) & ~U64(255)
-
-
-def _packed(keys: np.ndarray, counts: np.ndarray | None, block: int, buckets: int) -> dict[str, pa.Array]:
-    """Sorted distinct token numbers as one row per bucket, each word written once."""
-    cuts = np.concatenate([[0], np.searchsorted(keys, _buckets(buckets)), [len(keys)]])
-    some = np.flatnonzero(np.diff(cuts))
-    rows: dict[str, list] = {k: [] for k in ("words", "runs", "leaves", "counts")}
-    for b in some:
-        own = keys[cuts[b]:cuts[b + 1]]
-        words, runs = np.unique(own >> U64(8), return_counts=True)
-        rows["words"].append(words.tobytes())
-        rows["runs"].append(runs.astype("<u2").tobytes())
-        rows["leaves"].append((own & U64(255)).astype("u1").tobytes())
-        rows["counts"].append(mostly_ones(counts[cuts[b]:cuts[b + 1]]) if counts is not None else b"")
-    return {"bucket": pa.array(some, pa.int32()), "block": pa.array(np.full(len(some), block), pa.int32())} | {
-        k: pa.array(v, pa.binary()) for k, v in rows.items()}
-
-
-def mostly_ones(values: np.ndarray) -> bytes:
-    """Positive numbers of which most are 1: places and values of the others."""
-    other = np.flatnonzero(values != 1)
-    return other.astype("<u4").tobytes() + values[other].astype("<u8").tobytes()
-
-
-def from_ones(data: bytes | memoryview | pa.Buffer, n: int) -> np.ndarray:
-    out = np.ones(n, np.int64)
+_ASK = "bucket int, block int, words binary, runs binary, followers binary, counts binary"
+_STATE = "bucket int, sample int, words binary, runs binary, followers binary, counts binary, tables array<binary>"
+_UP = "bucket int, source int, dishes binary, tables binary"
+_ROOT = "bucket int, part int, dishes binary, customers binary, tables binary, all_customers long, all_tables long"
+_TOLD = "bucket int, block int, totals binary, pairs binary"
+
+
+class Tokens:
+    """Tokens of some texts as places in their sorted distinct words, and their distinct (previous word, word) pairs.
+
+    ``words`` holds the start and the end too; ``pair[i]`` is the pair of token i, ``before`` and ``word`` are the
+    places of the pairs' words, sorted.
+    """
+
+    def __init__(self, texts: pa.Array) -> None:
+        found = split_words(texts, lower=True, places=False)
+        self.first = found.first + np.arange(found.texts + 1)
+        token = np.full(self.first[-1] + 2, mix(np.array([END]))[0], U64)  # the start and the end last
+        ends = np.zeros(len(token), bool)
+        ends[self.first[1:] - 1] = True
+        ends[-2:] = True
+        token[~ends] = found.hashes
+        token[-2] = mix(np.array([START]))[0]
+        del found
+        self.words, at = np.unique(token, return_inverse=True)
+        self.start, self.end = int(at[-2]), int(at[-1])
+        before = np.empty(len(at) - 2, np.int64)
+        before[1:] = at[:-3]
+        before[self.first[:-1]] = self.start
+        keys, self.pair, self.counts = np.unique(before * len(self.words) + at[:-2], return_inverse=True, return_counts=True)
+        self.before, self.word = np.divmod(keys, max(1, len(self.words)))
+
+
+def _edges(buckets: int) -> np.ndarray:
+    """First word of each bucket but the first; words of one dish stay together."""
+    return edges(buckets) >> DISH << DISH
+
+
+def five(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^40 in five bytes each."""
+    return numbers.astype("<u8").view("u1").reshape(-1, 8)[:, :5].tobytes()
+
+
+def from_five(value) -> np.ndarray:
+    raw = np.frombuffer(value.as_buffer(), "u1").reshape(-1, 5)
+    out = np.zeros((len(raw), 8), "u1")
+    out[:, :5] = raw
+    return out.reshape(-1).view("<u8")
+
+
+def small(values: np.ndarray) -> bytes:
+    """Counts of which most are small: a byte each, those from 255 on behind."""
+    return np.minimum(values, 255).astype("u1").tobytes() + values[values >= 255].astype("<u8").tobytes()
+
+
+def from_small(data: pa.Buffer, n: int) -> np.ndarray:
     raw = np.frombuffer(data, "u1")
-    m = len(raw) // 12
-    out[raw[:4 * m].view("<u4")] = np.frombuffer(raw[4 * m:].tobytes(), "<u8").astype(np.int64)
+    out = raw[:n].astype(np.int64)
+    out[out == 255] = np.frombuffer(raw[n:].tobytes(), "<u8").astype(np.int64)
     return out
 
 
@@ -109,6 +110,26 @@ def _numbers(value, kind: str) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), kind)
 
 
+def _binary(parts: list[bytes]) -> pa.Array:
+    return pa.array(parts, pa.binary())
+
+
+def _packed(words: np.ndarray, before: np.ndarray, dishes: np.ndarray, counts: np.ndarray | None, block: int,
+            buckets: int) -> dict[str, pa.Array]:
+    """Sorted words and their pairs (place of the previous word, dish) as one row per bucket."""
+    borders = _edges(buckets)
+    cuts = np.concatenate([[0], np.searchsorted(words, borders), [len(words)]])
+    pairs = np.searchsorted(before, cuts)
+    runs = np.bincount(before, minlength=len(words))
+    some = np.flatnonzero(np.diff(cuts))
+    own = [(slice(cuts[b], cuts[b + 1]), slice(pairs[b], pairs[b + 1])) for b in some]
+    return {"bucket": pa.array(some, pa.int32()), "block": pa.array(np.full(len(some), block), pa.int32()),
+            "words": _binary([words[w].astype("<u8").tobytes() for w, _ in own]),
+            "runs": _binary([small(runs[w]) for w, _ in own]),
+            "followers": _binary([five(dishes[p]) for _, p in own]),
+            "counts": _binary([small(counts[p]) if counts is not None else b"" for _, p in own])}
+
+
 def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
     """Tables after seating ``customers`` anew, where a new table draws with weight ``fresh``."""
     seated, tables = np.ones(len(customers), np.int64), np.ones(len(customers), np.int64)
@@ -123,251 +144,281 @@ def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.rand
     return tables
 
 
-class Seating:
-    """Counts and tables of the words of one bucket in all restaurants."""
+class Root:
+    """The root's totals, and the base chance of one word."""
 
-    def __init__(self, row: dict, tables: pa.Buffer | bytes | None = None) -> None:
-        self.words = _numbers(row["words"], "<u8")
-        self.runs = _numbers(row["runs"], "<u2").astype(np.int64)
-        self.leaf = _numbers(row["leaves"], "u1").astype(np.int64)
-        self.counts = from_ones(row["counts"].as_buffer(), len(self.leaf))
-        self.word = np.repeat(np.arange(len(self.words)), self.runs)
-        self.middle, self.at_middle = np.unique(self.word * MIDDLES + self.leaf % MIDDLES, return_inverse=True)
-        self.word_of_middle = self.middle // MIDDLES
-        self.set(from_ones(tables if tables is not None else b"", self.size))
+    def __init__(self, customers: int, tables: int, vocabulary: int) -> None:
+        self.customers, self.tables, self.base = customers, tables, 1 / (vocabulary + 1)
 
     @property
-    def size(self) -> int:
-        return len(self.leaf) + len(self.middle) + len(self.words)
+    def fresh(self) -> float:
+        """The weight of a new table."""
+        return STRENGTHS[0] + DISCOUNTS[0] * self.tables
 
-    def set(self, tables: np.ndarray) -> None:
-        self.t_leaf, self.t_middle, self.t_root = np.split(
-            tables, [len(self.leaf), len(self.leaf) + len(self.middle)])
+    def chance(self, customers, tables):
+        return (customers - DISCOUNTS[0] * tables + self.fresh * self.base) / (STRENGTHS[0] + self.customers)
 
-    def tables(self) -> np.ndarray:
-        return np.concatenate([self.t_leaf, self.t_middle, self.t_root])
 
-    @property
-    def c_middle(self) -> np.ndarray:
-        return np.bincount(self.at_middle, self.t_leaf, len(self.middle)).astype(np.int64)
+def chance(customers, tables, all_customers, all_tables, parent):
+    """The chance of a word in the restaurant of its previous word."""
+    d, theta = DISCOUNTS[1], STRENGTHS[1]
+    return (customers - d * tables + (theta + d * all_tables) * parent) / (theta + all_customers)
 
-    @property
-    def c_root(self) -> np.ndarray:
-        return np.bincount(self.word_of_middle, self.t_middle, len(self.words)).astype(np.int64)
-
-    def totals(self) -> np.ndarray:
-        """Customers, then tables, of the root, the parents and the contexts."""
-        room = self.middle % MIDDLES
-        parts = []
-        for root, middle, leaf in ((self.c_root, self.c_middle, self.counts), (self.t_root, self.t_middle, self.t_leaf)):
-            parts += [[root.sum()], np.bincount(room, middle, MIDDLES), np.bincount(self.leaf, leaf, LEAVES)]
-        return np.concatenate(parts).astype(np.float64)
-
-    def chances(self, rooms: Rooms) -> tuple[np.ndarray, np.ndarray]:
-        """The chance of each word in the root, and of each (word, parent) row in its parent."""
-        root = rooms.chance(0, 0, self.c_root, self.t_root, rooms.base)
-        middle = rooms.chance(1, self.middle % MIDDLES, self.c_middle, self.t_middle, root[self.word_of_middle])
-        return root, middle
-
-    def sweep(self, rooms: Rooms, rng: np.random.Generator) -> None:
-        root, middle = self.chances(rooms)
-        self.t_leaf = seat(self.counts, rooms.fresh(2, self.leaf) * middle[self.at_middle], DISCOUNTS[2], rng)
-        self.t_middle = seat(self.c_middle, rooms.fresh(1, self.middle % MIDDLES) * root[self.word_of_middle], DISCOUNTS[1], rng)
-        self.t_root = seat(self.c_root, np.full(len(self.words), rooms.fresh(0, 0) * rooms.base), DISCOUNTS[0], rng)
-
-
-class Rooms:
-    """Customers and tables of every restaurant, and the base chance of one word."""
-
-    def __init__(self, totals: np.ndarray, vocabulary: int) -> None:
-        half = len(totals) // 2
-        self.customers = np.split(totals[:half], [1, 1 + MIDDLES])
-        self.tables = np.split(totals[half:], [1, 1 + MIDDLES])
-        self.base = 1 / (vocabulary + 1)
-
-    def fresh(self, level: int, room: np.ndarray | int) -> np.ndarray | float:
-        """The weight of a new table."""
-        return STRENGTHS[level] + DISCOUNTS[level] * self.tables[level][room]
 
-    def chance(self, level: int, room, customers, tables, parent):
-        return ((customers - DISCOUNTS[level] * tables + self.fresh(level, room) * parent)
-                / (STRENGTHS[level] + self.customers[level][room]))
+class Seating:
+    """The restaurants of one bucket: previous words, and the words eaten in each."""
+
+    def __init__(self, row: dict) -> None:
+        self.words = _numbers(row["words"], "<u8")
+        self.runs = from_small(row["runs"].as_buffer(), len(self.words))
+        self.dish = from_five(row["followers"])
+        self.counts = from_small(row["counts"].as_buffer(), len(self.dish))
+        self.room = np.repeat(np.arange(len(self.words)), self.runs)
+        self.first = np.cumsum(self.runs) - self.runs
+
+    def in_rooms(self, values: np.ndarray) -> np.ndarray:
+        """Sums of values of pairs by restaurant (none is empty)."""
+        return np.add.reduceat(values, self.first) if len(self.first) else np.zeros(0, np.int64)
+
+    def tables(self, row: dict, sample: int = -1) -> np.ndarray:
+        return from_small(row["tables"].values[sample].as_buffer(), len(self.dish))
 
 
 class Model:
-    """The seated counts by bucket, and the restaurants' totals of each kept sample."""
+    """Seatings by bucket, the root of each kept sample, and the totals of the training tokens."""
 
-    def __init__(self, state: DataFrame, samples: list[Rooms], train_tokens: int, vocabulary: int, buckets: int) -> None:
-        self.state, self.samples, self.buckets = state, samples, buckets
+    def __init__(self, state: DataFrame, roots: list[Root], train_tokens: int, vocabulary: int, buckets: int) -> None:
+        self.state, self.roots, self.buckets = state, roots, buckets
         self.train_tokens, self.vocabulary = train_tokens, vocabulary
 
 
 def count(training: DataFrame, buckets: int) -> DataFrame:
-    """Token counts of all training texts, one row per bucket of words."""
+    """Pair counts of all training texts, one row per bucket of previous words; everyone at a table of their own word."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=BLOCK_BYTES):
-            keys, counts = np.unique(token_keys(batch.column("text"))[0], return_counts=True)
-            yield pa.RecordBatch.from_pydict(_packed(keys, counts, 0, buckets))
+            found = Tokens(batch.column("text"))
+            held, before = np.unique(found.before, return_inverse=True)
+            yield pa.RecordBatch.from_pydict(_packed(
+                found.words[held], before, found.words[found.word] >> DISH, found.counts, 0, buckets))
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
-        keys, counts = _opened(table)
-        keys, at = np.unique(keys, return_inverse=True)
-        total = np.bincount(at, counts, len(keys)).astype(np.int64)
-        row = _packed(keys, total, 0, buckets)
-        row.pop("block")
-        row["tables"] = pa.array([[]], pa.list_(pa.binary()))
-        return pa.table(row)
+        words, dishes, counts = [], [], []
+        for w, r, f, c in zip(*(table[name] for name in ("words", "runs", "followers", "counts"))):
+            own = _numbers(w, "<u8")
+            words.append(np.repeat(own, from_small(r.as_buffer(), len(own))))
+            dishes.append(from_five(f))
+            counts.append(from_small(c.as_buffer(), len(dishes[-1])))
+        words, room = np.unique(np.concatenate(words), return_inverse=True)
+        dishes, dish = np.unique(np.concatenate(dishes), return_inverse=True)
+        keys, at = np.unique(room * len(dishes) + dish, return_inverse=True)
+        total = np.bincount(at, np.concatenate(counts), len(keys)).astype(np.int64)
+        room, dish = np.divmod(keys, len(dishes))
+        return pa.table({
+            "bucket": pa.array([key[0].as_py()], pa.int32()), "sample": pa.array([-1], pa.int32()),
+            "words": _binary([words.tobytes()]), "runs": _binary([small(np.bincount(room))]),
+            "followers": _binary([five(dishes[dish])]), "counts": _binary([small(total)]),
+            "tables": pa.array([[small(np.ones(len(keys), np.int64))]], pa.list_(pa.binary()))})
 
     packets = training.select("text").mapInArrow(ask, _ASK)
     return written(packets.groupBy("bucket").applyInArrow(add, _STATE), "seating")
 
 
-def _opened(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = [], []
-    for words, runs, leaves, n in zip(*(table[c] for c in ("words", "runs", "leaves", "counts"))):
-        keys.append(np.repeat(_numbers(words, "<u8") << U64(8), _numbers(runs, "<u2")) | _numbers(leaves, "u1").astype(U64))
-        counts.append(from_ones(n.as_buffer(), len(keys[-1])))
-    return np.concatenate(keys), np.concatenate(counts)
+def _rows(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
+    for i in range(batch.num_rows):
+        yield {name: batch.column(name)[i] for name in batch.schema.names}
 
 
-def _totals(state: DataFrame) -> tuple[np.ndarray, int]:
-    """Customers and tables of all restaurants, and the number of different words."""
+def _sizes(state: DataFrame) -> tuple[int, int]:
+    """Training tokens, and different words among them: the previous words, with the start in place of the end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, words = 0, 0
         for batch in batches:
-            for row in _rows(batch):
-                seating = Seating(row, _last(row))
-                total = total + seating.totals()
-                words += len(seating.words)
-        if words:
-            yield pa.RecordBatch.from_pydict({"at": np.arange(-1, len(total)), "n": np.concatenate([[words], total])})
+            held = [Seating(row) for row in _rows(batch)]
+            yield pa.RecordBatch.from_pydict({"n": pa.array([int(s.counts.sum()) for s in held], pa.int64()),
+                                              "v": pa.array([len(s.words) for s in held], pa.int64())})
 
-    rows = state.mapInArrow(run, "at long, n double").groupBy("at").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(2 * (1 + MIDDLES + LEAVES) + 1)
-    for r in rows:
-        out[r["at"] + 1] = r["n"]
-    return out[1:], int(out[0])
+    n, v = state.mapInArrow(run, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
+    return n or 0, v or 0
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
-    for i in range(batch.num_rows):
-        yield {name: batch.column(name)[i] for name in batch.schema.names}
-
+def seat_root(state: DataFrame, before: Root | None, vocabulary: int, buckets: int, seed: tuple[int, int]) -> tuple[DataFrame, Root]:
+    """The root seated anew: a row per bucket of dishes (part -1), and one for each bucket that asked."""
+    fresh = (before or Root(0, 0, vocabulary)).fresh / (vocabulary + 1)
 
-def _last(row: dict) -> pa.Buffer | None:
-    held = row["tables"].values
-    return held[-1].as_buffer() if len(held) else None
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in _rows(batch):
+                seating = Seating(row)
+                dishes, at = np.unique(seating.dish, return_inverse=True)
+                tables = np.bincount(at, seating.tables(row), len(dishes)).astype(np.int64)
+                cuts = np.concatenate([[0], np.searchsorted(dishes, _edges(buckets) >> DISH), [len(dishes)]])
+                some = np.flatnonzero(np.diff(cuts))
+                own = [slice(cuts[b], cuts[b + 1]) for b in some]
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array(some, pa.int32()),
+                    "source": pa.array([row["bucket"].as_py()] * len(some), pa.int32()),
+                    "dishes": _binary([five(dishes[x]) for x in own]), "tables": _binary([small(tables[x]) for x in own])})
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        asked = [from_five(x) for x in table["dishes"]]
+        sent = [from_small(x.as_buffer(), len(d)) for x, d in zip(table["tables"], asked)]
+        dishes, at = np.unique(np.concatenate(asked), return_inverse=True)
+        customers = np.bincount(at, np.concatenate(sent), len(dishes)).astype(np.int64)
+        own = key[0].as_py()
+        tables = seat(customers, np.full(len(dishes), fresh), DISCOUNTS[0], np.random.default_rng([*seed, own, 0]))
+        parts = np.split(at, np.cumsum([len(d) for d in asked])[:-1])
+        nothing = [0] * len(parts)
+        return pa.table({
+            "bucket": pa.array([own, *table["source"].to_pylist()], pa.int32()),
+            "part": pa.array([-1] + [own] * len(parts), pa.int32()),
+            "dishes": _binary([five(dishes)] + [b""] * len(parts)),
+            "customers": _binary([small(customers)] + [small(customers[p]) for p in parts]),
+            "tables": _binary([small(tables)] + [small(tables[p]) for p in parts]),
+            "all_customers": pa.array([int(customers.sum()), *nothing], pa.int64()),
+            "all_tables": pa.array([int(tables.sum()), *nothing], pa.int64())})
+
+    root = written(state.mapInArrow(ask, _UP).groupBy("bucket").applyInArrow(run, _ROOT), "root")
+    customers, tables = root.filter("part = -1").agg(F.sum("all_customers"), F.sum("all_tables")).first()
+    return root, Root(customers or 0, tables or 0, vocabulary)
+
+
+def sweep(state: DataFrame, answers: DataFrame, root: Root, buckets: int, keep: bool, seed: tuple[int, int]) -> DataFrame:
+    """The previous words' restaurants seated anew; ``keep`` leaves the seating before beside the new one."""
+    def run(key: tuple, held: pa.Table, told: pa.Table) -> pa.Table:
+        row = next(_rows(held))
+        seating = Seating(row)
+        dishes, at = np.unique(seating.dish, return_inverse=True)
+        cuts = np.concatenate([[0], np.searchsorted(dishes, _edges(buckets) >> DISH), [len(dishes)]])
+        parent = np.zeros(len(dishes))
+        for part, c, t in zip(told["part"].to_pylist(), told["customers"], told["tables"]):
+            n = cuts[part + 1] - cuts[part]
+            parent[cuts[part]:cuts[part + 1]] = root.chance(from_small(c.as_buffer(), n), from_small(t.as_buffer(), n))
+        all_tables = seating.in_rooms(seating.tables(row))
+        fresh = (STRENGTHS[1] + DISCOUNTS[1] * all_tables)[seating.room] * parent[at]
+        tables = seat(seating.counts, fresh, DISCOUNTS[1], np.random.default_rng([*seed, key[0].as_py(), 1]))
+        old = [x.as_py() for x in row["tables"].values] if keep else []
+        return held.set_column(held.schema.get_field_index("tables"), "tables",
+                               pa.array([[*old, small(tables)]], pa.list_(pa.binary())))
+
+    return written(state.groupBy("bucket").cogroup(answers.filter("part >= 0").groupBy("bucket"))
+                   .applyInArrow(run, _STATE), "seating")
 
 
 def fit(training: DataFrame, buckets: int, burn: int = BURN, samples: int = SAMPLES, seed: int = SEED) -> Model:
     """Count the training texts and sample seatings."""
     state = count(training, buckets)
-    totals, vocabulary = _totals(state)
-    middles = 1 + MIDDLES
-    train_tokens = int(totals[middles:middles + LEAVES].sum())
-    kept = []
-    for number in range(burn + samples):
-        rooms = Rooms(totals, vocabulary)
-
-        def run(batches: Iterator[pa.RecordBatch], rooms=rooms, number=number) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in _rows(batch):
-                    seating = Seating(row, _last(row))
-                    seating.sweep(rooms, np.random.default_rng([seed, number, row["bucket"].as_py()]))
-                    old = [x.as_py() for x in row["tables"].values] if number > burn else []
-                    own = [*old, mostly_ones(seating.tables())]
-                    yield pa.RecordBatch.from_pydict({
-                        **{c: pa.array([row[c].as_py()], row[c].type) for c in ("bucket", "words", "runs", "leaves", "counts")},
-                        "tables": pa.array([own], pa.list_(pa.binary()))})
-
-        before, state = state, written(state.mapInArrow(run, _STATE), "seating")
+    train_tokens, vocabulary = _sizes(state)
+    answers, root = seat_root(state, None, vocabulary, buckets, (seed, 0))
+    kept, roots = None, []
+    for number in range(1, burn + samples + 1):
+        before, state = state, sweep(state, answers, root, buckets, number > burn + 1, (seed, number))
         discard(before)
-        totals, _ = _totals(state)
-        if number >= burn:
-            kept.append(Rooms(totals, vocabulary))
-    return Model(state, kept, train_tokens, vocabulary, buckets)
-
-
-def _answer(model_samples: list[Rooms], buckets: int):
-    """What a bucket tells each block: counts of its words, and log10 chances of its pairs."""
+        if number <= burn + 1:
+            discard(answers)
+        answers, root = seat_root(state, root, vocabulary, buckets, (seed, number))
+        if number > burn:
+            own = answers.filter("part = -1").select(
+                "bucket", F.lit(len(roots)).alias("sample"), F.lit(None).cast("binary").alias("words"),
+                F.lit(None).cast("binary").alias("runs"), F.col("dishes").alias("followers"),
+                F.col("customers").alias("counts"), F.array("tables").alias("tables"))
+            kept = kept.unionByName(own) if kept is not None else own
+            roots.append(root)
+    return Model(state.unionByName(kept) if kept is not None else state, roots, train_tokens, vocabulary, buckets)
+
+
+def _found(stored: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of asked numbers among sorted ones, and which of them are there."""
+    if not len(stored):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    at = np.searchsorted(stored, asked).clip(max=len(stored) - 1)
+    return at, stored[at] == asked
+
+
+def _answer(samples: int):
+    """What a bucket tells each block.
+
+    Of each word: customers of its restaurant, then per sample the restaurant's tables, and the word's customers and
+    tables in the root. Of each pair: customers, then tables per sample.
+    """
     def run(key: tuple, asked: pa.Table, held: pa.Table) -> pa.Table:
-        row = next(_rows(held.combine_chunks().to_batches()[0])) if held.num_rows else None
-        seated = []  # of each sample: tables of the pairs, chances in the root and in the parents
-        if row is not None:
-            seating = Seating(row)
-            stored = seating.words[seating.word] << U64(8) | seating.leaf.astype(U64)
-            total = np.bincount(seating.word, seating.counts, len(seating.words)).astype(np.int64)
-            for rooms, tables in zip(model_samples, row["tables"].values):
-                seating.set(from_ones(tables.as_buffer(), seating.size))
-                seated.append((seating.t_leaf, *seating.chances(rooms)))
-        out = {"bucket": [], "block": [], "counts": [], "chances": []}
+        room, dishes = None, {}
+        for row in _rows(held):
+            if row["sample"].as_py() < 0:
+                room = Seating(row)
+                seated = [room.tables(row, s) for s in range(samples)]
+                all_customers, all_tables = room.in_rooms(room.counts), [room.in_rooms(t) for t in seated]
+                names, dish = np.unique(room.dish, return_inverse=True)
+                stored = room.room * len(names) + dish
+            else:
+                own = from_five(row["followers"])
+                dishes[row["sample"].as_py()] = (own, from_small(row["counts"].as_buffer(), len(own)),
+                                                 from_small(row["tables"].values[0].as_buffer(), len(own)))
+        out = {"totals": [], "pairs": []}
         for i in range(asked.num_rows):
-            words, runs = _numbers(asked["words"][i], "<u8"), _numbers(asked["runs"][i], "<u2").astype(np.int64)
-            leaf = _numbers(asked["leaves"][i], "u1").astype(np.int64)
-            word = np.repeat(np.arange(len(words)), runs)
-            counts, mean = np.zeros(len(words), np.int64), np.zeros(len(leaf))
-            if row is not None:
-                at = np.searchsorted(seating.words, words).clip(max=len(seating.words) - 1)
-                known = seating.words[at] == words
-                counts[known] = total[at[known]]
-                room = at[word] * MIDDLES + leaf % MIDDLES
-                in_middle = np.searchsorted(seating.middle, room).clip(max=len(seating.middle) - 1)
-                has_middle = known[word] & (seating.middle[in_middle] == room)
-                pair = words[word] << U64(8) | leaf.astype(U64)
-                in_leaf = np.searchsorted(stored, pair).clip(max=len(stored) - 1)
-                has_leaf = stored[in_leaf] == pair
-            for number, rooms in enumerate(model_samples):
-                root = np.full(len(words), rooms.chance(0, 0, 0, 0, rooms.base))
-                if row is not None:
-                    t_leaf, all_root, all_middle = seated[number]
-                    root[known] = all_root[at[known]]
-                middle = rooms.chance(1, leaf % MIDDLES, 0, 0, root[word])
-                customers, tables = np.zeros(len(leaf)), np.zeros(len(leaf))
-                if row is not None:
-                    middle[has_middle] = all_middle[in_middle[has_middle]]
-                    customers[has_leaf] = seating.counts[in_leaf[has_leaf]]
-                    tables[has_leaf] = t_leaf[in_leaf[has_leaf]]
-                mean += rooms.chance(2, leaf, customers, tables, middle)
-            out["bucket"].append(asked["bucket"][i].as_py())
-            out["block"].append(asked["block"][i].as_py())
-            out["counts"].append(counts.astype("<u8").tobytes())
-            out["chances"].append(np.log10(mean / len(model_samples)).astype("<f4").tobytes())
-        kinds = {"bucket": pa.int32(), "block": pa.int32(), "counts": pa.binary(), "chances": pa.binary()}
-        return pa.table({k: pa.array(v, kinds[k]) for k, v in out.items()})
+            words = _numbers(asked["words"][i], "<u8")
+            runs, wanted = from_small(asked["runs"][i].as_buffer(), len(words)), from_five(asked["followers"][i])
+            totals, pairs = np.zeros((1 + 3 * samples, len(words)), np.int64), np.zeros((1 + samples, len(wanted)), np.int64)
+            if room is not None:
+                at, known = _found(room.words, words)
+                totals[0, known] = all_customers[at[known]]
+                in_names, has_name = _found(names, wanted)
+                in_pairs, has = _found(stored, np.repeat(at, runs) * len(names) + in_names)
+                has &= has_name & np.repeat(known, runs)
+                pairs[0, has] = room.counts[in_pairs[has]]
+                for s in range(samples):
+                    totals[1 + s, known] = all_tables[s][at[known]]
+                    pairs[1 + s, has] = seated[s][in_pairs[has]]
+            for s, (own, customers, tables) in dishes.items():
+                at, known = _found(own, words >> DISH)
+                totals[1 + samples + s, known] = customers[at[known]]
+                totals[1 + 2 * samples + s, known] = tables[at[known]]
+            out["totals"].append(small(totals.reshape(-1)))
+            out["pairs"].append(small(pairs.reshape(-1)))
+        return pa.table({"bucket": asked["bucket"], "block": asked["block"]} | {k: _binary(v) for k, v in out.items()})
 
     return run
 
 
+def chances(found: Tokens, told: pa.Table, roots: list[Root], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Training counts of a block's words, and the averaged chance of each of its pairs."""
+    samples, n = len(roots), len(found.words)
+    cuts = np.concatenate([[0], np.searchsorted(found.words, _edges(buckets)), [n]])
+    pair_cuts = np.searchsorted(found.before, cuts)
+    totals = np.zeros((1 + 3 * samples, n), np.int64)
+    pairs = np.zeros((1 + samples, len(found.before)), np.int64)
+    for b, t, p in zip(told["bucket"].to_pylist(), told["totals"], told["pairs"]):
+        for out, data, low, high in ((totals, t, cuts[b], cuts[b + 1]), (pairs, p, pair_cuts[b], pair_cuts[b + 1])):
+            out[:, low:high] = from_small(data.as_buffer(), len(out) * (high - low)).reshape(len(out), -1)
+    mean = np.zeros(len(found.before))
+    for s, root in enumerate(roots):
+        parent = root.chance(totals[1 + samples + s], totals[1 + 2 * samples + s])
+        mean += chance(pairs[0], pairs[1 + s], totals[0][found.before], totals[1 + s][found.before], parent[found.word])
+    counts = totals[0].copy()
+    counts[found.end] = counts[found.start]  # one end for each start
+    return counts, mean / samples
+
+
 def score(docs: DataFrame, model: Model, blocks: int) -> DataFrame:
     """Token counts and log10 probabilities of every text; ``docs`` has doc_id, text and held_out."""
-    buckets, n, v = model.buckets, model.train_tokens, model.vocabulary
+    buckets, n, v, roots = model.buckets, model.train_tokens, model.vocabulary, model.roots
     rows = dealt(docs.select("doc_id", "text", "held_out"), blocks, text="text")
 
     def ask(key: tuple, table: pa.Table) -> pa.Table:
-        keys = np.unique(token_keys(in_order(table)["text"])[0])
-        return pa.table(_packed(keys, None, key[0].as_py(), buckets))
+        found = Tokens(in_order(table)["text"])
+        return pa.table(_packed(found.words, found.before, found.words[found.word] >> DISH, None, key[0].as_py(), buckets))
 
     def finish(key: tuple, texts: pa.Table, told: pa.Table) -> pa.Table:
         texts = in_order(texts)
-        tokens, first = token_keys(texts["text"])
-        keys, at = np.unique(tokens, return_inverse=True)
-        cuts = np.concatenate([[0], np.searchsorted(keys, _buckets(buckets)), [len(keys)]])
-        counts, chances = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.float32)
-        for b, c, p in zip(told["bucket"].to_pylist(), told["counts"], told["chances"]):
-            own = slice(cuts[b], cuts[b + 1])
-            _, word = np.unique(keys[own] >> U64(8), return_inverse=True)
-            counts[own] = _numbers(c, "<u8")[word]
-            chances[own] = _numbers(p, "<f4")
-        base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
-        sums = lambda x: np.add.reduceat(x[at].astype(np.float64), first[:-1])  # noqa: E731  every text has a token
+        found = Tokens(texts["text"])
+        counts, mean = chances(found, told, roots, buckets)
+        base, log = np.log10((counts + 0.5) / (n + 0.5 * (v + 1))), np.log10(mean)
+        sums = lambda x: np.add.reduceat(x[found.pair], found.first[:-1])  # noqa: E731  every text has a token
         return pa.table({
-            "doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": np.diff(first),
-            "n_known": sums(counts > 0).astype(np.int64), "train_tokens": np.full(len(first) - 1, n),
-            "base_score": sums(base), "score": sums(chances)})
+            "doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": np.diff(found.first),
+            "n_known": sums((counts > 0)[found.word].astype(np.int64)), "train_tokens": np.full(texts.num_rows, n),
+            "base_score": sums(base[found.word]), "score": sums(log)})
 
     asked = rows.groupBy("block").applyInArrow(ask, _ASK)
-    told = asked.groupBy("bucket").cogroup(model.state.groupBy("bucket")).applyInArrow(
-        _answer(model.samples, buckets), "bucket int, block int, counts binary, chances binary")
+    told = asked.groupBy("bucket").cogroup(model.state.groupBy("bucket")).applyInArrow(_answer(len(roots)), _TOLD)
     return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 

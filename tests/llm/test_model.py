@@ -13,7 +13,6 @@ import pyarrow as pa
 import pytest
 
 from flowtide.llm import pitman_yor
-from flowtide.llm.words import U64
 from tests.llm.samples import near_copies, table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -50,21 +49,81 @@ def test_chances_sum_to_one(spark):
     known = [f"k{i}" for i in range(12)]
     docs = table(spark, [(i, " ".join(rng.choice(known[:3 + i % 10]) for _ in range(20))) for i in range(40)])
     model = pitman_yor.fit(docs, buckets=4)
-    words = np.unique(pitman_yor.token_keys(pa.array([*known, "unknown"]))[0] & ~U64(255))  # with the end token
-    assert model.vocabulary == len(known) + 1 and len(words) == len(known) + 2
-    states = {r["bucket"]: r for r in model.state.collect()}
-    schema = {"bucket": pa.int32(), **dict.fromkeys(("words", "runs", "leaves", "counts"), pa.binary()),
-              "tables": pa.list_(pa.binary())}
-    for leaf in (0, 17, 255):
-        asked = pa.table(pitman_yor._packed(words | U64(leaf), None, 0, 4))
-        total = 0.0
-        for bucket in asked["bucket"].to_pylist():
-            own = asked.filter(pa.array([b == bucket for b in asked["bucket"].to_pylist()]))
-            held = [states[bucket].asDict()] if bucket in states else []
-            rows = pa.Table.from_pylist([{**h, "tables": list(h["tables"])} for h in held], pa.schema(schema))
-            told = pitman_yor._answer(model.samples, 4)((), own, rows)
-            total += sum((10 ** np.frombuffer(x, "<f4").astype(float)).sum() for x in told["chances"].to_pylist())
-        assert math.isclose(total, 1.0, rel_tol=1e-5)
+    names = [*known, None, "unknown"]  # None: the end
+    assert model.vocabulary == len(known) + 1
+    held = {}
+    for r in model.state.collect():
+        held.setdefault(r["bucket"], []).append({**r.asDict(), "tables": list(r["tables"])})
+    for before in (None, "k0", "k7", "unseen"):  # None: the start
+        texts = [" ".join(w for w in (before, name) if w) for name in names]
+        found = pitman_yor.Tokens(pa.array(texts))
+        counts, mean = pitman_yor.chances(found, _told(found, held, len(model.roots), 4), model.roots, 4)
+        last = 0 if before is None else 1
+        own = {w: mean[found.pair[found.first[i] + last]] for i, w in enumerate(texts)}
+        assert len(own) == len(names) and math.isclose(sum(own.values()), 1.0, rel_tol=1e-9)
+
+
+def _told(found, held, samples, buckets):
+    """What the buckets tell a block, without Spark."""
+    asked = pa.table(pitman_yor._packed(found.words, found.before, found.words[found.word] >> pitman_yor.DISH, None, 0, buckets))
+    schema = pa.schema({"bucket": pa.int32(), "sample": pa.int32(), **dict.fromkeys(("words", "runs", "followers", "counts"), pa.binary()),
+                        "tables": pa.list_(pa.binary())})
+    return pa.concat_tables([pitman_yor._answer(samples)(
+        (), asked.filter(pa.array([b == bucket for b in asked["bucket"].to_pylist()])), pa.Table.from_pylist(held.get(bucket, []), schema))
+        for bucket in asked["bucket"].to_pylist()])
+
+
+def test_scores_equal_brute_force_on_the_same_seatings(spark, rows):
+    docs = table(spark, rows)
+    training = [t for d, t in rows if not held_out(d)]
+    model = pitman_yor.fit(spark.createDataFrame([(t,) for t in training], "text string"), buckets=3)
+    seatings, roots = {}, [{} for _ in model.roots]  # (previous, word) -> customers and tables; word -> the same
+    for r in model.state.collect():
+        row = next(pitman_yor._rows(pa.Table.from_pylist([{**r.asDict(), "tables": list(r["tables"])}], pa.schema(
+            {"bucket": pa.int32(), "sample": pa.int32(), **dict.fromkeys(("words", "runs", "followers", "counts"), pa.binary()),
+             "tables": pa.list_(pa.binary())}))))
+        if r["sample"] >= 0:
+            dishes = pitman_yor.from_five(row["followers"])
+            both = (pitman_yor.from_small(x.as_buffer(), len(dishes)) for x in (row["counts"], row["tables"].values[0]))
+            roots[r["sample"]] |= {d: (c, t) for d, c, t in zip(dishes.tolist(), *map(np.ndarray.tolist, both))}
+        else:
+            s = pitman_yor.Seating(row)
+            tables = [s.tables(row, k).tolist() for k in range(len(model.roots))]
+            seatings |= {(w, d): (c, t) for w, d, c, *t in zip(s.words[s.room].tolist(), s.dish.tolist(), s.counts.tolist(), *tables)}
+    every = sorted({w for _, t in rows for w in tokens(t) if w})
+    number = {w: int(h) for w, h in zip(every, pitman_yor.split_words(pa.array(every), lower=True).hashes)}
+    number |= {None: int(pitman_yor.mix(np.array([pitman_yor.END]))[0]), "": int(pitman_yor.mix(np.array([pitman_yor.START]))[0])}
+    pairs = Counter(p for t in training for p in zip(["", *tokens(t)[:-1]], tokens(t)))
+    assert {k: v[0] for k, v in seatings.items()} == {(number[u], number[w] >> 24): n for (u, w), n in pairs.items()}
+    for k, root in enumerate(roots):  # each table sends one customer to the root
+        sent = Counter()
+        for (_, d), (_, t) in seatings.items():
+            sent[d] += t[k]
+        assert sent == {d: c for d, (c, _) in root.items()}
+    rooms = {}
+    for (u, _), (c, t) in seatings.items():
+        old = rooms.get(u, (0, [0] * len(roots)))
+        rooms[u] = (old[0] + c, [x + y for x, y in zip(old[1], t)])
+    vocabulary = len({w for _, w in pairs})
+
+    def log_chance(u, w):
+        mean = 0.0
+        for k, root in enumerate(roots):
+            (d0, d), (s0, s) = pitman_yor.DISCOUNTS, pitman_yor.STRENGTHS
+            c, t = root.get(w >> 24, (0, 0))
+            parent = (c - d0 * t + (s0 + d0 * sum(x[1] for x in root.values())) / (vocabulary + 1)) / (s0 + sum(x[0] for x in root.values()))
+            c, t = seatings.get((u, w >> 24), (0, [0] * len(roots)))
+            all_c, all_t = rooms.get(u, (0, [0] * len(roots)))
+            mean += (c - d * t[k] + (s + d * all_t[k]) * parent) / (s + all_c) / len(roots)
+        return math.log10(mean)
+
+    found = pitman_yor.score(docs.selectExpr("doc_id", "text", "false AS held_out"), model, 5).collect()
+    expected = sorted((str(d), sum(log_chance(number[u], number[w]) for u, w in zip(["", *tokens(t)[:-1]], tokens(t)))) for d, t in rows[::9] + rows[-10:])
+    own = {}
+    for r in found:
+        own.setdefault(str(r["doc_id"]), []).append(r["score"])
+    for d, e in expected:
+        assert any(math.isclose(x, e, rel_tol=1e-9) for x in own[d])
 
 
 def test_seating_keeps_its_bounds():
