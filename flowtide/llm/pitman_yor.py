@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowtide.llm.blocks import dealt, edges, in_order, sizes
-from flowtide.llm.tables import discard, remainder, slices, texts_of, written
+from flowtide.llm.tables import brief_shuffles, discard, remainder, slices, texts_of, written
 from flowtide.llm.words import U64, mix, split_words
 
 BURN, SAMPLES, SEED = 2, 3, 20
@@ -430,4 +430,6 @@ def score_all(docs: DataFrame, base: int = 5, held: int = 1) -> DataFrame:
     """
     blocks, _ = sizes(docs, BLOCK_BYTES)
     rows = texts_of(docs).withColumn("held_out", remainder("doc_id", base) == held)
-    return score(rows, fit(rows.filter(~F.col("held_out")), blocks), blocks)
+    with brief_shuffles(docs.sparkSession):
+        model = fit(rows.filter(~F.col("held_out")), blocks)
+    return score(rows, model, blocks)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtide.session import discard, materialize
@@ -44,4 +45,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return materialize(df, purpose)
 
 
-__all__ = ["discard", "remainder", "slices", "texts_of", "written"]
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, each job's shuffle files go when it ends: what later jobs read has been written to the shared folder."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+__all__ = ["brief_shuffles", "discard", "remainder", "slices", "texts_of", "written"]
