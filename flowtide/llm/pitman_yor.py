@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,10 +71,14 @@ class Tokens:
         del found
         self.words, at = np.unique(token, return_inverse=True)
         self.start, self.end = int(at[-2]), int(at[-1])
-        before = np.empty(len(at) - 2, np.int64)
-        before[1:] = at[:-3]
-        before[self.first[:-1]] = self.start
-        keys, self.pair, self.counts = np.unique(before * len(self.words) + at[:-2], return_inverse=True, return_counts=True)
+        del token, ends
+        keys = np.empty(len(at) - 2, np.int64)
+        keys[1:] = at[:-3]
+        keys[self.first[:-1]] = self.start
+        keys *= len(self.words)
+        keys += at[:-2]
+        del at
+        keys, self.pair, self.counts = np.unique(keys, return_inverse=True, return_counts=True)
         self.before, self.word = np.divmod(keys, max(1, len(self.words)))
 
 
@@ -95,19 +100,28 @@ def from_five(value) -> np.ndarray:
 
 
 def small(values: np.ndarray) -> bytes:
-    """Counts of which most are small: a byte each, those from 255 on behind."""
-    return np.minimum(values, 255).astype("u1").tobytes() + values[values >= 255].astype("<u8").tobytes()
+    """Counts of which most are small: a byte each, those from 255 on behind, compressed."""
+    raw = np.minimum(values, 255).astype("u1").tobytes() + values[values >= 255].astype("<u8").tobytes()
+    return zstandard.compress(raw, 1) if raw else raw
 
 
 def from_small(data: pa.Buffer, n: int) -> np.ndarray:
-    raw = np.frombuffer(data, "u1")
+    raw = np.frombuffer(zstandard.decompress(data) if len(data) else b"", "u1")
     out = raw[:n].astype(np.int64)
     out[out == 255] = np.frombuffer(raw[n:].tobytes(), "<u8").astype(np.int64)
     return out
 
 
-def _numbers(value, kind: str) -> np.ndarray:
-    return np.frombuffer(value.as_buffer(), kind)
+def rising(numbers: np.ndarray) -> bytes:
+    """Sorted numbers as their differences, the highest bytes of all first: most of those are zero, and compressed."""
+    steps = np.diff(numbers, prepend=U64(0)).astype(">u8")
+    return zstandard.compress(steps.view("u1").reshape(-1, 8).T.tobytes(), 1) if len(steps) else b""
+
+
+def from_rising(value) -> np.ndarray:
+    data = value.as_buffer()
+    raw = np.frombuffer(zstandard.decompress(data) if len(data) else b"", "u1").reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(raw.T).reshape(-1).view(">u8"), dtype=U64)
 
 
 def _binary(parts: list[bytes]) -> pa.Array:
@@ -124,7 +138,7 @@ def _packed(words: np.ndarray, before: np.ndarray, dishes: np.ndarray, counts: n
     some = np.flatnonzero(np.diff(cuts))
     own = [(slice(cuts[b], cuts[b + 1]), slice(pairs[b], pairs[b + 1])) for b in some]
     return {"bucket": pa.array(some, pa.int32()), "block": pa.array(np.full(len(some), block), pa.int32()),
-            "words": _binary([words[w].astype("<u8").tobytes() for w, _ in own]),
+            "words": _binary([rising(words[w]) for w, _ in own]),
             "runs": _binary([small(runs[w]) for w, _ in own]),
             "followers": _binary([five(dishes[p]) for _, p in own]),
             "counts": _binary([small(counts[p]) if counts is not None else b"" for _, p in own])}
@@ -169,7 +183,7 @@ class Seating:
     """The restaurants of one bucket: previous words, and the words eaten in each."""
 
     def __init__(self, row: dict) -> None:
-        self.words = _numbers(row["words"], "<u8")
+        self.words = from_rising(row["words"])
         self.runs = from_small(row["runs"].as_buffer(), len(self.words))
         self.dish = from_five(row["followers"])
         self.counts = from_small(row["counts"].as_buffer(), len(self.dish))
@@ -195,7 +209,7 @@ class Model:
 def count(training: DataFrame, buckets: int) -> DataFrame:
     """Pair counts of all training texts, one row per bucket of previous words; everyone at a table of their own word."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=BLOCK_BYTES):
+        for batch in slices(batches):
             found = Tokens(batch.column("text"))
             held, before = np.unique(found.before, return_inverse=True)
             yield pa.RecordBatch.from_pydict(_packed(
@@ -204,7 +218,7 @@ def count(training: DataFrame, buckets: int) -> DataFrame:
     def add(key: tuple, table: pa.Table) -> pa.Table:
         words, dishes, counts = [], [], []
         for w, r, f, c in zip(*(table[name] for name in ("words", "runs", "followers", "counts"))):
-            own = _numbers(w, "<u8")
+            own = from_rising(w)
             words.append(np.repeat(own, from_small(r.as_buffer(), len(own))))
             dishes.append(from_five(f))
             counts.append(from_small(c.as_buffer(), len(dishes[-1])))
@@ -215,7 +229,7 @@ def count(training: DataFrame, buckets: int) -> DataFrame:
         room, dish = np.divmod(keys, len(dishes))
         return pa.table({
             "bucket": pa.array([key[0].as_py()], pa.int32()), "sample": pa.array([-1], pa.int32()),
-            "words": _binary([words.tobytes()]), "runs": _binary([small(np.bincount(room))]),
+            "words": _binary([rising(words)]), "runs": _binary([small(np.bincount(room))]),
             "followers": _binary([five(dishes[dish])]), "counts": _binary([small(total)]),
             "tables": pa.array([[small(np.ones(len(keys), np.int64))]], pa.list_(pa.binary()))})
 
@@ -354,7 +368,7 @@ def _answer(samples: int):
                                                  from_small(row["tables"].values[0].as_buffer(), len(own)))
         out = {"totals": [], "pairs": []}
         for i in range(asked.num_rows):
-            words = _numbers(asked["words"][i], "<u8")
+            words = from_rising(asked["words"][i])
             runs, wanted = from_small(asked["runs"][i].as_buffer(), len(words)), from_five(asked["followers"][i])
             totals, pairs = np.zeros((1 + 3 * samples, len(words)), np.int64), np.zeros((1 + samples, len(wanted)), np.int64)
             if room is not None:
