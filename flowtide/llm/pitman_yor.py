@@ -41,7 +41,7 @@ from flowtide.llm.words import U64, mix, split_words
 
 BURN, SAMPLES, SEED = 2, 3, 20
 DISCOUNTS, STRENGTHS = (0.75, 0.75), (20.0, 2.0)  # root, previous words
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 12 << 20
 START, END = U64(0x5354415254), U64(0x454E44454E44)
 DISH = U64(24)  # bits of a word's hash that its number as a dish leaves out
 
@@ -87,18 +87,6 @@ def _edges(buckets: int) -> np.ndarray:
     return edges(buckets) >> DISH << DISH
 
 
-def five(numbers: np.ndarray) -> bytes:
-    """Numbers below 2^40 in five bytes each."""
-    return numbers.astype("<u8").view("u1").reshape(-1, 8)[:, :5].tobytes()
-
-
-def from_five(value) -> np.ndarray:
-    raw = np.frombuffer(value.as_buffer(), "u1").reshape(-1, 5)
-    out = np.zeros((len(raw), 8), "u1")
-    out[:, :5] = raw
-    return out.reshape(-1).view("<u8")
-
-
 def small(values: np.ndarray) -> bytes:
     """Counts of which most are small: a byte each, those from 255 on behind, compressed."""
     raw = np.minimum(values, 255).astype("u1").tobytes() + values[values >= 255].astype("<u8").tobytes()
@@ -112,16 +100,37 @@ def from_small(data: pa.Buffer, n: int) -> np.ndarray:
     return out
 
 
+def planes(numbers: np.ndarray, kind: str) -> bytes:
+    """Numbers with the highest bytes of all first, compressed: most of those are zero."""
+    width = np.dtype(kind).itemsize
+    return zstandard.compress(numbers.astype(kind).view("u1").reshape(-1, width).T.tobytes(), 1) if len(numbers) else b""
+
+
+def from_planes(data: pa.Buffer | bytes, kind: str) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(data) if len(data) else b"", "u1").reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(raw.T).reshape(-1).view(kind)
+
+
 def rising(numbers: np.ndarray) -> bytes:
-    """Sorted numbers as their differences, the highest bytes of all first: most of those are zero, and compressed."""
-    steps = np.diff(numbers, prepend=U64(0)).astype(">u8")
-    return zstandard.compress(steps.view("u1").reshape(-1, 8).T.tobytes(), 1) if len(steps) else b""
+    """Sorted numbers, by their differences."""
+    return planes(np.diff(numbers, prepend=U64(0)), ">u8")
+
+
+def from_rising(data: pa.Buffer | bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data, ">u8"), dtype=U64)
+
+
+def listed(numbers: np.ndarray) -> bytes:
+    """Numbers in any order: the distinct ones, sorted, and the place of each among them."""
+    names, at = np.unique(numbers, return_inverse=True)
+    head = rising(names)
+    return len(head).to_bytes(4, "little") + head + planes(at, ">u4")
 
 
-def from_rising(value) -> np.ndarray:
-    data = value.as_buffer()
-    raw = np.frombuffer(zstandard.decompress(data) if len(data) else b"", "u1").reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(raw.T).reshape(-1).view(">u8"), dtype=U64)
+def from_listed(data: pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
+    data = data.to_pybytes()
+    stop = 4 + int.from_bytes(data[:4], "little")
+    return from_rising(data[4:stop]), from_planes(data[stop:], ">u4").astype(np.int64)
 
 
 def _binary(parts: list[bytes]) -> pa.Array:
@@ -140,7 +149,7 @@ def _packed(words: np.ndarray, before: np.ndarray, dishes: np.ndarray, counts: n
     return {"bucket": pa.array(some, pa.int32()), "block": pa.array(np.full(len(some), block), pa.int32()),
             "words": _binary([rising(words[w]) for w, _ in own]),
             "runs": _binary([small(runs[w]) for w, _ in own]),
-            "followers": _binary([five(dishes[p]) for _, p in own]),
+            "followers": _binary([listed(dishes[p]) for _, p in own]),
             "counts": _binary([small(counts[p]) if counts is not None else b"" for _, p in own])}
 
 
@@ -180,12 +189,12 @@ def chance(customers, tables, all_customers, all_tables, parent):
 
 
 class Seating:
-    """The restaurants of one bucket: previous words, and the words eaten in each."""
+    """The restaurants of one bucket: previous words, and the words eaten in each as places in ``dishes``."""
 
     def __init__(self, row: dict) -> None:
-        self.words = from_rising(row["words"])
+        self.words = from_rising(row["words"].as_buffer())
         self.runs = from_small(row["runs"].as_buffer(), len(self.words))
-        self.dish = from_five(row["followers"])
+        self.dishes, self.dish = from_listed(row["followers"].as_buffer())
         self.counts = from_small(row["counts"].as_buffer(), len(self.dish))
         self.room = np.repeat(np.arange(len(self.words)), self.runs)
         self.first = np.cumsum(self.runs) - self.runs
@@ -218,9 +227,10 @@ def count(training: DataFrame, buckets: int) -> DataFrame:
     def add(key: tuple, table: pa.Table) -> pa.Table:
         words, dishes, counts = [], [], []
         for w, r, f, c in zip(*(table[name] for name in ("words", "runs", "followers", "counts"))):
-            own = from_rising(w)
+            own = from_rising(w.as_buffer())
             words.append(np.repeat(own, from_small(r.as_buffer(), len(own))))
-            dishes.append(from_five(f))
+            names, at = from_listed(f.as_buffer())
+            dishes.append(names[at])
             counts.append(from_small(c.as_buffer(), len(dishes[-1])))
         words, room = np.unique(np.concatenate(words), return_inverse=True)
         dishes, dish = np.unique(np.concatenate(dishes), return_inverse=True)
@@ -230,7 +240,7 @@ def count(training: DataFrame, buckets: int) -> DataFrame:
         return pa.table({
             "bucket": pa.array([key[0].as_py()], pa.int32()), "sample": pa.array([-1], pa.int32()),
             "words": _binary([rising(words)]), "runs": _binary([small(np.bincount(room))]),
-            "followers": _binary([five(dishes[dish])]), "counts": _binary([small(total)]),
+            "followers": _binary([listed(dishes[dish])]), "counts": _binary([small(total)]),
             "tables": pa.array([[small(np.ones(len(keys), np.int64))]], pa.list_(pa.binary()))})
 
     packets = training.select("text").mapInArrow(ask, _ASK)
@@ -262,18 +272,18 @@ def seat_root(state: DataFrame, before: Root | None, vocabulary: int, buckets: i
         for batch in batches:
             for row in _rows(batch):
                 seating = Seating(row)
-                dishes, at = np.unique(seating.dish, return_inverse=True)
-                tables = np.bincount(at, seating.tables(row), len(dishes)).astype(np.int64)
+                dishes = seating.dishes
+                tables = np.bincount(seating.dish, seating.tables(row), len(dishes)).astype(np.int64)
                 cuts = np.concatenate([[0], np.searchsorted(dishes, _edges(buckets) >> DISH), [len(dishes)]])
                 some = np.flatnonzero(np.diff(cuts))
                 own = [slice(cuts[b], cuts[b + 1]) for b in some]
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array(some, pa.int32()),
                     "source": pa.array([row["bucket"].as_py()] * len(some), pa.int32()),
-                    "dishes": _binary([five(dishes[x]) for x in own]), "tables": _binary([small(tables[x]) for x in own])})
+                    "dishes": _binary([rising(dishes[x]) for x in own]), "tables": _binary([small(tables[x]) for x in own])})
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        asked = [from_five(x) for x in table["dishes"]]
+        asked = [from_rising(x.as_buffer()) for x in table["dishes"]]
         sent = [from_small(x.as_buffer(), len(d)) for x, d in zip(table["tables"], asked)]
         dishes, at = np.unique(np.concatenate(asked), return_inverse=True)
         customers = np.bincount(at, np.concatenate(sent), len(dishes)).astype(np.int64)
@@ -284,7 +294,7 @@ def seat_root(state: DataFrame, before: Root | None, vocabulary: int, buckets: i
         return pa.table({
             "bucket": pa.array([own, *table["source"].to_pylist()], pa.int32()),
             "part": pa.array([-1] + [own] * len(parts), pa.int32()),
-            "dishes": _binary([five(dishes)] + [b""] * len(parts)),
+            "dishes": _binary([rising(dishes)] + [b""] * len(parts)),
             "customers": _binary([small(customers)] + [small(customers[p]) for p in parts]),
             "tables": _binary([small(tables)] + [small(tables[p]) for p in parts]),
             "all_customers": pa.array([int(customers.sum()), *nothing], pa.int64()),
@@ -300,14 +310,14 @@ def sweep(state: DataFrame, answers: DataFrame, root: Root, buckets: int, keep:
     def run(key: tuple, held: pa.Table, told: pa.Table) -> pa.Table:
         row = next(_rows(held))
         seating = Seating(row)
-        dishes, at = np.unique(seating.dish, return_inverse=True)
+        dishes = seating.dishes
         cuts = np.concatenate([[0], np.searchsorted(dishes, _edges(buckets) >> DISH), [len(dishes)]])
         parent = np.zeros(len(dishes))
         for part, c, t in zip(told["part"].to_pylist(), told["customers"], told["tables"]):
             n = cuts[part + 1] - cuts[part]
             parent[cuts[part]:cuts[part + 1]] = root.chance(from_small(c.as_buffer(), n), from_small(t.as_buffer(), n))
         all_tables = seating.in_rooms(seating.tables(row))
-        fresh = (STRENGTHS[1] + DISCOUNTS[1] * all_tables)[seating.room] * parent[at]
+        fresh = (STRENGTHS[1] + DISCOUNTS[1] * all_tables)[seating.room] * parent[seating.dish]
         tables = seat(seating.counts, fresh, DISCOUNTS[1], np.random.default_rng([*seed, key[0].as_py(), 1]))
         old = [x.as_py() for x in row["tables"].values] if keep else []
         return held.set_column(held.schema.get_field_index("tables"), "tables",
@@ -326,16 +336,16 @@ def fit(training: DataFrame, buckets: int, burn: int = BURN, samples: int = SAMP
     for number in range(1, burn + samples + 1):
         before, state = state, sweep(state, answers, root, buckets, number > burn + 1, (seed, number))
         discard(before)
-        if number <= burn + 1:
-            discard(answers)
+        discard(answers)
         answers, root = seat_root(state, root, vocabulary, buckets, (seed, number))
         if number > burn:
-            own = answers.filter("part = -1").select(
+            own = written(answers.filter("part = -1").select(
                 "bucket", F.lit(len(roots)).alias("sample"), F.lit(None).cast("binary").alias("words"),
                 F.lit(None).cast("binary").alias("runs"), F.col("dishes").alias("followers"),
-                F.col("customers").alias("counts"), F.array("tables").alias("tables"))
+                F.col("customers").alias("counts"), F.array("tables").alias("tables")), "root-kept")
             kept = kept.unionByName(own) if kept is not None else own
             roots.append(root)
+    discard(answers)
     return Model(state.unionByName(kept) if kept is not None else state, roots, train_tokens, vocabulary, buckets)
 
 
@@ -360,23 +370,23 @@ def _answer(samples: int):
                 room = Seating(row)
                 seated = [room.tables(row, s) for s in range(samples)]
                 all_customers, all_tables = room.in_rooms(room.counts), [room.in_rooms(t) for t in seated]
-                names, dish = np.unique(room.dish, return_inverse=True)
-                stored = room.room * len(names) + dish
+                names, stored = room.dishes, room.room * len(room.dishes) + room.dish
             else:
-                own = from_five(row["followers"])
+                own = from_rising(row["followers"].as_buffer())
                 dishes[row["sample"].as_py()] = (own, from_small(row["counts"].as_buffer(), len(own)),
                                                  from_small(row["tables"].values[0].as_buffer(), len(own)))
         out = {"totals": [], "pairs": []}
         for i in range(asked.num_rows):
-            words = from_rising(asked["words"][i])
-            runs, wanted = from_small(asked["runs"][i].as_buffer(), len(words)), from_five(asked["followers"][i])
-            totals, pairs = np.zeros((1 + 3 * samples, len(words)), np.int64), np.zeros((1 + samples, len(wanted)), np.int64)
+            words = from_rising(asked["words"][i].as_buffer())
+            runs = from_small(asked["runs"][i].as_buffer(), len(words))
+            wanted, dish = from_listed(asked["followers"][i].as_buffer())
+            totals, pairs = np.zeros((1 + 3 * samples, len(words)), np.int64), np.zeros((1 + samples, len(dish)), np.int64)
             if room is not None:
                 at, known = _found(room.words, words)
                 totals[0, known] = all_customers[at[known]]
                 in_names, has_name = _found(names, wanted)
-                in_pairs, has = _found(stored, np.repeat(at, runs) * len(names) + in_names)
-                has &= has_name & np.repeat(known, runs)
+                in_pairs, has = _found(stored, np.repeat(at, runs) * len(names) + in_names[dish])
+                has &= has_name[dish] & np.repeat(known, runs)
                 pairs[0, has] = room.counts[in_pairs[has]]
                 for s in range(samples):
                     totals[1 + s, known] = all_tables[s][at[known]]

@@ -83,13 +83,13 @@ def test_scores_equal_brute_force_on_the_same_seatings(spark, rows):
             {"bucket": pa.int32(), "sample": pa.int32(), **dict.fromkeys(("words", "runs", "followers", "counts"), pa.binary()),
              "tables": pa.list_(pa.binary())}))))
         if r["sample"] >= 0:
-            dishes = pitman_yor.from_five(row["followers"])
+            dishes = pitman_yor.from_rising(row["followers"].as_buffer())
             both = (pitman_yor.from_small(x.as_buffer(), len(dishes)) for x in (row["counts"], row["tables"].values[0]))
             roots[r["sample"]] |= {d: (c, t) for d, c, t in zip(dishes.tolist(), *map(np.ndarray.tolist, both))}
         else:
             s = pitman_yor.Seating(row)
             tables = [s.tables(row, k).tolist() for k in range(len(model.roots))]
-            seatings |= {(w, d): (c, t) for w, d, c, *t in zip(s.words[s.room].tolist(), s.dish.tolist(), s.counts.tolist(), *tables)}
+            seatings |= {(w, d): (c, t) for w, d, c, *t in zip(s.words[s.room].tolist(), s.dishes[s.dish].tolist(), s.counts.tolist(), *tables)}
     every = sorted({w for _, t in rows for w in tokens(t) if w})
     number = {w: int(h) for w, h in zip(every, pitman_yor.split_words(pa.array(every), lower=True).hashes)}
     number |= {None: int(pitman_yor.mix(np.array([pitman_yor.END]))[0]), "": int(pitman_yor.mix(np.array([pitman_yor.START]))[0])}
