@@ -7,17 +7,16 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 from operator import add
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame, functions as F
 
 from flowtide.functions.distance import euclidean, nearest, squared_distance
+from flowtide.operators.lloyd import Centers, lloyd, measures, packed, random_starts, spread_out
 from flowtide.operators.prep import assemble, drawn_copies, row_draw
 from flowtide.session import materialize
 
-Centers = list[list[float]]
-
 # Models measured in one pass; more would leave generated code.
 TOGETHER = 10
 
@@ -146,18 +145,11 @@ def costs(df: DataFrame, columns: Sequence[str],
 def costs_by_row(df: DataFrame, columns: Sequence[str], models: dict[object, Centers]) -> DataFrame:
     """The same measures written out: the least distance of each row to centres that are given as numbers.
 
-    For checks of :func:`costs`; each centre is a term of the expression, so for a few short lists of centres.
+    For checks of :func:`costs`: one pass over the rows as numbers, without models and weights.
     """
-    def square(centers: Centers):
-        away = [reduce(add, [(F.col(c) - F.lit(float(x))) * (F.col(c) - F.lit(float(x))) for c, x in zip(columns, center)])
-                for center in centers]
-        return F.array_min(F.array(*away))
-
-    row = df.select(*[square(m).alias(f"m{i}") for i, m in enumerate(models.values())])
-    sums = row.agg(*[x for i in range(len(models)) for x in (
-        F.sum(f"m{i}").alias(f"w{i}"), F.avg(F.sqrt(f"m{i}")).alias(f"d{i}"))]).first()
+    found = measures(packed(df, columns, nulls=True), models)
     return df.sparkSession.createDataFrame(
-        [(name, sums[f"w{i}"], sums[f"d{i}"]) for i, name in enumerate(models)], "model int, wssse double, distortion double")
+        [(name, *found[name]) for name in models], "model int, wssse double, distortion double")
 
 
 def mean_center(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> Centers:
@@ -218,22 +210,24 @@ def elbow(df: DataFrame, columns: Sequence[str], ks: Iterable[int] = range(2, 20
 def iteration_grid(df: DataFrame, columns: Sequence[str],
                    ks: Iterable[int] = range(1, 50),
                    max_iters: Iterable[int] = range(300, 1000, 100),
-                   seed: int = 1, parallel: int = 8) -> DataFrame:
+                   seed: int = 1) -> DataFrame:
     """WSSSE and distortion for each (max_iter, k) with random starting centres.
 
-    With one seed and start, a fit that came to rest after n iterations is the same for every limit of
-    at least n. So each k is fitted once with the largest limit, again only for limits below its n, and
-    each different model is measured once.
+    With one start, a fit that came to rest after n iterations is the same for every limit of at least n, and a limit
+    below n stops the same fit earlier. So each k is fitted once, its centres noted at each limit, and each different
+    model is measured once. All fits run side by side, one pass over the vectors an iteration (:mod:`lloyd`).
     """
     ks, limits = list(ks), sorted(max_iters)
-    how = lambda k, n: dict(k=k, seed=seed, max_iter=n, init="random")
     vectors = materialize(weighted_vectors(df, columns), "vectors")
-    models = _fit_each(vectors, columns, {f"{limits[-1]}/{k}": how(k, limits[-1]) for k in ks}, parallel)
-    needed = {k: m.summary.numIter if isinstance(m, KMeansModel) else 0
-              for k, m in zip(ks, (models[f"{limits[-1]}/{k}"] for k in ks))}
-    short = {f"{n}/{k}": how(k, n) for k in ks for n in limits[:-1] if n < needed[k]}
-    if short:
-        models |= _fit_each(vectors, columns, short, parallel)
-    grid = [(n, k, f"{n}/{k}" if f"{n}/{k}" in models else f"{limits[-1]}/{k}") for n in limits for k in ks]
-    settings = df.sparkSession.createDataFrame(grid, "max_iter int, k int, model string")
-    return settings.join(costs(vectors, columns, models, WEIGHT), "model").select("max_iter", "k", "wssse", "distortion")
+    drawn = random_starts(vectors, columns, max(ks), seed)
+    blocks = packed(spread_out(vectors), columns, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = lloyd(blocks, {k: drawn[:k] for k in ks if k > 1}, limits)
+        if 1 in ks:
+            fitted[1] = dict.fromkeys(limits, mean_center(vectors, columns, WEIGHT))
+        models = {repr(centers): centers for k in ks for centers in fitted[k].values()}
+        found = measures(blocks, models)
+    finally:
+        blocks.unpersist()
+    rows = [(n, k, *found[repr(fitted[k][n])]) for n in limits for k in ks]
+    return df.sparkSession.createDataFrame(rows, "max_iter int, k int, wssse double, distortion double")
