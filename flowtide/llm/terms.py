@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from flowtide.llm.words import text_bytes
 
 #: Rows of counts that a task adds up before it sends them on.
-POOL_ROWS = 1_500_000
+POOL_ROWS = 500_000
 
 LETTER = np.zeros(256, bool)
 LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
@@ -100,8 +100,12 @@ def pooled(parts: Iterator[tuple], most: int = POOL_ROWS) -> Iterator[tuple]:
         if sum(len(h[0]) for h in held) >= most:
             yield summed()
             labels, held = {}, []
+            # Arrow keeps freed memory, which the next slices would add to.
+            pa.default_memory_pool().release_unused()
     if held:
         yield summed()
+    held = []
+    pa.default_memory_pool().release_unused()
 
 
 def prefixes(terms: pa.Array, size: int) -> pa.Array:
