@@ -230,23 +230,28 @@ def shape(spark, folder):
     return profile.shape(volume_features(spark, folder))
 
 
-def gapped(spark: SparkSession, folder: str) -> DataFrame:
+def stored_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The features of days as a written table, likewise."""
+    return materialize(views.event_features(spark, folder), "days")
+
+
+def gapped(volume: DataFrame) -> DataFrame:
     """Volume features as doubles, a fifth of the values missing, as NaN or null."""
     def value(c: str):
         missing = F.when(F.col(c) % 2 == 0, F.lit(float("nan")))
         return F.when(F.col(c) % 5 == 0, missing).otherwise(F.col(c).cast("double")).alias(c)
 
-    return volume_features(spark, folder).select(*VOLUME_KEYS, *[value(c) for c in FEATURES])
+    return volume.select(*VOLUME_KEYS, *[value(c) for c in FEATURES])
 
 
 @query
 def value_counts_gaps(spark, folder):
-    return profile.value_counts(gapped(spark, folder), "uniqDstPorts")
+    return profile.value_counts(gapped(volume_features(spark, folder)), "uniqDstPorts")
 
 
 @query
 def correlation_gaps(spark, folder):
-    return rounded(profile.correlation_matrix(gapped(spark, folder), FEATURES), 6, "correlation")
+    return rounded(profile.correlation_matrix(gapped(volume_features(spark, folder)), FEATURES), 6, "correlation")
 
 
 @query
@@ -254,18 +259,18 @@ def quality_report_text(spark, folder):
     """Missing values of text columns and of columns with NaN."""
     decoded = flows.project_flows(decode(views.messages(spark, folder)))
     texts = profile.quality_report(decoded, ("srcAddr", "dstAddr"))
-    return texts.unionByName(profile.quality_report(gapped(spark, folder), FEATURES))
+    return texts.unionByName(profile.quality_report(gapped(volume_features(spark, folder)), FEATURES))
 
 
 @query
 def sigma_thresholds_gaps(spark, folder):
-    limits = thresholds.sigma_thresholds(gapped(spark, folder))
+    limits = thresholds.sigma_thresholds(gapped(volume_features(spark, folder)))
     return rounded(limits, 3, "mean", "stddev", "upper")
 
 
 @query
 def standardize_gaps(spark, folder):
-    scaled = prep.standardize(gapped(spark, folder), FEATURES)
+    scaled = prep.standardize(gapped(stored_volume(spark, folder)), FEATURES)
     return rounded(scaled, 6, *FEATURES).select(*VOLUME_KEYS, *FEATURES)
 
 
@@ -274,19 +279,19 @@ def standardize_gaps(spark, folder):
 
 @query
 def standardize_sample(spark, folder):
-    scaled = prep.standardize(views.event_features(spark, folder), FEATURES)
+    scaled = prep.standardize(stored_days(spark, folder), FEATURES)
     return rounded(scaled, 6, *FEATURES).select(*DAY, *FEATURES)
 
 
 @query
 def standardize_pop(spark, folder):
-    scaled = prep.standardize(views.event_features(spark, folder), FEATURES, sigma="population")
+    scaled = prep.standardize(stored_days(spark, folder), FEATURES, sigma="population")
     return rounded(scaled, 6, *FEATURES).select(*DAY, *FEATURES)
 
 
 @query
 def scale_only(spark, folder):
-    scaled = prep.standardize(views.event_features(spark, folder), MODEL_FEATURES, center=False)
+    scaled = prep.standardize(stored_days(spark, folder), MODEL_FEATURES, center=False)
     return rounded(scaled, 6, *MODEL_FEATURES).select(*DAY, *MODEL_FEATURES)
 
 
@@ -796,7 +801,7 @@ def stream_arrival_seconds(spark, folder):
 def days_in_parts(spark: SparkSession, folder: str, work=()) -> str:
     """Days of the messages in their parts, the stream started anew for every part; the folder of the results."""
     base = new_folder(spark, "parts")
-    arrivals = materialize(views.arrivals(spark, folder), "arrivals")
+    arrivals = views.arrivals(spark, folder)  # a part's messages are made when it arrives, and written once
     for part in sorted(r["part"] for r in arrivals.select("part").distinct().collect()):  # a handful of parts
         arrivals.filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{base}/inbox")
         stream = spark.readStream.schema(arrivals.drop("part").schema).parquet(f"{base}/inbox")

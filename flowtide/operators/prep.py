@@ -35,7 +35,8 @@ def standardize(df: DataFrame, columns: Sequence[str], center: bool = True,
 
     ``sigma`` is ``sample`` or ``population``. A column without spread becomes 0. The
     moments are one aggregated row that Spark computes once and hands to every task; they
-    leave out nulls and NaN, which stay null.
+    leave out nulls and NaN, which stay null. ``df`` is read for the moments and again for
+    the rows, so what is dear to work out should come from a written table.
     """
     deviation = {"sample": F.stddev_samp, "population": F.stddev_pop}[sigma]
     df = presented(df, columns)
