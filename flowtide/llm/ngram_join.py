@@ -4,8 +4,9 @@ A document is the set of its 64-bit hashed word shingles. Two documents link whe
 least ``PERCENT`` per cent of the union, that is when it holds at least 4/9 of both sizes together at 80.
 
 * Documents with equal sets are one class (128-bit set fingerprint); the product is over classes.
-* Shingles are put in one order for all documents, frequent ones last (a fixed-size table of counts tells
-  them apart; any order is right). With that order only the first entries of a row can hold the first
+* Shingles are put in one order for all documents, frequent ones last (any order is right, but one that lets chance
+  repeats into prefixes makes unrelated documents meet). They are counted in 2^34 cells, range by range, and a table of
+  fixed size holds the level of the most frequent cell of each counter. With that order only the first entries of a row can hold the first
   shared shingle of a linked pair: the size-derived prefix. Only prefixes enter the product.
 * The product is cut into blocks of shingles (ranges of hashes). A block adds one to the overlap count of
   each pair in a column, unless sizes and places show the pair cannot link; counts of all blocks are
@@ -13,7 +14,8 @@ least ``PERCENT`` per cent of the union, that is when it holds at least 4/9 of b
 * A column with more than ``LONG`` classes is not multiplied out pair by pair. Its classes hang on one pivot
   per size band, and all classes that hang together this way meet in tiles of ``PART`` by ``PART`` classes, where
   the product of their whole rows is taken at once (frequent shingles by a dense matrix product, others entry by
-  entry). A tile sends on a spanning forest of its links, never pairs. No link is lost.
+  entry). A tile sends on a spanning forest of its links, never pairs. No link is lost. Tiles that ask for many more
+  texts than there are classes are worked off in rounds, each of which ships about as many texts.
 * Pairs of short columns are verified on whole sets, and components are found by star contraction.
 
 A document of fewer words than a shingle is its whole word sequence; without words (null or empty text) it has
@@ -33,11 +35,13 @@ from pyspark.sql import functions as F
 from flowtide.llm.blocks import edges as bucket_edges
 from flowtide.llm.blocks import BLOCK_BYTES, fresh_name, sizes
 from flowtide.llm.components import components
-from flowtide.llm.tables import slices, texts_of, written
+from flowtide.llm.tables import brief_shuffles, discard, slices, texts_of, written
 from flowtide.llm.words import U64, mix, split_words
 
 SHINGLE, PERCENT = 5, 80
-SEGMENTS, BAND = 64, 1.08
+BAND = 1.08
+#: Shingles are counted by the leading bits of their hashes; so many are sorted at a time, so many meet in a range.
+CELL_BITS, COUNTED, RANGE = 34, 1 << 22, 1 << 21
 DENSE, COLUMNS = 256, 2048
 LEAST_COUNTERS, MOST_COUNTERS = 1 << 18, 1 << 24
 LONG, PART, TILE_PAIRS, SENT = 24, 512, 2048, 1_000_000
@@ -87,58 +91,101 @@ def fingerprints(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return out[0], out[1]
 
 
-def _survey(docs: DataFrame, n: int, counters: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, size, f1, f2) of every row, and the order level of each counter (0: not frequent)."""
-    segment = counters // SEGMENTS
+def counted_cells(hashes: np.ndarray, lots: int) -> dict[str, pa.Array]:
+    """How often each cell of hashes occurs, as a packet per range of cells that has any.
 
+    A packet holds the steps from one different cell to the next, and a count for those that occur again.
+    """
+    cells = np.sort(hashes) >> U64(64 - CELL_BITS)
+    first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.zeros(0, np.int64)
+    count = np.diff(np.append(first, len(cells)))
+    cells = cells[first].astype(np.int64)
+    wide = 1 << CELL_BITS - lots.bit_length() + 1
+    cuts = np.searchsorted(cells, np.arange(lots + 1) * wide)
+    again = np.flatnonzero(count > 1)
+    cuts_again = np.searchsorted(again, cuts)
+    step = np.diff(cells, prepend=0)
+    some = np.flatnonzero(np.diff(cuts))
+    steps, more = [], []
+    for lot in some.tolist():
+        own = step[cuts[lot]:cuts[lot + 1]].copy()
+        own[0] = cells[cuts[lot]] - lot * wide
+        steps.append(own.astype("<u2" if own.max() < 1 << 16 else "<u4").tobytes())
+        at = again[cuts_again[lot]:cuts_again[lot + 1]]
+        more.append(np.stack([at - cuts[lot], count[at]], 1).astype("<u4").tobytes())
+    return {"lot": pa.array(some, pa.int32()), "cells": pa.array(np.diff(cuts)[some], pa.int32()),
+            "steps": pa.array(steps, pa.binary()), "more": pa.array(more, pa.binary())}
+
+
+def counter_levels(packets: pa.Table, lots: int, counters: int) -> np.ndarray:
+    """The order level of each counter of a range of cells: that of its most frequent cell."""
+    found = []
+    for k, steps, more in zip(packets["cells"].to_pylist(), packets["steps"], packets["more"]):
+        steps, more = steps.as_buffer(), np.frombuffer(more.as_buffer(), "<u4").reshape(-1, 2)
+        cell = np.cumsum(np.frombuffer(steps, "<u2" if steps.size == 2 * k else "<u4"), dtype=U64) << U64(32)
+        cell += U64(1)
+        cell[more[:, 0]] += more[:, 1] - U64(1)
+        found.append(cell)
+    found = np.sort(np.concatenate(found))
+    cell, count = found >> U64(32), found & U64((1 << 32) - 1)
+    first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+    count = np.add.reduceat(count, first)
+    load = float(count.sum()) * lots / (1 << CELL_BITS)
+    usual = load + 4 * np.sqrt(load) + 4  # what rare shingles that share a cell come to
+    often = np.flatnonzero(count > usual)
+    level = np.ceil(4 * np.log2(1 + count[often] - usual)).clip(0, 255).astype(np.uint8)
+    out = np.zeros(counters // lots, np.uint8)
+    np.maximum.at(out, (cell[first[often]] >> U64(CELL_BITS - counters.bit_length() + 1)).astype(np.int64), level)
+    return out
+
+
+def _survey(docs: DataFrame, n: int, counters: int, lots: int) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, size, f1, f2) of every row, and the order level of each counter (0: not frequent).
+
+    Shingles are counted in ``2 ** CELL_BITS`` cells, by ranges of cells; only levels come together.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(counters, np.uint16)
-        shift = U64(64 - counters.bit_length() + 1)
         nothing = lambda k, kind: pa.nulls(k, kind)
+
+        def packets(held: list[np.ndarray]) -> pa.RecordBatch:
+            found = counted_cells(np.concatenate(held), lots)
+            k = len(found["lot"])
+            return pa.RecordBatch.from_pydict({
+                "doc_id": nothing(k, pa.int64()), "size": nothing(k, pa.int32()), "f1": nothing(k, pa.int64()),
+                "f2": nothing(k, pa.int64()), **found})
+
+        held: list[np.ndarray] = []
         for batch in slices(batches):
             sets, offsets = shingle_sets(batch.column("text"), n)
-            new = np.bincount((sets >> shift).astype(np.int64), minlength=counters)
-            seen = np.minimum(seen + new, 255).astype(np.uint16)
             f1, f2 = fingerprints(sets, offsets)
             k = batch.num_rows
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "size": np.diff(offsets).astype(np.int32), "f1": f1, "f2": f2,
-                "segment": nothing(k, pa.int32()), "counts": nothing(k, pa.binary())})
-        if seen.any():
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": nothing(SEGMENTS, pa.int64()), "size": nothing(SEGMENTS, pa.int32()),
-                "f1": nothing(SEGMENTS, pa.int64()), "f2": nothing(SEGMENTS, pa.int64()),
-                "segment": pa.array(range(SEGMENTS), pa.int32()),
-                "counts": pa.array([seen[i * segment:(i + 1) * segment].astype("u1").tobytes() for i in range(SEGMENTS)], pa.binary())})
+                "lot": nothing(k, pa.int32()), "cells": nothing(k, pa.int32()), "steps": nothing(k, pa.binary()),
+                "more": nothing(k, pa.binary())})
+            held.append(sets)
+            if sum(map(len, held)) >= COUNTED:
+                yield packets(held)
+                held = []
+        if held:
+            yield packets(held)
 
     survey = written(_keyed(docs).mapInArrow(
-        run, "doc_id long, size int, f1 long, f2 long, segment int, counts binary"), "shingle-survey")
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for s, c in zip(batch.column("segment").to_pylist(), batch.column("counts")):
-                part = np.frombuffer(c.as_buffer(), "u1" if c.as_buffer().size == segment else "<u2").astype("<u4")
-                sums[s] = np.minimum(sums[s] + part, 65_535) if s in sums else part  # enough for an order
-        yield pa.RecordBatch.from_pydict({
-            "segment": pa.array(sums, pa.int32()), "counts": pa.array([c.astype("<u2").tobytes() for c in sums.values()], pa.binary())})
-
-    def merge(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(list(add(iter(table.select(["segment", "counts"]).combine_chunks().to_batches()))))
-
-    kept = survey.filter("segment is not null").select("segment", "counts")
-    partial = kept.mapInArrow(add, "segment int, counts binary")  # combined where it was counted
-    lots = max(1, round(partial.rdd.getNumPartitions() ** 0.5))  # then in two steps, so no task meets all of a segment
-    for key in ([F.pmod(F.spark_partition_id(), F.lit(lots)).alias("lot")], []):
-        partial = (partial.select("segment", "counts", *key).groupBy("segment", *(["lot"] if key else []))
-                   .applyInArrow(merge, "segment int, counts binary"))
-    rows = partial.collect()
-    total = np.zeros(counters, np.float64)  # `counters` numbers, whatever the corpus
-    for r in rows:
-        total[r["segment"] * segment:(r["segment"] + 1) * segment] = np.frombuffer(r["counts"], "<u2")
-    usual = total.mean() + 4 * np.sqrt(total.mean()) + 4  # what rare shingles that share a counter come to
-    level = np.ceil(4 * np.log2(1 + np.maximum(0, total - usual))).clip(0, 255).astype(np.uint8)
-    return survey.filter("segment is null").select("doc_id", "size", "f1", "f2"), level
+        run, "doc_id long, size int, f1 long, f2 long, lot int, cells int, steps binary, more binary"), "shingle-survey")
+
+    def levels(table: pa.Table) -> pa.Table:
+        own = counter_levels(table, lots, counters)
+        return pa.table({"lot": table["lot"][:1].combine_chunks(), "levels": pa.array([own.tobytes()], pa.binary())})
+
+    rows = written(survey.filter("lot is null").select("doc_id", "size", "f1", "f2"), "shingle-sizes")
+    found = (survey.filter("lot is not null").select("lot", "cells", "steps", "more")
+             .groupBy("lot").applyInArrow(levels, "lot int, levels binary").collect())
+    level = np.zeros(counters, np.uint8)  # `counters` bytes, whatever the corpus
+    for r in found:
+        own = np.frombuffer(r["levels"], np.uint8)
+        level[r["lot"] * len(own):(r["lot"] + 1) * len(own)] = own
+    discard(survey)
+    return rows, level
 
 
 def _prefixes(docs: DataFrame, level: np.ndarray, n: int, percent: int, buckets: int) -> DataFrame:
@@ -337,15 +384,14 @@ def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _hanging(groups: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, part: int) -> DataFrame:
     """Spanning links (a, b) among classes that hang together (node, component), tile by tile."""
-    shape = groups.groupBy("component").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    shape = groups.groupBy("component").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"), F.count("*").alias("members"))
+    asked = shape.agg(F.sum(F.col("parts") * F.col("members"))).first()[0] or 0
+    rounds = max(1, -(-asked // max(SENT, classes.count())))
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     tiles = (groups.join(shape, "component").withColumn("own", own).withColumn("other", other)
              .select("node", F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other")).alias("tile"),
                      (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high")))
-    wanted = written(tiles.join(classes.select("node", F.col("component").alias("doc_id")), "node"), "wanted")
-    few = wanted.count() <= SENT
-    texts = _keyed(docs).join(F.broadcast(wanted) if few else wanted, "doc_id").select("tile", "node", "low", "high", "text")
 
     def run(table: pa.Table) -> pa.Table:
         flat, first = shingle_sets(table["text"], n)
@@ -372,7 +418,18 @@ def _hanging(groups: DataFrame, classes: DataFrame, docs: DataFrame, n: int, per
         b = np.concatenate([node[rows[top]], node[rows[under[under < len(rows)]]]])
         return pa.table({"a": a[a != b], "b": b[a != b]})
 
-    return texts.groupBy("tile").applyInArrow(run, "a long, b long")
+    links = None
+    for k in range(rounds):
+        with brief_shuffles(docs.sparkSession):
+            own_tiles = tiles.filter(F.pmod(F.xxhash64("tile"), F.lit(rounds)) == k)
+            wanted = written(own_tiles.join(classes.select("node", F.col("component").alias("doc_id")), "node"), "wanted")
+            few = wanted.count() <= SENT
+            texts = (_keyed(docs).join(F.broadcast(wanted) if few else wanted, "doc_id")
+                     .select("tile", "node", "low", "high", "text"))
+            found = written(texts.groupBy("tile").applyInArrow(run, "a long, b long"), "hanging-links")
+        discard(wanted)
+        links = found if links is None else links.unionByName(found)
+    return links
 
 
 def classes_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, counters: int | None = None,
@@ -384,10 +441,13 @@ def classes_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, counte
     blocks, buckets = sizes(docs)
     if counters is None:
         counters = min(MOST_COUNTERS, max(LEAST_COUNTERS, 1 << round(np.log2(blocks * BLOCK_BYTES / 200))))
-    survey, level = _survey(docs, n, counters)
+    lots = min(counters, 4096, max(16, 1 << round(np.log2(max(1, blocks * BLOCK_BYTES / (6 * RANGE))))))
+    with brief_shuffles(docs.sparkSession):
+        survey, level = _survey(docs, n, counters, lots)
     classes = written(survey.filter("size > 0").groupBy(F.col("f1").alias("node"), "f2").agg(
         F.min("doc_id").alias("component")), "classes")
-    product = written(_multiply(_prefixes(docs, level, n, percent, buckets), percent, long), "overlaps")
+    with brief_shuffles(docs.sparkSession):
+        product = written(_multiply(_prefixes(docs, level, n, percent, buckets), percent, long), "overlaps")
 
     stars = product.filter("star").select("a", "b").distinct()
     groups = written(components(stars), "hanging")

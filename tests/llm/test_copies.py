@@ -6,6 +6,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from flowtide.llm import ngram_join, substring
@@ -53,6 +54,53 @@ def test_frequent_shingles_do_not_change_the_join(spark):
     assert sorted(tuple(r) for r in few) == brute_classes(rows)
 
 
+def test_chance_repeats_stay_out_of_prefixes(spark, monkeypatch):
+    """Passages of 60 documents are told from rare ones though each of few counters holds hundreds of shingles."""
+    shared = [f"{w}{p}" for p in range(12) for w in ("all", "of", "these", "agree", "here", "")]
+    rows = [(d, " ".join([f"w{d}x{k}" for k in range(200)] + [w if d < 60 and w.strip("0123456789") else f"{w}y{d}"
+                                                              for w in shared])) for d in range(300)]
+    hanging, whole = [], ngram_join._hanging
+    monkeypatch.setattr(ngram_join, "_hanging", lambda groups, *a: hanging.append(groups.count()) or whole(groups, *a))
+    found = ngram_join.classes_of(table(spark, rows), counters=256, long=2).collect()
+    assert sorted(tuple(r) for r in found) == [(d, len(t.split()) - 4, d) for d, t in rows]
+    assert hanging == [0]
+
+
+def test_counts_of_shingles_by_ranges():
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(0, 1 << 64, 5000, np.uint64)
+    often = hashes[:3]
+    runs = [np.concatenate([hashes[k::4], np.repeat(often, 30)]) for k in range(4)] + [hashes[:0]]
+    tables = [pa.table(ngram_join.counted_cells(x, 16)) for x in runs]
+    whole = pa.concat_tables(tables).to_pylist()
+    level = np.zeros(1 << 12, np.uint8)
+    for lot in range(16):
+        own = pa.Table.from_pylist([r for r in whole if r["lot"] == lot], tables[0].schema)
+        level[lot << 8:(lot + 1) << 8] = ngram_join.counter_levels(own, 16, 1 << 12)
+    assert sum(len(t) for t in tables) <= 64 and sum(r["cells"] for r in whole) < 5020
+    at = (often >> np.uint64(52)).astype(int)
+    assert sorted(np.flatnonzero(level)) == sorted(at)
+    assert abs(level[at].astype(int) - np.ceil(4 * np.log2(1 + 121 - 4))).max() <= 1
+
+
+def test_large_groups_meet_in_rounds(spark, monkeypatch):
+    """Tiles ask for more texts than there are classes: no round asks for many more than that."""
+    rows = near_copies(7)
+    whole, asked = ngram_join.written, []
+
+    def counted(df, purpose):
+        out = whole(df, purpose)
+        if purpose == "wanted" and "low" in df.columns:
+            asked.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+    monkeypatch.setattr(ngram_join, "SENT", 1)
+    found = ngram_join.classes_of(table(spark, rows), long=1, part=1).collect()
+    assert sorted(tuple(r) for r in found) == brute_classes(rows)
+    assert len(asked) > 2 and max(asked) <= 2 * len(rows)
+
+
 def test_join_of_empty_and_repeated_rows(spark):
     assert ngram_join.classes_of(table(spark, [])).count() == 0
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (2, "A b c d e f"), (None, "a b c d e f"), (7, None),
